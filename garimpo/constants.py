@@ -111,6 +111,7 @@ DATA_PHONE = r"(?iu)data-phone=['\"]([^'\"]+)['\"]"
 ADDRESS_LINE = (
     r"(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+\b),\s*([A-Za-z\s]+)\s*-\s*([A-Z]{2})"
 )
+ADDRESS_END = r",\s*[A-Za-z\s]+-\s*[A-Z]{2}"
 HTML_TITLE = r"(?iud)<title>(.*?)</title>"
 HTML_H1 = r"(?ius)<h1[^>]*>(.*?)</h1>"
 HTML_H1_PLAIN = r"<h1[^>]*>([^<]+)</h1>"

@@ -66,53 +66,86 @@ def jsonld_plain_objects(html: Column, skip: list[str]) -> Column:
     return F.filter(jsonld_blocks(html), wanted)
 
 
+def _object(json_text: Column) -> Column:
+    return F.when(json_text.startswith("{"), json_text)
+
+
 def _one_object(json_text: Column) -> Column:
     """The object itself, or the first element of a list of objects."""
-    return F.when(json_text.startswith("{"), json_text).when(
-        json_text.startswith("["), F.get(_elements(json_text), F.lit(0))
+    return F.when(json_text.startswith("["), F.get(_elements(json_text), F.lit(0))).otherwise(
+        _object(json_text)
     )
 
 
-def _price_at(offer: Column, value: Column, path: str) -> Column:
+def _price(value: Column, kind: Column) -> Column:
     """Price label; a numeric zero counts as missing."""
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(offer), path, "variant"))
     is_text = kind == "STRING"
-    present = F.when(is_text | (value.try_cast("double") != 0), none_if_empty(value))
-    return price_label(present, is_text)
-
-
-def jsonld_fields(obj: Column) -> Column:
-    """Listing fields of one JSON-LD object."""
-    top = F.from_json(obj, OBJECT_FIELDS, STRICT)
-    offer = _one_object(top["offers"])
-    offer_fields = F.from_json(offer, "price string, priceSpecification string", STRICT)
-    spec = offer_fields["priceSpecification"]
-    spec_price = F.from_json(F.when(spec.startswith("{"), spec), "price string", STRICT)["price"]
-    address = F.from_json(
-        F.when(top["address"].startswith("{"), top["address"]), ADDRESS_FIELDS, STRICT
+    return price_label(F.when(is_text | (value.try_cast("double") != 0), value), is_text)
+
+
+def _kind(variant: Column, path: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
+
+
+def jsonld_listings(objects: Column) -> Column:
+    """Listing fields of each JSON-LD object of an array.
+
+    Parsing goes in steps, one ``transform`` each, so that every JSON text is
+    parsed once and later steps read the parsed value.
+    """
+    parsed = F.transform(objects, lambda o: F.from_json(o, OBJECT_FIELDS, STRICT))
+    picked = F.transform(
+        parsed,
+        lambda t: F.struct(
+            t.alias("top"),
+            _one_object(t["offers"]).alias("offer"),
+            F.from_json(_object(t["address"]), ADDRESS_FIELDS, STRICT).alias("address"),
+            F.from_json(_object(t["contactPoint"]), "telephone string", STRICT).alias("contact"),
+        ),
     )
-    contact = top["contactPoint"]
-    contact_phone = F.from_json(
-        F.when(contact.startswith("{"), contact), "telephone string", STRICT
-    )["telephone"]
-    return F.struct(
-        top["@type"].alias("tipo"),
-        none_if_empty(top["name"]).alias("nome"),
-        F.coalesce(none_if_empty(top["name"]), none_if_empty(top["headline"])).alias("titulo"),
-        _price_at(offer, offer_fields["price"], "$.price").alias("preco_oferta"),
-        F.coalesce(
-            _price_at(offer, offer_fields["price"], "$.price"),
-            _price_at(offer, spec_price, "$.priceSpecification.price"),
-        ).alias("preco"),
-        none_if_empty(top["description"]).alias("descricao"),
-        none_if_empty(address["streetAddress"]).alias("endereco"),
-        none_if_empty(address["addressLocality"]).alias("cidade"),
-        none_if_empty(address["addressRegion"]).alias("estado"),
-        none_if_empty(address["postalCode"]).alias("cep"),
-        F.coalesce(none_if_empty(top["telephone"]), none_if_empty(contact_phone)).alias("contato"),
-        none_if_empty(contact_phone).alias("contato_ponto"),
+    opened = F.transform(
+        picked,
+        lambda p: F.struct(
+            p["top"].alias("top"),
+            p["address"].alias("address"),
+            none_if_empty(p["contact"]["telephone"]).alias("contact_phone"),
+            F.from_json(p["offer"], "price string, priceSpecification string", STRICT).alias("offer"),
+            F.try_parse_json(p["offer"]).alias("variant"),
+        ),
+    )
+    priced = F.transform(
+        opened,
+        lambda p: F.struct(
+            p["top"].alias("top"),
+            p["address"].alias("address"),
+            p["contact_phone"].alias("contact_phone"),
+            _price(none_if_empty(p["offer"]["price"]), _kind(p["variant"], "$.price")).alias("price"),
+            _price(
+                none_if_empty(field(_object(p["offer"]["priceSpecification"]), "price")),
+                _kind(p["variant"], "$.priceSpecification.price"),
+            ).alias("spec_price"),
+        ),
     )
 
+    def listing(p: Column) -> Column:
+        top, address = p["top"], p["address"]
+        return F.struct(
+            top["@type"].alias("tipo"),
+            none_if_empty(top["name"]).alias("nome"),
+            F.coalesce(none_if_empty(top["name"]), none_if_empty(top["headline"])).alias("titulo"),
+            p["price"].alias("preco_oferta"),
+            F.coalesce(p["price"], p["spec_price"]).alias("preco"),
+            none_if_empty(top["description"]).alias("descricao"),
+            none_if_empty(address["streetAddress"]).alias("endereco"),
+            none_if_empty(address["addressLocality"]).alias("cidade"),
+            none_if_empty(address["addressRegion"]).alias("estado"),
+            none_if_empty(address["postalCode"]).alias("cep"),
+            F.coalesce(none_if_empty(top["telephone"]), p["contact_phone"]).alias("contato"),
+            p["contact_phone"].alias("contato_ponto"),
+        )
+
+    return F.transform(priced, listing)
+
 
 def page_cursor(payload: Column, link_header: Column) -> Column:
     """Next-page token: first non-empty of the known keys, else the Link header."""
@@ -124,5 +157,18 @@ def page_cursor(payload: Column, link_header: Column) -> Column:
     return F.coalesce(*[token(k) for k in C.CURSOR_KEYS], header_next(link_header))
 
 
-def embedded(html: Column, pattern: str) -> Column:
-    return find(html, pattern, 1)
+def embedded(html: Column, key: str, pattern: str) -> Column:
+    """Value of a key written anywhere in the page."""
+    return F.when(html.contains(f'"{key}"'), find(html, pattern, 1))
+
+
+def embedded_city(html: Column) -> Column:
+    return embedded(html, "addressLocality", C.EMBEDDED_CITY)
+
+
+def embedded_region(html: Column) -> Column:
+    return embedded(html, "addressRegion", C.EMBEDDED_REGION)
+
+
+def embedded_postal(html: Column) -> Column:
+    return embedded(html, "postalCode", C.EMBEDDED_POSTAL)

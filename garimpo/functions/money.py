@@ -21,7 +21,7 @@ def money_naive(c: Column) -> Column:
     without a numeric prefix counts as zero, a null stays null.
     """
     bare = F.replace(c, F.lit("R$ "), F.lit(""))
-    digits = F.nullif(F.regexp_extract(bare, r"^\s*([+-]?\d+(?:\.\d+)?)", 1), F.lit(""))
+    digits = F.regexp_extract(bare, r"^\s*([+-]?\d+(?:\.\d+)?)", 1)
     return F.when(c.isNotNull(), F.coalesce(digits.try_cast("double"), F.lit(0.0)))
 
 

@@ -15,7 +15,12 @@ WHITE_SPACE = " \t\n\r\x0b\x0c\u0085\u00a0\u2028\u2029"
 
 
 def none_if_empty(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+    """Null for the empty string, with ``c`` evaluated once.
+
+    ``nullif`` repeats its first argument, which doubles the cost of a pattern
+    search at every level it is nested in.
+    """
+    return F.get(F.array_remove(F.array(c), ""), F.lit(0))
 
 
 def strip(c: Column) -> Column:
@@ -37,13 +42,13 @@ def with_unit(number: Column, unit: str) -> Column:
     return F.concat(number, F.lit(f" {unit}"))
 
 
-def price_find(c: Column, pattern: str = C.PRICE) -> Column:
-    return collapse_ws(find(c, pattern))
+def price_find(c: Column) -> Column:
+    return F.when(c.contains("R$"), collapse_ws(find(c, C.PRICE)))
 
 
 def price_upper(c: Column) -> Column:
     """Price in any letter case, returned in upper case."""
-    return F.upper(price_find(c, C.PRICE_ANY_CASE))
+    return F.upper(collapse_ws(find(c, C.PRICE_ANY_CASE)))
 
 
 def price_or_request(c: Column) -> Column:
@@ -76,8 +81,11 @@ def phone_find(c: Column, pattern: str = C.PHONE) -> Column:
 
 
 def address_match(c: Column) -> Column:
-    """The text matched by ``street, city - UF``; one scan of the page."""
-    return find(c, C.ADDRESS_LINE)
+    """The text matched by ``street, city - UF``; one scan of the page.
+
+    Only texts with the ``, city - UF`` part are searched for the whole line.
+    """
+    return F.when(c.rlike(C.ADDRESS_END), find(c, C.ADDRESS_LINE))
 
 
 def address_line(match: Column) -> Column:
@@ -91,10 +99,14 @@ def address_line(match: Column) -> Column:
     )
 
 
+def title_tag(c: Column) -> Column:
+    return none_if_empty(strip(F.regexp_extract(c, C.HTML_TITLE, 1)))
+
+
 def html_title(c: Column) -> Column:
     """``<title>``, else the first ``<h1>`` without its inner tags."""
     heading = F.regexp_replace(F.regexp_extract(c, C.HTML_H1, 1), "<[^>]+>", "")
-    return F.coalesce(none_if_empty(strip(find(c, C.HTML_TITLE, 1))), none_if_empty(strip(heading)))
+    return F.coalesce(title_tag(c), none_if_empty(strip(heading)))
 
 
 def meta_description(c: Column) -> Column:

@@ -51,8 +51,11 @@ def resolve(href: Column, base: Column) -> Column:
 
 def query_value(url: Column, name: str) -> Column:
     """Decoded value of a query parameter, null when absent or malformed."""
-    raw = find(url, rf"[?&]{name}=([^&#]+)", 1)
-    return F.try_url_decode(raw)
+    return F.try_url_decode(find(url, rf"[?&]{name}=([^&#]+)", 1))
+
+
+def _web_address(c: Column) -> Column:
+    return find(c, r"(?s)^http.*$")
 
 
 def unwrap_redirect(href: Column) -> Column:
@@ -62,18 +65,17 @@ def unwrap_redirect(href: Column) -> Column:
     percent-encoded text (sometimes with the colon's ``%`` lost) or URL-safe
     base64. ``ref`` carries the target itself. Anything else gives null.
     """
-    u = query_value(href, "u")
-    body = F.when(u.startswith("a"), F.substr(u, F.lit(3))).otherwise(u)
-    twice = F.try_url_decode(F.replace(body, F.lit("+"), F.lit("%2B")))
-    plain = F.regexp_replace(F.coalesce(twice, body), r"^(https?)3A", "$1:")
-    unpadded = F.rtrim(F.translate(body, "-_", "+/"), F.lit("="))
-    padded = F.rpad(unpadded, ((F.length(unpadded) + 3) / 4).cast("int") * 4, "=")
-    decoded = F.when(
-        body.rlike(r"^[A-Za-z0-9_\-]+=*$"),
-        F.try_to_binary(padded, F.lit("base64")),
+    body = F.regexp_replace(query_value(href, "u"), "^a.?", "")
+    decoded = F.try_url_decode(F.replace(body, F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(decoded, r"^(https?)3A", "$1:")
+    code = F.rtrim(F.translate(body, "-_", "+/"), F.lit("="))
+    padding = F.substr(F.lit("=="), F.lit(1), F.pmod(-F.length(code), F.lit(4)))
+    binary = F.try_to_binary(F.concat(code, padding), F.lit("base64"))
+    target = F.coalesce(
+        _web_address(plain),
+        _web_address(F.try_validate_utf8(binary.cast("string"))),
+        _web_address(query_value(href, "ref")),
     )
-    candidates = [plain, F.try_validate_utf8(decoded.cast("string")), query_value(href, "ref")]
-    target = F.coalesce(*[F.when(c.startswith("http"), c) for c in candidates])
     return F.when(href.contains("bing.com"), target).otherwise(href)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from garimpo import constants as C
 from garimpo.functions import keys, text, urls
 from garimpo.functions.markup import cards_of
+from garimpo.functions.steps import computed
 
 
 class CardSite(NamedTuple):
@@ -58,20 +59,24 @@ def raw_cards(pages: DataFrame, site: CardSite) -> DataFrame:
         pages.select("page_id", "url", found.alias("cards"))
         .select("page_id", "url", F.posexplode("cards").alias("pos", "card"))
         .select("page_id", "url", "pos", "card.*")
+        .withColumn("href", F.nullif("href", F.lit("")))
     )
 
 
 def portal_cards(pages: DataFrame, site: CardSite = PORTAL) -> DataFrame:
     """Cards with a title and a price; the key uses the page when there is no link."""
     body = F.col("text")
-    found = raw_cards(pages, site).select(
-        "page_id", "url", "pos",
-        text.none_if_empty(F.col("title")).alias("titulo"),
-        text.price_upper(body).alias("preco"),
-        text.area_find(body, C.AREA_LOOSE).alias("metragem"),
-        F.col("place").alias("bairro"),
-        text.prefix(body, C.CARD_TEXT_CHARS).alias("descricao"),
-        urls.resolve(text.none_if_empty(F.col("href")), F.col("url")).alias("link"),
+    found = computed(
+        raw_cards(pages, site),
+        ["page_id", "url", "pos"],
+        {
+            "titulo": text.none_if_empty(F.col("title")),
+            "preco": text.price_upper(body),
+            "metragem": text.area_find(body, C.AREA_LOOSE),
+            "bairro": F.col("place"),
+            "descricao": text.prefix(body, C.CARD_TEXT_CHARS),
+            "link": urls.resolve(F.col("href"), F.col("url")),
+        },
     )
     return (
         found.filter("titulo is not null and preco is not null")
@@ -101,14 +106,17 @@ def _line(n: int) -> Column:
 def browser_cards_a(pages: DataFrame, site: CardSite = BROWSER_A) -> DataFrame:
     """Cards read from their visible lines: first line is the title."""
     lines = F.col("lines")
-    found = raw_cards(pages, site).filter(F.length("lines") >= C.MIN_CARD_CHARS).select(
-        "page_id", "pos",
-        _line(0).alias("titulo"),
-        text.price_or_request(lines).alias("preco"),
-        text.area_find(lines, C.AREA_LOOSE).alias("metragem"),
-        text.rooms_find(lines, C.ROOMS_LOOSE).alias("quartos"),
-        text.baths_find(lines, C.BATHS_LOOSE).alias("banheiros"),
-        urls.resolve(text.none_if_empty(F.col("href")), F.col("url")).alias("link"),
+    found = computed(
+        raw_cards(pages, site).filter(F.length("lines") >= C.MIN_CARD_CHARS),
+        ["page_id", "pos"],
+        {
+            "titulo": _line(0),
+            "preco": text.price_or_request(lines),
+            "metragem": text.area_find(lines, C.AREA_LOOSE),
+            "quartos": text.rooms_find(lines, C.ROOMS_LOOSE),
+            "banheiros": text.baths_find(lines, C.BATHS_LOOSE),
+            "link": urls.resolve(F.col("href"), F.col("url")),
+        },
     )
     return _named(
         found.filter(F.length("titulo") >= C.MIN_TITLE_CHARS),
@@ -122,13 +130,16 @@ def browser_cards_b(pages: DataFrame, site: CardSite = BROWSER_B) -> DataFrame:
     title = F.when(F.length(_line(0)) >= C.MIN_TITLE_CHARS, _line(0)).otherwise(
         F.coalesce(_line(1), F.lit(C.UNTITLED_CARD))
     )
-    found = raw_cards(pages, site).filter(F.length("lines") >= C.MIN_TITLE_CHARS).select(
-        "page_id", "pos",
-        title.alias("titulo"),
-        text.price_or_request(lines).alias("preco"),
-        text.area_find(lines, C.AREA_LOOSE).alias("metragem"),
-        text.rooms_find(lines, C.ROOMS_LOOSE).alias("quartos"),
-        urls.resolve(text.none_if_empty(F.col("href")), F.col("url")).alias("link"),
+    found = computed(
+        raw_cards(pages, site).filter(F.length("lines") >= C.MIN_TITLE_CHARS),
+        ["page_id", "pos"],
+        {
+            "titulo": title,
+            "preco": text.price_or_request(lines),
+            "metragem": text.area_find(lines, C.AREA_LOOSE),
+            "quartos": text.rooms_find(lines, C.ROOMS_LOOSE),
+            "link": urls.resolve(F.col("href"), F.col("url")),
+        },
     )
     return _named(
         found.filter(F.length("titulo") > 3), site, "titulo", "preco", "metragem", "quartos", "link"
@@ -138,12 +149,15 @@ def browser_cards_b(pages: DataFrame, site: CardSite = BROWSER_B) -> DataFrame:
 def offer_cards(pages: DataFrame, site: CardSite = ARTICLE) -> DataFrame:
     """Cards with marked title and price elements; both must be there."""
     href = F.col("own_href") if site.selectors == C.CARDS_ANCHOR else F.col("href")
-    found = raw_cards(pages, site).select(
-        "page_id", "pos",
-        text.none_if_empty(F.col("title")).alias("titulo"),
-        text.none_if_empty(F.col("price")).alias("preco"),
-        text.area_find(F.col("text"), r"(?iuU)(\d+)\s*m²").alias("metragem"),
-        urls.resolve(href, F.col("url")).alias("link"),
+    found = computed(
+        raw_cards(pages, site),
+        ["page_id", "pos"],
+        {
+            "titulo": text.none_if_empty(F.col("title")),
+            "preco": text.none_if_empty(F.col("price")),
+            "metragem": text.area_find(F.col("text"), r"(?iuU)(\d+)\s*m²"),
+            "link": urls.resolve(href, F.col("url")),
+        },
     )
     kept = found.filter("titulo is not null and preco is not null")
     return kept.withColumn("id", keys.offer_key(F.col("titulo"), F.col("preco"))).withColumn(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.functions import jsons, text, urls
+from garimpo.functions.steps import computed
 from garimpo.operators.dedup import top_n
 
 ANCHOR = r"(?ius)<a\b[^>]*\bhref\s*=\s*[\"'][^\"']+[\"'][^>]*>.*?</a\s*>"
@@ -30,9 +31,8 @@ def result_links(pages: DataFrame, domains: list[str] | None = None) -> DataFram
     target = F.when(wrapped, urls.unwrap_redirect(F.col("href"))).when(
         F.col("href").startswith("http"), urls.strip_query(F.col("href"))
     )
-    tagged = listed.withColumn("link", target).withColumn(
-        "domain", urls.domain_of(F.col("link"), domains)
-    )
+    linked = computed(listed, ["page_id", "pos"], {"link": target})
+    tagged = linked.withColumn("domain", urls.domain_of(F.col("link"), domains))
     return (
         tagged.filter("domain is not null")
         .groupBy("page_id", "domain", "link")
@@ -83,12 +83,14 @@ def ad_links(pages: DataFrame, site: str = "olx.com.br") -> DataFrame:
         "page_id", "url",
         F.explode(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))).alias("anchor"),
     )
-    raw = F.regexp_extract("anchor", HREF, 1)
-    resolved = anchors.select(
-        "page_id",
-        F.when(raw.startswith("/"), urls.resolve(raw, F.col("url"))).otherwise(raw).alias("href"),
+    listed = anchors.select(
+        "page_id", "url",
+        F.regexp_extract("anchor", HREF, 1).alias("raw"),
         F.col("anchor").rlike(r"(?iu)<img\b").alias("has_image"),
     )
+    raw = F.col("raw")
+    href = F.when(raw.startswith("/"), urls.resolve(raw, F.col("url"))).otherwise(raw)
+    resolved = computed(listed, ["page_id", "has_image"], {"href": href})
     length = F.length("href")
     wanted = (
         F.col("href").rlike(C.AD_PATH) | (F.col("has_image") & (length > 40)) | (length > 60)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from garimpo import constants as C
 from garimpo.functions import jsons, keys, money, text, urls
 from garimpo.functions.markup import page_places
+from garimpo.functions.steps import computed
 
 FIELDS = [
     "titulo", "preco", "metragem", "quartos", "banheiros", "descricao",
@@ -60,15 +61,16 @@ def all_fields(*columns: str) -> Column:
 
 
 def jsonld_rows(pages: DataFrame) -> DataFrame:
-    """One row per JSON-LD object of a page, with its position."""
-    return pages.select(
-        "page_id", "url", F.posexplode(jsons.jsonld_objects(F.col("html"))).alias("pos", "object")
+    """One row per JSON-LD object of a page: its position and listing fields."""
+    objects = jsons.jsonld_listings(jsons.jsonld_objects(F.col("html")))
+    return pages.select("page_id", F.posexplode(objects).alias("pos", "o")).select(
+        "page_id", "pos", "o.*"
     )
 
 
 def _first_jsonld(html: Column) -> Column:
     """First JSON-LD object of the page with a title, a price or a street."""
-    parsed = F.transform(jsons.jsonld_objects(html), jsons.jsonld_fields)
+    parsed = jsons.jsonld_listings(jsons.jsonld_objects(html))
     hits = F.filter(
         parsed, lambda o: F.coalesce(o["titulo"], o["preco"], o["endereco"]).isNotNull()
     )
@@ -83,9 +85,8 @@ def _rest(pages: DataFrame) -> list[str]:
     return [c for c in pages.columns if c not in ("html", "url")]
 
 
-def _regex_fields(html: Column, when: Column) -> list[Column]:
+def _regex_fields(html: Column, when: Column) -> dict[str, Column]:
     """Field columns searched in the page, evaluated only where ``when`` holds."""
-    address = text.address_match(html)
     found = {
         "titulo": text.html_title(html),
         "preco": text.price_find(html),
@@ -93,18 +94,18 @@ def _regex_fields(html: Column, when: Column) -> list[Column]:
         "quartos": text.rooms_find(html),
         "banheiros": text.baths_find(html),
         "descricao": text.meta_description(html),
-        "address": address,
-        "cidade_json": jsons.embedded(html, C.EMBEDDED_CITY),
-        "estado_json": jsons.embedded(html, C.EMBEDDED_REGION),
-        "cep": F.coalesce(jsons.embedded(html, C.EMBEDDED_POSTAL), text.cep_find(html)),
+        "address": text.address_match(html),
+        "cidade_json": jsons.embedded_city(html),
+        "estado_json": jsons.embedded_region(html),
+        "cep": F.coalesce(jsons.embedded_postal(html), text.cep_find(html)),
         "contato": text.phone_find(html),
     }
-    return [F.when(when, value).alias(name) for name, value in found.items()]
+    return {name: F.when(when, value) for name, value in found.items()}
 
 
 def _with_address(found: DataFrame) -> DataFrame:
     line = text.address_line(F.col("address"))
-    return found.withColumns({"line": line}).withColumns(
+    return found.withColumn("line", line).withColumns(
         {
             "endereco": F.col("line.endereco"),
             "cidade": F.coalesce("cidade_json", "line.cidade"),
@@ -113,10 +114,15 @@ def _with_address(found: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(pages: DataFrame, ld: Column) -> DataFrame:
+    """Pages with their JSON-LD listing, if any, as ``ld``."""
+    return computed(pages, pages.columns, {"ld": ld})
+
+
 def jsonld_listings(pages: DataFrame) -> DataFrame:
     """Listings from JSON-LD only; a page without a usable object gives no row."""
     rest = _rest(pages)
-    parsed = usable_pages(pages).withColumn("ld", _first_jsonld(F.col("html")))
+    parsed = _parsed(usable_pages(pages), _first_jsonld(F.col("html")))
     return parsed.filter("ld is not null").select(
         *rest,
         F.coalesce("ld.titulo", _page_start(F.col("html"))).alias("titulo"),
@@ -130,7 +136,7 @@ def jsonld_listings(pages: DataFrame) -> DataFrame:
 def regex_listings(pages: DataFrame) -> DataFrame:
     """Listings from page text only: kept with a title, a price or an area."""
     rest = _rest(pages)
-    found = usable_pages(pages).select(*rest, "url", *_regex_fields(F.col("html"), F.lit(True)))
+    found = computed(usable_pages(pages), [*rest, "url"], _regex_fields(F.col("html"), F.lit(True)))
     return (
         _with_address(found)
         .filter(any_field("titulo", "preco", "metragem"))
@@ -142,17 +148,16 @@ def listings(pages: DataFrame) -> DataFrame:
     """The main extractor: JSON-LD, else page text, plus source, key and raw text."""
     rest = _rest(pages)
     html = F.col("html")
-    parsed = usable_pages(pages).withColumn("ld", _first_jsonld(html))
-    found = parsed.select(
-        *rest,
-        "url",
-        "ld",
-        F.when(
-            F.col("ld").isNotNull() & F.col("ld.titulo").isNull(),
-            _page_start(html),
-        ).alias("start"),
-        text.prefix(html, C.RAW_TEXT_CHARS).alias("raw_text"),
-        *_regex_fields(html, F.col("ld").isNull()),
+    parsed = _parsed(usable_pages(pages), _first_jsonld(html))
+    no_title = F.col("ld").isNotNull() & F.col("ld.titulo").isNull()
+    found = computed(
+        parsed,
+        [*rest, "url", "ld"],
+        {
+            "start": F.when(no_title, _page_start(html)),
+            "raw_text": text.prefix(html, C.RAW_TEXT_CHARS),
+            **_regex_fields(html, F.col("ld").isNull()),
+        },
     )
     rows = _with_address(found)
     from_ld = F.col("ld").isNotNull()
@@ -193,9 +198,9 @@ def embedded_addresses(pages: DataFrame) -> DataFrame:
     html = F.col("html")
     return pages.select(
         "page_id",
-        jsons.embedded(html, C.EMBEDDED_CITY).alias("cidade"),
-        jsons.embedded(html, C.EMBEDDED_REGION).alias("estado"),
-        jsons.embedded(html, C.EMBEDDED_POSTAL).alias("cep"),
+        jsons.embedded_city(html).alias("cidade"),
+        jsons.embedded_region(html).alias("estado"),
+        jsons.embedded_postal(html).alias("cep"),
     )
 
 
@@ -203,27 +208,25 @@ def requests_listings(pages: DataFrame) -> DataFrame:
     """Variant for plainly fetched pages: breadcrumb objects skipped, ``h1`` titles."""
     html = F.col("html")
     rest = _rest(pages)
-    parsed = F.transform(
-        jsons.jsonld_plain_objects(html, C.SKIPPED_TYPES), jsons.jsonld_fields
-    )
+    parsed = jsons.jsonld_listings(jsons.jsonld_plain_objects(html, C.SKIPPED_TYPES))
     hits = F.filter(
         parsed,
         lambda o: F.coalesce(o["titulo"], o["preco_oferta"], o["endereco"]).isNotNull(),
     )
-    rows = pages.filter("html <> ''").withColumn("ld", F.get(hits, F.lit(0)))
+    rows = _parsed(pages.filter("html <> ''"), F.get(hits, F.lit(0)))
     no_ld = F.col("ld").isNull()
     number = text.find(html, r"(?U)R\$\s*([\d.,]+)", 1)
-    found = rows.select(
-        *rest,
-        "url",
-        "ld",
-        F.when(no_ld, text.find(html, C.HTML_H1_PLAIN, 1)).alias("titulo"),
-        F.when(no_ld, F.concat(F.lit("R$ "), number)).alias("preco"),
-        F.when(
-            no_ld, text.find(html, r'(?U)<meta\s+name="description"\s+content="([^"]+)"', 1)
-        ).alias("descricao"),
-        F.when(no_ld, text.cep_find(html, C.POSTAL_CODE_UNBOUNDED)).alias("cep"),
-        F.when(no_ld, text.collapse_ws(text.find(html, C.PHONE_PARENS))).alias("contato"),
+    meta = text.find(html, r'(?U)<meta\s+name="description"\s+content="([^"]+)"', 1)
+    found = computed(
+        rows,
+        [*rest, "url", "ld"],
+        {
+            "titulo": F.when(no_ld, text.find(html, C.HTML_H1_PLAIN, 1)),
+            "preco": F.when(no_ld, F.concat(F.lit("R$ "), number)),
+            "descricao": F.when(no_ld, meta),
+            "cep": F.when(no_ld, text.cep_find(html, C.POSTAL_CODE_UNBOUNDED)),
+            "contato": F.when(no_ld, text.collapse_ws(text.find(html, C.PHONE_PARENS))),
+        },
     )
     return found.filter(~no_ld | any_field("titulo", "preco")).select(
         *rest,
@@ -240,13 +243,16 @@ def requests_listings(pages: DataFrame) -> DataFrame:
 def text_listings(texts: DataFrame) -> DataFrame:
     """Listings from plain text: price, area, rooms, first line as title, and key."""
     body = F.col("text")
-    found = texts.select(
-        *[c for c in texts.columns if c not in ("text", "url")],
-        text.first_line(body).alias("titulo"),
-        text.price_find(body).alias("preco"),
-        text.area_find(body).alias("metragem"),
-        text.rooms_find(body).alias("quartos"),
-        F.col("url").alias("link"),
+    found = computed(
+        texts,
+        [c for c in texts.columns if c not in ("text", "url")],
+        {
+            "titulo": text.first_line(body),
+            "preco": text.price_find(body),
+            "metragem": text.area_find(body),
+            "quartos": text.rooms_find(body),
+            "link": F.col("url"),
+        },
     )
     return found.filter(any_field("preco", "metragem", "titulo")).withColumn(
         "id", keys.text_key(F.col("titulo"), F.col("preco"), F.col("link"))
@@ -266,7 +272,7 @@ def merged_ads(pages: DataFrame) -> DataFrame:
         jsons.jsonld_blocks(html), lambda b: b.startswith("{") & jsons.is_valid(b)
     )
     rest = _rest(pages)
-    merged = pages.withColumn("objects", F.transform(blocks, jsons.jsonld_fields))
+    merged = pages.withColumn("objects", jsons.jsonld_listings(blocks))
 
     def first_of(name: str, offers_only: bool) -> Column:
         def keep(o: Column) -> Column:
@@ -280,7 +286,7 @@ def merged_ads(pages: DataFrame) -> DataFrame:
         *rest,
         "url",
         "html",
-        F.coalesce(first_of("nome", False), text.none_if_empty(text.strip(text.find(html, C.HTML_TITLE, 1)))).alias("titulo"),
+        F.coalesce(first_of("nome", False), text.title_tag(html)).alias("titulo"),
         first_of("preco_oferta", True).alias("ld_preco"),
         F.coalesce(first_of("descricao", False), text.find(html, C.META_DESCRIPTION, 1)).alias("descricao"),
         first_of("endereco", True).alias("ld_endereco"),

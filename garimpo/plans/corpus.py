@@ -11,10 +11,13 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from garimpo.functions.steps import computed, spread
 from garimpo.sources.readers import table
 
-TABLES = ["orders", "customer", "lineitem", "events"]
+GIVEN = {"revisions": ["lineitem"], "link_events": ["events"], "keywords": ["customer"]}
+AD_TABLES = ["orders", "customer"]
 
 
 class Dialect(NamedTuple):
@@ -442,11 +445,17 @@ FROM_TABLES = {"ads", "revisions", "link_events", "keywords"}
 
 def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A derived input as a DataFrame over the tables of ``folder``."""
-    for given in TABLES:
-        table(spark, folder, given).createOrReplaceTempView(given)
+    for given in GIVEN.get(name, AD_TABLES):
+        scan = table(spark, folder, given)
+        if given == "orders" and name == "ad_pages":
+            scan = spread(scan)
+        scan.createOrReplaceTempView(given)
     if name not in FROM_TABLES:
         spark.sql(ads(SPARK)).createOrReplaceTempView("ads")
-    return spark.sql(INPUTS[name](SPARK))
+    rows = spark.sql(INPUTS[name](SPARK))
+    if "html" not in rows.columns:
+        return rows
+    return computed(rows, [c for c in rows.columns if c != "html"], {"html": F.col("html")})
 
 
 def with_inputs(names: list[str], select: str) -> str:

@@ -254,7 +254,7 @@ def fn_json_get(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "fn_json_cursor", None,
-    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN json_extract_string(props, '$.k')
+    """SELECT event_id, CASE event_id % 3 WHEN 0 THEN nullif(json_extract_string(props, '$.k'), '0')
          WHEN 1 THEN 'https://api.example.com/ads?page=' || event_id END AS token FROM events""",
 )
 def fn_json_cursor(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,8 +274,6 @@ def fn_json_cursor(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------- extractors
 
-BREADCRUMB_SQL = "layout = 1"
-
 
 @register(
     "ex_jsonld_blocks", ["ads"],
@@ -287,8 +285,7 @@ BREADCRUMB_SQL = "layout = 1"
 )
 def ex_jsonld_blocks(spark: SparkSession, sf: str) -> DataFrame:
     rows = extract.jsonld_rows(derive(spark, sf, "ad_pages"))
-    fields = rows.select("page_id", *big("pos"), jsons.jsonld_fields(F.col("object")).alias("o"))
-    return fields.select("page_id", "pos", "o.tipo", "o.titulo")
+    return rows.select("page_id", *big("pos"), "tipo", "titulo")
 
 
 @register(
@@ -488,7 +485,7 @@ def ex_state_links(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "ex_json_prefix", ["captures"],
     """SELECT entry_id, CASE WHEN entry_id % 3 = 0 THEN 'urls' ELSE 'array' END AS kind,
-       CAST(length(text) AS BIGINT) AS body_chars FROM captures""",
+       CAST(length(trim(text)) AS BIGINT) AS body_chars FROM captures""",
 )
 def ex_json_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return cap.payload_kinds(derive(spark, sf, "captures"))
