@@ -156,5 +156,5 @@ def fold(c: Column) -> Column:
 
 
 def iso_time(c: Column) -> Column:
-    """Parse a collection time; text that is no time gives null."""
-    return F.try_to_timestamp(c)
+    """Parse a collection time, which carries no zone; other text gives null."""
+    return c.try_cast("timestamp_ntz")

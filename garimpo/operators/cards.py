@@ -56,8 +56,7 @@ def raw_cards(pages: DataFrame, site: CardSite) -> DataFrame:
     """One row per card with its position; the page text ends here."""
     found = cards_of(F.col("html"), site.selectors, site.fields, site.limit)
     return (
-        pages.select("page_id", "url", found.alias("cards"))
-        .select("page_id", "url", F.posexplode("cards").alias("pos", "card"))
+        pages.select("page_id", "url", F.posexplode(found).alias("pos", "card"))
         .select("page_id", "url", "pos", "card.*")
         .withColumn("href", F.nullif("href", F.lit("")))
     )

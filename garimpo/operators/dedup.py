@@ -52,12 +52,13 @@ def rejected(incoming: DataFrame) -> DataFrame:
 def upsert(existing: DataFrame, incoming: DataFrame, order: list[str], key: str = "id") -> DataFrame:
     """Insert or replace by key; within ``incoming`` the last row wins.
 
-    Incoming is reduced to one row per key before the join, so a hot key costs
-    one row there; missing columns on either side become null.
+    The join needs the distinct incoming keys only, so a hot key costs one row
+    there and the stored table is not shuffled while those keys are few. Missing
+    columns on either side become null.
     """
-    newest = last_by(accepted(incoming), [key], order)
-    kept = existing.join(newest.select(key), key, "left_anti")
-    return kept.unionByName(newest, allowMissingColumns=True)
+    taken = accepted(incoming)
+    kept = existing.join(taken.select(key).distinct(), key, "left_anti")
+    return kept.unionByName(last_by(taken, [key], order), allowMissingColumns=True)
 
 
 def union_all(*parts: DataFrame) -> DataFrame:

@@ -16,19 +16,19 @@ from garimpo.operators.dedup import top_n
 
 
 def as_links(found: DataFrame, keyword: str | None = None) -> DataFrame:
-    """Queue rows for found URLs, each URL once."""
-    return (
+    """Queue rows for found URLs, each URL once, partitioned by id."""
+    once = (
         found.filter("url is not null")
-        .select("url")
-        .distinct()
-        .select(
-            keys.link_key(F.col("url")).alias("id"),
-            "url",
-            urls.queue_domain(F.col("url")).alias("domain"),
-            F.lit(keyword).cast("string").alias("keyword"),
-            F.lit(C.STATUS_PENDING).alias("status"),
-            F.lit(0).alias("tentativas"),
-        )
+        .select(keys.link_key(F.col("url")).alias("id"), "url")
+        .dropDuplicates(["id"])
+    )
+    return once.select(
+        "id",
+        "url",
+        urls.queue_domain(F.col("url")).alias("domain"),
+        F.lit(keyword).cast("string").alias("keyword"),
+        F.lit(C.STATUS_PENDING).alias("status"),
+        F.lit(0).alias("tentativas"),
     )
 
 

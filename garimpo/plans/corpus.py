@@ -23,7 +23,6 @@ AD_TABLES = ["orders", "customer"]
 class Dialect(NamedTuple):
     thousands: str
     days: str
-    iso: str
     joined: str
     base64: str
 
@@ -37,14 +36,12 @@ class Dialect(NamedTuple):
 SPARK = Dialect(
     thousands="translate(format_number({}, 0), ',', '.')",
     days="unix_date(CAST({} AS DATE))",
-    iso="date_format({}, \"yyyy-MM-dd'T'HH:mm:ss\")",
     joined="listagg({0}, '') WITHIN GROUP (ORDER BY {1})",
     base64="base64(CAST({} AS BINARY))",
 )
 DUCK = Dialect(
     thousands="translate(format('{{:,}}', {}), ',', '.')",
     days="(CAST({} AS DATE) - DATE '1970-01-01')",
-    iso="strftime({}, '%Y-%m-%dT%H:%M:%S')",
     joined="string_agg({0}, '' ORDER BY {1})",
     base64="to_base64(encode({}))",
 )
@@ -103,7 +100,7 @@ FROM (
          ELSE '(' || {txt('list_id % 90 + 10')} || ') 9' || lpad({txt('c % 10000')}, 4, '0') || '-'
               || lpad({txt('list_id % 10000')}, 4, '0') END AS contato,
     CASE WHEN list_id % 6 = 5 THEN NULL ELSE upper(split_part(host, '.', 1)) END AS fonte,
-    CASE WHEN list_id % 37 = 0 THEN 'invalid' ELSE {d.iso.format('ts')} END AS data_coleta
+    CASE WHEN list_id % 37 = 0 THEN 'invalid' ELSE replace(substring({txt('ts')}, 1, 19), ' ', 'T') END AS data_coleta
   FROM (
     SELECT *, {HOSTS} AS host,
       CASE nk % 8 WHEN 0 THEN 'PR' WHEN 1 THEN 'SP' WHEN 2 THEN 'MG' WHEN 3 THEN 'BA'

@@ -11,15 +11,16 @@ from garimpo.operators import captures as cap
 from garimpo.operators import cards, discover, extract, queue
 from garimpo.plans.corpus import derive
 from garimpo.plans.registry import (
-    AD_URL_EXPECTED,
     CAPTURE_ADS,
     CAPTURE_NAMES,
     EX_FIELDS,
     EX_KEY,
     EX_START,
     EXTRACTED,
+    FOUND_AD_URLS,
     LD_PRICE,
     PLACED,
+    WHOLE_ADS,
     big,
     col_list,
     register,
@@ -141,7 +142,7 @@ ad_field("fn_url_native_id", lambda: urls.native_id(F.col("link")), "ad_id",
 ad_field("fn_slug_url", lambda: urls.city_search_url("www.vivareal.com.br", F.col("cidade")), "url",
          "'https://www.vivareal.com.br/venda/apartamentos/' || replace(lower(cidade), ' ', '-') || '-pr/'")
 ad_field(
-    "fn_time_parse", lambda: text.iso_time(F.col("data_coleta")).cast("timestamp_ntz"), "coletado_em",
+    "fn_time_parse", lambda: text.iso_time(F.col("data_coleta")), "coletado_em",
     "try_cast(data_coleta AS TIMESTAMP)",
 )
 
@@ -238,7 +239,7 @@ def fn_case(spark: SparkSession, sf: str) -> DataFrame:
 @register("fn_time_stamp", None, "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS data_coleta FROM events")
 def fn_time_stamp(spark: SparkSession, sf: str) -> DataFrame:
     events = readers.table(spark, sf, "events")
-    return events.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("data_coleta"))
+    return events.select("event_id", text.prefix(F.col("ts").cast("string"), 19).alias("data_coleta"))
 
 
 @register(
@@ -491,17 +492,6 @@ def ex_json_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return cap.payload_kinds(derive(spark, sf, "captures"))
 
 
-AD_LENGTH = """length('{"list_id":' || list_id || ',"images":[{"alt":"a {b]"}]'
-  || coalesce(',"ad_url":"' || link || '"', '') || coalesce(',"price":"' || nullif(preco, '') || '"', '')
-  || coalesce(',"subject":"' || titulo || '"', '') || coalesce(',"municipality":"' || cidade || '"', '')
-  || coalesce(',"state_uf":"' || estado || '"', '') || '}')"""
-# Where each ad ends in its payload, to tell the ads that survive the cut.
-WHOLE_ADS = f"""(SELECT * FROM (SELECT a.*, c.entry_id, c.status, length(c.text) AS kept,
-    1 + CASE WHEN c.entry_id % 2 = 0 THEN length('{{"type":"GalleryGroup"}},') ELSE 0 END
-    + sum({AD_LENGTH} + CASE WHEN list_id % 20 = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY c.entry_id ORDER BY list_id) AS ends
-    FROM ads a JOIN captures c ON a.list_id // 20 = c.entry_id) WHERE ends <= kept)"""
-
-
 @register(
     "ex_truncated_array", ["ads", "captures"],
     f"""SELECT entry_id, CAST(list_id AS VARCHAR) AS list_id, link AS ad_url, nullif(preco, '') AS preco, titulo, cidade, estado
@@ -512,7 +502,7 @@ def ex_truncated_array(spark: SparkSession, sf: str) -> DataFrame:
     return cap.salvaged_ads(derive(spark, sf, "captures"))
 
 
-@register("ex_ad_urls")
+@register("ex_ad_urls", ["ads", "captures"], f"SELECT entry_id, pos, url FROM {FOUND_AD_URLS}")
 def ex_ad_urls(spark: SparkSession, sf: str) -> DataFrame:
     return cap.ad_links(derive(spark, sf, "captures")).select("entry_id", *big("pos"), "url")
 

@@ -84,9 +84,6 @@ EX_FIELDS = [
     "estado", "cep", "contato", "link",
 ]
 
-AD_URL_EXPECTED = (
-    "(SELECT list_id // 20 AS entry_id, coalesce(link, 'https://www.olx.com.br/vi/' || list_id) AS url FROM ads)"
-)
 PLACED = (
     "(SELECT keyword, "
     + "CASE " + " ".join(f"WHEN contains(k, '{c}') THEN '{c}'" for c, _ in C.CITY_UF) + " ELSE 'curitiba' END AS cidade, "
@@ -105,3 +102,24 @@ CAPTURE_ADS = (
     + " FROM (SELECT entry_id, unnest(range(len(ms))) AS pos, unnest(ms) AS m FROM (SELECT entry_id, "
     + f"regexp_extract_all(text, '{CAPTURE_PATTERN}') AS ms FROM captures WHERE status = 200 AND length(text) > 0)))"
 )
+
+AD_LENGTH = """length('{"list_id":' || list_id || ',"images":[{"alt":"a {b]"}]'
+  || coalesce(',"ad_url":"' || link || '"', '') || coalesce(',"price":"' || nullif(preco, '') || '"', '')
+  || coalesce(',"subject":"' || titulo || '"', '') || coalesce(',"municipality":"' || cidade || '"', '')
+  || coalesce(',"state_uf":"' || estado || '"', '') || '}')"""
+# Where each ad ends in its payload, to tell the ads that survive the cut.
+WHOLE_ADS = f"""(SELECT * FROM (SELECT a.*, c.entry_id, c.status, length(c.text) AS kept,
+    1 + CASE WHEN c.entry_id % 2 = 0 THEN length('{{"type":"GalleryGroup"}},') ELSE 0 END
+    + sum({AD_LENGTH} + CASE WHEN list_id % 20 = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY c.entry_id ORDER BY list_id) AS ends
+    FROM ads a JOIN captures c ON a.list_id // 20 = c.entry_id) WHERE ends <= kept)"""
+# One URL per ad: whole ads in order, then what the cut-off rest still shows.
+FOUND_AD_URLS = f"""(SELECT entry_id, row_number() OVER (PARTITION BY entry_id ORDER BY list_id) - 1 AS pos,
+    coalesce(link, 'https://www.olx.com.br/vi/' || list_id) AS url FROM {WHOLE_ADS}
+  UNION ALL
+  SELECT entry_id, whole + unnest(range(len(found))) AS pos, unnest(found) AS url FROM (
+    SELECT entry_id, whole, CASE WHEN len(regexp_extract_all(tail, '"ad_url":"(https?://[^"]+)"', 1)) > 0
+        THEN regexp_extract_all(tail, '"ad_url":"(https?://[^"]+)"', 1)
+        ELSE list_transform(regexp_extract_all(tail, '"list_id":(\\d+)', 1), lambda n: 'https://www.olx.com.br/vi/' || n) END AS found
+    FROM (SELECT c.entry_id, coalesce(w.whole, 0) AS whole, substr(c.text, CAST(coalesce(w.done, 1) + 1 AS BIGINT)) AS tail
+      FROM captures c LEFT JOIN (SELECT entry_id, count(*) AS whole, max(ends) AS done FROM {WHOLE_ADS} GROUP BY entry_id) w
+      ON c.entry_id = w.entry_id)))"""

@@ -14,6 +14,7 @@ from garimpo.plans.registry import (
     CAPTURE_ADS,
     EX_KEY,
     EXTRACTED,
+    FOUND_AD_URLS,
     PLACED,
     QUEUE_DOMAIN,
     big,
@@ -564,7 +565,12 @@ def ag_load_delta(spark: SparkSession, sf: str) -> DataFrame:
     return report.load_delta(stored, dedup.upsert(stored, incoming, VERSION_ORDER))
 
 
-@register("ag_capture_parse_stats")
+@register(
+    "ag_capture_parse_stats", ["ads", "captures"],
+    f"""SELECT (SELECT count(*) FROM captures) AS entries, (SELECT count(*) FROM captures WHERE length(text) > 0) AS with_text,
+        (SELECT count(*) FROM captures WHERE regexp_matches(text, '"(ad_url|list_id)"')) AS parsed,
+        count(url) AS urls, count(DISTINCT url) AS distinct_urls FROM {FOUND_AD_URLS}""",
+)
 def ag_capture_parse_stats(spark: SparkSession, sf: str) -> DataFrame:
     return cap.parse_stats(derive(spark, sf, "captures"))
 
@@ -719,7 +725,7 @@ def wn_latest_by_key(spark: SparkSession, sf: str) -> DataFrame:
 def sl_recent_first(spark: SparkSession, sf: str) -> DataFrame:
     rows = derive(spark, sf, "ads").select("list_id", "data_coleta")
     return report.recent_first(rows, tie="list_id").select(
-        "list_id", F.col("coletado_em").cast("timestamp_ntz").alias("coletado_em")
+        "list_id", "coletado_em"
     )
 
 

@@ -18,6 +18,8 @@ def build_session(app_name: str = "garimpo", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Pages are costly per byte: keep shuffled pages on all cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

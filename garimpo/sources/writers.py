@@ -48,8 +48,12 @@ def consolidated_csv(df: DataFrame, path: str) -> str:
 
 
 def listing_log(df: DataFrame, path: str) -> str:
-    """Append versions to the listing log, partitioned by source for pruning."""
-    df.write.mode("append").partitionBy("fonte").parquet(path)
+    """Append versions to the listing log, partitioned by source for pruning.
+
+    Rebalancing keeps the files per source few, and splits a source that holds
+    a large part of the rows.
+    """
+    df.hint("rebalance", "fonte").write.mode("append").partitionBy("fonte").parquet(path)
     return path
 
 
