@@ -62,9 +62,7 @@ DEFAULT_TYPE = "apartamento"
 STATUS_PENDING, STATUS_RETRY, STATUS_DONE, STATUS_ERROR = "pending", "retry", "done", "error"
 MAX_ATTEMPTS = 3
 LINKS_PER_DOMAIN = 5
-LINKS_PER_DOMAIN_QUEUE = 20
 MAX_RESULTS = 50
-BATCH_SIZE = 100
 CARDS_PER_PAGE = 10
 CARDS_PER_PAGE_BROWSER = 20
 

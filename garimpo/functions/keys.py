@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from garimpo.functions import urls
-
 
 def listing_key(titulo: Column, preco: Column, link: Column) -> Column:
     """Hash of title, price and link; a missing part is written ``None``."""
@@ -32,9 +30,5 @@ def api_key(item_id: Column) -> Column:
     return F.md5(F.coalesce(item_id.cast("string"), F.lit("None")))
 
 
-def native_key(url: Column) -> Column:
-    return urls.native_id(url)
-
-
 def link_key(url: Column) -> Column:
     return F.md5(url)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
-from garimpo.functions.text import find, none_if_empty
+from garimpo.functions.text import find
 
 
 def domain_of(url: Column, domains: list[str] | None = None) -> Column:
@@ -134,7 +134,3 @@ def header_next(link_header: Column) -> Column:
 
 def contains_domain(url: Column, domain: Column) -> Column:
     return F.contains(url, domain) & F.startswith(url, F.lit("http"))
-
-
-def host_label(url: Column) -> Column:
-    return none_if_empty(F.split_part(F.try_parse_url(url, F.lit("HOST")), F.lit("."), F.lit(1)))

@@ -116,15 +116,18 @@ def api_items(items: DataFrame, state: str) -> DataFrame:
     )
 
 
-def as_listings(ads: DataFrame) -> DataFrame:
-    """Capture ads in the short listing layout."""
+def as_listings(ads: DataFrame, collected_at: str) -> DataFrame:
+    """Capture ads in the short listing layout; they carry no district or category."""
     return ads.select(
         F.col("list_id").alias("id"),
         F.col("ad_url").alias("link"),
         "titulo", "preco", "cidade",
         F.upper("estado").alias("estado"),
+        F.lit("").alias("endereco"),
+        F.lit("Categoria: ").alias("descricao"),
         F.lit("OLX").alias("fonte"),
-    )
+        F.lit(collected_at).alias("data_coleta"),
+    ).select(*C.NARROW_COLUMNS)
 
 
 def profile(captures: DataFrame) -> DataFrame:

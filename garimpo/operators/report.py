@@ -52,7 +52,7 @@ def distinct_count(df: DataFrame, column: str, approximate: bool = False) -> Dat
     return df.agg(count.alias("n"))
 
 
-def coverage(df: DataFrame, fields: list[str]) -> DataFrame:
+def coverage(df: DataFrame, fields: list[str] = C.COVERAGE_FIELDS) -> DataFrame:
     """Filled count and percentage per field, in one pass; zero for an empty table."""
     counted = df.agg(
         F.count("*").alias("total"),

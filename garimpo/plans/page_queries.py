@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.functions import jsons, keys, money, text, urls
 from garimpo.operators import captures as cap
-from garimpo.operators import cards, discover, extract, queue
-from garimpo.plans.corpus import derive
+from garimpo.operators import cards, discover, extract
+from garimpo.plans.corpus import SPARK, derive, link_events
 from garimpo.plans.registry import (
     CAPTURE_ADS,
     CAPTURE_NAMES,
     EX_FIELDS,
     EX_KEY,
-    EX_START,
     EXTRACTED,
     FOUND_AD_URLS,
-    LD_PRICE,
     PLACED,
     WHOLE_ADS,
     big,
@@ -169,7 +167,7 @@ def fn_md5_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("fn_strip_query", None, "SELECT page_id, split_part(url, '?', 1) AS url FROM pages")
 def fn_strip_query(spark: SparkSession, sf: str) -> DataFrame:
-    return readers.pages(spark, sf).select("page_id", urls.strip_query(F.col("url")).alias("url"))
+    return readers.table(spark, sf, "pages").select("page_id", urls.strip_query(F.col("url")).alias("url"))
 
 
 @register(
@@ -219,7 +217,7 @@ def fn_search_query_encode(spark: SparkSession, sf: str) -> DataFrame:
        FROM pages, (SELECT unnest(range(1, 4)) AS n)""",
 )
 def fn_page_url(spark: SparkSession, sf: str) -> DataFrame:
-    starts = readers.pages(spark, sf).select(F.col("url").alias("start_url"))
+    starts = readers.table(spark, sf, "pages").select(F.col("url").alias("start_url"))
     return discover.page_urls(starts, 3).select("start_url", *big("page"), "page_url")
 
 
@@ -558,8 +556,6 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Queue events read from the event table as a stream."""
     events = readers.table(spark, sf, "events")
     jobs.file_stream(spark, f"{sf}/events*.parquet", events.schema).createOrReplaceTempView("events")
-    from garimpo.plans.corpus import SPARK, link_events
-
     return spark.sql(link_events(SPARK))
 
 

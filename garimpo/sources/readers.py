@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from garimpo import constants as C
 from garimpo.functions import text
+from garimpo.functions.steps import spread
 
 EXPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in C.EXPORT_COLUMNS])
 CAPTURE_SCHEMA = T.StructType(
@@ -31,8 +32,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored pages: ``page_id, url, html``."""
-    return table(spark, folder, "pages")
+    """Stored pages, ``page_id, url, html``, on all cores."""
+    return spread(table(spark, folder, "pages"))
 
 
 def capture_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -75,10 +75,12 @@ def first_seen_links(stream: DataFrame, out: str, checkpoint: str) -> StreamingQ
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = batch.select("id", "url", "domain").dropDuplicates(["id"])
-        if batch_id > 0:
+        found = batch.select("id", "url", "domain")
+        if batch_id == 0:
+            new = found.dropDuplicates(["id"])
+        else:
             log = batch.sparkSession.read.schema(SEEN_SCHEMA).parquet(out)
-            new = queue.insert_ignore(log.filter(F.col("batch_id") < batch_id), new)
+            new = queue.insert_ignore(log.filter(F.col("batch_id") < batch_id), found)
         new.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
 
     return run_available(stream, "first_seen_links", write, checkpoint)

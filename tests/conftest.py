@@ -18,7 +18,6 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
-            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -98,5 +98,7 @@ def test_parse_stats(entries):
 def test_profile_and_listings(entries):
     row = cap.profile(entries("GalleryGroup", None)).orderBy("entry_id").collect()
     assert [(r.chars, r.has_marker) for r in row] == [(12, True), (0, False)]
-    listing = cap.as_listings(cap.ads_by_pattern(entries("[" + AD % (1, 1) + "]"))).first()
-    assert (listing.id, listing.estado, listing.fonte) == ("1", "PR", "OLX")
+    listing = cap.as_listings(cap.ads_by_pattern(entries("[" + AD % (1, 1) + "]")), "2025-01-01T00:00:00").first()
+    assert tuple(listing) == (
+        "1", "https://x/1", "s", "R$ 1", "m", "PR", "", "Categoria: ", "OLX", "2025-01-01T00:00:00",
+    )
