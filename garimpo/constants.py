@@ -90,12 +90,15 @@ NOT_AVAILABLE = "N/A"
 PRICE = r"(?U)R\$\s*[\d.,]+"
 PRICE_ANY_CASE = r"(?iuU)R\$\s*[\d.,]+"
 AREA = r"(?iuU)(\d{2,4})\s*m[²2]"
-AREA_LOOSE = r"(?iuU)(\d+)\s*m[²2]"
+AREA_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*m[²2]"
 AREA_WHOLE = r"(?iuU)(?<!\d)(\d{2,6})\s*m[²2]"
-ROOMS = r"(?iuU)(\d+)\s*(?:quartos|quarto|qt|q)\b"
-ROOMS_LOOSE = r"(?iuU)(\d+)\s*(?:quarto|q)"
-BATHS = r"(?iuU)(\d+)\s*(?:banheiros?\b|b\.)"
-BATHS_LOOSE = r"(?iuU)(\d+)\s*(?:banheiro|b\.)"
+# A look-behind before a digit or address run, and possessive runs, only stop
+# retries that cannot match: the leftmost match is that of the plain pattern and
+# the search stays linear in the page.
+ROOMS = r"(?iuU)(?<!\d)(\d++)\s*(?:quartos|quarto|qt|q)\b"
+ROOMS_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*(?:quarto|q)"
+BATHS = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiros?\b|b\.)"
+BATHS_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiro|b\.)"
 POSTAL_CODE = r"(?U)\b\d{5}-\d{3}\b"
 POSTAL_CODE_UNBOUNDED = r"\d{5}-\d{3}"
 PHONE = r"(?U)\(?\d{2,3}\)?\s*\d{4,5}-\d{4}"
@@ -104,12 +107,8 @@ PHONE_PARENS = r"(?U)\(\d{2}\)\s*\d{4,5}-\d{4}"
 PHONE_INTERNATIONAL = r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}"
 TEL_LINK = r"(?iuU)href=['\"]tel:(\+?[0-9\-\(\)\s]+)['\"]"
 DATA_PHONE = r"(?iu)data-phone=['\"]([^'\"]+)['\"]"
-# The look-behind only stops retries inside a run that was already tried; the
-# leftmost match is the same and the search stays linear in the run length.
-ADDRESS_LINE = (
-    r"(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+\b),\s*([A-Za-z\s]+)\s*-\s*([A-Z]{2})"
-)
-ADDRESS_END = r",\s*[A-Za-z\s]+-\s*[A-Z]{2}"
+ADDRESS_LINE = r"(?U)(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+\b),([A-Za-z\s]++)-\s*([A-Z]{2})"
+ADDRESS_END = r"(?U),[A-Za-z\s]++-\s*[A-Z]{2}"
 HTML_TITLE = r"(?iud)<title>(.*?)</title>"
 HTML_H1 = r"(?ius)<h1[^>]*>(.*?)</h1>"
 HTML_H1_PLAIN = r"<h1[^>]*>([^<]+)</h1>"

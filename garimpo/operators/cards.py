@@ -154,7 +154,7 @@ def offer_cards(pages: DataFrame, site: CardSite = ARTICLE) -> DataFrame:
         {
             "titulo": text.none_if_empty(F.col("title")),
             "preco": text.none_if_empty(F.col("price")),
-            "metragem": text.area_find(F.col("text"), r"(?iuU)(\d+)\s*m²"),
+            "metragem": text.area_find(F.col("text"), r"(?iuU)(?<!\d)(\d++)\s*m²"),
             "link": urls.resolve(href, F.col("url")),
         },
     )

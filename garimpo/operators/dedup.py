@@ -49,6 +49,11 @@ def rejected(incoming: DataFrame) -> DataFrame:
     return incoming.filter(F.col("titulo").isNull())
 
 
+def verdict() -> Column:
+    """Accepted or rejected, to count or split both in one pass."""
+    return F.when(F.col("titulo").isNotNull(), "accepted").otherwise("rejected")
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, order: list[str], key: str = "id") -> DataFrame:
     """Insert or replace by key; within ``incoming`` the last row wins.
 

@@ -10,8 +10,8 @@ from garimpo.functions import jsons, text, urls
 from garimpo.functions.steps import computed
 from garimpo.operators.dedup import top_n
 
-ANCHOR = r"(?ius)<a\b[^>]*\bhref\s*=\s*[\"'][^\"']+[\"'][^>]*>.*?</a\s*>"
-HREF = r"(?iu)\bhref\s*=\s*[\"']([^\"']+)[\"']"
+HREF = r"(?iu)^[^>]*?\bhref\s*=\s*[\"']([^\"'>]+)[\"']"
+ANCHOR_BODY = r"(?ius)^[^>]*>(.*?)(?:</a|\z)"
 
 
 def hrefs(pages: DataFrame) -> DataFrame:
@@ -79,14 +79,13 @@ def ad_links(pages: DataFrame, site: str = "olx.com.br") -> DataFrame:
     An anchor counts when its path names an ad section, when it shows an image
     and is longer than 40 characters, or when it is longer than 60 characters.
     """
-    anchors = pages.select(
-        "page_id", "url",
-        F.explode(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))).alias("anchor"),
-    )
-    listed = anchors.select(
+    # The page is cut at its anchor tags, so an anchor that is never closed ends
+    # at the next one and no text is searched twice.
+    anchors = pages.select("page_id", "url", F.posexplode(F.split("html", r"(?iu)<a\b")).alias("n", "anchor"))
+    listed = anchors.filter("n > 0").select(
         "page_id", "url",
         F.regexp_extract("anchor", HREF, 1).alias("raw"),
-        F.col("anchor").rlike(r"(?iu)<img\b").alias("has_image"),
+        F.regexp_extract("anchor", ANCHOR_BODY, 1).rlike(r"(?iu)<img\b").alias("has_image"),
     )
     raw = F.col("raw")
     href = F.when(raw.startswith("/"), urls.resolve(raw, F.col("url"))).otherwise(raw)

@@ -378,9 +378,7 @@ def flt_blocked_page(spark: SparkSession, sf: str) -> DataFrame:
 )
 def flt_title_not_null(spark: SparkSession, sf: str) -> DataFrame:
     incoming = derive(spark, sf, "revisions").select("id", "titulo", "preco", "seq")
-    taken = dedup.accepted(incoming).withColumn("verdict", F.lit("accepted"))
-    aside = dedup.rejected(incoming).withColumn("verdict", F.lit("rejected"))
-    return taken.unionByName(aside).drop("titulo")
+    return incoming.withColumn("verdict", dedup.verdict()).drop("titulo")
 
 
 # ----------------------------------------------------------------------- joins

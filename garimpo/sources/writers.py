@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
+from garimpo.operators.dedup import last_by
 from garimpo.sources.readers import CSV_OPTIONS
 
 
@@ -57,6 +58,11 @@ def listing_log(df: DataFrame, path: str) -> str:
     return path
 
 
+def compacted_log(log: DataFrame, path: str, order: list[str]) -> str:
+    """Rewrite a listing log to a new folder with one row per id."""
+    return listing_log(last_by(log, ["id"], order), path)
+
+
 def status_events(df: DataFrame, path: str) -> str:
     """Append status events; updates are new rows, never rewrites."""
     df.write.mode("append").parquet(path)

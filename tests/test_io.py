@@ -69,3 +69,5 @@ def test_listing_log_and_scratch(spark, listings):
     writers.listing_log(listings, log)
     assert spark.read.parquet(log).count() == 4
     assert spark.read.parquet(log).filter("fonte = 'OLX'").count() == 2
+    small = writers.compacted_log(spark.read.parquet(log), scratch_path(spark, "log"), ["data_coleta"])
+    assert sorted(r.id for r in spark.read.parquet(small).collect()) == ["1", "2"]

@@ -113,6 +113,7 @@ def test_links_on_pages(spark):
         '<a href="https://www.olx.com.br/um-caminho-bem-mais-longo/3">sem imagem</a>'
         '<a href="https://www.olx.com.br/um-caminho-que-passa-de-sessenta-caracteres/4">longo</a>'
         '<a href="https://other.com/venda/1">d</a>'
+        '<a name="x">e</a><a href="https://www.olx.com.br/um-caminho-bem-mais-longo/6"><b><IMG src="i"></b>'
         '<script>window.__INITIAL_STATE__ = {"a":[{"u":"https://pr.olx.com.br/5?q=1"}],"b":"olx.nada"};</script>'
         "<script>window.__SSR_STATE__ = {bad};</script>"
     )
@@ -121,10 +122,11 @@ def test_links_on_pages(spark):
         "https://www.olx.com.br/imoveis/1",
         "https://www.olx.com.br/um-caminho-bem-mais-longo/2",
         "https://www.olx.com.br/um-caminho-que-passa-de-sessenta-caracteres/4",
+        "https://www.olx.com.br/um-caminho-bem-mais-longo/6",
     }
     assert [r.link for r in discover.state_links(pages).collect()] == ["https://pr.olx.com.br/5"]
     totals = discover.anchor_totals(pages).first()
-    assert (totals.anchors, totals.portal_anchors) == (7, 4)
+    assert (totals.anchors, totals.portal_anchors) == (8, 5)
 
 
 def test_reports(spark):

@@ -87,6 +87,47 @@ def test_address_line_is_linear_on_long_runs(value):
     assert got["cidade"] == "Sao Paulo" and got["estado"] == "SP"
 
 
+@pytest.mark.parametrize(
+    "given",
+    [
+        "x" * 300000,
+        "9" * 300000,
+        " " * 300000,
+        "a, " + " " * 100000 + "b",
+        "<script" * 20000,
+        "palavra, " * 50000,
+        "a-b, c - d, " * 30000,
+        "R$" + " " * 100000,
+    ],
+)
+def test_long_texts_are_searched_in_linear_time(value, given):
+    import time
+
+    from pyspark.sql import functions as F
+
+    def build(c):
+        finders = [text.price_find, text.area_find, text.rooms_find, text.baths_find, text.cep_find]
+        finders += [text.phone_find, text.address_match, text.html_title, text.first_line]
+        return F.struct(*[f(c).alias(f"f{i}") for i, f in enumerate(finders)])
+
+    started = time.time()
+    value(build, given)
+    assert time.time() - started < 30
+
+
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ("Rua A,  - PR", ("Rua A", "", "PR")),
+        ("x-1, Belo Horizonte-MG", ("x-1", "Belo Horizonte", "MG")),
+        ("a, b, c - dd, Rio - RJ", ("a, b, c - dd", "Rio", "RJ")),
+        (", Rio - RJ", (None, None, None)),
+    ],
+)
+def test_address_edges(value, given, want):
+    assert tuple(value(lambda c: text.address_line(text.address_match(c)), given)) == want
+
+
 @pytest.mark.parametrize(
     "given, br, naive",
     [
