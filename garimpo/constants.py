@@ -94,12 +94,13 @@ AREA_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*m[²2]"
 AREA_WHOLE = r"(?iuU)(?<!\d)(\d{2,6})\s*m[²2]"
 # A look-behind before a digit or address run, and possessive runs, only stop
 # retries that cannot match: the leftmost match is that of the plain pattern and
-# the search stays linear in the page.
-ROOMS = r"(?iuU)(?<!\d)(\d++)\s*(?:quartos|quarto|qt|q)\b"
+# the search stays linear in the page. Word borders are spelled out, because
+# engines differ on whether a superscript digit is part of a word.
+ROOMS = r"(?iuU)(?<!\d)(\d++)\s*(?:quartos|quarto|qt|q)(?![\p{L}\p{N}_])"
 ROOMS_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*(?:quarto|q)"
-BATHS = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiros?\b|b\.)"
+BATHS = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiros?(?![\p{L}\p{N}_])|b\.)"
 BATHS_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiro|b\.)"
-POSTAL_CODE = r"(?U)\b\d{5}-\d{3}\b"
+POSTAL_CODE = r"(?U)(?<![\p{L}\p{N}_])\d{5}-\d{3}(?![\p{L}\p{N}_])"
 POSTAL_CODE_UNBOUNDED = r"\d{5}-\d{3}"
 PHONE = r"(?U)\(?\d{2,3}\)?\s*\d{4,5}-\d{4}"
 PHONE_SHORT = r"(?U)\(?\d{2}\)?\s*\d{4,5}-\d{4}"
@@ -107,7 +108,7 @@ PHONE_PARENS = r"(?U)\(\d{2}\)\s*\d{4,5}-\d{4}"
 PHONE_INTERNATIONAL = r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}"
 TEL_LINK = r"(?iuU)href=['\"]tel:(\+?[0-9\-\(\)\s]+)['\"]"
 DATA_PHONE = r"(?iu)data-phone=['\"]([^'\"]+)['\"]"
-ADDRESS_LINE = r"(?U)(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+\b),([A-Za-z\s]++)-\s*([A-Z]{2})"
+ADDRESS_LINE = r"(?U)(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+(?<=[A-Za-z0-9])),([A-Za-z\s]++)-\s*([A-Z]{2})"
 ADDRESS_END = r"(?U),[A-Za-z\s]++-\s*[A-Z]{2}"
 HTML_TITLE = r"(?iud)<title>(.*?)</title>"
 HTML_H1 = r"(?ius)<h1[^>]*>(.*?)</h1>"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.functions.money import price_label
-from garimpo.functions.text import find, none_if_empty, strip
+from garimpo.functions.text import find, none_if_empty
 from garimpo.functions.urls import header_next
 
 STRICT = {"allowSingleQuotes": "false"}
@@ -26,41 +26,44 @@ def field(json_text: Column, path: str) -> Column:
     return none_if_empty(F.get_json_object(json_text, f"$.{path}"))
 
 
-def is_valid(json_text: Column) -> Column:
-    return F.try_parse_json(json_text).isNotNull()
-
-
 def _elements(json_text: Column) -> Column:
     """Elements of a JSON array as JSON texts; null when it is no valid array."""
     return F.from_json(json_text, "array<string>", STRICT)
 
 
+def _wrapped(json_text: Column) -> Column:
+    """The text as a one-element array: the parser ignores what follows a value,
+    but not what stands between a value and the closing bracket."""
+    return _elements(F.concat(F.lit("["), json_text, F.lit("]")))
+
+
+def is_valid(json_text: Column) -> Column:
+    """One JSON value and nothing after it."""
+    return F.size(_wrapped(json_text)) == 1
+
+
 def jsonld_blocks(html: Column) -> Column:
-    """Bodies of all JSON-LD scripts, in page order."""
+    """The JSON values of all JSON-LD scripts as texts, in page order, invalid ones left out."""
     blocks = F.regexp_extract_all(html, F.lit(C.JSONLD_BLOCK), F.lit(1))
-    return F.transform(blocks, lambda b: strip(b))
+    values = F.filter(F.transform(blocks, _wrapped), lambda v: F.size(v) == 1)
+    return F.transform(values, lambda v: F.get(v, F.lit(0)))
 
 
 def jsonld_objects(html: Column) -> Column:
-    """All JSON-LD objects of a page as JSON texts, arrays spread, invalid ones left out."""
-
-    def objects(block: Column) -> Column:
-        spread = F.when(block.startswith("["), _elements(block)).when(
-            is_valid(block), F.array(block)
-        )
-        return F.coalesce(spread, F.array().cast("array<string>"))
-
-    spread = F.flatten(F.transform(jsonld_blocks(html), objects))
-    return F.filter(spread, lambda o: o.startswith("{"))
+    """All JSON-LD objects of a page as JSON texts, arrays spread."""
+    spread = F.transform(
+        jsonld_blocks(html), lambda v: F.when(v.startswith("["), _elements(v)).otherwise(F.array(v))
+    )
+    return F.filter(F.flatten(spread), lambda o: o.startswith("{"))
 
 
-def jsonld_plain_objects(html: Column, skip: list[str]) -> Column:
+def jsonld_plain_objects(html: Column, skip: list[str] = ()) -> Column:
     """JSON-LD scripts holding one object that mentions none of the skipped types."""
 
-    def wanted(block: Column) -> Column:
-        keep = block.startswith("{") & is_valid(block)
+    def wanted(value: Column) -> Column:
+        keep = value.startswith("{")
         for name in skip:
-            keep = keep & ~block.contains(name)
+            keep = keep & ~value.contains(name)
         return keep
 
     return F.filter(jsonld_blocks(html), wanted)

@@ -268,11 +268,8 @@ def merged_ads(pages: DataFrame) -> DataFrame:
     that still lack them and mention either word are sent to Python.
     """
     html = F.col("html")
-    blocks = F.filter(
-        jsons.jsonld_blocks(html), lambda b: b.startswith("{") & jsons.is_valid(b)
-    )
     rest = _rest(pages)
-    merged = pages.withColumn("objects", jsons.jsonld_listings(blocks))
+    merged = pages.withColumn("objects", jsons.jsonld_listings(jsons.jsonld_plain_objects(html)))
 
     def first_of(name: str, offers_only: bool) -> Column:
         def keep(o: Column) -> Column:

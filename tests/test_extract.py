@@ -51,6 +51,25 @@ def test_prices(pages, offers, want):
     assert (row.titulo, row.preco, row.endereco, row.contato) == ("Casa", want, None, None)
 
 
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ('{"name": "A"};', None),
+        ('{"name": "A"}{"name": "B"}', None),
+        ('{"name": "A"},{"name": "B"}', None),
+        ('[{"name": "A"}];', None),
+        (' [ {"name": "A"} ] ', "A"),
+        ('{"name": "A", "name": "B"}', "B"),
+        ('{"@graph": [{"name": "A"}]}', None),
+        ('"name"', None),
+        ("", None),
+    ],
+)
+def test_only_whole_json_values_count(pages, body, want):
+    row = extract.listings(pages("<title>T</title>" + script(body) + FILL)).first()
+    assert row.titulo == (want or "T")
+
+
 def test_address_and_contact(pages):
     html = script(
         '{"name": "", "headline": "H", "contactPoint": {"telephone": "99"}, "address": {"streetAddress": "Rua {1}",'
