@@ -13,6 +13,8 @@ def computed(df: DataFrame, keep: list[str], fields: dict[str, Column]) -> DataF
     repeats its expression: a page would be searched again for every condition.
     Filters do not pass a generator's output, so the fields go through a
     one-element ``inline``. It streams inside the stage and needs no shuffle.
+    All of them are evaluated, so give it those a filter or several later
+    columns use, and leave the rest to a projection that can be pruned.
     """
     row = F.struct(*[value.alias(name) for name, value in fields.items()])
     return df.select(*keep, F.inline(F.array(row)))

@@ -16,6 +16,7 @@ from garimpo.functions import jsons, keys, money, text, urls
 from garimpo.functions.markup import page_places
 from garimpo.functions.steps import computed
 
+KEY_FIELDS = ["titulo", "preco", "metragem"]
 FIELDS = [
     "titulo", "preco", "metragem", "quartos", "banheiros", "descricao",
     "endereco", "cidade", "estado", "cep", "contato",
@@ -85,12 +86,19 @@ def _rest(pages: DataFrame) -> list[str]:
     return [c for c in pages.columns if c not in ("html", "url")]
 
 
-def _regex_fields(html: Column, when: Column) -> dict[str, Column]:
-    """Field columns searched in the page, evaluated only where ``when`` holds."""
+def _key_fields(html: Column, when: Column) -> dict[str, Column]:
+    """The fields a page is kept for, searched only where ``when`` holds."""
     found = {
         "titulo": text.html_title(html),
         "preco": text.price_find(html),
         "metragem": text.area_find(html),
+    }
+    return {name: F.when(when, value) for name, value in found.items()}
+
+
+def _other_fields(html: Column, when: Column) -> list[Column]:
+    """The remaining fields; a query that does not use one does not search for it."""
+    found = {
         "quartos": text.rooms_find(html),
         "banheiros": text.baths_find(html),
         "descricao": text.meta_description(html),
@@ -100,7 +108,7 @@ def _regex_fields(html: Column, when: Column) -> dict[str, Column]:
         "cep": F.coalesce(jsons.embedded_postal(html), text.cep_find(html)),
         "contato": text.phone_find(html),
     }
-    return {name: F.when(when, value) for name, value in found.items()}
+    return [F.when(when, value).alias(name) for name, value in found.items()]
 
 
 def _with_address(found: DataFrame) -> DataFrame:
@@ -136,12 +144,11 @@ def jsonld_listings(pages: DataFrame) -> DataFrame:
 def regex_listings(pages: DataFrame) -> DataFrame:
     """Listings from page text only: kept with a title, a price or an area."""
     rest = _rest(pages)
-    found = computed(usable_pages(pages), [*rest, "url"], _regex_fields(F.col("html"), F.lit(True)))
-    return (
-        _with_address(found)
-        .filter(any_field("titulo", "preco", "metragem"))
-        .select(*rest, *FIELDS, F.col("url").alias("link"))
-    )
+    html, always = F.col("html"), F.lit(True)
+    keyed = computed(usable_pages(pages), [*rest, "url", "html"], _key_fields(html, always))
+    kept = keyed.filter(any_field(*KEY_FIELDS))
+    found = kept.select(*rest, "url", *KEY_FIELDS, *_other_fields(html, always))
+    return _with_address(found).select(*rest, *FIELDS, F.col("url").alias("link"))
 
 
 def listings(pages: DataFrame) -> DataFrame:
@@ -149,18 +156,17 @@ def listings(pages: DataFrame) -> DataFrame:
     rest = _rest(pages)
     html = F.col("html")
     parsed = _parsed(usable_pages(pages), _first_jsonld(html))
-    no_title = F.col("ld").isNotNull() & F.col("ld.titulo").isNull()
-    found = computed(
-        parsed,
-        [*rest, "url", "ld"],
-        {
-            "start": F.when(no_title, _page_start(html)),
-            "raw_text": text.prefix(html, C.RAW_TEXT_CHARS),
-            **_regex_fields(html, F.col("ld").isNull()),
-        },
+    from_ld = F.col("ld").isNotNull()
+    start = F.when(from_ld & F.col("ld.titulo").isNull(), _page_start(html))
+    keyed = computed(
+        parsed, [*rest, "url", "html", "ld"], {"start": start, **_key_fields(html, ~from_ld)}
+    )
+    found = keyed.filter(from_ld | any_field(*KEY_FIELDS)).select(
+        *rest, "url", "ld", "start", *KEY_FIELDS,
+        text.prefix(html, C.RAW_TEXT_CHARS).alias("raw_text"),
+        *_other_fields(html, ~from_ld),
     )
     rows = _with_address(found)
-    from_ld = F.col("ld").isNotNull()
 
     def pick(name: str) -> Column:
         if name == "titulo":
@@ -169,7 +175,7 @@ def listings(pages: DataFrame) -> DataFrame:
             return F.col(name)
         return F.when(from_ld, F.col(f"ld.{name}")).otherwise(F.col(name))
 
-    kept = rows.filter(from_ld | any_field("titulo", "preco", "metragem")).select(
+    kept = rows.select(
         *rest, *[pick(c).alias(c) for c in FIELDS], F.col("url").alias("link"), "raw_text"
     )
     return kept.withColumns(

@@ -363,7 +363,7 @@ FROM ads"""
 
 
 def crawl_links(d: Dialect) -> str:
-    """Links per crawled page; pages repeat links, and some hold nothing new."""
+    """Links per crawled page; each page repeats the one before, some hold nothing new."""
     page = div("list_id", 120)
     return f"""
 SELECT host AS site, page, 'https://www.' || host || '/vi/' || {txt('n')} AS link
@@ -371,17 +371,17 @@ FROM (
   SELECT host, {page} AS page,
     CASE WHEN {page} % 40 = 39 THEN list_id - 120 ELSE list_id END AS n FROM ads
   UNION ALL
-  SELECT host, {page} + 1 AS page, list_id AS n FROM ads WHERE list_id % 4 = 0
+  SELECT host, {page} + 1 AS page, list_id AS n FROM ads
 ) p"""
 
 
 def search_hits(d: Dialect) -> str:
-    """Search results: keyword, domain, position and link, some links twice."""
+    """Search results: keyword, domain, position and link, each link twice."""
     return f"""
 SELECT 'apartamento ' || lower(coalesce(cidade, 'centro')) AS keyword, host AS domain, pos,
   'https://www.' || host || '/vi/' || {txt('list_id')} AS url, id
 FROM (SELECT *, seq * 2 AS pos FROM ads
-  UNION ALL SELECT *, seq * 2 + 1 AS pos FROM ads WHERE list_id % 3 = 0) twice"""
+  UNION ALL SELECT *, seq * 2 + 1 AS pos FROM ads) twice"""
 
 
 CARD_LAYOUTS = {
