@@ -8,6 +8,8 @@ that follows is Catalyst expressions.
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -50,6 +52,7 @@ class PageReader(HTMLParser):
     def __init__(self, html):
         super().__init__(convert_charrefs=True)
         self.elements, self.pieces, self.open = [], [], []
+        self.open_tags = Counter()
         self.feed(html)
         self.close()
         while self.open:
@@ -57,6 +60,7 @@ class PageReader(HTMLParser):
 
     def _shut(self):
         done = self.open.pop()
+        self.open_tags[done.tag] -= 1
         if done.tag in BLOCK:
             self.pieces.append(None)
         done.last_piece, done.last_index = len(self.pieces), len(self.elements)
@@ -67,11 +71,12 @@ class PageReader(HTMLParser):
         element = Element(tag, dict(attrs), len(self.pieces), len(self.elements))
         self.elements.append(element)
         self.open.append(element)
+        self.open_tags[tag] += 1
         if tag in VOID:
             self._shut()
 
     def handle_endtag(self, tag):
-        if any(e.tag == tag for e in self.open):
+        if self.open_tags[tag]:
             while self.open[-1].tag != tag:
                 self._shut()
             self._shut()
@@ -81,7 +86,8 @@ class PageReader(HTMLParser):
             self.pieces.append(data)
 
     def inside(self, element):
-        return self.elements[element.index + 1 : element.last_index]
+        """Elements within an element, in page order."""
+        return (self.elements[i] for i in range(element.index + 1, element.last_index))
 
     def text(self, element, joiner=" "):
         parts = self.pieces[element.first_piece : element.last_piece]
@@ -113,35 +119,43 @@ def matches(element, selector):
     return test == "has" or got == value
 
 
-def first_hit(elements, selectors):
+def select_cards(page, selectors):
     """Elements matching the first selector that matches any, with its position."""
     for position, selector in enumerate(selectors):
-        hits = [e for e in elements if matches(e, selector)]
+        hits = [e for e in page.elements if matches(e, selector)]
         if hits:
             return position, hits
     return None, []
 
 
+def part_text(page, card, selectors):
+    """Text of the first element in a card for the first selector that matches any."""
+    for selector in selectors:
+        for element in page.inside(card):
+            if matches(element, selector):
+                return page.text(element, "")
+    return None
+
+
 def read_cards(html, selectors, fields, limit):
     """Raw texts of the cards of one page."""
     if not html:
         return []
     page = PageReader(html)
-    position, cards = first_hit(page.elements, selectors)
+    position, cards = select_cards(page, selectors)
     rows = []
     for card in cards[:limit]:
-        inside = page.inside(card)
-        row = {
-            "selector": position,
-            "text": page.text(card),
-            "lines": page.lines(card),
-            "href": next((e.attrs["href"] for e in inside if e.tag == "a" and "href" in e.attrs), None),
-            "own_href": card.attrs.get("href"),
-        }
-        for name in CARD_FIELDS:
-            hits = first_hit(inside, fields.get(name, []))[1]
-            row[name] = page.text(hits[0], "") if hits else None
-        rows.append(row)
+        links = (e.attrs["href"] for e in page.inside(card) if e.tag == "a" and "href" in e.attrs)
+        rows.append(
+            {
+                "selector": position,
+                "text": page.text(card),
+                "lines": page.lines(card),
+                "href": next(links, None),
+                "own_href": card.attrs.get("href"),
+                **{name: part_text(page, card, fields.get(name, [])) for name in CARD_FIELDS},
+            }
+        )
     return rows
 
 
@@ -150,19 +164,26 @@ def read_place(html):
     if not html:
         return None
     page = PageReader(html)
-    label = next(
-        (
-            page.text(e)
-            for e in page.elements
-            if e.tag in ("p", "span", "div") and "bairro" in page.text(e).lower()
-        ),
-        None,
-    )
-    trails = [e for e in page.elements if "breadcrumb" in (e.attrs.get("class") or "").split()]
-    crumbs = [e for e in page.elements if e.tag == "a" and e.attrs.get("rel") == "breadcrumb"] or [
-        a for t in trails for a in page.inside(t) if a.tag == "a"
-    ]
-    return {"label": label, "crumb": page.text(crumbs[-1], "") if crumbs else None}
+    named = [i for i, piece in enumerate(page.pieces) if piece and "bairro" in piece.lower()]
+
+    def mentions(element):
+        at = bisect_left(named, element.first_piece)
+        return at < len(named) and named[at] < element.last_piece
+
+    labels = (e for e in page.elements if e.tag in ("p", "span", "div") and mentions(e))
+    label = next(labels, None)
+    crumb, trail_end = None, 0
+    for element in page.elements:
+        if element.tag == "a" and element.index < trail_end:
+            crumb = element
+        if "breadcrumb" in (element.attrs.get("class") or "").split():
+            trail_end = max(trail_end, element.last_index)
+    marked = [e for e in page.elements if e.tag == "a" and e.attrs.get("rel") == "breadcrumb"]
+    crumb = marked[-1] if marked else crumb
+    return {
+        "label": page.text(label) if label else None,
+        "crumb": page.text(crumb, "") if crumb else None,
+    }
 
 
 def cards_of(html: Column, selectors: list, fields: dict, limit: int | None) -> Column:

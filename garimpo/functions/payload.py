@@ -24,12 +24,13 @@ AD_URL = re.compile(r'"ad_url"\s*:\s*"(https?://[^"]+)"')
 LIST_ID = re.compile(r'"list_id"\s*:\s*(\d+)')
 NATIVE_URL = C.NATIVE_URL
 MAX_DEPTH = 10
+UNREADABLE = (ValueError, RecursionError)
 
 
 def loads(text):
     try:
         return json.loads(text)
-    except ValueError:
+    except UNREADABLE:
         return None
 
 
@@ -65,7 +66,7 @@ def classify(text):
     if body.startswith("["):
         try:
             return "array", body[: decoder.raw_decode(body)[1]]
-        except ValueError:
+        except UNREADABLE:
             pass
     if AD_URL.search(body) or LIST_ID.search(body):
         return "urls", body
@@ -73,7 +74,7 @@ def classify(text):
     if at >= 0:
         try:
             return "object", body[at : decoder.raw_decode(body, at)[1]]
-        except ValueError:
+        except UNREADABLE:
             pass
     return None, None
 

@@ -9,11 +9,24 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "garimpo", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs rely on; a cluster's own settings win."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024**2
+
+
+def build_session(
+    app_name: str = "garimpo", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings the jobs rely on; ``conf`` overrides them.
+
+    ``shuffle_bytes`` is the size of the largest shuffle expected. Adaptive
+    execution merges small shuffle partitions but does not split those of an
+    aggregate, so it has to start from enough of them.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if shuffle_bytes:
+        first = max(200, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", first)
     defaults = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",

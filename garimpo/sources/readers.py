@@ -36,6 +36,14 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "pages"))
 
 
+def page_files(spark: SparkSession, path: str) -> DataFrame:
+    """Saved page files, one page per file, with the file as URL."""
+    url = F.col("_metadata.file_path")
+    return spark.read.text(path, wholetext=True).select(
+        F.xxhash64(url).alias("page_id"), url.alias("url"), F.col("value").alias("html")
+    )
+
+
 def capture_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Network logs as JSON arrays; a file that is no JSON gives no rows."""
     rows = (

@@ -43,6 +43,13 @@ def test_kinds():
     assert payload.classify("nada") == (None, None) and payload.classify("") == (None, None)
 
 
+def test_deeply_nested_payloads_do_not_fail():
+    deep = "[" * 200000
+    assert payload.classify(deep) == (None, None) and payload.salvage(deep) == []
+    assert payload.ad_urls('[{"a":' * 50000 + '"list_id":5') == [payload.NATIVE_URL + "5"]
+    assert payload.salvage('[{"a":' + '{"b":' * 50000 + "1" + "}" * 50001 + ',{"c":1}') == ['{"c":1}']
+
+
 def test_ad_urls_one_per_ad():
     whole = '[{"ad_url":"https://a","list_id":1,"more":[{"list_id":2},{"list_id":"3"},{"ad_url":"https://a"}]}]'
     assert payload.ad_urls(whole) == ["https://a", payload.NATIVE_URL + "2"]

@@ -1,6 +1,6 @@
 import pytest
 
-from garimpo.functions.markup import PageReader, read_cards
+from garimpo.functions.markup import PageReader, read_cards, read_place
 from garimpo.operators import cards
 
 
@@ -19,6 +19,22 @@ def test_reader_closes_open_elements_and_skips_scripts():
     assert page.text(page.elements[-1]) == "c & d"
 
 
+def test_many_open_elements_are_read_in_linear_time():
+    import time
+
+    started = time.time()
+    html = "<p title='bairro'><span>x" * 30000 + "</i></b>" * 1000
+    assert read_place(html) == {"label": None, "crumb": None}
+    assert len(PageReader("<div class='card'>" * 20000).elements) == 20000
+    assert time.time() - started < 20
+
+
+def test_places():
+    trail = "<div class='breadcrumb'><a>A</a><b><a> B <i>b</i></a></b></div><a>C</a>"
+    assert read_place(trail + "<section>bairro<span>o Bairro</span></section>") == {"label": "o Bairro", "crumb": "Bb"}
+    assert read_place("<a rel='breadcrumb'>X</a>" + trail)["crumb"] == "X"
+
+
 def test_nested_cards_and_first_selector_that_hits():
     html = "<div class='card'><div class='card-body'>x</div></div><li class='search-result'>y</li>"
     found = read_cards(html, [tuple(s) for s in cards.PORTAL.selectors], {}, None)

@@ -62,6 +62,8 @@ def test_prices(pages, offers, want):
         ('{"name": "A", "name": "B"}', "B"),
         ('{"@graph": [{"name": "A"}]}', None),
         ('"name"', None),
+        ("[" * 5000, None),
+        ('{"a":' * 3000 + "1" + "}" * 3000, None),
         ("", None),
     ],
 )

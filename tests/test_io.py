@@ -56,6 +56,14 @@ def test_latest_file_and_glob(spark, listings, fresh_dir):
     assert [r.id for r in readers.latest_file(rows).orderBy("id").collect()] == [f"imoveis_20250301.csv-{i}" for i in range(2)]
 
 
+def test_page_files(spark, fresh_dir):
+    for name in ("a", "b"):
+        (Path(fresh_dir) / f"{name}.html").write_text(f"<title>{name}</title>\n<p>x")
+    rows = readers.page_files(spark, f"{fresh_dir}/*.html").orderBy("url").collect()
+    assert [r.html for r in rows] == ["<title>a</title>\n<p>x", "<title>b</title>\n<p>x"]
+    assert len({r.page_id for r in rows}) == 2 and rows[0].url.endswith("a.html")
+
+
 def test_keyword_lines(spark, fresh_dir):
     path = Path(fresh_dir) / "k.txt"
     path.write_text("  casa curitiba \n\n \t\napto\n")
