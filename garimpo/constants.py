@@ -115,9 +115,8 @@ HTML_H1 = r"(?ius)<h1[^>]*>(.*?)</h1>"
 HTML_H1_PLAIN = r"<h1[^>]*>([^<]+)</h1>"
 META_DESCRIPTION = r"(?iuU)<meta\s+name=[\"']description[\"']\s+content=[\"']([^\"']+)[\"']"
 OG_DESCRIPTION = r"(?iuU)<meta\s+property=[\"']og:description[\"']\s+content=[\"']([^\"']+)[\"']"
-JSONLD_BLOCK = (
-    r"(?ius)<script[^>]*type=\"application/ld\+json\"[^>]*>(.*?)</script>"
-)
+SCRIPT_END = r"(?iu)</script>"
+JSONLD_START = r"(?ius)<script[^>]*type=\"application/ld\+json\"[^>]*>(.*)\z"
 EMBEDDED_CITY = r'(?U)"addressLocality"\s*:\s*"([^"]{2,100})"'
 EMBEDDED_REGION = r'(?U)"addressRegion"\s*:\s*"([A-Z]{2})"'
 EMBEDDED_POSTAL = r'(?U)"postalCode"\s*:\s*"(\d{5}-\d{3})"'

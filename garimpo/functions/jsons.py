@@ -43,9 +43,19 @@ def is_valid(json_text: Column) -> Column:
 
 
 def jsonld_blocks(html: Column) -> Column:
-    """The JSON values of all JSON-LD scripts as texts, in page order, invalid ones left out."""
-    blocks = F.regexp_extract_all(html, F.lit(C.JSONLD_BLOCK), F.lit(1))
-    values = F.filter(F.transform(blocks, _wrapped), lambda v: F.size(v) == 1)
+    """The JSON values of all JSON-LD scripts as texts, in page order, invalid ones left out.
+
+    The page is cut at script ends and each closed piece searched once, so
+    scripts that are never closed do not make the search start over.
+    """
+    pieces = F.transform(
+        F.array(F.split(html, C.SCRIPT_END)), lambda p: F.slice(p, 1, F.size(p) - 1)
+    )
+    bodies = F.transform(
+        F.get(pieces, F.lit(0)), lambda p: F.regexp_extract(p, C.JSONLD_START, 1)
+    )
+    found = F.filter(bodies, lambda b: b != "")
+    values = F.filter(F.transform(found, _wrapped), lambda v: F.size(v) == 1)
     return F.transform(values, lambda v: F.get(v, F.lit(0)))
 
 

@@ -120,8 +120,15 @@ def first_line(c: Column, chars: int | None = C.TITLE_CHARS) -> Column:
 
 
 def visible_text(c: Column) -> Column:
-    """Text without scripts, styles, comments and tags; entities resolved."""
-    no_code = F.regexp_replace(c, r"(?ius)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", " ")
+    """Text without scripts, styles, comments and tags; entities resolved.
+
+    A script, style or comment that is never closed ends with the page.
+    """
+    no_code = F.regexp_replace(
+        c,
+        r"(?ius)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)",
+        " ",
+    )
     text = F.regexp_replace(no_code, r"(?s)<[^>]+>", " ")
     for entity, char in [
         ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),

@@ -183,7 +183,7 @@ def selector_counts(pages: DataFrame) -> DataFrame:
 
     Counting open tags needs no element tree, so this stays in the JVM.
     """
-    body = F.regexp_replace("html", r"(?ius)<script\b.*?</script\s*>|<!--.*?-->", "")
+    body = F.regexp_replace("html", r"(?ius)<script\b.*?(?:</script\s*>|\z)|<!--.*?(?:-->|\z)", "")
     counted = pages.select("page_id", body.alias("body")).select(
         "page_id",
         F.explode(

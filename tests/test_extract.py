@@ -125,6 +125,20 @@ def test_typed_columns(pages):
     assert row.metragem == "2000 m²" and row.coletado_em.year == 2025
 
 
+def test_unclosed_scripts_are_searched_once(pages):
+    import time
+
+    from garimpo.operators.cards import selector_counts
+
+    opened = '<script type="application/ld+json">{"name": "A"}'
+    started = time.time()
+    rows = pages("<title>T</title>" + opened * 30000, script('{"name": "B"}') + opened + FILL)
+    assert [r.titulo for r in extract.listings(rows).orderBy("page_id").collect()] == ["T", "B"]
+    assert [r.titulo for r in extract.merged_ads(rows).orderBy("page_id").collect()] == ["T", "B"]
+    assert selector_counts(rows).count() == 0
+    assert time.time() - started < 60
+
+
 def test_requests_variant(pages):
     html = (
         script('{"@type": "BreadcrumbList", "name": "x"}')
