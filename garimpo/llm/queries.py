@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from garimpo.llm import contamination, fingerprint
+from garimpo.llm import contamination, fingerprint, jaccard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -36,3 +37,10 @@ def op3_contamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "spans",
     )
+
+
+@query
+def op5_jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents under links of 3-word shingle sets at 90 %."""
+    found = jaccard.linked_components(table(spark, folder, "documents"), size=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
