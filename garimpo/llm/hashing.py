@@ -37,7 +37,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=U64)
     out[0] = 1
     return np.multiply.accumulate(out)
@@ -51,8 +51,8 @@ def _tables() -> dict[str, np.ndarray]:
         _TABLES["cased"] = code
         _TABLES["lower"] = code[lower]
         _TABLES["solid"] = ~((byte == 32) | ((byte >= 9) & (byte <= 13)))
-        _TABLES["power"] = _powers(BYTE_BASE, PIECE)
-        _TABLES["inverse"] = _powers(pow(BYTE_BASE, -1, 1 << 64), PIECE)
+        _TABLES["power"] = powers(BYTE_BASE, PIECE)
+        _TABLES["inverse"] = powers(pow(BYTE_BASE, -1, 1 << 64), PIECE)
     return _TABLES
 
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from garimpo.llm import hashing
 from garimpo.llm.components import components
-from garimpo.llm.frames import stored
+from garimpo.llm.frames import set_aside, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -281,3 +281,19 @@ def linked_components(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "tid",
     )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each component: the one of the smallest id, then text hash; columns stay.
+
+    Null ids come last. A row repeated as a whole stays once.
+    """
+    inner, back = set_aside(docs, ["g_id", "g_tid"], [doc_id, text])
+    found = linked_components(inner, doc_id, text, **options)
+    # Texts without words are a component each, named by id and text.
+    group = [F.col("component_id"), F.when(F.col("n_shingles") == 0, F.col("doc_id")), F.when(F.col("n_shingles") == 0, F.col("tid"))]
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid")
+    first = found.groupBy(*[g.alias(f"k{i}") for i, g in enumerate(group)]).agg(F.min(order).alias("one"))
+    kept = stored(first.select(F.col("one.doc_id").alias("g_id"), F.col("one.tid").alias("g_tid")).distinct(), "kept")
+    same = F.col(doc_id).eqNullSafe(F.col("g_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("g_tid"))
+    return back(inner.join(kept, same, "left_semi").dropDuplicates([doc_id, text]))
