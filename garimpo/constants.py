@@ -63,8 +63,6 @@ STATUS_PENDING, STATUS_RETRY, STATUS_DONE, STATUS_ERROR = "pending", "retry", "d
 MAX_ATTEMPTS = 3
 LINKS_PER_DOMAIN = 5
 MAX_RESULTS = 50
-CARDS_PER_PAGE = 10
-CARDS_PER_PAGE_BROWSER = 20
 
 # --- fixed values: lengths ---------------------------------------------------
 MIN_PAGE_CHARS = 100
@@ -111,19 +109,24 @@ DATA_PHONE = r"(?iu)data-phone=['\"]([^'\"]+)['\"]"
 ADDRESS_LINE = r"(?U)(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+(?<=[A-Za-z0-9])),([A-Za-z\s]++)-\s*([A-Z]{2})"
 ADDRESS_END = r"(?U),[A-Za-z\s]++-\s*[A-Z]{2}"
 HTML_TITLE = r"(?iud)<title>(.*?)</title>"
+TITLE_ELEMENT = r"(?ius)<title\b[^>]*>(.*?)</title\s*>"
+META_TAG = r"""(?iu)<meta\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+NAMED_DESCRIPTION = r"""(?iu)(?<![\w-])name\s*=\s*["']?description["'\s/>]"""
 HTML_H1 = r"(?ius)<h1[^>]*>(.*?)</h1>"
 HTML_H1_PLAIN = r"<h1[^>]*>([^<]+)</h1>"
 META_DESCRIPTION = r"(?iuU)<meta\s+name=[\"']description[\"']\s+content=[\"']([^\"']+)[\"']"
 OG_DESCRIPTION = r"(?iuU)<meta\s+property=[\"']og:description[\"']\s+content=[\"']([^\"']+)[\"']"
 SCRIPT_END = r"(?iu)</script>"
-JSONLD_START = r"(?ius)<script[^>]*type=\"application/ld\+json\"[^>]*>(.*)\z"
+JSONLD_START = r"""(?ius)<script[^>]*\btype\s*=\s*["']?application/ld\+json(?:["'\s][^>]*)?>(.*)\z"""
 EMBEDDED_CITY = r'(?U)"addressLocality"\s*:\s*"([^"]{2,100})"'
 EMBEDDED_REGION = r'(?U)"addressRegion"\s*:\s*"([A-Z]{2})"'
 EMBEDDED_POSTAL = r'(?U)"postalCode"\s*:\s*"(\d{5}-\d{3})"'
 STATE_BLOCK = (
     r"(?s)window\.__(?:PRELOADED_STATE|INITIAL_STATE|SSR_STATE)__\s*=\s*(\{.*?\});"
 )
-STATE_URL = r'"(https?://[^"]*olx\.[^"]*)"'
+# A string, with the colon behind it if it is a key.
+JSON_STRING = r'"(?:[^"\\]|\\.)*+"(?:\s*:)?'
+STATE_URL = r"^https?://.*olx\."
 AD_PATH = r"/anuncio|/imoveis/|/venda/|/aluguel/"
 NATIVE_ID = r"/vi/(\d+)"
 NATIVE_URL = "https://www.olx.com.br/vi/"
@@ -138,6 +141,9 @@ CAPTURE_AD = (
     r'(?>.*?"municipality":"([^"]+)")'
     r'(?>.*?"state_uf":"([^"]+)")'
 )
+CAPTURE_KEYS = [
+    ("ad_url", "ad_url"), ("price", "preco"), ("subject", "titulo"), ("municipality", "cidade"), ("state_uf", "estado"),
+]
 CURSOR_KEYS = ["next", "cursor", "after", "nextCursor", "endCursor", "page_next", "next_token"]
 LINK_NEXT = r'<([^>]+)>;\s*rel="next"'
 MERGED_TYPES = ["Offer", "Product", "Apartment", "SingleFamilyResidence"]

@@ -26,7 +26,7 @@ def field(json_text: Column, path: str) -> Column:
     return none_if_empty(F.get_json_object(json_text, f"$.{path}"))
 
 
-def _elements(json_text: Column) -> Column:
+def elements(json_text: Column) -> Column:
     """Elements of a JSON array as JSON texts; null when it is no valid array."""
     return F.from_json(json_text, "array<string>", STRICT)
 
@@ -34,7 +34,7 @@ def _elements(json_text: Column) -> Column:
 def _wrapped(json_text: Column) -> Column:
     """The text as a one-element array: the parser ignores what follows a value,
     but not what stands between a value and the closing bracket."""
-    return _elements(F.concat(F.lit("["), json_text, F.lit("]")))
+    return elements(F.concat(F.lit("["), json_text, F.lit("]")))
 
 
 def is_valid(json_text: Column) -> Column:
@@ -62,7 +62,7 @@ def jsonld_blocks(html: Column) -> Column:
 def jsonld_objects(html: Column) -> Column:
     """All JSON-LD objects of a page as JSON texts, arrays spread."""
     spread = F.transform(
-        jsonld_blocks(html), lambda v: F.when(v.startswith("["), _elements(v)).otherwise(F.array(v))
+        jsonld_blocks(html), lambda v: F.when(v.startswith("["), elements(v)).otherwise(F.array(v))
     )
     return F.filter(F.flatten(spread), lambda o: o.startswith("{"))
 
@@ -85,7 +85,7 @@ def _object(json_text: Column) -> Column:
 
 def _one_object(json_text: Column) -> Column:
     """The object itself, or the first element of a list of objects."""
-    return F.when(json_text.startswith("["), F.get(_elements(json_text), F.lit(0))).otherwise(
+    return F.when(json_text.startswith("["), F.get(elements(json_text), F.lit(0))).otherwise(
         _object(json_text)
     )
 

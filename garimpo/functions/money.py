@@ -10,7 +10,7 @@ from garimpo import constants as C
 
 def money_br(c: Column) -> Column:
     """``R$ 1.234,50`` as decimal; text that is no amount gives null."""
-    bare = F.rtrim(F.replace(c, F.lit("R$ "), F.lit("")), F.lit(".,"))
+    bare = F.rtrim(F.regexp_replace(c, r"(?U)R\$\s*", ""), F.lit(".,"))
     return F.translate(bare, ",.", ".").try_cast("decimal(18,2)")
 
 

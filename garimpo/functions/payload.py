@@ -23,7 +23,6 @@ TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}"]', re.S)
 AD_URL = re.compile(r'"ad_url"\s*:\s*"(https?://[^"]+)"')
 LIST_ID = re.compile(r'"list_id"\s*:\s*(\d+)')
 NATIVE_URL = C.NATIVE_URL
-MAX_DEPTH = 10
 UNREADABLE = (ValueError, RecursionError)
 
 
@@ -79,21 +78,20 @@ def classify(text):
     return None, None
 
 
-def walk(value, depth=0):
-    """Ad URLs of a JSON value; an ad without a URL gets one from its id."""
-    if depth > MAX_DEPTH:
-        return
-    if isinstance(value, dict):
-        url, ad_id = value.get("ad_url"), value.get("list_id")
-        if isinstance(url, str):
-            yield url
-        elif "ad_url" not in value and isinstance(ad_id, int) and not isinstance(ad_id, bool):
-            yield f"{NATIVE_URL}{ad_id}"
-        children = value.values()
-    else:
-        children = value if isinstance(value, list) else ()
-    for child in children:
-        yield from walk(child, depth + 1)
+def walk(value):
+    """Ad URLs of a JSON value at any depth, in text order; an ad without a URL gets one from its id."""
+    ahead = [value]
+    while ahead:
+        value = ahead.pop()
+        if isinstance(value, dict):
+            url, ad_id = value.get("ad_url"), value.get("list_id")
+            if isinstance(url, str):
+                yield url
+            elif "ad_url" not in value and isinstance(ad_id, int) and not isinstance(ad_id, bool):
+                yield f"{NATIVE_URL}{ad_id}"
+            ahead.extend(reversed(value.values()))
+        elif isinstance(value, list):
+            ahead.extend(reversed(value))
 
 
 def ad_urls(text):
@@ -106,7 +104,8 @@ def ad_urls(text):
         return list(dict.fromkeys(walk(whole)))
     found, end = [], 0
     for piece, end in whole_objects(body):
-        found.extend(walk(loads(piece)))
+        value = loads(piece)
+        found.extend(AD_URL.findall(piece) if value is None else walk(value))
     tail = body[end:]
     found.extend(
         AD_URL.findall(tail) or [f"{NATIVE_URL}{ad_id}" for ad_id in LIST_ID.findall(tail)]

@@ -18,14 +18,3 @@ def computed(df: DataFrame, keep: list[str], fields: dict[str, Column]) -> DataF
     """
     row = F.struct(*[value.alias(name) for name, value in fields.items()])
     return df.select(*keep, F.inline(F.array(row)))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give costly per-row work all cores when a scan has too few splits.
-
-    Pages are costly to search, and a small or badly split file would keep them
-    in a few tasks. A scan with at least one split per core is left alone, so a
-    large table is never shuffled here. Call it on a plain scan.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

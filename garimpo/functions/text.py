@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
+from garimpo.functions.entities import decode
 
 WHITE_SPACE = " \t\n\r\x0b\x0c\u0085\u00a0\u2028\u2029"
 
@@ -103,6 +104,26 @@ def title_tag(c: Column) -> Column:
     return none_if_empty(strip(F.regexp_extract(c, C.HTML_TITLE, 1)))
 
 
+def document_title(c: Column) -> Column:
+    """The title element with any attributes, over any lines, decoded."""
+    return none_if_empty(strip(collapse_ws(decode(F.regexp_extract(c, C.TITLE_ELEMENT, 1)))))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of a tag's attribute: in either quotes, which end at their own kind, or bare."""
+    start = rf"(?isu)(?<![\w-]){name}\s*=\s*"
+    return decode(
+        F.coalesce(find(tag, start + '"([^"]*)"', 1), find(tag, start + "'([^']*)'", 1), find(tag, start + "([^\\s\"'>]+)", 1))
+    )
+
+
+def document_description(c: Column) -> Column:
+    """Content of the description meta tag, whatever the order and quoting of its attributes."""
+    tags = F.regexp_extract_all(c, F.lit(C.META_TAG), F.lit(0))
+    named = F.filter(tags, lambda t: t.rlike(C.NAMED_DESCRIPTION))
+    return none_if_empty(strip(attribute(F.get(named, F.lit(0)), "content")))
+
+
 def html_title(c: Column) -> Column:
     """``<title>``, else the first ``<h1>`` without its inner tags."""
     heading = F.regexp_replace(F.regexp_extract(c, C.HTML_H1, 1), "<[^>]+>", "")
@@ -120,7 +141,7 @@ def first_line(c: Column, chars: int | None = C.TITLE_CHARS) -> Column:
 
 
 def visible_text(c: Column) -> Column:
-    """Text without scripts, styles, comments and tags; entities resolved.
+    """Text without scripts, styles, comments and tags; character references decoded.
 
     A script, style or comment that is never closed ends with the page.
     """
@@ -129,12 +150,7 @@ def visible_text(c: Column) -> Column:
         r"(?ius)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)",
         " ",
     )
-    text = F.regexp_replace(no_code, r"(?s)<[^>]+>", " ")
-    for entity, char in [
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-    ]:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(collapse_ws(text))
+    return strip(collapse_ws(decode(F.regexp_replace(no_code, r"(?s)<[^>]+>", " "))))
 
 
 def default(c: Column, value: str) -> Column:
@@ -142,7 +158,8 @@ def default(c: Column, value: str) -> Column:
 
 
 def present(c: Column) -> Column:
-    return none_if_empty(c).isNotNull()
+    """Whether a column holds text, as two conditions that reach the Parquet scan."""
+    return c.isNotNull() & (c != "")
 
 
 def prefix(c: Column, chars: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
@@ -35,11 +35,15 @@ def ads_by_pattern(captures: DataFrame) -> DataFrame:
     ads = answered(captures).select(
         "entry_id", F.posexplode(F.regexp_extract_all("text", F.lit(C.CAPTURE_AD), F.lit(0))).alias("pos", "m")
     )
-    names = ["list_id", "ad_url", "preco", "titulo", "cidade", "estado"]
-    return ads.select(
-        "entry_id", "pos",
-        *[F.regexp_extract("m", C.CAPTURE_AD, i).alias(n) for i, n in enumerate(names, 1)],
-    )
+    # The match starts with the id and holds the first of each later key behind the one before, so each key's
+    # value follows from the rest of the match by a pattern of its own.
+    row = ads.select("entry_id", "pos", F.regexp_extract("m", r'^"list_id":(\d+)', 1).alias("list_id"), F.col("m").alias("rest"))
+    for key, name in C.CAPTURE_KEYS:
+        mark = f'"{key}":"'
+        at = F.instr("rest", mark) + len(mark)
+        row = row.withColumn("rest", F.substring("rest", at, F.length("rest")))
+        row = row.withColumn(name, F.substring_index("rest", '"', 1))
+    return row.select("entry_id", "pos", "list_id", *[name for _, name in C.CAPTURE_KEYS])
 
 
 def salvaged_ads(captures: DataFrame) -> DataFrame:
@@ -101,8 +105,8 @@ def bank_listings(rows: DataFrame) -> DataFrame:
     )
 
 
-def api_items(items: DataFrame, state: str) -> DataFrame:
-    """API items with nested place flattened and the id hashed."""
+def api_items(items: DataFrame, state: str, collected_at: Column | None = None) -> DataFrame:
+    """API items with nested place flattened, the id hashed and the time they were collected at."""
     return items.select(
         keys.api_key(F.col("id")).alias("id"),
         F.col("title").alias("titulo"),
@@ -113,6 +117,7 @@ def api_items(items: DataFrame, state: str) -> DataFrame:
         F.lit(state.upper()).alias("estado"),
         F.col("zip").alias("cep"),
         F.col("url").alias("link"),
+        (F.current_timestamp() if collected_at is None else collected_at).alias("timestamp"),
     )
 
 

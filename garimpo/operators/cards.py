@@ -14,29 +14,27 @@ from garimpo.functions.steps import computed
 
 
 class CardSite(NamedTuple):
-    """Where the cards of a site are, what is read from them, how many per page."""
+    """Where the cards of a site are and what is read from them; ``limit`` caps the cards of a page."""
 
     selectors: list
     fields: dict
-    limit: int | None
     source: str | None = None
+    limit: int | None = None
 
 
 PORTAL = CardSite(
-    C.CARDS_PORTAL, {"title": C.PORTAL_TITLE, "place": C.PORTAL_PLACE}, C.CARDS_PER_PAGE, "imovelweb"
+    C.CARDS_PORTAL, {"title": C.PORTAL_TITLE, "place": C.PORTAL_PLACE}, "imovelweb"
 )
-BROWSER_A = CardSite(C.CARDS_BROWSER_A, {}, C.CARDS_PER_PAGE_BROWSER, "ImóvelWeb")
-BROWSER_B = CardSite(C.CARDS_BROWSER_B, {}, C.CARDS_PER_PAGE_BROWSER, "VivaReal")
+BROWSER_A = CardSite(C.CARDS_BROWSER_A, {}, "ImóvelWeb")
+BROWSER_B = CardSite(C.CARDS_BROWSER_B, {}, "VivaReal")
 ARTICLE = CardSite(
     C.CARDS_ARTICLE,
     {"title": C.ARTICLE_TITLE, "price": C.ARTICLE_PRICE},
-    C.CARDS_PER_PAGE,
     "ImóvelVirtual",
 )
 ANCHOR = CardSite(
     C.CARDS_ANCHOR,
     {"title": C.ANCHOR_TITLE, "price": C.ANCHOR_PRICE},
-    C.CARDS_PER_PAGE,
     "VivaReal",
 )
 BANK = CardSite(
@@ -47,7 +45,6 @@ BANK = CardSite(
         "place": C.BANK_CITY,
         "price": C.BANK_PRICE,
     },
-    None,
     C.BANK_SOURCE,
 )
 
@@ -62,8 +59,15 @@ def raw_cards(pages: DataFrame, site: CardSite) -> DataFrame:
     )
 
 
-def portal_cards(pages: DataFrame, site: CardSite = PORTAL) -> DataFrame:
-    """Cards with a title and a price; the key uses the page when there is no link."""
+def _cut(value: Column, chars: int | None) -> Column:
+    return value if chars is None else text.prefix(value, chars)
+
+
+def portal_cards(pages: DataFrame, site: CardSite = PORTAL, text_chars: int | None = C.CARD_TEXT_CHARS) -> DataFrame:
+    """Cards with a title and a price; the key uses the page when there is no link.
+
+    The description is the card's text up to ``text_chars`` (None: all of it).
+    """
     body = F.col("text")
     found = computed(
         raw_cards(pages, site),
@@ -73,7 +77,7 @@ def portal_cards(pages: DataFrame, site: CardSite = PORTAL) -> DataFrame:
             "preco": text.price_upper(body),
             "metragem": text.area_find(body, C.AREA_LOOSE),
             "bairro": F.col("place"),
-            "descricao": text.prefix(body, C.CARD_TEXT_CHARS),
+            "descricao": _cut(body, text_chars),
             "link": urls.resolve(F.col("href"), F.col("url")),
         },
     )
@@ -87,11 +91,11 @@ def portal_cards(pages: DataFrame, site: CardSite = PORTAL) -> DataFrame:
     )
 
 
-def _named(found: DataFrame, site: CardSite, *columns: str) -> DataFrame:
+def _named(found: DataFrame, site: CardSite, title_chars: int | None, *columns: str) -> DataFrame:
     return found.withColumn("id", keys.offer_key(F.col("titulo"), F.col("preco"))).select(
         "page_id", "pos", "id",
         *[
-            (text.prefix(F.col(c), C.CARD_TITLE_CHARS) if c == "titulo" else F.col(c)).alias(c)
+            (_cut(F.col(c), title_chars) if c == "titulo" else F.col(c)).alias(c)
             for c in columns
         ],
         F.lit(site.source).alias("fonte"),
@@ -102,8 +106,10 @@ def _line(n: int) -> Column:
     return text.none_if_empty(F.get(F.split("lines", "\n"), F.lit(n)))
 
 
-def browser_cards_a(pages: DataFrame, site: CardSite = BROWSER_A) -> DataFrame:
-    """Cards read from their visible lines: first line is the title."""
+def browser_cards_a(
+    pages: DataFrame, site: CardSite = BROWSER_A, title_chars: int | None = C.CARD_TITLE_CHARS
+) -> DataFrame:
+    """Cards read from their visible lines: first line is the title, up to ``title_chars``."""
     lines = F.col("lines")
     found = computed(
         raw_cards(pages, site).filter(F.length("lines") >= C.MIN_CARD_CHARS),
@@ -119,11 +125,13 @@ def browser_cards_a(pages: DataFrame, site: CardSite = BROWSER_A) -> DataFrame:
     )
     return _named(
         found.filter(F.length("titulo") >= C.MIN_TITLE_CHARS),
-        site, "titulo", "preco", "metragem", "quartos", "banheiros", "link",
+        site, title_chars, "titulo", "preco", "metragem", "quartos", "banheiros", "link",
     )
 
 
-def browser_cards_b(pages: DataFrame, site: CardSite = BROWSER_B) -> DataFrame:
+def browser_cards_b(
+    pages: DataFrame, site: CardSite = BROWSER_B, title_chars: int | None = C.CARD_TITLE_CHARS
+) -> DataFrame:
     """As ``browser_cards_a``; a short first line gives way to the second."""
     lines = F.col("lines")
     title = F.when(F.length(_line(0)) >= C.MIN_TITLE_CHARS, _line(0)).otherwise(
@@ -141,7 +149,7 @@ def browser_cards_b(pages: DataFrame, site: CardSite = BROWSER_B) -> DataFrame:
         },
     )
     return _named(
-        found.filter(F.length("titulo") > 3), site, "titulo", "preco", "metragem", "quartos", "link"
+        found.filter(F.length("titulo") > 3), site, title_chars, "titulo", "preco", "metragem", "quartos", "link"
     )
 
 

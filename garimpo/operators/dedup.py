@@ -66,6 +66,17 @@ def upsert(existing: DataFrame, incoming: DataFrame, order: list[str], key: str
     return kept.unionByName(last_by(taken, [key], order), allowMissingColumns=True)
 
 
+def merged(base: DataFrame, delta: DataFrame, order: list[str], key: str = "id") -> DataFrame:
+    """Newest version per key of a table with one row per key and later versions.
+
+    Only keys of the delta are ranked; other rows pass through.
+    """
+    touched = delta.select(key).distinct()
+    untouched = base.join(touched, key, "left_anti")
+    ranked = last_by(base.join(touched, key, "left_semi").unionByName(delta), [key], order)
+    return untouched.unionByName(ranked)
+
+
 def union_all(*parts: DataFrame) -> DataFrame:
     """Concatenate tables by column name; a column missing somewhere is null there."""
     whole = parts[0]

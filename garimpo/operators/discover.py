@@ -7,17 +7,37 @@ from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.functions import jsons, text, urls
+from garimpo.functions.entities import decode
 from garimpo.functions.steps import computed
 from garimpo.operators.dedup import top_n
 
-HREF = r"(?iu)^[^>]*?\bhref\s*=\s*[\"']([^\"'>]+)[\"']"
+HREF = r"""(?iu)^[^>]*?(?<![\w-])href\s*=\s*("[^">]+"|'[^'>]+'|[^\s"'>]+)"""
+ANCHOR_HREF = r"""(?iu)<a\b[^>]*?(?<![\w-])href\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
 ANCHOR_BODY = r"(?ius)^[^>]*>(.*?)(?:</a|\z)"
+NOT_MARKUP = r"(?ius)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
+
+
+def _visible_markup(html: Column) -> Column:
+    """The page without comments and scripts, whose tags are no elements."""
+    return F.regexp_replace(html, NOT_MARKUP, " ")
+
+
+def _value(raw: Column) -> Column:
+    """An attribute value as the page means it: without its quotes, references decoded."""
+    return decode(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
+
+
+def _hrefs(html: Column) -> Column:
+    found = F.regexp_extract_all(_visible_markup(html), F.lit(ANCHOR_HREF), F.lit(1))
+    return F.transform(found, _value)
 
 
 def hrefs(pages: DataFrame) -> DataFrame:
-    """One row per anchor href, in page order."""
-    found = F.regexp_extract_all("html", F.lit(r"(?iu)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    return pages.select("page_id", "url", F.posexplode(found).alias("pos", "href"))
+    """One row per anchor href, decoded, in page order."""
+    return pages.select("page_id", "url", F.posexplode(_hrefs(F.col("html"))).alias("pos", "href"))
+
+
+SALTS = 64
 
 
 def result_links(pages: DataFrame, domains: list[str] | None = None) -> DataFrame:
@@ -41,32 +61,35 @@ def result_links(pages: DataFrame, domains: list[str] | None = None) -> DataFram
 
 
 def anchor_counts(pages: DataFrame, samples: int = 8) -> DataFrame:
-    """Anchors per target domain with the share of all, and a few sample links."""
-    listed = hrefs(pages)
-    tagged = listed.select(
-        "page_id", "pos", "href",
-        F.explode(
-            F.filter(
-                F.array(*[F.lit(d) for d in C.PORTALS]),
-                lambda d: F.contains("href", d),
-            )
-        ).alias("domain"),
-    )
-    counted = tagged.groupBy("domain").agg(F.count("*").alias("anchors"))
-    kept = top_n(tagged, ["domain"], [F.col("page_id"), F.col("pos")], samples)
-    sampled = kept.groupBy("domain").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("page_id", "pos", "href"))), lambda s: s["href"]),
-            " ",
-        ).alias("samples")
-    )
-    return counted.join(sampled, "domain")
+    """Anchors per target domain, a few sample links, and all anchors under a null domain.
+
+    Pages are searched once. A page is first reduced to its number of anchors
+    per domain and its first links, so the few domains are small aggregates of
+    pages and a page's samples beyond ``samples`` never leave it.
+    """
+    domains = F.array(*[F.lit(d) for d in C.PORTALS])
+    read = computed(pages, ["page_id"], {"hrefs": _hrefs(F.col("html"))})
+    placed = F.transform("hrefs", lambda h, i: F.struct(i.alias("pos"), h.alias("href")))
+
+    def tally(domain: Column) -> Column:
+        own = F.filter(placed, lambda x: F.contains(x["href"], domain))
+        return F.struct(domain.alias("domain"), F.size(own).alias("n"), F.slice(own, 1, samples).alias("first"))
+
+    every = F.struct(F.lit(None).cast("string").alias("domain"), F.size(placed).alias("n"), F.slice(placed, 1, 0).alias("first"))
+    counted = read.select("page_id", F.inline(F.concat(F.transform(domains, tally), F.array(every)))).filter("n > 0")
+    totals = counted.groupBy("domain").agg(F.sum("n").alias("anchors"))
+    listed = counted.select("domain", "page_id", F.inline("first"))
+    # A first cut by a salted key keeps any one domain's candidates spread over tasks.
+    salted = top_n(listed, ["domain", F.pmod(F.xxhash64("page_id"), F.lit(SALTS))], [F.col("page_id"), F.col("pos")], samples)
+    kept = top_n(salted, ["domain"], [F.col("page_id"), F.col("pos")], samples)
+    in_order = F.array_sort(F.collect_list(F.struct("page_id", "pos", "href")))
+    sampled = kept.groupBy("domain").agg(F.array_join(F.transform(in_order, lambda s: s["href"]), " ").alias("samples"))
+    return totals.join(sampled, "domain", "left")
 
 
 def anchor_totals(pages: DataFrame) -> DataFrame:
     """Anchors and portal anchors per page."""
-    found = F.regexp_extract_all("html", F.lit(r"(?iu)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']+)[\"']"), F.lit(1))
-    return pages.select("page_id", found.alias("hrefs")).select(
+    return pages.select("page_id", _hrefs(F.col("html")).alias("hrefs")).select(
         "page_id",
         F.size("hrefs").cast("bigint").alias("anchors"),
         F.size(F.filter("hrefs", lambda h: urls.domain_of(h).isNotNull())).cast("bigint").alias("portal_anchors"),
@@ -81,10 +104,11 @@ def ad_links(pages: DataFrame, site: str = "olx.com.br") -> DataFrame:
     """
     # The page is cut at its anchor tags, so an anchor that is never closed ends
     # at the next one and no text is searched twice.
-    anchors = pages.select("page_id", "url", F.posexplode(F.split("html", r"(?iu)<a\b")).alias("n", "anchor"))
+    cut = F.split(_visible_markup(F.col("html")), r"(?iu)<a\b")
+    anchors = pages.select("page_id", "url", F.posexplode(cut).alias("n", "anchor"))
     listed = anchors.filter("n > 0").select(
         "page_id", "url",
-        F.regexp_extract("anchor", HREF, 1).alias("raw"),
+        _value(F.regexp_extract("anchor", HREF, 1)).alias("raw"),
         F.regexp_extract("anchor", ANCHOR_BODY, 1).rlike(r"(?iu)<img\b").alias("has_image"),
     )
     raw = F.col("raw")
@@ -102,13 +126,16 @@ def ad_links(pages: DataFrame, site: str = "olx.com.br") -> DataFrame:
 
 
 def state_links(pages: DataFrame) -> DataFrame:
-    """Portal URLs inside embedded state objects, distinct per page."""
+    """Portal URLs among the values of embedded state objects, distinct per page.
+
+    Strings are unescaped by the JSON parser; keys are no links.
+    """
     blocks = F.filter(
         F.regexp_extract_all("html", F.lit(C.STATE_BLOCK), F.lit(1)), lambda b: jsons.is_valid(b)
     )
-    links = F.flatten(
-        F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(C.STATE_URL), F.lit(1)))
-    )
+    strings = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(C.JSON_STRING), F.lit(0))))
+    likely = F.filter(strings, lambda s: s.startswith('"http') & s.endswith('"') & s.contains("olx"))
+    links = F.filter(jsons.elements(F.concat(F.lit("["), F.array_join(likely, ","), F.lit("]"))), lambda u: u.rlike(C.STATE_URL))
     cleaned = F.transform(links, lambda u: urls.strip_query(u))
     return pages.select("page_id", F.explode(F.array_distinct(cleaned)).alias("link"))
 
@@ -147,27 +174,22 @@ def page_urls(starts: DataFrame, pages: int) -> DataFrame:
     ).withColumn("page_url", urls.page_url(F.col("start_url"), F.col("page")))
 
 
-def _first_in_text(folded: Column, words: list[str], default: str) -> Column:
-    picked = F.when(F.lit(False), F.lit(None).cast("string"))
-    for word in words:
-        picked = picked.when(folded.contains(word), F.lit(word))
-    return F.coalesce(picked, F.lit(default))
+def _first_in_text(folded: str, words: list[str], default: str) -> Column:
+    """The first of the words, in their order, that the text contains."""
+    listed = F.array(*[F.lit(w) for w in words])
+    return F.coalesce(F.get(F.filter(listed, lambda w: F.contains(folded, w)), F.lit(0)), F.lit(default))
 
 
 def keyword_places(keywords: DataFrame) -> DataFrame:
     """City, state and property type named in a keyword, first in dictionary order."""
-    folded = text.fold(F.col("keyword"))
     default_city, default_uf = C.DEFAULT_CITY_UF
-    city = _first_in_text(folded, [name for name, _ in C.CITY_UF], default_city)
-    state = F.lit(default_uf)
-    for name, uf in C.CITY_UF:
-        state = F.when(city == name, F.lit(uf)).otherwise(state)
-    return keywords.select(
-        "*",
-        city.alias("cidade"),
-        state.alias("estado"),
-        _first_in_text(folded, C.PROPERTY_TYPES, C.DEFAULT_TYPE).alias("tipo"),
-    )
+    folded = computed(keywords, keywords.columns, {"folded": text.fold(F.col("keyword"))})
+    city = _first_in_text("folded", [name for name, _ in C.CITY_UF], default_city)
+    kind = _first_in_text("folded", C.PROPERTY_TYPES, C.DEFAULT_TYPE)
+    placed = computed(folded, keywords.columns, {"cidade": city, "tipo": kind})
+    states = F.create_map(*[F.lit(x) for pair in C.CITY_UF for x in pair])
+    state = F.coalesce(F.try_element_at(states, F.col("cidade")), F.lit(default_uf))
+    return placed.select(*keywords.columns, "cidade", state.alias("estado"), "tipo")
 
 
 def keyword_listings(keywords: DataFrame) -> DataFrame:

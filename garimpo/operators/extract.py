@@ -78,8 +78,9 @@ def _first_jsonld(html: Column) -> Column:
     return F.get(hits, F.lit(0))
 
 
-def _page_start(html: Column) -> Column:
-    return text.prefix(text.collapse_ws(html), C.TITLE_CHARS)
+def _page_start(html: Column, chars: int | None) -> Column:
+    start = text.collapse_ws(html)
+    return start if chars is None else text.prefix(start, chars)
 
 
 def _rest(pages: DataFrame) -> list[str]:
@@ -127,13 +128,16 @@ def _parsed(pages: DataFrame, ld: Column) -> DataFrame:
     return computed(pages, pages.columns, {"ld": ld})
 
 
-def jsonld_listings(pages: DataFrame) -> DataFrame:
-    """Listings from JSON-LD only; a page without a usable object gives no row."""
+def jsonld_listings(pages: DataFrame, title_chars: int | None = C.TITLE_CHARS) -> DataFrame:
+    """Listings from JSON-LD only; a page without a usable object gives no row.
+
+    An object without a title gets the page's start, up to ``title_chars`` (None: all of it).
+    """
     rest = _rest(pages)
     parsed = _parsed(usable_pages(pages), _first_jsonld(F.col("html")))
     return parsed.filter("ld is not null").select(
         *rest,
-        F.coalesce("ld.titulo", _page_start(F.col("html"))).alias("titulo"),
+        F.coalesce("ld.titulo", _page_start(F.col("html"), title_chars)).alias("titulo"),
         "ld.preco",
         *[F.lit(None).cast("string").alias(c) for c in ("metragem", "quartos", "banheiros")],
         "ld.descricao", "ld.endereco", "ld.cidade", "ld.estado", "ld.cep", "ld.contato",
@@ -142,28 +146,39 @@ def jsonld_listings(pages: DataFrame) -> DataFrame:
 
 
 def regex_listings(pages: DataFrame) -> DataFrame:
-    """Listings from page text only: kept with a title, a price or an area."""
+    """Listings from page text only: kept with a title, a price or an area.
+
+    ``metragem`` has at most four digits, as the listing format; ``area_m2`` is
+    the whole number on the page.
+    """
     rest = _rest(pages)
     html, always = F.col("html"), F.lit(True)
     keyed = computed(usable_pages(pages), [*rest, "url", "html"], _key_fields(html, always))
     kept = keyed.filter(any_field(*KEY_FIELDS))
-    found = kept.select(*rest, "url", *KEY_FIELDS, *_other_fields(html, always))
-    return _with_address(found).select(*rest, *FIELDS, F.col("url").alias("link"))
+    area = money.area_number(html).alias("area_m2")
+    found = kept.select(*rest, "url", *KEY_FIELDS, area, *_other_fields(html, always))
+    return _with_address(found).select(*rest, *FIELDS, F.col("url").alias("link"), "area_m2")
+
 
+def listings(
+    pages: DataFrame, title_chars: int | None = C.TITLE_CHARS, raw_chars: int | None = C.RAW_TEXT_CHARS
+) -> DataFrame:
+    """The main extractor: JSON-LD, else page text, plus source, key and raw text.
 
-def listings(pages: DataFrame) -> DataFrame:
-    """The main extractor: JSON-LD, else page text, plus source, key and raw text."""
+    Titles taken from the page's start and the raw text are cut to the given
+    lengths; None leaves them whole.
+    """
     rest = _rest(pages)
     html = F.col("html")
     parsed = _parsed(usable_pages(pages), _first_jsonld(html))
     from_ld = F.col("ld").isNotNull()
-    start = F.when(from_ld & F.col("ld.titulo").isNull(), _page_start(html))
+    start = F.when(from_ld & F.col("ld.titulo").isNull(), _page_start(html, title_chars))
     keyed = computed(
         parsed, [*rest, "url", "html", "ld"], {"start": start, **_key_fields(html, ~from_ld)}
     )
     found = keyed.filter(from_ld | any_field(*KEY_FIELDS)).select(
         *rest, "url", "ld", "start", *KEY_FIELDS,
-        text.prefix(html, C.RAW_TEXT_CHARS).alias("raw_text"),
+        (html if raw_chars is None else text.prefix(html, raw_chars)).alias("raw_text"),
         *_other_fields(html, ~from_ld),
     )
     rows = _with_address(found)
@@ -187,14 +202,21 @@ def listings(pages: DataFrame) -> DataFrame:
 
 
 def typed(listing_rows: DataFrame) -> DataFrame:
-    """Add numeric and time columns next to the texts they come from."""
+    """Add numeric columns, and the time if there is one, next to the texts they come from.
+
+    The area is the page's own number where the extractor kept it (``area_m2``).
+    """
+    area = money.area_number(F.col("metragem"))
+    if "area_m2" in listing_rows.columns:
+        area = F.coalesce("area_m2", area)
+    times = {"coletado_em": text.iso_time(F.col("data_coleta"))} if "data_coleta" in listing_rows.columns else {}
     return listing_rows.withColumns(
         {
             "preco_num": money.money_br(F.col("preco")),
-            "metragem_num": money.area_number(F.col("metragem")),
+            "metragem_num": area,
             "quartos_num": money.count_number(F.col("quartos")),
             "banheiros_num": money.count_number(F.col("banheiros")),
-            "coletado_em": text.iso_time(F.col("data_coleta")),
+            **times,
         }
     )
 
@@ -284,24 +306,26 @@ def merged_ads(pages: DataFrame) -> DataFrame:
 
         return F.get(F.filter("objects", keep), F.lit(0))[name]
 
-    body = text.visible_text(html)
     step = merged.select(
         *rest,
         "url",
         "html",
-        F.coalesce(first_of("nome", False), text.title_tag(html)).alias("titulo"),
+        F.coalesce(first_of("nome", False), text.document_title(html)).alias("titulo"),
         first_of("preco_oferta", True).alias("ld_preco"),
-        F.coalesce(first_of("descricao", False), text.find(html, C.META_DESCRIPTION, 1)).alias("descricao"),
+        F.coalesce(first_of("descricao", False), text.document_description(html)).alias("descricao"),
         first_of("endereco", True).alias("ld_endereco"),
         first_of("cidade", True).alias("ld_cidade"),
         first_of("estado", True).alias("estado"),
         first_of("cep", True).alias("ld_cep"),
-        body.alias("body"),
     )
+    body = text.visible_text(html)
     incomplete = (
         F.col("ld_endereco").isNull() | F.col("ld_cidade").isNull() | F.col("estado").isNull()
     ) & html.rlike("(?iu)bairro|breadcrumb")
-    placed = step.withColumn("place", page_places(F.when(incomplete, html)))
+    # Text without its markup is made once, for pages that lack a price or postal code or show a phone number.
+    wanted = F.col("ld_preco").isNull() | F.col("ld_cep").isNull() | html.rlike(r"(?U)\d{4,5}-\d{4}")
+    read = computed(step, step.columns, {"body": F.when(wanted, body)})
+    placed = read.withColumn("place", page_places(F.when(incomplete, html)))
     return placed.select(
         *rest,
         "titulo",

@@ -15,26 +15,40 @@ from garimpo.functions import keys, urls
 from garimpo.operators.dedup import top_n
 
 
-def as_links(found: DataFrame, keyword: str | None = None) -> DataFrame:
-    """Queue rows for found URLs, each URL once, partitioned by id."""
-    once = (
-        found.filter("url is not null")
-        .select(keys.link_key(F.col("url")).alias("id"), "url")
-        .dropDuplicates(["id"])
+def as_links(found: DataFrame, keyword: str | None = None, order: str | None = None) -> DataFrame:
+    """Queue rows for found URLs, each URL once, with the keyword and date it was first found with.
+
+    ``found`` has ``url`` and may have ``keyword`` and ``data_add``; ``keyword``
+    stands in where a row has none. The first row is that of the smallest
+    ``order`` value, if an order column is named, else of the smallest date and keyword.
+    """
+    text = F.lit(None).cast("string")
+    rows = found.filter("url is not null").select(
+        "url",
+        F.coalesce(F.col("keyword") if "keyword" in found.columns else text, F.lit(keyword)).alias("keyword"),
+        (F.col("data_add") if "data_add" in found.columns else text).alias("data_add"),
+        *([F.col(order).alias("place")] if order else []),
     )
-    return once.select(
-        "id",
+    if "keyword" in found.columns or "data_add" in found.columns:
+        place = ["place"] if order else []
+        rows = rows.groupBy("url").agg(F.min(F.struct(*place, "data_add", "keyword")).alias("first"))
+        rows = rows.select("url", "first.keyword", "first.data_add")
+    else:  # nothing to choose between: a plain hash aggregate
+        rows = rows.select("url", "keyword", "data_add").distinct()
+    return rows.select(
+        keys.link_key(F.col("url")).alias("id"),
         "url",
         urls.queue_domain(F.col("url")).alias("domain"),
-        F.lit(keyword).cast("string").alias("keyword"),
+        "keyword",
+        "data_add",
         F.lit(C.STATUS_PENDING).alias("status"),
         F.lit(0).alias("tentativas"),
     )
 
 
 def insert_ignore(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Rows of ``incoming`` whose id is not queued yet, one per id."""
-    return incoming.dropDuplicates(["id"]).join(existing.select("id"), "id", "left_anti")
+    """Rows of ``incoming``, which has one row per id, whose id is not queued yet."""
+    return incoming.join(existing.select("id"), "id", "left_anti")
 
 
 def fold_status(events: DataFrame) -> DataFrame:
@@ -47,6 +61,14 @@ def fold_status(events: DataFrame) -> DataFrame:
     )
 
 
+def batch_status(events: DataFrame) -> DataFrame:
+    """The events of a batch combined to one row per link, to be folded again with other batches."""
+    last = F.max(F.struct("ts", "event_id", "status")).alias("last")
+    failed = F.count_if(F.col("status").isin(C.STATUS_RETRY, C.STATUS_ERROR)).cast("bigint")
+    combined = events.groupBy("id").agg(last, failed.alias("tentativas"))
+    return combined.select("id", "last.ts", "last.event_id", "last.status", "tentativas")
+
+
 def with_status(links: DataFrame, events: DataFrame) -> DataFrame:
     """Queue rows with the status folded from their events; none means pending."""
     folded = fold_status(events)
@@ -69,12 +91,19 @@ def pending(links: DataFrame, domain: str | None = None, limit: int | None = Non
     return ready if limit is None else ready.orderBy("id").limit(limit)
 
 
-def stats(links: DataFrame) -> DataFrame:
-    """Total, done, failed and waiting links in one pass."""
-    done = F.count_if(F.col("status") == C.STATUS_DONE)
-    failed = F.count_if(F.col("status") == C.STATUS_ERROR)
-    return links.agg(
-        F.count("*").alias("links_total"), done.alias("links_done"), failed.alias("links_error")
+def _with_listings(listings: DataFrame, links: DataFrame) -> DataFrame:
+    """Listings and links as one table of kinds and statuses, to be counted in one pass."""
+    none = F.lit(None).cast("string").alias("status")
+    return listings.select(F.lit("listing").alias("kind"), none).unionByName(links.select(F.lit("link").alias("kind"), "status"))
+
+
+def stats(listings: DataFrame, links: DataFrame) -> DataFrame:
+    """Listings, and total, done, failed and waiting links, in one pass."""
+    return _with_listings(listings, links).agg(
+        F.count_if(F.col("kind") == "listing").alias("listings"),
+        F.count_if(F.col("kind") == "link").alias("links_total"),
+        F.count_if(F.col("status") == C.STATUS_DONE).alias("links_done"),
+        F.count_if(F.col("status") == C.STATUS_ERROR).alias("links_error"),
     ).withColumn(
         "links_pending", F.col("links_total") - F.col("links_done") - F.col("links_error")
     )
@@ -82,10 +111,7 @@ def stats(links: DataFrame) -> DataFrame:
 
 def stats_report(listings: DataFrame, links: DataFrame) -> DataFrame:
     """Report lines: listings, links, processed, waiting."""
-    both = listings.select(F.lit("listing").alias("kind"), F.lit(None).cast("string").alias("status")).unionByName(
-        links.select(F.lit("link").alias("kind"), "status")
-    )
-    return both.agg(
+    return _with_listings(listings, links).agg(
         F.count_if(F.col("kind") == "listing").alias("listings"),
         F.count_if(F.col("kind") == "link").alias("links"),
         F.count_if(F.col("status") == C.STATUS_DONE).alias("done"),

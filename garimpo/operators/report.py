@@ -82,13 +82,17 @@ def price_range_cast(df: DataFrame) -> DataFrame:
     return df.agg(F.min(value).alias("minimo"), F.max(value).alias("maximo"))
 
 
-def load_delta(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows before, after and added."""
-    counted = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionAll(
-        after.select(F.lit(0).alias("b"), F.lit(1).alias("a"))
+def load_delta(stored: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
+    """Rows before an upsert, after it and added: the distinct incoming keys not stored yet.
+
+    ``stored`` has one row per key. Only keys are read, and combined per key before
+    the shuffle: a key is new if it was met as incoming only.
+    """
+    keys = stored.select(key, F.lit(1).alias("old")).unionAll(incoming.select(key, F.lit(0).alias("old")))
+    met = keys.groupBy(key).agg(F.max("old").alias("old"))
+    return met.agg(
+        F.count_if(F.col("old") == 1).alias("antes"), F.count("*").alias("depois"), F.count_if(F.col("old") == 0).alias("adicionados")
     )
-    sums = counted.agg(F.sum("b").alias("antes"), F.sum("a").alias("depois"))
-    return sums.withColumn("adicionados", F.col("depois") - F.col("antes"))
 
 
 def prices_per_page(pages: DataFrame, examples: int = 3) -> DataFrame:
@@ -103,9 +107,16 @@ def prices_per_page(pages: DataFrame, examples: int = 3) -> DataFrame:
     )
 
 
-def rows_per_file(df: DataFrame) -> DataFrame:
-    """Rows per input file of a file-backed table."""
-    return df.groupBy(F.col("_metadata.file_name").alias("arquivo")).agg(F.count("*").alias("n"))
+def rows_per_file(df: DataFrame, key: str = "link", name: str = "_metadata.file_name") -> DataFrame:
+    """Rows per input file, and under ``total`` and ``unicos`` all rows and those with distinct keys.
+
+    Keys are combined by file first; a null key is one key, as in the deduplication.
+    """
+    by_key = df.groupBy(F.col(name).alias("arquivo"), F.col(key).alias("k")).agg(F.count("*").alias("n"))
+    counted = by_key.groupBy("arquivo").agg(F.sum("n").alias("n"))
+    total = counted.agg(F.lit("total").alias("arquivo"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    unique = by_key.select("k").distinct().agg(F.lit("unicos").alias("arquivo"), F.count("*").alias("n"))
+    return counted.unionByName(total).unionByName(unique)
 
 
 def recent_first(df: DataFrame, tie: str = "id") -> DataFrame:

@@ -8,12 +8,13 @@ only the few functions in ``Dialect`` are spelled differently.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from garimpo.functions.steps import computed, spread
+from garimpo.functions.steps import computed
 from garimpo.sources.readers import table
 
 GIVEN = {"revisions": ["lineitem"], "link_events": ["events"], "keywords": ["customer"]}
@@ -79,7 +80,7 @@ FROM (
          WHEN list_id % 13 = 0 THEN '' ELSE 'R$ ' || {d.points('total')} END AS preco,
     CASE WHEN list_id % 7 = 0 OR list_id % 11 = 0 OR list_id % 13 = 0 THEN NULL
          ELSE total END AS valor,
-    {txt('c % 400 + 20')} || ' m²' AS metragem,
+    CASE WHEN list_id % 41 = 0 THEN '12000' ELSE {txt('c % 400 + 20')} END || ' m²' AS metragem,
     {txt('c % 5 + 1')} || ' Q' AS quartos,
     {txt('c % 3 + 1')} || ' B' AS banheiros,
     CASE WHEN list_id % 17 = 0 THEN NULL
@@ -168,8 +169,19 @@ def _jsonld_common() -> str:
 
 
 def ad_pages(d: Dialect) -> str:
-    """A page per ad in four layouts: JSON-LD object, JSON-LD list, text, challenge."""
-    script = "'<script type=\"application/ld+json\">'"
+    """A page per ad in four layouts: JSON-LD object, JSON-LD list, text, challenge.
+
+    Script types are written in all quotings. Of the text pages, one kind in three
+    has its title over two lines and its description meta turned round, one an
+    apostrophe in the description and no space in the price, one references for
+    the currency sign, spaces and letters. Some challenge pages are short, some
+    say that nothing was found.
+    """
+    script = (
+        "CASE list_id % 12 WHEN 4 THEN '<script type=''application/ld+json''>'"
+        " WHEN 8 THEN '<script async type=application/ld+json>' WHEN 9 THEN '<script type = \"application/ld+json\" id=x>'"
+        " ELSE '<script type=\"application/ld+json\">' END"
+    )
     layout_object = " || ".join(
         [
             "'<!DOCTYPE html><html lang=\"pt-BR\"><head><meta charset=\"utf-8\">'",
@@ -204,12 +216,17 @@ def ad_pages(d: Dialect) -> str:
     layout_text = " || ".join(
         [
             "'<!DOCTYPE html><html lang=\"pt-BR\"><head>'",
-            optional("'<title>'", "titulo", "'</title>'"),
-            optional("'<meta name=\"description\" content=\"'", "resumo", "'\">'"),
+            "CASE WHEN list_id % 12 = 2 THEN " + optional("'<title data-n=\"1\">' || chr(10)", "titulo", "chr(10) || '</title>'")
+            + " ELSE " + optional("'<title>'", "titulo", "'</title>'") + " END",
+            "CASE list_id % 12 WHEN 2 THEN " + optional("'<meta content=\"'", "resumo", "'\" name=description>'")
+            + " WHEN 6 THEN " + optional("'<meta name=\"description\" content=\"'", "resumo", "' d''agua\">'")
+            + " ELSE " + optional("'<meta name=\"description\" content=\"'", "resumo", "'\">'") + " END",
             "'</head><body>'",
             "CASE WHEN titulo IS NULL THEN '<h1 class=\"t\"><b>Sem</b> titulo</h1>' ELSE '' END",
             "'<p>'",
-            optional("nullif(preco, '')", "', '"),
+            "CASE list_id % 12 WHEN 6 THEN replace(" + optional("nullif(preco, '')", "', '") + ", 'R$ ', 'R$')"
+            + " WHEN 10 THEN replace(replace(" + optional("nullif(preco, '')", "','") + ", '$', '&#36;'), ' ', '&#xA0;') || ' '"
+            + " ELSE " + optional("nullif(preco, '')", "', '") + " END",
             "metragem",
             "' '",
             "replace(quartos, 'Q', 'quartos')",
@@ -218,7 +235,8 @@ def ad_pages(d: Dialect) -> str:
             "'</p>'",
             optional("'<p>'", "endereco", "', '", "cidade", "' - '", "upper(estado)", "'</p>'"),
             optional("'<p>CEP '", "cep", "'</p>'"),
-            f"coalesce('<p>Tel ' || contato || '</p>', '<a href=\"tel:+55-11-' || {txt('list_id')} || '\">ligar</a>')",
+            f"coalesce('<p>Tel ' || contato || '</p>', CASE WHEN list_id % 24 = 18 THEN '<span data-phone=\"11 9' || {txt('list_id')}"
+            f" || '\">ligar</span>' ELSE '<a href=\"tel:+55-11-' || {txt('list_id')} || '\">ligar</a>' END)",
             "'</body></html>'",
         ]
     )
@@ -226,11 +244,15 @@ def ad_pages(d: Dialect) -> str:
         "'<!DOCTYPE html><html lang=\"en-US\"><head><title>Just a moment...</title></head><body>"
         "Verifying that you are human. This page will continue by itself in a moment.</body></html>'"
     )
+    no_result = (
+        "'<!DOCTYPE html><html lang=\"pt-BR\"><head><title>Busca</title></head><body>"
+        "Não encontramos resultados para a busca. Tente de novo com outras palavras.</body></html>'"
+    )
     return f"""
 SELECT list_id AS page_id,
   coalesce(link, 'https://www.olx.com.br/sem-link/' || {txt('list_id')}) AS url,
-  CASE list_id % 4 WHEN 0 THEN {layout_object} WHEN 1 THEN {layout_list}
-    WHEN 2 THEN {layout_text} ELSE {challenge} END AS html
+  CASE list_id % 4 WHEN 0 THEN {layout_object} WHEN 1 THEN {layout_list} WHEN 2 THEN {layout_text}
+    ELSE CASE list_id % 20 WHEN 7 THEN '<p>curta</p>' WHEN 11 THEN {no_result} ELSE {challenge} END END AS html
 FROM ads"""
 
 
@@ -259,8 +281,22 @@ def _ad_json() -> str:
     )
 
 
+DEEP = 12
+
+
+def group_element(entry: str) -> str:
+    """A payload element that holds one ad URL, ``DEEP`` levels down."""
+    return (
+        "'{\"type\":\"GalleryGroup\",' || repeat('\"n\":{', " + str(DEEP) + ") || '\"ad_url\":\"https://www.olx.com.br/fundo/' || "
+        + txt(entry) + " || '\"' || repeat('}', " + str(DEEP) + ") || '},'"
+    )
+
+
 def captures(d: Dialect) -> str:
-    """Twenty ads per recorded response; some refused, some cut off in an ad."""
+    """Twenty ads per recorded response; some refused, some cut off in an ad.
+
+    Every other one starts with a group element whose ad lies deep inside.
+    """
     entry = div("list_id", 20)
     comma = "CASE WHEN list_id % 20 = 0 THEN '' ELSE ',' END"
     return f"""
@@ -273,7 +309,7 @@ SELECT entry_id, 'fetch' AS type,
     ELSE whole END AS text
 FROM (
   SELECT {entry} AS entry_id,
-    '[' || CASE WHEN {entry} % 2 = 0 THEN '{{"type":"GalleryGroup"}},' ELSE '' END
+    '[' || CASE WHEN {entry} % 2 = 0 THEN {group_element(entry)} ELSE '' END
     || {d.join_rows(comma + ' || ' + _ad_json(), 'list_id')} || ']' AS whole
   FROM ads GROUP BY {entry}
 ) w"""
@@ -316,17 +352,20 @@ def listing_pages(d: Dialect) -> str:
     number = txt("list_id")
     anchor = f"""CASE list_id % 5
       WHEN 0 THEN '<li><a href="/vi/' || {number} || '?lis=1">ver</a></li>'
-      WHEN 1 THEN '<li><a class="c" href="https://www.olx.com.br/imoveis/anuncio-' || {number} || '?x=1">ver</a></li>'
-      WHEN 2 THEN '<li><a href="https://pr.olx.com.br/regiao-metropolitana/vi/' || {number} || '"><img src="i.jpg"></a></li>'
+      WHEN 1 THEN '<li><a class="c" data-href="#" href="https&#58;//www.olx.com.br/imoveis/anuncio-' || {number} || '?x=1&amp;y=2">ver</a></li>'
+      WHEN 2 THEN '<li><a href=https://pr.olx.com.br/regiao-metropolitana/vi/' || {number} || '><img src="i.jpg"></a></li>'
       WHEN 3 THEN '<li><a href="https://www.example.com/venda/' || {number} || '">ver</a></li>'
       ELSE '<li><a href="/ajuda/' || {number} || '">ver</a></li>' END"""
     comma = "CASE WHEN list_id % 20 = 0 THEN '' ELSE ',' END"
-    state = f"""'{{"url":"https://www.olx.com.br/d/' || {txt('list_id % 7 + list_id - list_id % 20')} || '?x=1"}}'"""
+    slash = "CASE list_id % 3 WHEN 0 THEN '/' WHEN 1 THEN chr(92) || '/' ELSE chr(92) || 'u002F' END"
+    state = (
+        f"""'{{"url":"' || replace('https://www.olx.com.br/d/' || {txt('list_id % 7 + list_id - list_id % 20')} || '?x=1', '/', {slash}) || '"}}'"""
+    )
     return f"""
 SELECT {entry} AS page_id, 'https://www.olx.com.br/imoveis/estado-pr?o=' || {txt(entry)} AS url,
-  '<html><body><ul>' || {d.join_rows(anchor, 'list_id')}
+  '<html><body><ul><!-- <a href="https://www.olx.com.br/imoveis/antigo">x</a> -->' || {d.join_rows(anchor, 'list_id')}
   || '</ul><script>window.__PRELOADED_STATE__ = {{"ads":[' || {d.join_rows(comma + ' || ' + state, 'list_id')}
-  || '],"cdn":"https://cdn.example.com/i"}};</script></body></html>' AS html
+  || '],"cdn":"https://cdn.example.com/i","https://www.olx.com.br/chave":1}};</script></body></html>' AS html
 FROM ads GROUP BY {entry}"""
 
 
@@ -336,7 +375,8 @@ def result_pages(d: Dialect) -> str:
     number = txt("list_id")
     anchor = f"""CASE list_id % 4
       WHEN 0 THEN '<a href="https://www.' || host || '/vi/' || {number} || '?utm=1">r</a>'
-      WHEN 1 THEN '<a href="https://www.bing.com/ck/a?!&&p=x&u=a1https3A%2F%2Fwww.' || host || '%2Fvi%2F' || {number} || '&ntb=1">r</a>'
+      WHEN 1 THEN '<a href="' || replace('https://www.bing.com/ck/a?!&&p=x&u=a1https3A%2F%2Fwww.' || host || '%2Fvi%2F' || {number} || '&ntb=1',
+        '&', CASE WHEN list_id % 8 = 1 THEN '&amp;' ELSE '&' END) || '">r</a>'
       WHEN 2 THEN '<a href="https://www.bing.com/rdr.asp?ref=https%3A%2F%2Fwww.' || host || '%2Fvi%2F' || {number} || '">r</a>'
       ELSE '<a href="https://www.bing.com/search?first=' || {number} || '">mais</a>' END"""
     return f"""
@@ -441,20 +481,29 @@ FROM_TABLES = {"ads", "revisions", "link_events", "keywords"}
 
 
 def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A derived input as a DataFrame over the tables of ``folder``."""
-    for given in GIVEN.get(name, AD_TABLES):
-        scan = table(spark, folder, given)
-        if given == "orders" and name == "ad_pages":
-            scan = spread(scan)
-        scan.createOrReplaceTempView(given)
+    """A derived input as a DataFrame over the tables of ``folder``.
+
+    Tables are handed to the statement itself, so no view of the session is touched.
+    """
+    scans = {given: table(spark, folder, given) for given in GIVEN.get(name, AD_TABLES)}
+    if name == "ad_pages":
+        # Narrow order rows are dealt over the tasks that render the pages.
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        scans["orders"] = scans["orders"].repartition(partitions, "o_orderkey")
     if name not in FROM_TABLES:
-        spark.sql(ads(SPARK)).createOrReplaceTempView("ads")
-    rows = spark.sql(INPUTS[name](SPARK))
+        scans = {"ads": spark.sql(_named(ads(SPARK), scans), **scans)}
+    rows = spark.sql(_named(INPUTS[name](SPARK), scans), **scans)
     if "html" not in rows.columns:
         return rows
     return computed(rows, [c for c in rows.columns if c != "html"], {"html": F.col("html")})
 
 
+def _named(sql: str, scans: dict[str, DataFrame]) -> str:
+    """The statement with its tables as parameters, braces in texts doubled."""
+    sql = sql.replace("{", "{{").replace("}", "}}")
+    return re.sub(rf"\b(FROM|JOIN) ({'|'.join(scans)})\b", r"\1 {\2}", sql)
+
+
 def with_inputs(names: list[str], select: str) -> str:
     """The checking engine's statement over the same derived inputs."""
     wanted = list(names)

@@ -9,7 +9,7 @@ from garimpo import constants as C
 from garimpo.functions import jsons, keys, money, text, urls
 from garimpo.operators import captures as cap
 from garimpo.operators import cards, discover, extract
-from garimpo.plans.corpus import SPARK, derive, link_events
+from garimpo.plans.corpus import derive
 from garimpo.plans.registry import (
     CAPTURE_ADS,
     CAPTURE_NAMES,
@@ -71,13 +71,11 @@ page_field(
 )
 
 
-@register(
-    "fn_phone_find", None,
-    r"SELECT doc_id, nullif(regexp_extract(text, '\+\d{1,3} \(\d{3}\) \d{3}-\d{4}'), '') AS contato FROM documents",
+page_field(
+    "fn_phone_find", text.phone_find, "contato",
+    "coalesce(" + found(r"\(?\d{2,3}\)?\s*\d{4,5}-\d{4}") + ", " + found(r"""(?i)href=["'']tel:(\+?[0-9\-\(\)\s]+)["'']""", 1)
+    + ", " + found(r"""(?i)data-phone=["'']([^"'']+)["'']""", 1) + ")",
 )
-def fn_phone_find(spark: SparkSession, sf: str) -> DataFrame:
-    documents = readers.table(spark, sf, "documents")
-    return documents.select("doc_id", text.phone_find(F.col("text"), C.PHONE_INTERNATIONAL).alias("contato"))
 
 
 @register(
@@ -111,7 +109,7 @@ def fn_first_line(spark: SparkSession, sf: str) -> DataFrame:
 VISIBLE = (
     r"regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')"
 )
-for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
+for entity, char in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]:
     VISIBLE = f"replace({VISIBLE}, '{entity}', '{char}')"
 
 
@@ -178,7 +176,7 @@ def fn_strip_query(spark: SparkSession, sf: str) -> DataFrame:
           WHEN href LIKE '#%' THEN regexp_replace(url, '#.*$', '') || href
           WHEN href LIKE '?%' THEN regexp_replace(url, '[?#].*$', '') || href
           ELSE regexp_extract(regexp_replace(url, '[?#].*$', ''), '^(.*/)', 1) || href END AS link
-        FROM (SELECT page_id, url, unnest(range(len(h))) AS pos, unnest(h) AS href FROM (SELECT page_id, url,
+        FROM (SELECT page_id, url, unnest(range(len(h))) AS pos, replace(unnest(h), '&amp;', '&') AS href FROM (SELECT page_id, url,
           regexp_extract_all(html, '(?i)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']+)["'']', 1) AS h FROM pages))""",
 )
 def fn_url_absolute(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,20 +295,36 @@ def ex_jsonld_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "ex_regex_listing", ["ads", "ad_pages"],
-    r"""SELECT page_id, titulo, preco, metragem, quartos, banheiros, contato FROM (
-      SELECT page_id, coalesce(nullif(regexp_extract(html, '(?i)<title>(.*?)</title>', 1), ''),
+    r"""SELECT page_id, titulo, preco, metragem, quartos, banheiros, descricao, endereco, coalesce(cidade_json, cidade) AS cidade,
+      coalesce(estado_json, estado) AS estado, cep, contato, link, metragem_num, quartos_num, banheiros_num,
+      CAST(try_cast(replace(replace(rtrim(regexp_replace(preco, 'R\$\s*', ''), '.,'), '.', ''), ',', '.') AS DECIMAL(18, 2)) AS DOUBLE) AS preco_num
+      FROM (
+      SELECT page_id, url AS link, coalesce(nullif(regexp_extract(html, '(?i)<title>(.*?)</title>', 1), ''),
         nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', '', 'g')), '')) AS titulo,
         nullif(regexp_extract(html, 'R\$\s*[\d.,]+'), '') AS preco,
         nullif(regexp_extract(html, '(?i)(\d{2,4})\s*m[²2]', 1), '') || ' m²' AS metragem,
         nullif(regexp_extract(html, '(?i)(\d+)\s*(?:quartos|quarto|qt|q)\b', 1), '') || ' Q' AS quartos,
         nullif(regexp_extract(html, '(?i)(\d+)\s*(?:banheiros?\b|b\.)', 1), '') || ' B' AS banheiros,
         coalesce(nullif(regexp_extract(html, '\(?\d{2,3}\)?\s*\d{4,5}-\d{4}'), ''),
-          nullif(regexp_extract(html, '(?i)href=["'']tel:(\+?[0-9\-\(\)\s]+)["'']', 1), '')) AS contato
-      FROM ad_pages) WHERE titulo IS NOT NULL OR preco IS NOT NULL OR metragem IS NOT NULL""",
+          nullif(regexp_extract(html, '(?i)href=["'']tel:(\+?[0-9\-\(\)\s]+)["'']', 1), ''),
+          nullif(regexp_extract(html, '(?i)data-phone=["'']([^"'']+)["'']', 1), '')) AS contato,
+        nullif(regexp_extract(html, '(?i)<meta\s+name=["'']description["'']\s+content=["'']([^"'']+)["'']', 1), '') AS descricao,
+        nullif(trim(regexp_extract(html, p, 1)), '') AS endereco, nullif(trim(regexp_extract(html, p, 2)), '') AS cidade,
+        nullif(regexp_extract(html, p, 3), '') AS estado,
+        nullif(regexp_extract(html, '"addressLocality"\s*:\s*"([^"]{2,100})"', 1), '') AS cidade_json,
+        nullif(regexp_extract(html, '"addressRegion"\s*:\s*"([A-Z]{2})"', 1), '') AS estado_json,
+        coalesce(nullif(regexp_extract(html, '"postalCode"\s*:\s*"(\d{5}-\d{3})"', 1), ''),
+          nullif(regexp_extract(html, '\b\d{5}-\d{3}\b'), '')) AS cep,
+        CAST(nullif(regexp_extract(html, '(?i)(\d{2,6})\s*m[²2]', 1), '') AS BIGINT) AS metragem_num,
+        CAST(nullif(regexp_extract(html, '(?i)(\d+)\s*(?:quartos|quarto|qt|q)\b', 1), '') AS BIGINT) AS quartos_num,
+        CAST(nullif(regexp_extract(html, '(?i)(\d+)\s*(?:banheiros?\b|b\.)', 1), '') AS BIGINT) AS banheiros_num
+      FROM ad_pages, (SELECT '([A-Za-z0-9\s.,\-]+\b),\s*([A-Za-z\s]+)\s*-\s*([A-Z]{2})' AS p)
+      WHERE length(html) >= 100) WHERE titulo IS NOT NULL OR preco IS NOT NULL OR metragem IS NOT NULL""",
 )
 def ex_regex_listing(spark: SparkSession, sf: str) -> DataFrame:
-    rows = extract.regex_listings(derive(spark, sf, "ad_pages"))
-    return rows.select("page_id", "titulo", "preco", "metragem", "quartos", "banheiros", "contato")
+    rows = extract.typed(extract.regex_listings(derive(spark, sf, "ad_pages")))
+    numbers = big("metragem_num", "quartos_num", "banheiros_num")
+    return rows.select("page_id", *EX_FIELDS, *numbers, F.col("preco_num").cast("double").alias("preco_num"))
 
 
 @register(
@@ -335,9 +349,11 @@ def ex_embedded_address(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "ex_ad_page_merge", ["ads", "ad_pages"],
     r"""SELECT a.list_id AS page_id,
-        CASE a.list_id % 4 WHEN 0 THEN titulo WHEN 1 THEN NULL WHEN 2 THEN titulo ELSE 'Just a moment...' END AS titulo,
-        CASE a.list_id % 4 WHEN 2 THEN CASE WHEN valor IS NOT NULL THEN preco || ',' END END AS preco,
-        CASE a.list_id % 4 WHEN 0 THEN resumo WHEN 2 THEN resumo END AS descricao,
+        CASE a.list_id % 4 WHEN 0 THEN titulo WHEN 1 THEN NULL WHEN 2 THEN titulo
+          ELSE CASE a.list_id % 20 WHEN 7 THEN NULL WHEN 11 THEN 'Busca' ELSE 'Just a moment...' END END AS titulo,
+        CASE a.list_id % 4 WHEN 2 THEN CASE WHEN valor IS NOT NULL
+          THEN CASE WHEN a.list_id % 12 = 6 THEN replace(preco, 'R$ ', 'R$') ELSE preco END || ',' END END AS preco,
+        CASE a.list_id % 4 WHEN 0 THEN resumo WHEN 2 THEN resumo || CASE WHEN a.list_id % 12 = 6 THEN ' d''agua' ELSE '' END END AS descricao,
         CASE a.list_id % 4 WHEN 0 THEN endereco END AS endereco, CASE a.list_id % 4 WHEN 0 THEN cidade END AS cidade,
         CASE a.list_id % 4 WHEN 0 THEN estado END AS estado,
         CASE WHEN a.list_id % 4 IN (0, 2) THEN cep END AS cep,
@@ -356,24 +372,26 @@ def ex_ad_page_merge(spark: SparkSession, sf: str) -> DataFrame:
     "ex_requests_listing", ["ads", "ad_pages"],
     r"""SELECT * FROM (
         SELECT list_id AS page_id, titulo,
-          CASE WHEN valor IS NOT NULL THEN 'R$ ' || valor WHEN preco = 'Sob consulta' THEN preco END AS preco,
-          endereco, cidade, estado, cep, CAST(NULL AS VARCHAR) AS contato FROM ads WHERE list_id % 4 = 0
+          CASE WHEN valor IS NOT NULL THEN 'R$ ' || valor WHEN preco = 'Sob consulta' THEN preco END AS preco, resumo AS descricao,
+          endereco, cidade, estado, cep, CAST(NULL AS VARCHAR) AS contato, url AS link
+        FROM ads JOIN ad_pages ON list_id = page_id WHERE list_id % 4 = 0
         UNION ALL
-        SELECT list_id, NULL, nullif(regexp_extract(html, 'R\$\s*[\d.,]+'), ''), NULL, NULL, NULL,
-          nullif(regexp_extract(html, '\d{5}-\d{3}'), ''), nullif(regexp_extract(html, '\(\d{2}\)\s*\d{4,5}-\d{4}'), '')
+        SELECT list_id, NULL, 'R$ ' || nullif(regexp_extract(html, 'R\$\s*([\d.,]+)', 1), ''),
+          nullif(regexp_extract(html, '<meta\s+name="description"\s+content="([^"]+)"', 1), ''), NULL, NULL, NULL,
+          nullif(regexp_extract(html, '\d{5}-\d{3}'), ''), nullif(regexp_extract(html, '\(\d{2}\)\s*\d{4,5}-\d{4}'), ''), url
         FROM ads JOIN ad_pages ON list_id = page_id WHERE list_id % 4 > 0
       ) WHERE titulo IS NOT NULL OR preco IS NOT NULL OR endereco IS NOT NULL""",
 )
 def ex_requests_listing(spark: SparkSession, sf: str) -> DataFrame:
     rows = extract.requests_listings(derive(spark, sf, "ad_pages"))
-    return rows.select("page_id", "titulo", "preco", "endereco", "cidade", "estado", "cep", "contato")
+    return rows.select("page_id", "titulo", "preco", "descricao", "endereco", "cidade", "estado", "cep", "contato", "link")
 
 
 @register(
     "ex_text_listing", ["ads"],
     """SELECT *, md5(titulo || coalesce(preco, '') || coalesce(link, '')) AS id FROM (
        SELECT list_id, coalesce(titulo, nullif(preco, '') || ',', metragem || ' com ' || replace(quartos, 'Q', 'quartos')) AS titulo,
-         CASE WHEN valor IS NOT NULL THEN preco || ',' END AS preco, metragem, quartos, link FROM ads)""",
+         CASE WHEN valor IS NOT NULL THEN preco || ',' END AS preco, replace(metragem, '12000', '2000') AS metragem, quartos, link FROM ads)""",
 )
 def ex_text_listing(spark: SparkSession, sf: str) -> DataFrame:
     return extract.text_listings(derive(spark, sf, "ad_texts"))
@@ -395,7 +413,7 @@ OFFER_KEY = "md5(coalesce(titulo, 'None') || coalesce(preco, 'None'))"
           substr(titulo || ' ' || coalesce(cidade || ' ', '') || coalesce(preco || ' ', '') || '- ' || metragem
             || CASE WHEN list_id % 3 = 0 THEN '' ELSE ' ver' END, 1, 150) AS descricao,
           CASE WHEN list_id % 3 = 0 THEN NULL ELSE 'https://www.imovelweb.com.br/vi/' || list_id END AS link
-        FROM ads) WHERE pos < 10 AND titulo IS NOT NULL AND preco IS NOT NULL""",
+        FROM ads) WHERE titulo IS NOT NULL AND preco IS NOT NULL""",
 )
 def ex_cards_imovelweb(spark: SparkSession, sf: str) -> DataFrame:
     found_cards = cards.portal_cards(derive(spark, sf, "card_pages_portal"))
@@ -410,11 +428,11 @@ def ex_cards_imovelweb(spark: SparkSession, sf: str) -> DataFrame:
           SELECT {card_page('list_id', 24)}, coalesce(titulo, nullif(preco, ''), metragem || ' ' || replace(quartos, 'Q', 'quartos')
               || ' ' || replace(banheiros, 'B', 'banheiros')) AS titulo,
             coalesce(CASE WHEN valor IS NOT NULL THEN preco END, 'Sob consulta') AS preco, metragem, quartos, banheiros,
-            'https://www.imovelweb.com.br/vi/' || list_id AS link FROM ads) WHERE pos < 20
+            'https://www.imovelweb.com.br/vi/' || list_id AS link FROM ads)
         UNION ALL
         SELECT 'b', page_id, pos, {OFFER_KEY}, titulo, preco, metragem, quartos, NULL, NULL FROM (
           SELECT {card_page('list_id', 24)}, coalesce(titulo, nullif(preco, ''), metragem || ' ' || replace(quartos, 'Q', 'quartos')) AS titulo,
-            coalesce(CASE WHEN valor IS NOT NULL THEN preco END, 'Sob consulta') AS preco, metragem, quartos FROM ads) WHERE pos < 20""",
+            coalesce(CASE WHEN valor IS NOT NULL THEN preco END, 'Sob consulta') AS preco, metragem, quartos FROM ads)""",
 )
 def ex_cards_generic(spark: SparkSession, sf: str) -> DataFrame:
     a = cards.browser_cards_a(derive(spark, sf, "card_pages_browser_a")).withColumn("site", F.lit("a"))
@@ -430,7 +448,7 @@ def ex_cards_generic(spark: SparkSession, sf: str) -> DataFrame:
     f"""SELECT fonte, page_id, pos, {OFFER_KEY} AS id, titulo, preco, metragem, link FROM (
         SELECT unnest(['ImóvelVirtual', 'VivaReal']) AS fonte, {card_page('list_id', 12)}, titulo, nullif(preco, '') AS preco,
           metragem, 'https://www.imovelweb.com.br/imovel/' || list_id AS link FROM ads)
-        WHERE pos < 10 AND titulo IS NOT NULL AND preco IS NOT NULL""",
+        WHERE titulo IS NOT NULL AND preco IS NOT NULL""",
 )
 def ex_cards_article(spark: SparkSession, sf: str) -> DataFrame:
     article = cards.offer_cards(derive(spark, sf, "card_pages_article"), cards.ARTICLE)
@@ -536,6 +554,8 @@ def ex_keyword_listing(spark: SparkSession, sf: str) -> DataFrame:
 
 # --------------------------------------------------------------------- streams
 
+VERSION_ORDER = ["seq", "preco"]
+
 
 @register(
     "st_capture_ingest", ["ads", "captures"],
@@ -552,37 +572,52 @@ def st_capture_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select("entry_id", "list_id", "ad_url", "preco", "titulo")
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Queue events read from the event table as a stream."""
-    events = readers.table(spark, sf, "events")
-    jobs.file_stream(spark, f"{sf}/events*.parquet", events.schema).createOrReplaceTempView("events")
-    return spark.sql(link_events(SPARK))
+def half_streams(arrived: DataFrame, base: str, half: str) -> list[DataFrame]:
+    """The rows as two file streams of several batches, one for each of two runs of a job."""
+    streams = []
+    for part, rows in (("first", arrived.filter(half)), ("second", arrived.filter(f"NOT ({half})"))):
+        rows.repartition(4).write.parquet(f"{base}/{part}")
+        streams.append(jobs.file_stream(arrived.sparkSession, f"{base}/{part}", arrived.schema, files_per_batch=2))
+    return streams
 
 
 @register("st_link_first_seen", ["link_events"], "SELECT DISTINCT id, url, domain FROM link_events")
 def st_link_first_seen(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "first-seen")
-    jobs.first_seen_links(event_stream(spark, sf), f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.schema(jobs.SEEN_SCHEMA).parquet(f"{base}/out").drop("batch_id")
+    events = derive(spark, sf, "link_events")
+    for i, stream in enumerate(half_streams(events, base, "event_id % 2 = 0")):
+        jobs.first_seen_links(stream, f"{base}/out", f"{base}/checkpoint-{i}").awaitTermination()
+    return spark.read.schema(jobs.SEEN_SCHEMA).parquet(f"{base}/out").select("id", "url", "domain")
 
 
 @register(
     "st_listing_upsert", ["revisions"],
-    """SELECT id, titulo, preco FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC, preco DESC) AS rn
-       FROM revisions WHERE titulo IS NOT NULL) WHERE rn = 1""",
+    """SELECT 'accepted' AS verdict, id, titulo, preco FROM (
+         SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC, preco DESC) AS rn
+         FROM revisions WHERE titulo IS NOT NULL) WHERE rn = 1
+       UNION ALL SELECT 'rejected', id, titulo, preco FROM revisions WHERE titulo IS NULL""",
 )
 def st_listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "upsert")
     arrived = derive(spark, sf, "revisions").select("id", "titulo", "preco", "seq")
-    arrived.repartition(4, "seq").write.parquet(f"{base}/in")
-    stream = jobs.file_stream(spark, f"{base}/in", arrived.schema, files_per_batch=2)
-    jobs.upsert_listings(stream, f"{base}/log", f"{base}/checkpoint", ["seq", "preco"]).awaitTermination()
-    newest = jobs.latest_listings(spark.read.parquet(f"{base}/log"), ["seq", "preco"])
-    return newest.select("id", "titulo", "preco")
+    for i, stream in enumerate(half_streams(arrived, base, "seq % 2 = 0")):
+        jobs.upsert_listings(
+            stream, f"{base}/log", f"{base}/checkpoint-{i}", VERSION_ORDER, f"{base}/rejects"
+        ).awaitTermination()
+    newest = jobs.latest_listings(jobs.stored_batches(spark, f"{base}/log", arrived.schema), VERSION_ORDER)
+    rejects = jobs.stored_batches(spark, f"{base}/rejects", arrived.schema)
+    both = newest.withColumn("verdict", F.lit("accepted")).unionByName(rejects.withColumn("verdict", F.lit("rejected")))
+    return both.select("verdict", "id", "titulo", "preco")
 
 
-@register("st_queue_stats", ["link_events"], "SELECT status, count(*) AS n FROM link_events GROUP BY status")
+@register(
+    "st_queue_stats", ["link_events"],
+    """SELECT status, count(*) AS n FROM (SELECT id, max_by(status, (ts, event_id)) AS status FROM link_events GROUP BY id)
+       GROUP BY status""",
+)
 def st_queue_stats(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "progress")
-    jobs.status_progress(event_stream(spark, sf), f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return jobs.latest_snapshot(spark.read.parquet(f"{base}/out"))
+    events = derive(spark, sf, "link_events").select("id", "ts", "event_id", "status")
+    for i, stream in enumerate(half_streams(events, base, "event_id % 3 = 0")):
+        jobs.status_log(stream, f"{base}/log", f"{base}/checkpoint-{i}").awaitTermination()
+    return jobs.status_progress(jobs.stored_batches(spark, f"{base}/log", jobs.PROGRESS_SCHEMA))

@@ -34,15 +34,24 @@ READ_BACK = col_list(
 
 @register(
     "src_capture_json", ["captures"],
-    "SELECT entry_id, url, CAST(status AS BIGINT) AS status, md5(text) AS text_md5 FROM captures",
+    """SELECT entry_id, url, CAST(status AS BIGINT) AS status, md5(text) AS text_md5 FROM captures WHERE entry_id // 64 % 5 <> 4
+       UNION ALL SELECT NULL, 'unreadable', count(DISTINCT entry_id // 64), NULL FROM captures WHERE entry_id // 64 % 5 = 4""",
 )
 def src_capture_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one indented array each; every fifth is broken and comes back as a count."""
     path = scratch_path(spark, "captures-json")
-    entries = F.to_json(F.collect_list(F.struct("entry_id", "type", "url", "method", "status", "text")))
-    files = derive(spark, sf, "captures").groupBy(F.expr("entry_id div 4")).agg(entries.alias("value"))
-    files.select("value").write.text(path)
-    read = readers.capture_json(spark, path, multi_line=False)
-    return read.select("entry_id", "url", *big("status"), F.md5("text").alias("text_md5"))
+    entry = F.to_json(F.struct("entry_id", "type", "url", "method", "status", "text"), {"pretty": "true"})
+    rows = derive(spark, sf, "captures").withColumn("arquivo", F.expr("entry_id div 64"))
+    files = rows.groupBy("arquivo").agg(F.array_join(F.collect_list(entry), ",\n").alias("body"))
+    end = F.when(F.col("arquivo") % 5 != 4, "\n]").otherwise(",{")
+    files = files.select("arquivo", F.concat(F.lit("[\n"), "body", end).alias("value"))
+    files.repartition("arquivo").write.partitionBy("arquivo").text(path)
+    read = readers.capture_json(spark, f"{path}/*").select("entry_id", "url", *big("status"), F.md5("text").alias("text_md5"))
+    broken = readers.capture_rejects(spark, f"{path}/*").agg(F.count("*").alias("status"))
+    none = F.lit(None)
+    return read.unionByName(
+        broken.select(none.cast("long").alias("entry_id"), F.lit("unreadable").alias("url"), "status", none.cast("string").alias("text_md5"))
+    )
 
 
 @register(
@@ -53,8 +62,9 @@ def src_capture_json(spark: SparkSession, sf: str) -> DataFrame:
 def src_latest_file(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "exports")
     exports = derive(spark, sf, "ads").withColumn("lote", F.expr("seq div 3650000000000000"))
-    exports.select("id", "titulo", "link", "lote").write.partitionBy("lote").parquet(path)
-    return readers.latest_file(spark.read.parquet(path), "lote").drop("lote")
+    writers.export_csv_by(exports, "lote", path)
+    newest = readers.latest_file(spark, path, "*.csv")
+    return readers.export_csv(spark, newest).select("id", "titulo", "link")
 
 
 @register("src_csv_glob", ["ads"], f"SELECT {READ_BACK} FROM ads")
@@ -148,37 +158,55 @@ UPSERT_EXPECTED = """SELECT id, link, titulo, preco, cidade, fonte FROM (
 VERSION_ORDER = ["seq", "preco"]
 
 
-@register("snk_listing_upsert", UPSERT_INPUTS, UPSERT_EXPECTED)
+@register(
+    "snk_listing_upsert", UPSERT_INPUTS,
+    f"""SELECT *, 'accepted' AS verdict FROM ({UPSERT_EXPECTED}) UNION ALL
+        SELECT id, link, titulo, preco, NULL, fonte, 'rejected' FROM revisions WHERE titulo IS NULL""",
+)
 def snk_listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored table and a delta appended to the log; rows the table does not take, on the side."""
     stored, incoming = listing_versions(spark, sf)
-    log = scratch_path(spark, "listing-log")
-    writers.listing_log(stored, log)
-    writers.listing_log(
-        dedup.accepted(incoming).withColumn("cidade", F.lit(None).cast("string")).select(*stored.columns), log
-    )
+    log, side = scratch_path(spark, "listing-log"), scratch_path(spark, "listing-rejects")
+    incoming = incoming.withColumn("cidade", F.lit(None).cast("string")).select(*stored.columns)
+    writers.listing_log(stored, f"{log}/parte=base")
+    writers.listing_log(dedup.accepted(incoming), f"{log}/parte=delta")
+    writers.rejects(dedup.rejected(incoming), side)
     schema = stored.drop("fonte").schema.add("fonte", "string")
-    newest = dedup.latest(spark.read.schema(schema).parquet(log), order=tuple(VERSION_ORDER))
-    return newest.select("id", "link", "titulo", "preco", "cidade", "fonte")
+    base, delta = (spark.read.schema(schema).parquet(f"{log}/parte={p}") for p in ("base", "delta"))
+    columns = ["id", "link", "titulo", "preco", "cidade", "fonte"]
+    # The base has one row an id, so only ids of the delta are ranked.
+    newest = dedup.merged(base, delta, VERSION_ORDER).select(*columns, F.lit("accepted").alias("verdict"))
+    rejects = spark.read.schema(stored.schema).parquet(side).select(*columns, F.lit("rejected").alias("verdict"))
+    return newest.unionByName(rejects)
 
 
 def queued_and_found(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    queued = queue.as_links(derive(spark, sf, "link_events"))
+    queued = queue.as_links(derive(spark, sf, "link_events").select("url"))
     found = queue.as_links(derive(spark, sf, "ads").select(F.col("link").alias("url")))
     return queued, found
 
 
-@register(
-    "snk_link_insert_ignore", ["ads", "link_events"],
-    f"""SELECT DISTINCT md5(url) AS id, url, {QUEUE_DOMAIN} AS domain FROM (
-      SELECT link AS url FROM ads WHERE link IS NOT NULL UNION ALL SELECT url FROM link_events)""",
-)
+FIRST_FOUND = f"""SELECT md5(url) AS id, url, {QUEUE_DOMAIN} AS domain, keyword, data_add FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY place) AS rn FROM (
+    SELECT link AS url, 'apartamento ' || lower(coalesce(cidade, 'centro')) AS keyword, data_coleta AS data_add,
+      1000000000 + list_id AS place FROM ads WHERE link IS NOT NULL
+    UNION ALL SELECT url, CAST(NULL AS VARCHAR), strftime(ts, '%Y-%m-%d %H:%M:%S'), event_id - 1000000000 FROM link_events)) WHERE rn = 1"""
+
+
+@register("snk_link_insert_ignore", ["ads", "link_events"], FIRST_FOUND)
 def snk_link_insert_ignore(spark: SparkSession, sf: str) -> DataFrame:
-    queued, found = queued_and_found(spark, sf)
+    """Queued links first; a link keeps the keyword and date it was first found with."""
+    events = derive(spark, sf, "link_events")
+    day = text.prefix(F.col("ts").cast("string"), 19).alias("data_add")
+    queued = queue.as_links(events.select("url", day, "event_id"), order="event_id")
+    word = F.concat(F.lit("apartamento "), F.lower(F.coalesce("cidade", F.lit("centro"))))
+    hits = derive(spark, sf, "ads").select(F.col("link").alias("url"), word.alias("keyword"), F.col("data_coleta").alias("data_add"), "list_id")
+    found = queue.as_links(hits, order="list_id")
     path = scratch_path(spark, "queue")
     queued.write.mode("append").parquet(path)
     queue.insert_ignore(spark.read.schema(queued.schema).parquet(path), found).write.parquet(f"{path}-new")
     stored = spark.read.schema(queued.schema).parquet(path, f"{path}-new")
-    return stored.select("id", "url", "domain")
+    return stored.select("id", "url", "domain", "keyword", "data_add")
 
 
 def stored_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -235,7 +263,7 @@ def snk_consolidated(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "prj_api_normalize", ["ads"],
     """SELECT md5(CAST(list_id AS VARCHAR)) AS id, titulo, preco, metragem, endereco AS bairro, cidade,
-       'PR' AS estado, cep, link FROM ads""",
+       'PR' AS estado, cep, link, try_cast(data_coleta AS TIMESTAMP) AS timestamp FROM ads""",
 )
 def prj_api_normalize(spark: SparkSession, sf: str) -> DataFrame:
     items = derive(spark, sf, "ads").select(
@@ -246,8 +274,9 @@ def prj_api_normalize(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.col("endereco").alias("neighborhood"), F.col("cidade").alias("municipality")).alias("location"),
         F.col("cep").alias("zip"),
         F.col("link").alias("url"),
+        "data_coleta",
     )
-    return cap.api_items(items, "pr")
+    return cap.api_items(items, "pr", text.iso_time(F.col("data_coleta")))
 
 
 @register(
@@ -365,7 +394,8 @@ def flt_present(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "flt_blocked_page", ["ad_pages"],
-    "SELECT page_id, url, CASE WHEN page_id % 4 = 3 THEN 'challenge' ELSE 'ok' END AS state FROM ad_pages",
+    """SELECT page_id, url, CASE WHEN page_id % 4 = 3
+         THEN CASE page_id % 20 WHEN 7 THEN 'short' WHEN 11 THEN 'empty' ELSE 'challenge' END ELSE 'ok' END AS state FROM ad_pages""",
 )
 def flt_blocked_page(spark: SparkSession, sf: str) -> DataFrame:
     return extract.classify_pages(derive(spark, sf, "ad_pages"))
@@ -447,12 +477,12 @@ def ag_total(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "ag_queue_stats", QUEUE_INPUTS,
-    f"""SELECT count(*) AS links_total, count(*) FILTER (WHERE status = 'done') AS links_done,
+    f"""SELECT (SELECT count(*) FROM ads) AS listings, count(*) AS links_total, count(*) FILTER (WHERE status = 'done') AS links_done,
         count(*) FILTER (WHERE status = 'error') AS links_error,
         count(*) FILTER (WHERE status NOT IN ('done', 'error')) AS links_pending FROM {QUEUE}""",
 )
 def ag_queue_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return queue.stats(current_queue(spark, sf))
+    return queue.stats(derive(spark, sf, "ads"), current_queue(spark, sf))
 
 
 @register(
@@ -560,7 +590,7 @@ def ag_ingest_by_domain(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ag_load_delta(spark: SparkSession, sf: str) -> DataFrame:
     stored, incoming = listing_versions(spark, sf)
-    return report.load_delta(stored, dedup.upsert(stored, incoming, VERSION_ORDER))
+    return report.load_delta(stored, dedup.accepted(incoming))
 
 
 @register(
@@ -595,7 +625,8 @@ ANCHOR_TEXT = """(SELECT list_id // 25 AS page_id, list_id % 25 AS pos, CASE lis
     f"""SELECT domain, count(*) AS anchors,
         string_agg(href, ' ' ORDER BY page_id, pos) FILTER (WHERE rn <= 8) AS samples FROM (
           SELECT *, row_number() OVER (PARTITION BY domain ORDER BY page_id, pos) AS rn
-          FROM {ANCHOR_TEXT} WHERE style <> 3 AND domain <> 'anuncios.example.com') GROUP BY domain""",
+          FROM {ANCHOR_TEXT} WHERE style <> 3 AND domain <> 'anuncios.example.com') GROUP BY domain
+        UNION ALL SELECT NULL, (SELECT count(*) FROM ads), NULL""",
 )
 def ag_anchor_counts(spark: SparkSession, sf: str) -> DataFrame:
     return discover.anchor_counts(derive(spark, sf, "result_pages"))
@@ -630,9 +661,19 @@ def ag_prices_per_page(spark: SparkSession, sf: str) -> DataFrame:
     return report.prices_per_page(derive(spark, sf, "ad_pages"))
 
 
-@register("ag_rows_per_file", None, "SELECT 'events.parquet' AS arquivo, count(*) AS n FROM events")
+@register(
+    "ag_rows_per_file", ["ads"],
+    """SELECT CAST(seq // 3650000000000000 AS VARCHAR) AS arquivo, count(*) AS n FROM ads GROUP BY 1
+       UNION ALL SELECT 'total', count(*) FROM ads
+       UNION ALL SELECT 'unicos', count(DISTINCT link) + max(CASE WHEN link IS NULL THEN 1 ELSE 0 END) FROM ads""",
+)
 def ag_rows_per_file(spark: SparkSession, sf: str) -> DataFrame:
-    return report.rows_per_file(readers.table(spark, sf, "events"))
+    path = scratch_path(spark, "exports")
+    exports = derive(spark, sf, "ads").withColumn("lote", F.expr("seq div 3650000000000000"))
+    writers.export_csv_by(exports, "lote", path)
+    rows = readers.export_csv(spark, f"{path}/*")
+    batch = F.regexp_extract("_metadata.file_path", "lote=([0-9]+)", 1)
+    return report.rows_per_file(rows.select("link", batch.alias("arquivo_lote")), name="arquivo_lote")
 
 
 @register(
@@ -676,13 +717,15 @@ def wn_dedup_first_link(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "wn_dedup_list_id", ["captures"],
-    _one_per("list_id", "entry_id, pos", ["list_id", "ad_url", "titulo", "preco"],
-             CAPTURE_ADS),
+    "SELECT list_id AS id, ad_url AS link, titulo, preco, cidade, upper(estado) AS estado, 'OLX' AS fonte, '2025-01-01' AS data_coleta FROM ("
+    + _one_per("list_id", "entry_id, pos", ["list_id", "ad_url", "titulo", "preco", "cidade", "estado"], CAPTURE_ADS) + ")",
 )
 def wn_dedup_list_id(spark: SparkSession, sf: str) -> DataFrame:
+    """The capture route: ads found, one row an id, in the short listing layout."""
     ads = cap.ads_by_pattern(derive(spark, sf, "captures"))
     unique = dedup.first_by(ads, ["list_id"], ["entry_id", "pos"])
-    return unique.select("list_id", "ad_url", "titulo", "preco")
+    rows = cap.as_listings(unique, "2025-01-01")
+    return rows.select("id", "link", "titulo", "preco", "cidade", "estado", "fonte", "data_coleta")
 
 
 @register(

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from garimpo import constants as C
 from garimpo.functions import text
-from garimpo.functions.steps import spread
 
 EXPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in C.EXPORT_COLUMNS])
 CAPTURE_SCHEMA = T.StructType(
@@ -32,8 +31,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored pages, ``page_id, url, html``, on all cores."""
-    return spread(table(spark, folder, "pages"))
+    """Stored pages, ``page_id, url, html``; the session's split size deals them out."""
+    return table(spark, folder, "pages")
 
 
 def page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -44,19 +43,37 @@ def page_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _capture_files(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    schema = T.StructType([*CAPTURE_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", CORRUPT).json(path).withColumn("arquivo", F.col("_metadata.file_path"))
+
+
 def capture_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Network logs as JSON arrays; a file that is no JSON gives no rows."""
-    rows = (
-        spark.read.schema(CAPTURE_SCHEMA)
-        .option("multiLine", multi_line)
-        .option("mode", "DROPMALFORMED")
-        .json(path)
-    )
-    return rows
+    """Network logs as JSON, one array a file, or one a line without ``multi_line``.
+
+    What is no JSON gives no rows here; ``capture_rejects`` has it.
+    """
+    return _capture_files(spark, path, multi_line).filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "arquivo")
+
 
+def capture_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """``(arquivo, texto)`` of each file, or line, that is no JSON: the side of ``capture_json`` to count."""
+    # Spark refuses to read the corrupt column alone, so the condition looks at a field too.
+    fields = F.size(F.array_compact(F.array("url", "text")))
+    broken = _capture_files(spark, path, multi_line).filter(F.col(CORRUPT).isNotNull() & (fields >= 0))
+    return broken.select("arquivo", F.col(CORRUPT).alias("texto"))
 
-def export_csv(spark: SparkSession, path: str | list[str], skip_corrupt_files: bool = True) -> DataFrame:
-    """Listing exports by folder or glob, with file metadata at hand."""
+
+def export_csv(spark: SparkSession, path: str | list[str], skip_corrupt_files: bool = False) -> DataFrame:
+    """Listing exports by folder or glob, with file metadata at hand.
+
+    A file that cannot be read fails the job unless asked otherwise; with
+    ``skip_corrupt_files``, ``files_without_rows`` names those left out.
+    """
     return (
         spark.read.schema(EXPORT_SCHEMA)
         .options(**CSV_OPTIONS)
@@ -65,15 +82,27 @@ def export_csv(spark: SparkSession, path: str | list[str], skip_corrupt_files: b
     )
 
 
+def file_names(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """``(arquivo, bytes)`` of the files below a folder or glob, without reading them."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return found.select(F.col("path").alias("arquivo"), F.col("length").alias("bytes"))
+
+
+def files_without_rows(spark: SparkSession, path: str, rows: DataFrame, pattern: str = "*.csv") -> DataFrame:
+    """Files below ``path`` that gave no row of ``rows``: empty or skipped as unreadable."""
+    seen = rows.select(F.col("_metadata.file_path").alias("arquivo")).distinct()
+    plain = F.regexp_replace("arquivo", "^file:/+", "/")
+    return file_names(spark, path, pattern).withColumn("k", plain).join(seen.select(plain.alias("k")), "k", "left_anti").drop("k")
+
+
 def export_json(spark: SparkSession, path: str, schema: T.StructType = EXPORT_SCHEMA) -> DataFrame:
     """Listing exports as JSON lines."""
     return spark.read.schema(schema).json(path)
 
 
-def latest_file(df: DataFrame, name: str = "_metadata.file_name") -> DataFrame:
-    """Rows of the file, or of the partition folder, with the greatest name only."""
-    newest = df.agg(F.max(F.col(name)))
-    return df.filter(F.col(name) == newest.scalar())
+def latest_file(spark: SparkSession, path: str, pattern: str = "*") -> str | None:
+    """The file with the greatest name below a folder or glob, found by listing; None without files."""
+    return file_names(spark, path, pattern).agg(F.max("arquivo").alias("a")).first()["a"]
 
 
 def keyword_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -10,8 +10,11 @@ from garimpo.operators.dedup import last_by
 from garimpo.sources.readers import CSV_OPTIONS
 
 
+ROWS_PER_FILE = 500_000  # quoted line breaks keep a CSV file from being split when it is read again
+
+
 def _csv(df: DataFrame, path: str) -> str:
-    df.write.options(**{k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}).option(
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).options(**{k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}).option(
         "emptyValue", ""
     ).csv(path)
     return path
@@ -26,6 +29,12 @@ def _with_export_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def rejects(df: DataFrame, path: str) -> str:
+    """Append rows a table did not take to its side table."""
+    df.write.mode("append").parquet(path)
+    return path
+
+
 def export_json(df: DataFrame, path: str) -> str:
     """Listings as JSON lines, nulls left out."""
     df.write.json(path)
@@ -37,6 +46,15 @@ def export_csv(df: DataFrame, path: str) -> str:
     return _csv(_with_export_columns(df), path)
 
 
+def export_csv_by(df: DataFrame, column: str, path: str) -> str:
+    """The export as one folder of files for each value of a column."""
+    wanted = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in C.EXPORT_COLUMNS]
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
+    rows = df.select(*wanted, column).repartition(column)
+    rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).options(**options).option("emptyValue", "").partitionBy(column).csv(path)
+    return path
+
+
 def export_csv_localized(df: DataFrame, path: str) -> str:
     """Export with display headings, newest first across the part files."""
     ordered = _with_export_columns(df).orderBy(F.desc_nulls_last("data_coleta"), F.asc("id"))

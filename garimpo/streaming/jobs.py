@@ -1,8 +1,10 @@
 """Incremental versions of capture ingest, first-seen links, upsert and progress.
 
 Each job reads new files once and resumes from its checkpoint. Output is written
-per micro-batch under ``batch_id``: a batch that is run again after a failure
-overwrites its own folder, so every input row counts once.
+per micro-batch under ``run_id`` and ``batch_id``. The run id is kept in the
+checkpoint: a batch that is run again after a failure overwrites its own folder,
+so every input row counts once, and a job started with a new checkpoint adds to
+what earlier runs stored.
 """
 
 from __future__ import annotations
@@ -23,9 +25,13 @@ SEEN_SCHEMA = T.StructType(
         T.StructField("id", T.StringType()),
         T.StructField("url", T.StringType()),
         T.StructField("domain", T.StringType()),
+        T.StructField("run_id", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("shard", T.StringType()),
     ]
 )
+BATCH_SCHEMA = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+SHARD_CHARS = 1  # leading hex digits of the id that the seen links are partitioned by
 
 
 def file_stream(
@@ -50,8 +56,18 @@ def run_available(stream: DataFrame, job: str, write: Callable[[DataFrame, int],
     )
 
 
-def _batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+def _run_id(batch: DataFrame) -> str:
+    """The id of the running query, which its checkpoint keeps over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _batch_folder(path: str, batch: DataFrame, batch_id: int) -> str:
+    return f"{path}/run_id={_run_id(batch)}/batch_id={batch_id}"
+
+
+def _opened(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Make sure the folder can be read, whether or not an earlier run wrote to it."""
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("run_id", "batch_id").parquet(path)
 
 
 def ingest_captures(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
@@ -67,21 +83,25 @@ def ingest_captures(stream: DataFrame, out: str, checkpoint: str) -> StreamingQu
 
 
 def first_seen_links(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Links not seen in any earlier batch.
+    """Links not seen in any earlier batch, of this run or another.
 
     The seen links are a table, not operator state: a batch is first reduced to
     one row per link where it is read, then anti-joined, so neither a hot link
-    nor years of history has to fit in one task's state store.
+    nor years of history has to fit in one task's state store. The table is
+    partitioned by the first digits of the id, and a batch reads only the
+    partitions its links fall into.
     """
+    _opened(stream.sparkSession, out, SEEN_SCHEMA)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        found = batch.select("id", "url", "domain")
-        if batch_id == 0:
-            new = found.dropDuplicates(["id"])
-        else:
-            log = batch.sparkSession.read.schema(SEEN_SCHEMA).parquet(out)
-            new = queue.insert_ignore(log.filter(F.col("batch_id") < batch_id), found)
-        new.write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        shard = F.substring("id", 1, SHARD_CHARS)
+        found = batch.groupBy("id").agg(F.min("url").alias("url"), F.min("domain").alias("domain")).withColumn("shard", shard)
+        shards = [r["shard"] for r in found.select("shard").distinct().toLocalIterator()]
+        log = batch.sparkSession.read.schema(SEEN_SCHEMA).parquet(out)
+        own = (F.col("run_id") == _run_id(batch)) & (F.col("batch_id") == batch_id)
+        seen = log.filter(F.col("shard").isin(shards) & ~own)
+        new = queue.insert_ignore(seen, found)
+        new.write.mode("overwrite").partitionBy("shard").parquet(_batch_folder(out, batch, batch_id))
 
     return run_available(stream, "first_seen_links", write, checkpoint)
 
@@ -91,32 +111,60 @@ def first_seen_within(stream: DataFrame, delay: str) -> DataFrame:
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def upsert_listings(stream: DataFrame, log: str, checkpoint: str, order: list[str]) -> StreamingQuery:
-    """Append each batch's newest version per id to the listing log."""
+def upsert_listings(
+    stream: DataFrame, log: str, checkpoint: str, order: list[str], rejects: str | None = None
+) -> StreamingQuery:
+    """Append each batch's newest version per id to the listing log.
+
+    Rows the table does not take go to ``rejects`` (by default beside the log),
+    where they can be counted.
+    """
+    side = rejects or f"{log}-rejects"
+    schema = T.StructType([*stream.schema.fields, *BATCH_SCHEMA])
+    for path in (log, side):
+        _opened(stream.sparkSession, path, schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         newest = dedup.last_by(dedup.accepted(batch), ["id"], order)
-        newest.write.mode("overwrite").parquet(_batch_folder(log, batch_id))
+        newest.write.mode("overwrite").parquet(_batch_folder(log, batch, batch_id))
+        dedup.rejected(batch).write.mode("overwrite").parquet(_batch_folder(side, batch, batch_id))
 
     return run_available(stream, "upsert_listings", write, checkpoint)
 
 
+def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What all runs of a job have stored, with ``run_id`` and ``batch_id``."""
+    return spark.read.schema(T.StructType([*schema.fields, *BATCH_SCHEMA])).parquet(path)
+
+
 def latest_listings(log: DataFrame, order: list[str]) -> DataFrame:
     """The listing table: newest version per id over the log's batches."""
     return dedup.last_by(log, ["id"], [*order, "batch_id"])
 
 
-def status_progress(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Events per status so far, one small snapshot per batch."""
-    counts = stream.groupBy("status").agg(F.count("*").alias("n"))
+def status_log(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Append each batch's events, one row per link with its latest status and failed attempts."""
+    _opened(stream.sparkSession, out, T.StructType([*PROGRESS_SCHEMA.fields, *BATCH_SCHEMA]))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.coalesce(1).write.mode("overwrite").parquet(_batch_folder(out, batch_id))
+        latest = queue.batch_status(batch.select("id", "ts", "event_id", "status"))
+        latest.write.mode("overwrite").parquet(_batch_folder(out, batch, batch_id))
+
+    return run_available(stream, "status_log", write, checkpoint)
 
-    return run_available(counts, "status_progress", write, checkpoint, mode="complete")
+
+PROGRESS_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("ts", T.TimestampType()),
+        T.StructField("event_id", T.LongType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("tentativas", T.LongType()),
+    ]
+)
 
 
-def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Rows of the last snapshot written."""
-    newest = snapshots.agg(F.max("batch_id"))
-    return snapshots.filter(F.col("batch_id") == newest.scalar()).drop("batch_id")
+def status_progress(log: DataFrame) -> DataFrame:
+    """Links per latest status, over all batches stored so far."""
+    latest = log.groupBy("id").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"))
+    return latest.groupBy("status").agg(F.count("*").alias("n"))

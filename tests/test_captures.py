@@ -57,7 +57,8 @@ def test_ad_urls_one_per_ad():
         "https://a", payload.NATIVE_URL + "7",
     ]
     deep = "[" * 12 + '{"ad_url":"https://a"}' + "]" * 12
-    assert payload.ad_urls(deep) == []
+    assert payload.ad_urls(deep) == ["https://a"]
+    assert payload.ad_urls("[" + '{"b":' * 50000 + '{"ad_url":"https://a"}' + "}" * 50000 + "]") == ["https://a"]
 
 
 def test_pattern_route_and_salvage_route(entries):

@@ -42,8 +42,10 @@ def test_capture_files_unreadable_one_is_empty(spark, fresh_dir):
     folder = Path(fresh_dir)
     (folder / "a.json").write_text(json.dumps([{"type": "fetch", "url": "u", "status": 200, "text": "t"}, {"status": 403}], indent=2))
     (folder / "b.json").write_text("this is no JSON")
-    rows = readers.capture_json(spark, str(folder)).filter("status is not null").collect()
+    rows = readers.capture_json(spark, str(folder)).collect()
     assert sorted((r.status, r.text) for r in rows) == [(200, "t"), (403, None)]
+    rejects = readers.capture_rejects(spark, str(folder))
+    assert rejects.count() == 1 and rejects.first().arquivo.endswith("b.json")
 
 
 def test_latest_file_and_glob(spark, listings, fresh_dir):
@@ -53,7 +55,12 @@ def test_latest_file_and_glob(spark, listings, fresh_dir):
         (folder / name).write_text(header + "\n" + "".join(f"{name}-{i}" + "," * 14 + "\n" for i in range(n)))
     rows = readers.export_csv(spark, f"{folder}/imoveis_*.csv")
     assert rows.count() == 3
-    assert [r.id for r in readers.latest_file(rows).orderBy("id").collect()] == [f"imoveis_20250301.csv-{i}" for i in range(2)]
+    newest = readers.latest_file(spark, str(folder), "imoveis_*.csv")
+    assert [r.id for r in readers.export_csv(spark, newest).orderBy("id").collect()] == [f"imoveis_20250301.csv-{i}" for i in range(2)]
+    assert readers.latest_file(spark, str(folder), "nothing*") is None
+    (folder / "imoveis_20250401.csv").write_text(header + "\n")
+    empty = readers.files_without_rows(spark, str(folder), readers.export_csv(spark, f"{folder}/imoveis_*.csv")).collect()
+    assert [r.arquivo.rsplit("/", 1)[1] for r in empty] == ["imoveis_20250401.csv"]
 
 
 def test_page_files(spark, fresh_dir):

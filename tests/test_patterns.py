@@ -34,6 +34,7 @@ def unit(find, mark):
     return lambda s: None if find(s) is None else f"{find(s)} {mark}"
 
 
+# The patterns in the cases below are fixed values: the plain forms the tuned ones must equal.
 def test_finders_equal_plain_patterns(spark):
     given = texts(4000, 11)
     address = r"([A-Za-z0-9\s\.,\-]+\b)(?:,\s*)([A-Za-z\s]+)\s*-\s*([A-Z]{2})"

@@ -45,14 +45,29 @@ def test_upsert_stream_equals_batch(spark, fresh_dir):
     got = jobs.latest_listings(spark.read.parquet(f"{fresh_dir}/log"), ["seq"]).select("id", "titulo", "seq")
     want = dedup.last_by(dedup.accepted(df), ["id"], ["seq"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    rejects = jobs.stored_batches(spark, f"{fresh_dir}/log-rejects", df.schema)
+    assert rejects.count() == sum(r[1] is None for r in rows)
 
 
-def test_progress_snapshot(spark, fresh_dir):
-    df = spark.createDataFrame([("done",), ("done",), ("error",)], "status string")
+def test_progress_counts_links_by_latest_status(spark, fresh_dir):
+    rows = [("a", 1, 1, "pending"), ("a", 3, 3, "done"), ("a", 2, 2, "error"), ("b", 1, 4, "error"), ("c", 1, 5, "pending")]
+    df = spark.createDataFrame(rows, "id string, s long, event_id long, status string")
+    df = df.select("id", F.timestamp_seconds("s").alias("ts"), "event_id", "status")
     df.repartition(3).write.parquet(f"{fresh_dir}/in")
-    stream = jobs.file_stream(spark, f"{fresh_dir}/in", df.schema, files_per_batch=1)
-    jobs.status_progress(stream, f"{fresh_dir}/out", f"{fresh_dir}/cp").awaitTermination()
-    assert {tuple(r) for r in jobs.latest_snapshot(spark.read.parquet(f"{fresh_dir}/out")).collect()} == {("done", 2), ("error", 1)}
+    for run in range(2):  # the second run adds the same events again and changes nothing
+        stream = jobs.file_stream(spark, f"{fresh_dir}/in", df.schema, files_per_batch=1)
+        jobs.status_log(stream, f"{fresh_dir}/out", f"{fresh_dir}/cp{run}").awaitTermination()
+    log = jobs.stored_batches(spark, f"{fresh_dir}/out", jobs.PROGRESS_SCHEMA)
+    assert {tuple(r) for r in jobs.status_progress(log).collect()} == {("done", 1), ("error", 1), ("pending", 1)}
+
+
+def test_a_new_checkpoint_keeps_what_was_stored(spark, fresh_dir):
+    for run, ids in enumerate((["a", "b"], ["b", "c"])):
+        df = spark.createDataFrame([(i, "u", "d") for i in ids], "id string, url string, domain string")
+        df.write.parquet(f"{fresh_dir}/in{run}")
+        stream = jobs.file_stream(spark, f"{fresh_dir}/in{run}", df.schema)
+        jobs.first_seen_links(stream, f"{fresh_dir}/out", f"{fresh_dir}/cp{run}").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{fresh_dir}/out").collect()) == ["a", "b", "c"]
 
 
 def test_first_seen_within_a_horizon(spark, fresh_dir):

@@ -68,7 +68,7 @@ def test_queue(spark):
     assert [r.domain for r in queue.pending(state).collect()] == ["olx.com.br"]
     assert queue.pending(state, domain="outro").count() == 0 and queue.pending(state, limit=1).count() == 1
     assert queue.pending(queue.with_status(links, events.filter("event_id < 1"))).count() == 2
-    stats = queue.stats(state).first()
+    stats = queue.stats(found.limit(3), state).first()
     assert (stats.links_total, stats.links_done, stats.links_error, stats.links_pending) == (2, 0, 0, 2)
 
 
