@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from garimpo.plans.queries import QUERIES
@@ -36,6 +37,7 @@ def main() -> None:
             "spark.driver.memory": "12g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -131,7 +131,7 @@ def snk_csv(spark: SparkSession, sf: str) -> DataFrame:
     return readers.export_csv(spark, path)
 
 
-@register("snk_csv_localized", ["ads"], f"SELECT {READ_BACK} FROM ads")
+@register("snk_csv_localized", ["ads"], f"SELECT {READ_BACK} FROM ads ORDER BY data_coleta DESC NULLS LAST, id")
 def snk_csv_localized(spark: SparkSession, sf: str) -> DataFrame:
     path = writers.export_csv_localized(derive(spark, sf, "ads"), scratch_path(spark, "csv-pt"))
     shown = spark.read.options(**readers.CSV_OPTIONS).csv(path)
@@ -814,12 +814,12 @@ def so_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return derive(spark, sf, "crawl_links").select("link").distinct()
 
 
-@register("so_distinct_ordered", ["search_hits"], "SELECT url, min(pos) AS first_pos FROM search_hits GROUP BY url")
+@register("so_distinct_ordered", ["search_hits"], "SELECT url, min(pos) AS first_pos FROM search_hits GROUP BY url ORDER BY first_pos, url")
 def so_distinct_ordered(spark: SparkSession, sf: str) -> DataFrame:
     return dedup.distinct_in_order(derive(spark, sf, "search_hits"), "url", "pos").orderBy("first_pos", "url")
 
 
-@register("so_consolidate", ["ads"], CONSOLIDATED)
+@register("so_consolidate", ["ads"], CONSOLIDATED + " ORDER BY try_cast(data_coleta AS TIMESTAMP) DESC NULLS LAST, id")
 def so_consolidate(spark: SparkSession, sf: str) -> DataFrame:
     whole = report.consolidate(*two_exports(spark, sf), order=EXPORT_ORDER)
     return whole.select(

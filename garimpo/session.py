@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -40,22 +38,13 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """A folder that the driver and all executors reach.
 
-    Only a local session without a setting gets a temporary folder; a cluster
-    session without one is an error, since executors do not share local disks.
+    ``spark.checkpoint.dir`` names it; where it is unset, the warehouse is used,
+    which a session shares with its executors too. No machine-local folder is.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_scratch()
-
-
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -80,6 +80,7 @@ def test_keyword_lines(spark, fresh_dir):
 def test_listing_log_and_scratch(spark, listings):
     log = scratch_path(spark, "log")
     assert log.startswith(shared_dir(spark)) and log != scratch_path(spark, "log")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     writers.listing_log(listings, log)
     writers.listing_log(listings, log)
     assert spark.read.parquet(log).count() == 4
