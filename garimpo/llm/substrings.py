@@ -7,16 +7,15 @@ input. The parse is exact and no window is compared with every other:
 
 1. Index. Every window is named by the smallest hash of its ``GRAM``-word runs,
    which depends on its words alone. Consecutive windows of one name form a block
-   (about one block for 14 words); equal windows lie in blocks of equal name. The
+   (about one block for 13 words); equal windows lie in blocks of equal name. The
    index holds a row a block: its name and the hash of all its words.
-2. Factors. A name found once has no equal window anywhere. A name whose blocks
-   all have equal words, twice or more, is a whole factor: each of its words is
-   covered. Adjoining factors make one long span, read off without looking at
-   words again.
-3. Boundaries. Names whose blocks differ are where a shared passage begins or
-   ends. Only for them, the windows themselves are hashed and counted. Blocks in
-   which a run of words recurs (repetitive text) are treated the same way, since
-   one block may then hold equal windows.
+2. Factors. A name found once has no equal window anywhere. Blocks with equal
+   words, two or more, are whole factors: each of their words is covered.
+   Adjoining factors make one long span, read off without looking at words again.
+3. Boundaries. A block whose words are found once, though not its name, is where a
+   shared passage begins or ends. Only its windows are hashed and counted, against
+   those of one block of each kind that has the name. Where all blocks of a name
+   lie in one text (repetitive text), the windows are counted in that text.
 
 Windows are told apart by two 64-bit hashes (name and words). Null and blank
 texts have no words; texts shorter than a window lose nothing. Rows repeated or
@@ -41,7 +40,7 @@ from garimpo.llm.frames import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 35
-GRAM = 8
+GRAM = 11
 
 _BLOCK = pa.schema(
     [
@@ -126,14 +125,14 @@ def _index(window: int, gram: int):
 _PARSED = pa.schema(
     [
         ("doc_id", pa.int64()), ("tid", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-        ("kept", pa.string()), ("kept_sha256", pa.string()), ("text", pa.string()),
-        ("covered", pa.list_(pa.int32())), ("starts", pa.list_(pa.int32())),
+        ("kept", pa.string()), ("kept_sha256", pa.string()), ("text", pa.string()), ("covered", pa.list_(pa.int32())),
+        ("starts", pa.list_(pa.int32())), ("weights", pa.list_(pa.int32())),
         ("names", pa.list_(pa.int64())), ("windows", pa.list_(pa.int64())),
     ]
 )
 _PARSED_SQL = (
     "doc_id bigint, tid bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string, text string, "
-    "covered array<int>, starts array<int>, names array<bigint>, windows array<bigint>"
+    "covered array<int>, starts array<int>, weights array<int>, names array<bigint>, windows array<bigint>"
 )
 
 
@@ -154,20 +153,43 @@ def _cut(text: str, lows: list[int], ends: list[int], whole: bool) -> tuple[int,
     return len(words), removed, kept.decode("utf-8", "surrogatepass") if whole else None, hashlib.sha256(kept).hexdigest()
 
 
+def _starts(spans: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The window starts of blocks, and the name of each."""
+    starts = [np.arange(s["low"], s["high"] + 1, dtype=np.int32) for s in spans]
+    names = [np.full(s["high"] - s["low"] + 1, s["name"], dtype=np.int64) for s in spans]
+    return np.concatenate([*starts, np.empty(0, np.int32)]), np.concatenate([*names, np.empty(0, np.int64)])
+
+
 def _parse(window: int, whole: bool):
-    """Finish texts whose factors are all known; list the windows at factor boundaries of the others."""
+    """Finish texts whose factors are all known; list the windows at factor boundaries."""
 
     def one(doc_id, tid, text, spans, hashes) -> tuple:
-        sure = [s for s in spans if not s["check"]]
+        sure = [s for s in spans if s["kind"] in ("factor", "sample")]
         lows, ends = [s["low"] for s in sure], [s["high"] + window for s in sure]
-        if len(sure) == len(spans):
-            return (doc_id, tid, *_cut(text, lows, ends, whole), None, None, None, None, None)
-        open_spans = [s for s in spans if s["check"]]
-        every = hashing.signed(hashing.grams(hashes, window))
-        starts = np.concatenate([np.arange(s["low"], s["high"] + 1, dtype=np.int32) for s in open_spans])
-        names = np.concatenate([np.full(s["high"] - s["low"] + 1, s["name"], dtype=np.int64) for s in open_spans])
-        flat = [x for pair in zip(lows, ends, strict=True) for x in pair]
-        return (doc_id, tid, None, None, None, None, text, flat, starts, names, every[starts])
+        if len(sure) < len(spans) or any(s["kind"] == "sample" for s in sure):
+            every = hashing.signed(hashing.grams(hashes, window))
+        inner = {s["name"] for s in spans if s["kind"] == "inner"}
+        own, names = _starts([s for s in spans if s["name"] in inner])
+        if len(own):
+            pairs = np.stack([names, every[own]])
+            _, back, counts = np.unique(pairs, axis=1, return_inverse=True, return_counts=True)
+            twice = own[counts[back.reshape(-1)] > 1].tolist()
+            lows, ends = lows + twice, ends + [s + window for s in twice]
+        asked, asked_names = _starts([s for s in spans if s["kind"] == "open"])
+        shown, shown_names = _starts([s for s in spans if s["kind"] == "sample"])
+        listed = [None] * 4
+        if len(asked) or len(shown):
+            at = np.concatenate([asked, shown])
+            listed = [
+                # A sample stands for two or more equal blocks, and asks nothing for itself.
+                np.concatenate([asked, np.full(len(shown), -1, dtype=np.int32)]),
+                np.concatenate([np.ones(len(asked), dtype=np.int32), np.full(len(shown), 2, dtype=np.int32)]),
+                np.concatenate([asked_names, shown_names]), every[at],
+            ]
+        if len(asked):
+            flat = [x for pair in zip(lows, ends, strict=True) for x in pair]
+            return (doc_id, tid, None, None, None, None, text, flat, *listed)
+        return (doc_id, tid, *_cut(text, lows, ends, whole), None, None, *listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in hashing.slices(batches, "text", hashing.TEXT_SLICE // 2):
@@ -217,17 +239,26 @@ def without_repeats(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     ).select("doc_id", F.xxhash64("text").alias("tid"), "text")
     index = source.mapInArrow(_index(window, gram), _BLOCK_SQL)
-    # One pass over the index: combined before the shuffle, so a passage of many texts is a few rows.
+    row = F.xxhash64("doc_id", "tid")
+    # Combined before the shuffle, so a passage of many texts is a few rows.
     found = (
         index.groupBy("name")
-        .agg(F.count("*").alias("c"), F.min("body").alias("least"), F.max("body").alias("most"), F.max("recurs").alias("recurs"))
+        .agg(F.count("*").alias("c"), F.max("recurs").alias("recurs"), F.min(row).alias("r1"), F.max(row).alias("r2"))
         .where("c > 1 OR recurs > 0")
-        .select("name", ((F.col("least") != F.col("most")) | (F.col("recurs") > 0)).alias("check"))
-    )
-    hits = index.select("doc_id", "tid", "name", "low", "high").join(found, "name")
-    spans = hits.groupBy("doc_id", "tid").agg(
-        F.collect_set(F.struct("low", "high", "check", F.when(F.col("check"), F.col("name")).alias("name"))).alias("spans")
+        .select("name", (F.col("r1") == F.col("r2")).alias("inside"))
     )
+    hits = stored(index.drop("recurs").join(found, "name"), "blocks")
+    first = F.min(F.struct("doc_id", "tid", "low")).alias("first")
+    kinds = hits.groupBy("name", "body", "inside").agg(F.count("*").alias("n"), first)
+    unclear = kinds.where("n = 1 AND NOT inside").select("name").distinct().withColumn("unclear", F.lit(True))
+    kinds = kinds.join(unclear, "name", "left").drop("inside")
+    here = F.struct("doc_id", "tid", "low").eqNullSafe(F.col("first"))
+    kind = (
+        F.when((F.col("n") > 1) & F.col("unclear") & here, "sample").when(F.col("n") > 1, "factor")
+        .when(F.col("inside"), "inner").otherwise("open")
+    )
+    marked = hits.join(kinds, ["name", "body"]).select("doc_id", "tid", F.struct("low", "high", "name", kind.alias("kind")).alias("span"))
+    spans = marked.groupBy("doc_id", "tid").agg(F.collect_set("span").alias("spans"))
     same = F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s.tid") == F.col("f.tid"))
     joined = source.alias("s").join(spans.alias("f"), same, "left").select("s.doc_id", "s.tid", "s.text", "f.spans")
     parsed = stored(joined.mapInArrow(_parse(window, whole), _PARSED_SQL), "parsed")
@@ -235,10 +266,11 @@ def without_repeats(
     result = ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"]
     done = parsed.where("text IS NULL").select(*result)
     unsure = parsed.where("text IS NOT NULL")
-    listed = unsure.select("doc_id", "tid", F.inline(F.arrays_zip("starts", "names", "windows")))
-    listed = listed.toDF("doc_id", "tid", "start", "name", "window")
-    again = listed.groupBy("name", "window").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    starts = listed.join(again, ["name", "window"]).groupBy("doc_id", "tid").agg(F.collect_set("start").alias("found"))
+    zipped = F.arrays_zip("starts", "weights", "names", "windows")
+    listed = parsed.where("starts IS NOT NULL").select("doc_id", "tid", F.inline(zipped))
+    again = listed.groupBy("names", "windows").agg(F.sum("weights").alias("n")).where("n > 1").drop("n")
+    asked = listed.where("starts >= 0").drop("weights").join(again, ["names", "windows"])
+    starts = asked.groupBy("doc_id", "tid").agg(F.collect_set("starts").alias("found"))
     same = F.col("u.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("u.tid") == F.col("f.tid"))
     rest = unsure.alias("u").join(starts.alias("f"), same, "left").select("u.doc_id", "u.text", "u.covered", "f.found")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
