@@ -35,9 +35,14 @@ SCALE = 8
 BUCKETS_PER_PARTITION = 4
 
 
+def highest(scale: int) -> np.uint64:
+    """The largest hash a sketch keeps by the threshold."""
+    return np.uint64((2**64 - 1) // scale)
+
+
 def keep(hashes: np.ndarray, scale: int = SCALE) -> np.ndarray:
     """The sketch of a sorted distinct hash array."""
-    kept = hashes[: np.searchsorted(hashes, np.uint64(2**64 // scale))]
+    kept = hashes[: np.searchsorted(hashes, highest(scale), side="right")]
     return kept if len(kept) else hashes[:1]
 
 
@@ -72,8 +77,7 @@ def sketches(column: pa.Array, size: int = SHINGLE, scale: int = SCALE) -> list[
     """The sketch of each row; only hashes below the threshold are sorted."""
     words = hashing.Words(column, lower=True)
     every = hashing.grams(words.hashes, size)
-    small = np.uint64(2**64 // scale)
-    at = np.flatnonzero(every < small)
+    at = np.flatnonzero(every <= highest(scale))
     low = every[at]
     begin = np.searchsorted(at, words.first[:-1])
     end = np.searchsorted(at, np.maximum(words.first[1:] - size + 1, words.first[:-1]))

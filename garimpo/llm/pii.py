@@ -40,7 +40,7 @@ AROUND = 48
 SUPPORT = 3
 SHARE = 0.5
 BITS = 8.0
-_BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
 def _digits(value: Column) -> Column:

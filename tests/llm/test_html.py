@@ -38,7 +38,7 @@ def test_given_pages_equal_a_plain_reading(spark):
     """On pages of this layout, the article's paragraphs and heading are all there is."""
     folder = "/root/testdata/sf0.001"
     found = X.extracted(spark.read.parquet(f"{folder}/pages.parquet")).collect()
-    assert len(found) == duckdb.sql(f"SELECT count(*) FROM '{folder}/pages.parquet'").fetchone()[0]
+    assert len(found) == duckdb.sql(f"SELECT count(*) FROM '{folder}/pages.parquet'").fetchall()[0][0]
     for row in found:
         article = row["html"].split("<article>")[1].split("</article>")[0]
         parts = (re.sub("<[^>]*>", "", p) for p in re.split("</?(?:p|h1)>|<br>", article))

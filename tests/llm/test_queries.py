@@ -55,7 +55,7 @@ def test_pipeline_stages(spark):
             docs = out
     before, after = tables["quality classifier"]
     scores = quality.scored(before, spark.read.parquet(f"{FOLDER}/labels.parquet"))
-    assert after.count() == scores.where("predicted = 1").count() < before.count()
+    assert after.count() == scores.where("predicted = 1").count() <= before.count()
     before, after = tables["n-gram Jaccard join"]
     assert after.count() == jaccard.linked_components(before).select("component_id").distinct().count()
     before, after = tables["benchmark decontamination"]
