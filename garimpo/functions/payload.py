@@ -95,10 +95,16 @@ def walk(value):
 
 
 def ad_urls(text):
-    """Distinct ad URLs in order: parsed where possible, searched in a cut-off tail."""
+    return summary(text)[1]
+
+
+def summary(text):
+    """Kind of payload, and its distinct ad URLs in order: parsed where possible, searched in a cut-off tail."""
     kind, body = classify(text)
-    if kind is None:
-        return []
+    return kind, _urls(body) if kind else []
+
+
+def _urls(body):
     whole = loads(body)
     if whole is not None:
         return list(dict.fromkeys(walk(whole)))
@@ -130,6 +136,18 @@ def payload_ad_urls(text: Column) -> Column:
     return _list_udf(ad_urls)(text)
 
 
+def payload_summary(text: Column) -> Column:
+    """Struct of the payload kind and the distinct ad URLs; each text is decoded once."""
+
+    @F.arrow_udf("struct<kind:string,urls:array<string>>")
+    def summaries(texts: pa.Array) -> pa.Array:
+        rows = [summary(t.as_py()) for t in texts]
+        kind = pa.struct([("kind", pa.string()), ("urls", pa.list_(pa.string()))])
+        return pa.array([{"kind": k, "urls": u} for k, u in rows], type=kind)
+
+    return summaries(text)
+
+
 def payload_kind(text: Column) -> Column:
     """Struct of the payload kind and the JSON text recognised."""
 

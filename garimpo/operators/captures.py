@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.functions import jsons, keys, text
-from garimpo.functions.payload import payload_ad_urls, payload_kind, salvaged_objects
+from garimpo.functions.payload import payload_ad_urls, payload_kind, payload_summary, salvaged_objects
+from garimpo.functions.steps import computed
 
 NESTED_SCHEMA = (
     "array<struct<content:array<struct<content:array<struct<ad_url:string,list_id:bigint>>>>>>"
@@ -47,10 +48,16 @@ def ads_by_pattern(captures: DataFrame) -> DataFrame:
 
 
 def salvaged_ads(captures: DataFrame) -> DataFrame:
-    """Ads from whole objects of complete or cut-off array payloads."""
-    objects = captures.select(
-        "entry_id", F.explode(salvaged_objects(F.col("text"))).alias("object")
-    )
+    """Ads from whole objects of complete or cut-off array payloads.
+
+    A complete array of objects is taken apart by the JSON parser; only other
+    texts are sent to the scanner.
+    """
+    parts = jsons.elements(F.when(F.col("text").startswith("["), F.col("text")))
+    read = computed(captures, ["entry_id", "text"], {"parts": parts})
+    whole = F.forall("parts", lambda p: p.startswith("{"))
+    rest = F.when(~F.coalesce(whole, F.lit(False)), F.col("text"))
+    objects = read.select("entry_id", F.explode(F.when(whole, F.col("parts")).otherwise(salvaged_objects(rest))).alias("object"))
     fields = F.from_json(
         "object",
         "list_id string, ad_url string, price string, subject string, municipality string, state_uf string",
@@ -73,12 +80,17 @@ def ad_links(captures: DataFrame) -> DataFrame:
 
 
 def payload_kinds(captures: DataFrame) -> DataFrame:
-    """Per entry: which JSON was recognised in the text and how long it is."""
-    kind = captures.select("entry_id", payload_kind(F.col("text")).alias("payload"))
+    """Per entry: which JSON was recognised in the text and how long it is.
+
+    Whole arrays are recognised by the JSON parser, other texts by the scanner.
+    """
+    read = computed(captures, ["entry_id"], {"body": F.trim("text", F.lit(" \t\n\r\x0b\x0c"))})
+    array = computed(read, ["entry_id", "body"], {"is_array": F.col("body").startswith("[") & F.coalesce(jsons.is_valid(F.col("body")), F.lit(False))})
+    kind = array.select("entry_id", "is_array", "body", payload_kind(F.when(~F.col("is_array"), F.col("body"))).alias("payload"))
     return kind.select(
         "entry_id",
-        "payload.kind",
-        F.length("payload.body").cast("bigint").alias("body_chars"),
+        F.when(F.col("is_array"), "array").otherwise(F.col("payload.kind")).alias("kind"),
+        F.length(F.when(F.col("is_array"), F.col("body")).otherwise(F.col("payload.body"))).cast("bigint").alias("body_chars"),
     )
 
 
@@ -147,10 +159,8 @@ def profile(captures: DataFrame) -> DataFrame:
 
 def parse_stats(captures: DataFrame) -> DataFrame:
     """Entries, recognised payloads, URLs in total and distinct."""
-    parsed = captures.select(
-        F.length("text").alias("chars"),
-        payload_kind(F.col("text"))["kind"].alias("kind"),
-        payload_ad_urls(F.col("text")).alias("urls"),
+    parsed = captures.select(F.length("text").alias("chars"), payload_summary(F.col("text")).alias("p")).select(
+        "chars", "p.kind", "p.urls"
     )
     exploded = parsed.select("chars", "kind", F.posexplode_outer("urls").alias("pos", "url"))
     first = F.coalesce("pos", F.lit(0)) == 0
