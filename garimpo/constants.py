@@ -84,6 +84,14 @@ PRICE_ON_REQUEST = "Sob consulta"
 UNTITLED_CARD = "Imóvel em VivaReal"
 NOT_AVAILABLE = "N/A"
 
+# --- fixed values: texts of the listing a keyword stands for -------------------
+KEYWORD_TITLE = "{tipo} em {cidade} - Resultado de Busca"
+KEYWORD_TEXT = "Imóvel tipo {tipo} localizado em {cidade}, {estado}. Resultado da busca por '{keyword}'"
+KEYWORD_LINK = "https://www.busca-imovel.com.br/{tipo}/{cidade}/{estado}"
+KEYWORD_PRICE = "Sob Consulta"
+KEYWORD_AREA = "Variado"
+KEYWORD_SOURCE = "Busca por Palavras-Chave"
+
 # --- fixed values: field patterns ---------------------------------------------
 PRICE = r"(?U)R\$\s*[\d.,]+"
 PRICE_ANY_CASE = r"(?iuU)R\$\s*[\d.,]+"
@@ -144,6 +152,11 @@ CAPTURE_AD = (
 CAPTURE_KEYS = [
     ("ad_url", "ad_url"), ("price", "preco"), ("subject", "titulo"), ("municipality", "cidade"), ("state_uf", "estado"),
 ]
+# The plain lazy chain the pattern above must equal.
+CAPTURE_AD_PLAIN = (
+    r'(?s)"list_id":(\d+).*?"ad_url":"([^"]+)".*?"price":"([^"]+)".*?"subject":"([^"]+)"'
+    r'.*?"municipality":"([^"]+)".*?"state_uf":"([^"]+)"'
+)
 CURSOR_KEYS = ["next", "cursor", "after", "nextCursor", "endCursor", "page_next", "next_token"]
 LINK_NEXT = r'<([^>]+)>;\s*rel="next"'
 MERGED_TYPES = ["Offer", "Product", "Apartment", "SingleFamilyResidence"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -192,26 +194,27 @@ def keyword_places(keywords: DataFrame) -> DataFrame:
     return placed.select(*keywords.columns, "cidade", state.alias("estado"), "tipo")
 
 
+def _filled(template: str, **values: Column | str) -> Column:
+    """A text with its ``{names}`` replaced by columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts)])
+
+
 def keyword_listings(keywords: DataFrame) -> DataFrame:
     """A listing row describing the search each keyword stands for."""
     place = keyword_places(keywords)
     city, kind, uf = F.col("cidade"), F.col("tipo"), F.col("estado")
     return place.select(
         F.md5(F.concat(kind, city)).alias("id"),
-        F.concat(
-            text.title_case(kind), F.lit(" em "), text.title_case(city), F.lit(" - Resultado de Busca")
-        ).alias("titulo"),
-        F.lit("Sob Consulta").alias("preco"),
-        F.lit("Variado").alias("metragem"),
+        _filled(C.KEYWORD_TITLE, tipo=text.title_case(kind), cidade=text.title_case(city)).alias("titulo"),
+        F.lit(C.KEYWORD_PRICE).alias("preco"),
+        F.lit(C.KEYWORD_AREA).alias("metragem"),
         text.title_case(city).alias("cidade"),
         uf.alias("estado"),
-        F.concat(
-            F.lit("Imóvel tipo "), kind, F.lit(" localizado em "), city, F.lit(", "), uf,
-            F.lit(". Resultado da busca por '"), "keyword", F.lit("'"),
-        ).alias("descricao"),
-        F.concat(F.lit("https://www.busca-imovel.com.br/"), kind, F.lit("/"), city, F.lit("/"), uf).alias("link"),
+        _filled(C.KEYWORD_TEXT, tipo=kind, cidade=city, estado=uf, keyword="keyword").alias("descricao"),
+        _filled(C.KEYWORD_LINK, tipo=kind, cidade=city, estado=uf).alias("link"),
         F.col("keyword").alias("palavras_chave"),
-        F.lit("Busca por Palavras-Chave").alias("fonte"),
+        F.lit(C.KEYWORD_SOURCE).alias("fonte"),
     )
 
 

@@ -54,7 +54,7 @@ def found(pattern: str, group: int = 0) -> str:
 page_field("fn_price_find", text.price_find, "preco", found(r"R\$\s*[\d.,]+"))
 page_field("fn_area_find", text.area_find, "metragem", found(r"(?i)(\d{2,4})\s*m[²2]", 1) + " || ' m²'")
 page_field(
-    "fn_rooms_find", text.rooms_find, "quartos", found(r"(?i)(\d+)\s*(?:quarto|quartos|q|qt)\b", 1) + " || ' Q'"
+    "fn_rooms_find", text.rooms_find, "quartos", found(r"(?i)(\d+)\s*(?:quartos|quarto|qt|q)\b", 1) + " || ' Q'"
 )
 page_field(
     "fn_baths_find", text.baths_find, "banheiros", found(r"(?i)(\d+)\s*(?:banheiros?\b|b\.)", 1) + " || ' B'"

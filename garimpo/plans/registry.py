@@ -96,10 +96,7 @@ PLACED = (
     + "CASE " + " ".join(f"WHEN contains(k, '{t}') THEN '{t}'" for t in C.PROPERTY_TYPES) + " ELSE 'apartamento' END AS tipo "
     + "FROM (SELECT keyword, translate(lower(keyword), 'áàâãäéèêëíìîïóòôõöúùûüçñ', 'aaaaaeeeeiiiiooooouuuucn') AS k FROM keywords))"
 )
-CAPTURE_PATTERN = (
-    r'(?s)"list_id":(\d+).*?"ad_url":"([^"]+)".*?"price":"([^"]+)".*?"subject":"([^"]+)"'
-    r'.*?"municipality":"([^"]+)".*?"state_uf":"([^"]+)"'
-)
+CAPTURE_PATTERN = C.CAPTURE_AD_PLAIN
 CAPTURE_NAMES = ["list_id", "ad_url", "preco", "titulo", "cidade", "estado"]
 CAPTURE_ADS = (
     "(SELECT entry_id, pos, "
