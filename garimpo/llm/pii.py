@@ -35,6 +35,8 @@ PATTERNS = [
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
 ]
 KINDS = [kind for kind, _ in PATTERNS]
+# What every text with a match has; most texts have none of it and are searched for nothing else.
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}{3,}+"
 AROUND = 48
 SUPPORT = 3
@@ -74,7 +76,7 @@ def is_valid() -> Column:
 
 def base_spans(docs: DataFrame, text: str = "text", around: int = AROUND) -> DataFrame:
     """``spans.exploded`` of the base kinds; matches that do not count have null ``kind``."""
-    found = spans.exploded(docs, text, PATTERNS, around)
+    found = spans.exploded(docs, text, PATTERNS, around, NEEDS)
     ok = is_valid()
     return found.withColumn("kind", F.when(ok, F.col("kind")))
 
@@ -142,7 +144,7 @@ def sanitised(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **thr
     found = found_spans(docs, doc_id, text, **thresholds).where(F.size("spans") > 0).dropDuplicates(["doc_id", "tid"])
 
     def grow(state: Column, s: Column) -> Column:
-        # Pieces are ASCII-free of offsets: the text so far, and how far it reaches in the original.
+        # The state is the text so far, and how far it reaches in the original.
         gap = F.substring("f_text", (state["at"] + 1).cast("int"), F.greatest(s["begin"] - state["at"], F.lit(0)).cast("int"))
         fresh = s["begin"] >= state["at"]
         mark = F.when(fresh, F.concat(gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")

@@ -14,41 +14,61 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def found_items(text: Column, kind: str, rank: int, pattern: str, around: int) -> Column:
+ITEMS = "array<struct<kind:string,rank:int,i:int,value:string,gap:int,left:string,right:string>>"
+
+
+def found_items(text: Column, kind: str, rank: int, pattern: str, around: int, needs: Column | None = None) -> Column:
     """An array of ``(kind, rank, i, value, gap, left, right)``: each match, the code
     points between it and the match before, and up to ``around`` on either side.
 
-    ``pattern`` must not match the empty string. Null texts give an empty array.
+    ``pattern`` must not match the empty string. Texts without ``needs``, a cheap
+    condition that every text with a match meets, are not searched. Null texts
+    give an empty array.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
-    pieces = F.split(text, pattern, -1)
+    # Bound to a lambda's variable, the matches and the pieces are made once.
+    read = F.struct(F.regexp_extract_all(text, F.lit(pattern), 0).alias("found"), F.split(text, pattern, -1).alias("pieces"))
     # Only the ends of the pieces travel on.
-    ends = F.transform(
-        pieces,
-        lambda p: F.struct(
-            F.length(p).alias("gap"), F.right(p, F.lit(around)).alias("left"), F.left(p, F.lit(around)).alias("right")
+    cut = F.transform(
+        F.array(read),
+        lambda r: F.struct(
+            r["found"].alias("found"),
+            F.transform(
+                r["pieces"],
+                lambda p: F.struct(
+                    F.length(p).alias("gap"), F.right(p, F.lit(around)).alias("left"), F.left(p, F.lit(around)).alias("right")
+                ),
+            ).alias("ends"),
         ),
     )
-    count = F.size(found)
-    both = F.arrays_zip(found.alias("value"), F.slice(ends, 1, count).alias("before"), F.slice(ends, 2, count).alias("after"))
-    items = F.transform(
-        both,
-        lambda x, i: F.struct(
-            F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), i.alias("i"), x["value"].alias("value"),
-            x["before"]["gap"].alias("gap"), x["before"]["left"].alias("left"), x["after"]["right"].alias("right"),
-        ),
-    )
-    return F.when(count > 0, items).otherwise(F.slice(items, 1, 0))
+
+    def items(r: Column) -> Column:
+        return F.transform(
+            F.arrays_zip(r["found"].alias("value"), F.slice(r["ends"], F.lit(1), F.size(r["found"])).alias("before"),
+                         F.slice(r["ends"], F.lit(2), F.size(r["found"])).alias("after")),
+            lambda x, i: F.struct(
+                F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), i.alias("i"), x["value"].alias("value"),
+                x["before"]["gap"].alias("gap"), x["before"]["left"].alias("left"), x["after"]["right"].alias("right"),
+            ),
+        )
+
+    every = F.flatten(F.transform(cut, items))
+    return every if needs is None else F.when(needs, every).otherwise(F.array().cast(ITEMS))
 
 
-def exploded(docs: DataFrame, text: str, patterns: list[tuple[str, str]], around: int) -> DataFrame:
+def exploded(
+    docs: DataFrame, text: str, patterns: list[tuple[str, str]], around: int, needs: dict[str, str] | None = None
+) -> DataFrame:
     """A row for each match of the named patterns, with ``begin`` and ``end`` (exclusive), and
     one row with null ``kind`` for a row without any; ``rid`` numbers the input rows.
 
+    ``needs`` may name a short pattern that texts with a match of a kind contain.
     Other columns are kept, the text is not.
     """
     cover = F.coalesce(F.col(text), F.lit(""))
-    lists = [found_items(cover, kind, rank, pattern, around) for rank, (kind, pattern) in enumerate(patterns)]
+    hints = {kind: cover.rlike(pattern) for kind, pattern in (needs or {}).items()}
+    lists = [
+        found_items(cover, kind, rank, pattern, around, hints.get(kind)) for rank, (kind, pattern) in enumerate(patterns)
+    ]
     kept = [c for c in docs.columns if c != text]
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), *kept, F.concat(*lists).alias("items"))
     rows = rows.select("rid", *kept, F.inline_outer("items"))
