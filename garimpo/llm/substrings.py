@@ -41,6 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 35
 GRAM = 11
+BROADCAST_ROWS = 500_000  # of ids to fetch; two numbers a row
 
 _BLOCK = pa.schema(
     [
@@ -103,13 +104,19 @@ def _powers(n: int, inverse: bool = False) -> np.ndarray:
     return _POWERS[inverse]
 
 
-def _index(window: int, gram: int):
+def _index(window: int, gram: int, with_row: bool = False):
+    """A row for each block; ``with_row`` gives only what tells how often and in how many rows a name occurs."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in hashing.slices(batches, "text"):
             column = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             words = hashing.Words(column["text"], lower=False)
             row, name, body, low, high, recurs = blocks(words.hashes, words.first, window, gram)
             at = pa.array(row)
+            if with_row:
+                parts = [pa.array(hashing.signed(name)), pa.array(recurs.astype(np.int32)), column["row"].take(at)]
+                yield pa.RecordBatch.from_arrays(parts, names=["name", "recurs", "row"])
+                continue
             yield pa.RecordBatch.from_arrays(
                 [
                     column["doc_id"].take(at), column["tid"].take(at),
@@ -192,7 +199,7 @@ def _parse(window: int, whole: bool):
         return (doc_id, tid, *_cut(text, lows, ends, whole), None, None, *listed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in hashing.slices(batches, "text", hashing.TEXT_SLICE // 2):
+        for batch in hashing.slices(batches, "text"):
             column = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             words = hashing.Words(column["text"], lower=False)
             lists = (column[n].to_pylist() for n in ("doc_id", "tid", "text", "spans"))
@@ -211,7 +218,7 @@ def _finish(window: int, whole: bool):
     names = ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in hashing.slices(batches, "text", hashing.TEXT_SLICE // 2):
+        for batch in hashing.slices(batches, "text"):
             column = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             rows = []
             for doc_id, text, flat, found in zip(
@@ -239,10 +246,12 @@ def without_repeats(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     ).select("doc_id", F.xxhash64("text").alias("tid"), "text")
     index = source.mapInArrow(_index(window, gram), _BLOCK_SQL)
-    row = F.xxhash64("doc_id", "tid")
+    # Numbers of rows, only to tell whether a name has more than one row; they pack well.
+    row = F.col("row")
+    numbered = source.withColumn("row", F.monotonically_increasing_id())
     # Combined before the shuffle, so a passage of many texts is a few rows.
     found = (
-        index.groupBy("name")
+        numbered.mapInArrow(_index(window, gram, with_row=True), "name bigint, recurs int, row bigint").groupBy("name")
         .agg(F.count("*").alias("c"), F.max("recurs").alias("recurs"), F.min(row).alias("r1"), F.max(row).alias("r2"))
         .where("c > 1 OR recurs > 0")
         .select("name", (F.col("r1") == F.col("r2")).alias("inside"))
@@ -259,8 +268,17 @@ def without_repeats(
     )
     marked = hits.join(kinds, ["name", "body"]).select("doc_id", "tid", F.struct("low", "high", "name", kind.alias("kind")).alias("span"))
     spans = marked.groupBy("doc_id", "tid").agg(F.collect_set("span").alias("spans"))
+    spans = stored(spans, "spans")
     same = F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s.tid") == F.col("f.tid"))
-    joined = source.alias("s").join(spans.alias("f"), same, "left").select("s.doc_id", "s.tid", "s.text", "f.spans")
+    texts, found = source.alias("s"), spans.alias("f")
+    columns = ["s.doc_id", "s.tid", "s.text", "f.spans"]
+    if spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        # Ids of a counted, bounded number tell which texts have spans; only those move.
+        ids = F.broadcast(spans.select("doc_id", "tid")).alias("f")
+        plain = texts.join(ids, same, "left_anti").withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+        joined = texts.join(ids, same, "left_semi").alias("s").join(found, same).select(*columns).unionByName(plain)
+    else:
+        joined = texts.join(found, same, "left").select(*columns)
     parsed = stored(joined.mapInArrow(_parse(window, whole), _PARSED_SQL), "parsed")
 
     result = ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"]
@@ -268,7 +286,8 @@ def without_repeats(
     unsure = parsed.where("text IS NOT NULL")
     zipped = F.arrays_zip("starts", "weights", "names", "windows")
     listed = parsed.where("starts IS NOT NULL").select("doc_id", "tid", F.inline(zipped))
-    again = listed.groupBy("names", "windows").agg(F.sum("weights").alias("n")).where("n > 1").drop("n")
+    # Written, so that the join below deals its rows anew and a window of many texts can be split.
+    again = stored(listed.groupBy("names", "windows").agg(F.sum("weights").alias("n")).where("n > 1").drop("n"), "again")
     asked = listed.where("starts >= 0").drop("weights").join(again, ["names", "windows"])
     starts = asked.groupBy("doc_id", "tid").agg(F.collect_set("starts").alias("found"))
     same = F.col("u.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("u.tid") == F.col("f.tid"))
