@@ -52,7 +52,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 COUNTER_BITS = 20
 COUNTERS = 1 << COUNTER_BITS
 BLOCK = 4096
-RANGES = 16
+RANGES = 64
+BROADCAST_ROWS = 500_000  # of ids to fetch; three numbers a row
 SHINGLE = 5
 PERCENT = 80
 
@@ -180,7 +181,7 @@ def _verify(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str, np.ndarray] | None = None
-        for batch in hashing.slices(batches, "text_a", hashing.TEXT_SLICE // 2):
+        for batch in hashing.slices(batches, "text_a"):
             column = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             ones = hashing.shingle_sets(hashing.Words(column["text_a"], lower=True), size)
             others = hashing.shingle_sets(hashing.Words(column["text_b"], lower=True), size)
@@ -205,7 +206,13 @@ def _overlap_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return both.where(long_enough).where(enough).select("a", "b")
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, nodes: DataFrame, source: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs whose texts link. Only texts in some pair leave the scan."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stored(nodes.join(ends, "node").select("node", "one.doc_id", "one.tid"), "wanted")
+    same = F.col("w.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("w.tid") == F.col("s.tid"))
+    found = source.alias("s").join(_handed(wanted).alias("w"), same)
+    texts = stored(found.select("node", F.col("s.text").alias("text")).dropDuplicates(["node"]), "texts")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, percent), "a bigint, b bigint")
 
@@ -236,18 +243,11 @@ def linked_components(
         rows.groupBy("node", "n").agg(F.min(F.struct("doc_id", "tid")).alias("one"), F.first("ranges").alias("ranges"))
         .join(members, "node"), "nodes",
     )
-    wanted = nodes.select("node", F.col("one.doc_id").alias("doc_id"), F.col("one.tid").alias("tid"))
-    same = F.col("w.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("w.tid") == F.col("s.tid"))
-    texts = stored(
-        source.alias("s").join(wanted.alias("w"), same).select("node", F.col("s.text").alias("text"))
-        .dropDuplicates(["node"]), "texts",
-    )
-
     # The earliest place of a token marks the node with the fewest rarer shingles.
     pivots = post.groupBy("token").agg(F.min(F.struct("pos", "node")).alias("first")).select("token", "first.node")
     near = post.join(pivots.withColumnRenamed("node", "pivot"), "token").where("node <> pivot")
     tested = stored(_overlap_filter(near.select(*_ordered("node", "pivot")).distinct(), nodes, percent), "pairs")
-    edges = stored(_linked(tested, texts, size, percent), "links")
+    edges = stored(_linked(tested, nodes, source, size, percent), "links")
 
     labels = components(edges).toDF("node", "label")
     labelled = stored(
@@ -267,8 +267,9 @@ def linked_components(
     )
     cross = one.join(other, fits).select(*_ordered("x.node", "y.node")).distinct()
     cross = cross.join(tested, ["a", "b"], "left_anti")
-    more = stored(_linked(_overlap_filter(cross, nodes, percent), texts, size, percent), "links")
-    if more.limit(1).count():
+    open_pairs = stored(_overlap_filter(cross, nodes, percent), "pairs")
+    if open_pairs.limit(1).count():
+        more = stored(_linked(open_pairs, nodes, source, size, percent), "links")
         labels = components(edges.unionByName(more)).toDF("node", "label")
 
     # Names: the smallest id over each component, then back to nodes, then to rows.
@@ -294,6 +295,20 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     group = [F.col("component_id"), F.when(F.col("n_shingles") == 0, F.col("doc_id")), F.when(F.col("n_shingles") == 0, F.col("tid"))]
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid")
     first = found.groupBy(*[g.alias(f"k{i}") for i, g in enumerate(group)]).agg(F.min(order).alias("one"))
-    kept = stored(first.select(F.col("one.doc_id").alias("g_id"), F.col("one.tid").alias("g_tid")).distinct(), "kept")
+    kept = first.select("one.doc_id", "one.tid", F.lit(True).alias("stays"))
+    counted = found.groupBy("doc_id", "tid").agg(F.count("*").alias("n")).alias("c")
+    same = F.col("c.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("c.tid") == F.col("k.tid"))
+    keys = stored(counted.join(kept.alias("k"), same, "left").select("c.doc_id", "c.tid", "n", "stays"), "kept")
     same = F.col(doc_id).eqNullSafe(F.col("g_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("g_tid"))
-    return back(inner.join(kept, same, "left_semi").dropDuplicates([doc_id, text]))
+    gone, more = (
+        _handed(keys.where(rule).select(F.col("doc_id").alias("g_id"), F.col("tid").alias("g_tid")))
+        for rule in ("stays IS NULL", "stays AND n > 1")
+    )
+    left = inner.join(gone, same, "left_anti")
+    once = left.join(more, same, "left_semi").dropDuplicates([doc_id, text])
+    return back(left.join(more, same, "left_anti").unionByName(once))
+
+
+def _handed(ids: DataFrame) -> DataFrame:
+    """Ids to be joined with texts: handed to them if a count shows that they are few."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else ids
