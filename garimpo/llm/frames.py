@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from garimpo.session import scratch_path
 
@@ -33,3 +34,13 @@ def set_aside(
         return out.select(*(f"`{c}`" for c in order)).withColumnsRenamed(back)
 
     return df.withColumnsRenamed(moved), restore
+
+
+def small_hash(key: Column, rows: int, total: int) -> Column:
+    """A condition that about ``2 * rows + 1000`` of ``total`` keys meet: those of the smallest hash.
+
+    A sample of the ``rows`` smallest hashes lies among them, unless so few keys
+    meet it that all the sample loses is size.
+    """
+    share = min(1.0, (2 * rows + 1000) / max(1, total))
+    return F.xxhash64(key) <= int(-(2**63) + share * (2**64 - 1)) if share < 1 else F.lit(True)

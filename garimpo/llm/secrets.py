@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import spans
-from garimpo.llm.frames import set_aside, stored
+from garimpo.llm.frames import set_aside, small_hash, stored
 
 LEAST = 12
 CANDIDATE = rf"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*+[0-9])[A-Za-z0-9+/=_-]{{{LEAST},}}+"
@@ -107,6 +107,9 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     base = docs.where(F.col(doc_id).isNotNull() & (F.length(F.trim(F.col(text))) > 0))
     base = base.select(F.col(doc_id).cast("string").alias("id"), F.substring(F.col(text), 1, 400).alias("head"))
+    # Rows of small hashes only, some more than needed, so that the sort sees a bounded number of them.
+    total = base.select("id").count()
+    base = base.where(small_hash(F.col("id"), rows, total))
     base = base.groupBy("id").agg(F.min("head").alias("head")).orderBy(F.xxhash64("id"), "id").limit(rows)
 
     def digest(salt: str) -> Column:
@@ -170,7 +173,7 @@ def train(findings: DataFrame, words: list[str], trees: int = TREES, depth: int
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """``spans.exploded`` for the candidate pattern: a row each, and one with null kind where there is none."""
-    return spans.exploded(docs, text, [("secret", CANDIDATE)], AROUND)
+    return spans.exploded(docs, text, [("secret", CANDIDATE)], AROUND, {"secret": "[0-9]"})
 
 
 def rated(found: DataFrame, model: RandomForestClassificationModel, words: list[str]) -> DataFrame:
