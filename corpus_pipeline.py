@@ -10,19 +10,27 @@ from garimpo.llm import contamination, jaccard, mixing, quality, secrets
 from garimpo.llm.frames import stored
 
 
+def _settled(spark: SparkSession) -> SparkSession:
+    """Texts go to Python workers in small batches, so that a worker holds few of them at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    return spark
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go."""
-    return quality.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.accepted(docs, _settled(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles, 80 %)."""
+    _settled(spark)
     return jaccard.one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages go."""
-    return contamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contamination.clean(docs, _settled(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,9 @@ hashes, each ended by a 64-bit mixer. All arithmetic is modulo 2**64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import hashlib
 import sys
 from collections.abc import Iterator
@@ -19,8 +22,8 @@ from pyspark import cloudpickle
 # Tasks get this module's code along with their function, so executors need no install.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PIECE = 1 << 20  # bytes hashed at once; bounds the temporary arrays
-TEXT_SLICE = 4 << 20  # bytes of text of the rows handled at once
+PIECE = 1 << 18  # bytes hashed at once; bounds the temporary arrays
+TEXT_SLICE = 1 << 20  # bytes of text of the rows handled at once
 U64 = np.uint64
 MASK = (1 << 64) - 1
 BYTE_BASE = 0x9E3779B97F4A7C15 | 1
@@ -142,8 +145,22 @@ def shingle_sets(words: Words, size: int) -> Iterator[np.ndarray]:
             yield np.empty(0, dtype=U64)
 
 
+def tidy() -> None:
+    """Give back what earlier tasks of this worker process left behind.
+
+    Functions shipped by value come with globals of their own, which refer to each
+    other: their tables stay until cycles are collected, and freed memory stays
+    with the allocators until it is asked for.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = TEXT_SLICE) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``most`` bytes of text, or one row."""
+    tidy()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import hashing
-from garimpo.llm.frames import set_aside
+from garimpo.llm.frames import set_aside, small_hash
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -132,10 +132,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, counts = [], []
         for i in range(batch.num_rows):
             own, n = np.unique(np.concatenate([b[at[0][i] : at[1][i]] for b, at in kinds]), return_counts=True)
-            buckets.append(own.astype(np.int32))
-            counts.append(n.astype(np.int32))
+            buckets.append(own.astype(np.int32).tobytes())
+            counts.append(n.astype(np.float32).tobytes())
         kept = [batch.column(batch.schema.get_field_index(n)) for n in ("place", "label")]
-        made = [pa.array(x, type=pa.list_(pa.int32())) for x in (buckets, counts)]
+        made = [pa.array(x, type=pa.binary()) for x in (buckets, counts)]
         yield pa.RecordBatch.from_arrays([*kept, *made], names=["place", "label", "buckets", "counts"])
 
 
@@ -150,12 +150,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, **options)
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
     known = docs.select("doc_id").dropna().distinct()
     # Labels are as many as their table; the sample is bounded by ``rows``, and so is this broadcast.
+    total = labels.count()
+    usable = usable.where(small_hash(F.col("doc_id"), rows, total))
     sample = usable.join(known, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "label")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     texts = texts.select(F.xxhash64("doc_id", "text").alias("place"), "label", "text")
-    counted = texts.mapInArrow(_counted, "place bigint, label int, buckets array<int>, counts array<int>")
+    counted = texts.mapInArrow(_counted, "place bigint, label int, buckets binary, counts binary")
     found = sorted(
-        ((r["place"], np.array(r["buckets"], dtype=np.int64), np.array(r["counts"], dtype=np.float64), int(r["label"]))
+        ((r["place"], np.frombuffer(r["buckets"], dtype=np.int32), np.frombuffer(r["counts"], dtype=np.float32), int(r["label"]))
          for r in counted.toLocalIterator()),
         key=lambda r: r[0],
     )
