@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from garimpo.llm import contamination, jaccard, mixing, quality, secrets
+from garimpo.llm import contamination, hashing, jaccard, mixing, quality, secrets
 from garimpo.llm.frames import stored
 
 
 def _settled(spark: SparkSession) -> SparkSession:
-    """Texts go to Python workers in small batches, so that a worker holds few of them at once."""
+    """Texts go to Python workers in small batches, so that a worker holds few of them at once;
+    what the stage before left in the driver is given back."""
+    hashing.tidy()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark
@@ -35,11 +37,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; the documents stay."""
+    _settled(spark)
     return secrets.masked(docs)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words to take of each document so that sources meet their weights."""
+    _settled(spark)
     return mixing.mixed(docs)
 
 

@@ -161,7 +161,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, **options)
          for r in counted.toLocalIterator()),
         key=lambda r: r[0],
     )
-    return train([r[1:] for r in found], **options)
+    model = train([r[1:] for r in found], **options)
+    found.clear()
+    hashing.tidy()  # the driver's share of the features
+    return model
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
