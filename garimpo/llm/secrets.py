@@ -1,15 +1,24 @@
 """Secret scans: a random forest tells secrets from other long tokens, in DataFrame operations only.
 
-Candidates are runs of ``LEAST`` or more characters of ``[A-Za-z0-9+/=_-]`` that
-hold a digit. Each is described by its length, its character transitions
-(changes of character class, repeats), how much of it dictionary words cover,
-its path, and its neighbouring words; a random forest over labelled findings
-removes the false positives.
+Candidates are, first match first,
+
+* what stands after a credential name, of any length and any characters but spaces:
+  up to the closing quote, the next parameter of a URL or ``;name=``, without
+  closing punctuation where it is not quoted;
+* the user and the password in a URL's user part;
+* runs of ``LEAST`` or more characters of ``[A-Za-z0-9+/_-]`` that hold a digit,
+  with up to two ``=`` at their end, unless they end in an assigned credential name.
+
+Each is described by its length, its character transitions (changes of character
+class, repeats), how much of it dictionary words cover, its path, and its
+neighbouring words; a random forest over labelled findings removes the false
+positives.
 
 * ``findings`` are labelled rows ``(value, left, right, path, label)``. Without any
   of your own, ``seeded_findings`` makes them from a bounded number of documents:
-  digests and random keys assigned to credential names, against digests of
-  commits and checksums, identifiers, numbers, paths, words and placeholders.
+  digests, random keys, short passwords and passphrases given to credential names or
+  in URLs, against digests of commits and checksums, identifiers, numbers, paths,
+  words, variables and placeholders.
 * The dictionary holds the ``WORDS`` most frequent words of all texts.
 * Null and blank texts have no candidates. Rows repeated or with equal ids each
   get a result row; text and neighbours decide, so equal rows get equal results.
@@ -18,6 +27,8 @@ removes the false positives.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -28,7 +39,6 @@ from garimpo.llm import spans
 from garimpo.llm.frames import set_aside, small_hash, stored
 
 LEAST = 12
-CANDIDATE = rf"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/=_-]*+[0-9])[A-Za-z0-9+/=_-]{{{LEAST},}}+"
 AROUND = 40
 WORDS = 300
 SEEDS = 1500
@@ -44,10 +54,35 @@ OTHER_NAMES = (
     "commit", "checksum", "sha1", "sha256", "md5", "digest", "hash", "etag", "revision", "uuid", "isbn", "order",
     "invoice", "version", "build", "file", "path", "page",
 )
+_ANY_NAME = "|".join(SECRET_NAMES)
+_NAME = rf"(?<![A-Za-z0-9])(?i:{_ANY_NAME})"
+# A short look behind comes before each long one, which is costly.
+# What may stand between a name and its value; Java looks behind only as far as a pattern is bounded.
+_GAP = r"[\"'`]?(?:\s{0,16}(?::=|=>|==|[:=])\s{0,16}|\s{1,16}is\s{1,16}|\s{1,16})"
+_END = r"[^\s.,;)\]}>\"'`]"
+NAMED = (
+    r"(?<=[\s:=>\"'`])(?:"
+    rf"(?<==)(?<=[?&](?i:{_ANY_NAME})=)[^\s&#\"'<>]++"
+    + "".join(rf"|(?<={q})(?<={_NAME}{_GAP}{q})[^\s{q}]++" for q in "\"'`")
+    + rf"|(?![:=>\"'`]|is\s)(?<={_NAME}{_GAP})(?:(?!\S*?;[A-Za-z][A-Za-z _-]{{0,40}}=)\S*{_END}|[^\s;]*[^\s.,;)\]}}>\"'`]))"
+)
+IN_URL = r"(?<=://)[^\s/?#@:]++(?=@|:[^\s/?#]*@)|(?<=:)(?<=://[^\s/?#@:]{0,200}:)[^\s/?#]+(?=@)"
+RUN = (
+    rf"(?<![A-Za-z0-9+/_-])(?!(?<=:)//[^\s/?#]*@)(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{{{LEAST},}}+"
+    rf"(?!(?<={_NAME})[\"'`]?\s{{0,16}}[:=])(?:={{1,2}}+(?![A-Za-z0-9+/_=-]))?+"
+)
+CANDIDATE = f"{NAMED}|{IN_URL}|{RUN}"
+# What every text with a candidate has.
+NEEDS = rf"[0-9]|://|(?i:{_ANY_NAME})[\"'`]?[\s:=]"
+HOLDER = (
+    r"^(?:[$%]?[{(<\[].*|\$[a-z_]+|%[a-z_]+%|[*x.#?_-]+|none|null|nil|true|false|undefined|changeme|redacted|required|optional"
+    r"|string|str|value|placeholder|your[_-].*|[a-z_.]+[(\[].*)$"
+)
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 FEATURES = [
     "length", "transitions", "repeats", "distinct", "digits", "uppers", "marks", "hex_only", "digits_only", "covered",
     "path_test", "path_depth", "slashes", "named_secret", "named_other", "assigned", "quoted", "digit_near", "left_words",
+    "symbols", "letters_only", "holder", "in_url", "a_name",
 ]
 
 
@@ -60,7 +95,7 @@ def dictionary(docs: DataFrame, text: str = "text", most: int = WORDS) -> list[s
 
 def _named(column: str, names: tuple[str, ...]) -> Column:
     """Whether one of the names ends the text before, up to an assignment and a quote."""
-    return F.lower(F.col(column)).rlike(rf"(?<![a-z0-9])(?:{'|'.join(names)})[\"']?\s*(?:[:=]|=>|is)?\s*[\"'`]?$")
+    return F.lower(F.col(column)).rlike(rf"(?<![a-z0-9])(?:{'|'.join(names)})[\"']?\s*(?::=|=>|==|[:=]|is)?\s*[\"'`]?$")
 
 
 def described(found: DataFrame, words: list[str]) -> DataFrame:
@@ -68,8 +103,9 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
     value = F.col("value")
     n = F.greatest(F.length(value), F.lit(1)).cast("double")
     classes = F.translate(value, _LOWER + _UPPER + _DIGIT + "+/=_-", "l" * 26 + "u" * 26 + "d" * 10 + "m" * 5)
+    classes = F.regexp_replace(classes, "[^ludm]", "s")
     path = F.coalesce(F.col("path").cast("string"), F.lit(""))
-    left = F.coalesce("left", F.lit(""))
+    left, right = F.coalesce("left", F.lit("")), F.coalesce("right", F.lit(""))
     longest_first = sorted(words, key=lambda w: (-len(w), w))
     uncovered = F.regexp_replace(F.lower(value), "|".join(longest_first), "") if words else F.lower(value)
 
@@ -92,10 +128,16 @@ def described(found: DataFrame, words: list[str]) -> DataFrame:
         "slashes": F.length(F.regexp_replace(value, "[^/]", "")).cast("double"),
         "named_secret": _named("left", SECRET_NAMES).cast("double"),
         "named_other": _named("left", OTHER_NAMES).cast("double"),
-        "assigned": left.rlike(r"[:=]\s*[\"'`]?$").cast("double"),
+        "assigned": left.rlike(r"(?:[:=]|=>)\s*[\"'`]?$").cast("double"),
         "quoted": (left.rlike("[\"'`]$") & F.col("right").rlike("^[\"'`]")).cast("double"),
         "digit_near": left.rlike(r"[0-9]\s?$").cast("double"),
         "left_words": F.size(F.regexp_extract_all(left, F.lit(r"\p{L}{2,}+"), 0)).cast("double"),
+        "symbols": share("s"),
+        "letters_only": value.rlike(r"^\p{L}+$").cast("double"),
+        "holder": F.lower(value).rlike(HOLDER).cast("double"),
+        # The user before has been a match of its own.
+        "in_url": (left.rlike(r"(?:^|://[^\s/?#@:]*):$") & right.rlike("^@")).cast("double"),
+        "a_name": right.rlike(r"^[\"'`]?\s?[:=]").cast("double"),
     })
 
 
@@ -111,6 +153,7 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = base.select("id").count()
     base = base.where(small_hash(F.col("id"), rows, total))
     base = base.groupBy("id").agg(F.min("head").alias("head")).orderBy(F.xxhash64("id"), "id").limit(rows)
+    base = stored(base, "seeds")
 
     def digest(salt: str) -> Column:
         return F.sha2(F.concat(F.lit(salt), "id"), 256)
@@ -141,6 +184,19 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         )
 
     hexes = F.substring(digest("h"), 1, 40)
+    sign = pick(("!", "@", "$", "&", ".", "#", "%", "*"), "y1")
+    short = F.concat(base64("w", 4), sign, base64("v", 3), pick(("", "!", "7", "&3"), "y2"))
+    third = F.coalesce(F.get(F.regexp_extract_all("head", F.lit(r"[A-Za-z]{3,}+"), 0), F.lit(8)), F.lit("third"))
+    joint = pick(("-", "_", "."), "y3")
+    phrase = F.lower(F.concat(other, joint, third, joint, other, joint, word))
+    easy = F.concat(F.lower(other), F.substring(digits, 5, 2))
+    close = F.when(F.right(assign, F.lit(1)).isin("\"", "'"), F.right(assign, F.lit(1))).otherwise(F.lit(""))
+    loose = F.concat(before, F.lit(" "), pick(SECRET_NAMES, "y4"), pick((" ", " is ", ": ", " "), "y5"))
+    url = F.concat(before, F.lit(" "), pick(("https", "postgres", "amqp", "ftp"), "y6"), F.lit("://"))
+    host = F.concat(F.lit("@"), F.lower(other), F.lit(".example/"), F.lower(other))
+    user = F.when(loud, F.lit("")).otherwise(F.concat(F.lower(third)))
+    query = F.concat(url, F.lower(other), F.lit(".example/?"), pick(SECRET_NAMES, "y7"), F.lit("="))
+    holder = pick(("${TOKEN}", "$SECRET", "<password>", "********", "None", "null", "changeme", "true", "os.environ[", "getpass()", "string", "%PWD%"), "y8")
     rows_of = [
         row(F.when(loud, F.upper(hexes)).otherwise(hexes), secret, after, "src", 1),
         row(F.substring(digest("m"), 1, 32), secret, after, "config/settings", 1),
@@ -157,8 +213,25 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         row(F.concat(F.lit("your_"), pick(SECRET_NAMES, "y"), F.lit("_here_123")), secret, after, "docs/example", 0),
         row(F.concat(F.lit("xxxxxxxxxxxx"), F.substring(digits, 1, 4)), secret, after, "docs/example", 0),
         row(F.concat(F.lower(other), F.lit("-"), F.lower(other), F.lit("-2"), F.substring(digits, 1, 3)), F.concat(before, F.lit(" ")), spaced, "docs", 0),
+        row(short, secret, after, "src", 1),
+        row(easy, secret, after, "config/settings", 1),
+        row(phrase, secret, after, "src", 1),
+        row(short, F.concat(before, F.lit(" "), pick(SECRET_NAMES, "y9"), pick((" ", " is "), "z1")), spaced, "src", 1),
+        row(hexes, F.concat(before, F.lit(" "), pick(("Bearer ", "bearer ", "token "), "z2")), spaced, "src", 1),
+        row(hexes, query, pick((" ", "&page=1"), "z3"), "src", 1),
+        row(short, query, pick((" ", "&page=1"), "z4"), "src", 1),
+        row(F.when(loud, phrase).when(F.pmod(F.xxhash64(F.lit("z5"), "id"), F.lit(2)) == 0, easy).otherwise(short), F.when(loud, F.lit(":")).otherwise(F.concat(url, user, F.lit(":"))), host, "src", 1),
+        row(base64("t", 30), url, F.when(loud, F.concat(F.lit(":x"), host)).otherwise(host), "src", 1),
+        row(F.lower(other), url, F.when(loud, host).otherwise(F.concat(F.lit(":"), easy, host)), "src", 0),
+        row(F.lower(word), loose, spaced, "src", 0),
+        row(F.concat(F.lower(word), pick(("", "'s", "!"), "z6")), loose, spaced, "docs", 0),
+        row(holder, secret, F.concat(close, spaced), "src", 0),
+        row(F.substring(digits, 7, 1), loose, spaced, "src", 0),
+        row(F.concat(F.upper(other), F.lit("_"), F.upper(third), F.lit("_"), F.substring(digits, 2, 2)), F.concat(before, F.lit(" ")), F.concat(pick(("=", ": ", " = "), "z7"), easy), "src", 0),
     ]
-    return base.select(F.inline(F.array(*rows_of)))
+    # Few rows at a time, as generated code has a limit.
+    parts = [base.select(F.inline(F.array(*rows_of[i : i + 8]))) for i in range(0, len(rows_of), 8)]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def train(findings: DataFrame, words: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = 11) -> RandomForestClassificationModel:
@@ -173,7 +246,7 @@ def train(findings: DataFrame, words: list[str], trees: int = TREES, depth: int
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """``spans.exploded`` for the candidate pattern: a row each, and one with null kind where there is none."""
-    return spans.exploded(docs, text, [("secret", CANDIDATE)], AROUND, {"secret": "[0-9]"})
+    return spans.exploded(docs, text, [("secret", CANDIDATE)], AROUND, {"secret": NEEDS})
 
 
 def rated(found: DataFrame, model: RandomForestClassificationModel, words: list[str]) -> DataFrame:

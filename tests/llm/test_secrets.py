@@ -54,3 +54,38 @@ def test_empty_table_and_one_class(spark, docs):
     assert S.report(empty, findings=findings).count() == 0
     texts = spark.createDataFrame([(1, f'token = "{KEY}"', "s")], "doc_id long, text string, source string")
     assert S.report(texts, findings=findings.where("label = 0")).first()["n_secrets"] == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        (f"API_KEY={KEY}", [KEY]), (f"see https://h.example/a?token={KEY}&page=2", [KEY]),
+        ('password = "Tr0ub4dor&3"', ["Tr0ub4dor&3"]), ('{"password": "correct-horse-battery-staple", "a": 1}', ["correct-horse-battery-staple"]),
+        ("postgres://u:S3cr3tPw@h", ["u", "S3cr3tPw"]), ("postgres://:p!w@h/x@y", ["p!w"]),
+        (f"AWS_S3_ACCESS_KEY={KEY};b=2", [KEY]), ("pwd=a.b!c@d$e&f;User Id=x", ["a.b!c@d$e&f"]), ("(secret is s3;x!).", ["s3;x!"]),
+        ("x QUJDMTIzNDU2Nzg5MA== y=1", ["QUJDMTIzNDU2Nzg5MA=="]), ("the key is token = abc", ["token", "abc"]), ("nothing here", []),
+    ],
+)
+def test_candidates(documents, text, values):
+    found = S.candidates(documents([(1, text)])).where("kind IS NOT NULL").orderBy("begin").collect()
+    assert [r["value"] for r in found] == values
+    assert all(text[r["begin"] : r["end"]] == r["value"] for r in found)
+
+
+def test_long_values_are_read(documents):
+    texts = ["password=" + "a;b" * 50_000, "key " * 50_000, "token=" * 20_000, "://" * 50_000, "://a:" * 20_000, "x\"" * 50_000]
+    assert S.candidates(documents(list(enumerate(texts)))).where("kind IS NOT NULL").count() > 0
+
+
+def test_secrets_after_names_and_in_urls(documents, docs):
+    rows = [
+        ("words API_KEY=" + KEY + " more", "words API_KEY=[SECRET] more"),
+        ("see https://h.example/a?token=" + KEY + "&page=2", "see https://h.example/a?token=[SECRET]&page=2"),
+        ('some password = "Tr0ub4dor&3" here', 'some password = "[SECRET]" here'),
+        ('set "password": "correct-horse-battery-staple" now', 'set "password": "[SECRET]" now'),
+        ("use postgres://u:S3cr3tPw@h now", "use postgres://u:[SECRET]@h now"),
+        ("the key is important and the secret recipe of 3", None), ("read password = ${TOKEN} from there", None),
+        ("clone ssh://git@h.example/x now", None), ("a token of respect", None),
+    ]
+    out = S.masked(documents([(i, text) for i, (text, _) in enumerate(rows)]), findings=S.seeded_findings(docs)).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == {i: masked or text for i, (text, masked) in enumerate(rows)}
