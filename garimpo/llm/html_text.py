@@ -2,9 +2,13 @@
 
 A page is read once into blocks: runs of text between block-level tags, with
 character references decoded and white space folded. Scripts, styles, markup and
-elements that by tag, role, class or id hold menus, headers, footers, sidebars,
-notices, adverts, forms or reader comments are cut while reading, and leave only
-a decided "not text" mark in the sequence. The first pass decides a block by its
+elements that by tag or role hold menus, headers, footers, sidebars, notices,
+adverts, forms or reader comments are cut while reading, and leave only a decided
+"not text" mark in the sequence. Words of classes and ids are evidence only: an
+element with such a word is cut, once the page is read, if the word is the main part
+of a class or id or if none of its blocks is text by the first pass; but not if it
+holds an article, a main part or most of the page's text (reader comments in an
+article may be longer than it). The first pass decides a block by its
 
 * link density: at least ``LINKED`` of its characters in anchors is not text;
 * length and stop-word density: at least ``LONG`` words with at least
@@ -80,6 +84,10 @@ HINTS = frozenset(
     subscription taboola tags toolbar tooltip warning widget widgets
     """.split()
 )
+COMMENTS = frozenset("comment commentlist comments disqus replies reply respond shoutbox".split())
+# Parts after which the main part of a class or id is sought, and parts that say what is about it.
+TAILS = frozenset("area bar block body box container content group inner item items list outer row section text unit wrap wrapper".split())
+ABOUT = frozenset("has have hide hides is no non not show shows with without".split())
 CLOSES_ITSELF = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"},
@@ -99,19 +107,30 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
 
 
-def is_cut(name: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is not part of the text; ``inside`` an article its header is."""
+def is_main(token: str) -> bool:
+    """Whether the main part of a class or id, the last that is not a mere tail, is a hint."""
+    parts = [w.lower() for w in _PARTS.findall(token)]
+    if not parts or ABOUT.intersection(parts):
+        return False
+    while len(parts) > 1 and parts[-1] in TAILS:
+        parts.pop()
+    return parts[-1] in HINTS
+
+
+def is_cut(name: str, attrs: str, inside: bool) -> tuple[bool, Hint | None]:
+    """Whether an element is not part of the text, else the hint that it may not be; ``inside`` an article its header is."""
     if name in CUT or name == "header" and not inside:
-        return True
+        return True, None
     if not attrs or attrs.isspace():
-        return False
+        return False, None
+    hint = None
     for match in _ATTR.finditer(attrs):
         key = match[1].lower()
         value = html.unescape(match[2] or match[3] or match[4] or "")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, None
         if key == "role" and value.lower() in ROLES or key == "style" and _HIDDEN.search(value):
-            return True
+            return True, None
         if key in ("class", "id"):
             words = {w.lower() for w in _PARTS.findall(value)}
             if name in ("html", "body", "main", "article"):
@@ -119,8 +138,27 @@ def is_cut(name: str, attrs: str, inside: bool) -> bool:
             if inside and name in ("header", "h1", "h2", "h3", "h4", "h5", "h6"):
                 words -= {"head", "header"}
             if words & HINTS:
-                return True
-    return False
+                if name == "article":
+                    return True, None
+                hint = hint or Hint()
+                tokens = [t for t in value.split() if is_main(t)]
+                if any(words & {w.lower() for w in _PARTS.findall(t)} for t in tokens):
+                    hint.main = True
+                    hint.comments |= inside and any(COMMENTS & {w.lower() for w in _PARTS.findall(t)} for t in tokens)
+    return False, hint
+
+
+@dataclass
+class Hint:
+    """An element that by a class or id may not be text: its blocks and what it holds."""
+
+    main: bool = False
+    comments: bool = False
+    begin: int = 0
+    end: int = 0
+    held: int = 0
+    holds: bool = False
+    region: tuple[int, int] = (0, 0)
 
 
 @dataclass
@@ -134,28 +172,33 @@ class Block:
     cut: bool = False
     text: str = ""
     label: bool | None = None
+    glued: bool = False  # to the block before, in one run of text
+    judged: bool = False
 
 
 class Reader:
     """One pass over a page's tags and text."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, bool, int]] = []
+        self.stack: list[tuple[str, bool, int, Hint | None]] = []
         self.open: dict[str, int] = {}
         self.cuts = 0
         self.links = 0
         self.regions: list[tuple[int, int]] = [(0, 0)]  # number and level: 2 article, 1 main part, 0 page
         self.made = 0
+        self.held = 0
+        self.hints: list[Hint] = []
         self.blocks: list[Block] = []
         self.now = Block()
 
-    def flush(self) -> None:
+    def flush(self, glued: bool = False) -> None:
+        # A blank run counts where it is between others of one run of text.
         if self.now.parts:
             self.now.text = " ".join("".join(self.now.parts).split())
-            if self.now.text:
+            if self.now.text or self.now.glued:
                 self.blocks.append(self.now)
         number, level = self.regions[-1]
-        self.now = Block(region=number, level=level)
+        self.now = Block(region=number, level=level, glued=glued and (self.now.glued or bool(self.now.text)))
 
     def mark(self) -> None:
         self.flush()
@@ -167,9 +210,17 @@ class Reader:
             while self.stack and self.stack[-1][0] in ("p", *CLOSES_ITSELF.get(name, ())):
                 self.pop()
             self.flush()
-        cut = is_cut(name, attrs, self.regions[-1][1] == 2)
+        cut, hint = is_cut(name, attrs, self.regions[-1][1] == 2)
         if cut and not self.cuts:
             self.mark()
+        # A word that is only part of a class says nothing within a run of text.
+        if self.cuts or hint is not None and not hint.main and name not in BLOCKS:
+            hint = None
+        if hint is not None:
+            self.flush(glued=name not in BLOCKS)
+            hint.begin, hint.held, hint.region = len(self.blocks), self.held, self.regions[-1]
+            self.hints.append(hint)
+        self.held += name in ("article", "main") and not cut and not self.cuts
         level = {"article": 2, "main": 1}.get(name, 0)
         if level >= self.regions[-1][1] and level and not cut and not self.cuts:
             self.made += 1
@@ -179,14 +230,16 @@ class Reader:
             level = 0
         self.cuts += cut
         self.links += name == "a"
-        self.stack.append((name, cut, level))
+        self.stack.append((name, cut, level, hint))
         self.open[name] = self.open.get(name, 0) + 1
 
     def pop(self) -> None:
-        name, cut, level = self.stack.pop()
+        name, cut, level, hint = self.stack.pop()
         self.open[name] -= 1
-        if name in BLOCKS or level:
-            self.flush()
+        if name in BLOCKS or level or hint is not None:
+            self.flush(glued=name not in BLOCKS)
+        if hint is not None:
+            hint.end, hint.holds = len(self.blocks), self.held > hint.held
         if level:
             self.regions.pop()
             self.flush()
@@ -243,7 +296,48 @@ class Reader:
         while self.stack:
             self.pop()
         self.flush()
-        return self.blocks
+        return settled(self.blocks, self.hints)
+
+
+def settled(blocks: list[Block], hints: list[Hint]) -> list[Block]:
+    """The blocks with a mark in place of every hinted element that is cut, and glued ones joined."""
+    if not hints:
+        return blocks
+    letters, texts = [0], [0]  # up to each block: those not in links, and blocks the first pass takes
+    for block in blocks:
+        if not block.cut:
+            block.label, block.judged = first_label(block), True
+        letters.append(letters[-1] + len(block.text) - block.text.count(" ") - block.linked)
+        texts.append(texts[-1] + bool(block.label))
+    out: list[Block] = []
+    at, apart = 0, True
+
+    def keep(end: int) -> None:
+        nonlocal at, apart
+        for block in blocks[at:end]:
+            if block.glued and not apart and not block.cut and not out[-1].cut:
+                last = out[-1]
+                last.parts += block.parts
+                last.linked += block.linked
+                last.text, last.judged = " ".join("".join(last.parts).split()), False
+            elif block.text or block.cut:
+                out.append(block)
+                apart = False
+        at = max(at, end)
+
+    for hint in hints:  # outer ones come first
+        if hint.begin < at or hint.holds:
+            continue
+        own = letters[hint.end] - letters[hint.begin]
+        if not hint.comments and 2 * own > letters[-1]:
+            continue
+        if hint.main or texts[hint.end] == texts[hint.begin]:
+            keep(hint.begin)
+            number, level = hint.region
+            out.append(Block(region=number, level=level, cut=True, label=False))
+            at, apart = hint.end, True
+    keep(len(blocks))
+    return out
 
 
 def first_label(block: Block) -> bool | None:
@@ -260,7 +354,7 @@ def first_label(block: Block) -> bool | None:
 def decide(blocks: list[Block]) -> list[str]:
     """The texts of the blocks that are text."""
     for block in blocks:
-        if not block.cut:
+        if not block.cut and not block.judged:
             block.label = first_label(block)
     unsure = [b for b in blocks if b.label is None]
     # Cut parts tell where a page's own text ends; inside an article or main part they say nothing.

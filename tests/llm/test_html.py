@@ -58,3 +58,28 @@ def test_other_columns_and_empty_table(spark):
     df = spark.createDataFrame([("<p>a", 1, "old")], "html string, page_id long, text string")
     assert X.extracted(df).collect()[0].asDict() == {"html": "<p>a", "page_id": 1, "text": "a"}
     assert X.extracted(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        'div id=page class="content has-sidebar"', "div class=no-sidebar", "div class=with-nav", "div class=ad-free-content",
+        'div class="post social-science"', "section class=discussion", "section class=related-work",
+    ],
+)
+def test_hinted_wrappers_keep_the_text(wrapper):
+    name = wrapper.split()[0]
+    inner = f"<h1>T</h1><p>{PROSE}</p><p>Two <span class=social-science>of</span> <b>it</b>.</p>"
+    text = f"T\n{PROSE}\nTwo of it."
+    menu = "<div class=nav><a href=x>one</a></div><div class=sidebar><p>Some other things.</p></div>"
+    assert X.main_text(f"{menu}<{wrapper}>{inner}</{name}>") == text
+    assert X.main_text(f"<{wrapper}><article>{inner}</article></{name}>{menu}") == text
+
+
+def test_hinted_parts_are_still_cut():
+    page = f"<p>{PROSE} One.</p><div class=comment-body>{PROSE}</div><div class=related-links><p>A few.</p></div><p>{PROSE} Two.</p>"
+    assert X.main_text(page) == f"{PROSE} One.\n{PROSE} Two."
+    assert X.main_text(f"<p>{PROSE}</p><div class=related-work>{PROSE}</div>") == f"{PROSE}\n{PROSE}"
+    long = f"{PROSE} It is <em class=has-tooltip>that {PROSE}</em>, and so on."
+    assert X.main_text(f"<p>Now <i class=notice>{PROSE}</i> ends.</p>") == f"Now {PROSE} ends."
+    assert X.main_text(f"<p>{long}</p>") == re.sub("<[^>]*>", "", long)
