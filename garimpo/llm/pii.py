@@ -6,9 +6,12 @@ terms that may reveal it, and the corpus says how strongly: with n(t) uses of a
 term in all texts, n(t, e) of them next to entity e, n(e) words next to e and N
 words in all, a term discloses the entity if
 
-* it stands next to the entity in at least ``SUPPORT`` different texts,
 * the share n(t, e) / n(t) is at least ``SHARE``: seeing the term gives the entity away,
-* the pointwise mutual information log2(N n(t, e) / (n(t) n(e))) is at least ``BITS``.
+* the pointwise mutual information log2(N n(t, e) / (n(t) n(e))) is at least ``BITS``
+  after n(t, e) is discounted by k / (k + 1), where k different texts have the term
+  next to the entity: one text costs a bit, many cost nothing.
+
+A term used once, next to its only entity, is so the strongest disclosure and no exception.
 
 Its uses next to that entity become spans of kind ``term``, unless they overlap a
 base span. Counts cover all texts; they are aggregates combined before the shuffle.
@@ -16,7 +19,7 @@ base span. Counts cover all texts; they are aggregates combined before the shuff
 Patterns are possessive and anchored at the first character a match can have, so
 long runs of letters or digits are read once; they find what the plain patterns
 find. Null and blank texts have no spans. Rows repeated or with equal ids get
-their own result rows; copies of a text count once as support.
+their own result rows; copies of a text count once in k.
 """
 
 from __future__ import annotations
@@ -39,7 +42,6 @@ KINDS = [kind for kind, _ in PATTERNS]
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}{3,}+"
 AROUND = 48
-SUPPORT = 3
 SHARE = 0.5
 BITS = 8.0
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -101,7 +103,7 @@ def context_terms(found: DataFrame) -> DataFrame:
 
 
 def disclosing(
-    docs: DataFrame, terms: DataFrame, text: str = "text", support: int = SUPPORT, share: float = SHARE, bits: float = BITS
+    docs: DataFrame, terms: DataFrame, text: str = "text", share: float = SHARE, bits: float = BITS
 ) -> DataFrame:
     """``(entity, term, share, bits)`` of terms that give an entity away."""
     pairs = terms.groupBy("entity", "term").agg(F.count("*").alias("n_te"), F.countDistinct("tid").alias("texts"))
@@ -110,9 +112,10 @@ def disclosing(
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM), 0)).alias("term"))
     uses = stored(words.groupBy("term").agg(F.count("*").alias("n_t")), "uses")
     total = uses.agg(F.coalesce(F.sum("n_t"), F.lit(0)).alias("n")).first()["n"]
-    rated = pairs.where(F.col("texts") >= support).join(uses, "term").join(entities, "entity")
+    rated = pairs.join(uses, "term").join(entities, "entity")
     part = F.least(F.col("n_te") / F.col("n_t"), F.lit(1.0))
-    pmi = F.log2(F.lit(float(max(total, 1))) * F.col("n_te") / (F.col("n_t").cast("double") * F.col("n_e")))
+    sure = F.col("n_te") * F.col("texts") / (F.col("texts") + 1)
+    pmi = F.log2(F.lit(float(max(total, 1))) * sure / (F.col("n_t").cast("double") * F.col("n_e")))
     rated = rated.select("entity", "term", part.alias("share"), pmi.alias("bits"))
     return rated.where((F.col("share") >= share) & (F.col("bits") >= bits))
 

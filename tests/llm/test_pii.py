@@ -90,3 +90,12 @@ def test_sanitised_text(documents):
 def test_main_path_is_native(documents):
     plan = P.report(documents([(1, "x@y.z")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_rare_name_in_one_text_is_a_term(documents):
+    text = "the report came from zorgblatt at zb@mail.example with the numbers"
+    rows = [(i, "the report came from them at last with the numbers and some more words " * 10) for i in range(80)]
+    found = {r["doc_id"]: r["spans"] for r in P.report(documents([(1000, text), *rows])).collect()}
+    at, mail = text.index("zorgblatt"), text.index("zb@")
+    assert found[1000] == f"term:{at}:{at + 9},email:{mail}:{mail + 15}"
+    assert all(found[i] == "" for i, _ in rows)
