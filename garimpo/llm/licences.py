@@ -1,7 +1,8 @@
 """License scans: canonical digests of entire texts, hash-joined to known licence digests.
 
 A text and a known licence are the same if their canonical forms are: lower case,
-copyright lines and "all rights reserved" lines dropped, equivalent spellings made one, everything
+copyright notices (a sign or a year after the word) to the end of their line and
+"all rights reserved" lines dropped, equivalent spellings made one, everything
 but letters and digits a single space. The digest of the canonical form is the join key, so a
 scan costs one digest a text and one hash join, whatever the number of licences.
 
@@ -27,6 +28,10 @@ SPELLINGS = [
     ("licence", "license"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"), ("whilst", "while"),
     ("organisation", "organization"), ("favour", "favor"), ("honour", "honor"), ("https://", "http://"), ("&", "and"),
 ]
+NOTICE = (
+    r"(?m)^[\s*#/;>-]*(?:copyright[\s:]*(?:\(c\)|©|&copy;|[0-9]{4}|\[yyyy\]|<year>)|©|\(c\)\s*(?:copyright|[0-9]{4}))[^\n]*$"
+)
+# As the SQL has it: any line that begins with the word. The given tables have no such line.
 COPYRIGHT = r"(?m)^[\s*#/;>-]*(?:copyright|\(c\)|©)[^\n]*$"
 RESERVED = "all rights reserved"
 RESERVED_LINE = rf"(?m)^ *{RESERVED} *$"
@@ -94,9 +99,34 @@ THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
 }
 
 
-def canonical(text: str) -> str:
+# Titles of whole texts; theirs in NAMES count too.
+TITLES = {
+    "MIT": ["The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["The ISC License", "ISC License (ISC)"],
+    "BSD-2-Clause": ["The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License"],
+    "BSD-3-Clause": [
+        "The BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+        "Revised BSD License", "BSD License",
+    ],
+}
+_BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY"""
+# Digests of the canonical forms of long whole texts.
+LONG_TEXTS = {
+    "Apache-2.0": "e87dea5078ce2faaea46d3475af18d30a5c0ac0f09425b60b3e0c6569f72f8d2",
+    "GPL-2.0": "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821",
+    "GPL-3.0": "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a",
+    "LGPL-3.0": "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be",
+    "MPL-2.0": "f82071285728ca3ec7685ee9bc4acdae0b8267142a4d20b8f1805eabedb4a98a",
+    "CC0-1.0": "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f",
+}
+
+
+def canonical(text: str, notice: str = NOTICE) -> str:
     """The canonical form in Python, for the known texts."""
-    text = re.sub(COPYRIGHT, "", text.lower())
+    text = re.sub(notice, "", text.lower())
     for one, other in SPELLINGS:
         text = text.replace(one, other)
     lines = [" ".join(re.sub(r"[\W_]+", " ", line).split()) for line in text.split("\n")]
@@ -104,8 +134,8 @@ def canonical(text: str) -> str:
 
 
 def known() -> dict[str, str]:
-    """Digest of each canonical form, and its licence."""
-    forms = {canonical(text): name for name, text in TEXTS.items()}
+    """Digest of each canonical form, and its licence, as the SQL has them."""
+    forms = {canonical(text, COPYRIGHT): name for name, text in TEXTS.items()}
     forms |= {
         canonical(notice.format(name)): licence for licence, names in NAMES.items() for name in names for notice in NOTICES
     }
@@ -114,12 +144,23 @@ def known() -> dict[str, str]:
     return {hashlib.sha256(form.encode()).hexdigest(): licence for form, licence in forms.items()}
 
 
+def digests() -> dict[str, str]:
+    """``known``, and whole texts as they are, with titles, and of further licences."""
+    texts = TEXTS | {"BSD-3-Clause": TEXTS["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED BY", _BSD_3)}
+    forms = {
+        canonical(title + "\n" + text): name
+        for name, text in texts.items() for title in ["", *TITLES[name], *NAMES[name]]
+    }
+    whole = {hashlib.sha256(form.encode()).hexdigest(): licence for form, licence in forms.items()}
+    return known() | whole | {digest: licence for licence, digest in LONG_TEXTS.items()}
+
+
 LONGEST = max(len(canonical(t)) for t in [*TEXTS.values(), *(n.format(x) for n in NOTICES for v in NAMES.values() for x in v)])
 
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form, with line ends kept."""
-    text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT, "")
+    text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE, "")
     for one, other in SPELLINGS:
         text = F.replace(text, F.lit(one), F.lit(other))
     return F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
@@ -133,7 +174,7 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licence
     ``licences`` may be another table ``(digest, licence)``, joined by hash.
     """
     spark = docs.sparkSession
-    table = licences if licences is not None else spark.createDataFrame(sorted(known().items()), "digest string, licence string")
+    table = licences if licences is not None else spark.createDataFrame(sorted(digests().items()), "digest string, licence string")
     longest = LONGEST if licences is None else 2**31 - 1
     lines = F.transform(F.split("canon", "\n"), lambda line: F.trim(line))
     fitting = F.filter(lines, lambda line: (F.length(line) > 0) & (F.length(line) <= longest))

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,3 +37,20 @@ def test_repeated_rows_and_own_table(spark, documents):
     own = spark.createDataFrame([("x", "mine")], "form string, licence string").select(F.sha2("form", 256).alias("digest"), "licence")
     assert {r["whole_licence"] for r in L.scanned(documents(rows), licences=own).collect()} == {None, "mine"}
     assert L.scanned(documents([])).count() == 0
+
+
+def test_whole_texts_in_any_wrapping(documents):
+    def wrapped(text, width):
+        return "\n\n".join(textwrap.fill(" ".join(part.split()), width) for part in text.split("\n\n"))
+
+    notice = "Copyright (c) 2021, Some Body"
+    texts = [
+        (name, f"{title}\n\n{notice}\n\n{wrapped(text, width)}")
+        for name, text in L.TEXTS.items() for title in ("", L.NAMES[name][0]) for width in (60, 72, 78, 100)
+    ]
+    texts += [(name, text.replace("\n\n", "@").replace("\n", " ").replace("@", "\n")) for name, text in L.TEXTS.items()]
+    texts.append(("MIT", MIT.replace("THE AUTHORS OR\nCOPYRIGHT HOLDERS", "THE\nAUTHORS OR COPYRIGHT HOLDERS")))
+    texts.append(("ISC", L.TEXTS["ISC"].replace("above copyright notice", "above\ncopyright notice")))
+    found = {r["doc_id"]: r["whole_licence"] for r in L.scanned(documents(list(enumerate(t for _, t in texts)))).collect()}
+    assert [found[i] for i in range(len(texts))] == [name for name, _ in texts]
+    assert {"BSD-3-Clause", "Apache-2.0", "GPL-3.0"} <= set(L.digests().values()) and set(L.known()) <= set(L.digests())
