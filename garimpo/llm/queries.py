@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from garimpo.llm import (
-    contamination, fingerprint, html_text, jaccard, licences, mixing, oracles, pii, quality, secrets, substrings,
+    contamination, conversations, exact, fingerprint, html_text, jaccard, licences, mixing, oracles, phrases, pii, quality, secrets,
+    substrings,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,8 @@ ORACLES: dict[str, str] = {
     "op5_jaccard_components": oracles.JACCARD,
     "op8_substring_dedup": oracles.SUBSTRINGS,
     "op10_source_mixture": oracles.MIXTURE,
+    "op11_exact_copies": exact.ORACLE,
+    "op13_collocations": phrases.ORACLE,
 }
 
 
@@ -97,3 +100,21 @@ def op10_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     """Words taken of every document by a mix of all sources."""
     found = mixing.mixed(table(spark, folder, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op11_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of equal texts of every document, and which row of it stays."""
+    return exact.marked(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, and its cheapest repair."""
+    return conversations.report(conversations.damaged(table(spark, folder, "conversations")))
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Strongest phrases of every language."""
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))

@@ -25,7 +25,7 @@ def con():
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
@@ -39,8 +39,8 @@ def test_query_equals_sql(spark, con, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_covers_its_table(spark, con, key):
-    name, column = ("pages", "page_id") if key.startswith("op7") else ("documents", "doc_id")
-    got = sorted(r[column] for r in queries()[key](spark, FOLDER).collect())
+    name, column = {"op7": ("pages", "page_id"), "op12": ("conversations", "DISTINCT conv_id")}.get(key.split("_")[0], ("documents", "doc_id"))
+    got = sorted(r[column.split()[-1]] for r in queries()[key](spark, FOLDER).collect())
     assert got == sorted(r[0] for r in con.execute(f"SELECT {column} FROM {name}").fetchall())
 
 
