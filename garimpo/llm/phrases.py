@@ -6,8 +6,8 @@ with their overlaps, for each language by itself.
 
 Counting is one scan for each of three lengths (words, pairs, longer phrases):
 
-1. A task numbers the words it meets and makes a trie of them: the nodes of a level are
-   (node above, word id) pairs in an Arrow hash table, which numbers and counts them.
+1. A task numbers the words it meets and makes a trie of the ids: the nodes of a level
+   are (node above, word id) pairs in an Arrow hash table, which numbers and counts them.
 2. Counted phrases are held in containers, one for each prefix: a hash of the language
    and of the first ``DEPTH`` words, so that a subtree is in one container.
 3. After ``HELD`` phrases, and at the end, containers leave the task whole, as sorted and
@@ -57,15 +57,15 @@ FIRST = 2000
 BITS = 25
 HELD = 1 << 20  # phrases a task holds before it spills
 BURST = 1 << 14  # phrases of a run
-SEED = 42
 DEPTH = 3
-SLICE = 4 << 20  # bytes of text a trie is made of
+SLICE = 8 << 20  # bytes of text a trie is made of
 FOLD = 1 << 20  # phrases read of one prefix before equal ones are added up
 _RUN = pa.schema([("prefix", pa.int32()), ("lang", pa.string()), ("phrases", pa.int64()), ("bytes", pa.int64()), ("run", pa.binary())])
 _RUN_SQL = "prefix int, lang string, phrases bigint, bytes bigint, run binary"
-_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
-_COUNTED_SQL = "lang string, phrase string, f bigint"
+_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64()), ("h", pa.int64())])
+_COUNTED_SQL = "lang string, phrase string, f bigint, h bigint"
 
+U64 = np.uint64
 _BLANK = np.isin(np.arange(256), [32, 9])
 _BREAK = np.isin(np.arange(256), [*b".,;:!?", 10, 11, 12, 13])
 _LOWER = np.arange(256, dtype=np.uint8) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90)).astype(np.uint8)
@@ -100,59 +100,119 @@ def pieces(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, rows, left
 
 
-def hash_of(lang: str, phrase: str) -> int:
-    """The same 64 bits as Spark's ``xxhash64(lang, phrase)``."""
-    return xxhash.xxh64_intdigest(phrase.encode(), seed=xxhash.xxh64_intdigest(lang.encode(), seed=SEED))
+def text_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode())
 
 
-def _hashes(lang: pa.Array, phrase: pa.Array) -> np.ndarray:
-    return np.fromiter(map(hash_of, lang.to_pylist(), phrase.to_pylist()), dtype=np.uint64, count=len(phrase))
+def longer_hash(above: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a phrase from those of its first words and of its last; that of no words is its language's."""
+    return hashing.mix(above * U64(hashing.WORD_BASE) + word)
 
 
-def counted_slice(
-    langs: pa.Array, texts: pa.Array, low: int, high: int, frequent: dict[int, np.ndarray], prefixes: int
-) -> Iterator[pa.Table]:
-    """Phrases of ``low`` to ``high`` words with their counts, level by level of the slice's trie.
+def phrase_hash(lang: str, phrase: str) -> int:
+    words = np.array([text_hash(w) for w in phrase.split(" ")], dtype=U64)
+    told = np.array([text_hash(lang)], dtype=U64)
+    for word in words:
+        told = longer_hash(told, word)
+    return int(told[0].astype(np.int64))
+
+
+class Numbers:
+    """Ids of the texts a task has met, in the order met, and their hashes."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.hashes = np.empty(0, dtype=U64)
+
+    def of(self, texts: pa.Array) -> np.ndarray:
+        ids, known = self.ids, len(self.ids)
+        out = np.fromiter((ids.setdefault(t, len(ids)) for t in texts.to_pylist()), dtype=np.int64, count=len(texts))
+        fresh = list(ids)[known:] if len(ids) > known else []
+        self.hashes = np.append(self.hashes, np.array([text_hash(t) for t in fresh], dtype=U64))
+        return out
+
+    def names(self) -> pa.Array:
+        return pa.array(list(self.ids), pa.string())
+
+
+class Trie:
+    """Counts of the phrases of ``low`` to ``high`` words that a task has met.
 
     ``frequent`` has bits of the frequent phrases of some sizes below ``low``.
     """
-    words, rows, left = pieces(texts)
-    if not len(words):
-        return
-    named, spelled = langs.fill_null("und").dictionary_encode(), words.dictionary_encode()
-    of_lang = np.asarray(named.indices)[rows].astype(np.int64)
-    of_word = np.asarray(spelled.indices).astype(np.int64)
-    spelled = spelled.dictionary
-    wide = len(spelled)
-    node = pa.array(of_lang * wide + of_word).dictionary_encode()
-    at, nodes, keys = np.arange(len(words)), np.asarray(node.indices).astype(np.int64), np.asarray(node.dictionary)
-    lang, text = named.dictionary.take(pa.array(keys // wide)), spelled.take(pa.array(keys % wide))
-    usable, part = np.ones(len(words), dtype=bool), 1
-    head = np.empty(0, np.int64)
-    for level in range(1, high + 1):
-        told = _hashes(lang, text) if level <= DEPTH and (level >= low or level in frequent) else None
-        if level >= low:
-            head = (told % np.uint64(prefixes)).astype(np.int32) if told is not None else head[above]
-            yield pa.table({"prefix": head, "lang": lang, "phrase": text.cast(pa.string()), "f": np.bincount(nodes, minlength=len(keys))})
-        if level == high:
-            return
-        if level in frequent:
-            bit = (told & np.uint64((1 << BITS) - 1)).astype(np.int64)
-            good = ((frequent[level][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1)[nodes]
-            usable, part = np.zeros(len(words), dtype=bool), level
-            usable[at[good]] = True
-            at, nodes = at[good], nodes[good]
-        # One word more: in the same piece, and the last ``part`` words are usable.
-        go = left[at] > level
-        go[go] = usable[at[go] + (level - part + 1)]
-        at, nodes = at[go], nodes[go]
-        if not len(at):
+
+    def __init__(self, low: int, high: int, frequent: dict[int, np.ndarray], prefixes: int):
+        self.low, self.high, self.frequent, self.prefixes = low, high, frequent, prefixes
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.langs = Numbers(), Numbers()
+        self.held: dict[int, list[pa.Table]] = {}
+        self.size = 0
+
+    def add(self, langs: pa.Array, texts: pa.Array) -> None:
+        words, rows, left = pieces(texts)
+        if not len(words):
             return
-        node = pa.array(nodes * wide + of_word[at + level]).dictionary_encode()
-        nodes, keys = np.asarray(node.indices).astype(np.int64), np.asarray(node.dictionary)
-        above = keys // wide
-        lang = lang.take(pa.array(above))
-        text = pc.binary_join_element_wise(text.take(pa.array(above)), spelled.take(pa.array(keys % wide)), pa.scalar(" ", text.type))
+        lang, word = langs.fill_null("und").dictionary_encode(), words.dictionary_encode()
+        of_lang = self.langs.of(lang.dictionary)[np.asarray(lang.indices)][rows]
+        of_word = self.words.of(word.dictionary)[np.asarray(word.indices)]
+        # Places where a phrase of ``low`` words may begin, and then those where a longer one may.
+        usable, part = self._usable(of_lang, of_word, left)
+        may = left >= self.low
+        for i in range(self.low - part + 1):
+            may[: len(may) - i] &= usable[i:]
+        at = np.flatnonzero(may)
+        wide = len(self.words.ids)
+        keys, nodes, columns = None, of_lang[at], []
+        for level in range(1, self.high + 1):
+            if level > self.low:
+                go = left[at] >= level
+                go[go] = usable[at[go] + level - part]
+                at, nodes = at[go], nodes[go]
+            if not len(at):
+                return
+            node = pa.array(nodes * wide + of_word[at + level - 1]).dictionary_encode()
+            nodes, keys = np.asarray(node.indices).astype(np.int64), np.asarray(node.dictionary)
+            above = keys // wide
+            columns = [c[above] for c in columns] or [above.astype(np.int32)]
+            columns.append((keys % wide).astype(np.int32))
+            if level >= self.low:
+                names = ["lang", *(f"w{i}" for i in range(level))]
+                self.held.setdefault(level, []).append(
+                    pa.table({**dict(zip(names, columns, strict=True)), "f": np.bincount(nodes, minlength=len(keys))})
+                )
+                self.size += len(keys)
+
+    def _usable(self, of_lang: np.ndarray, of_word: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, int]:
+        """Places of phrases told frequent, of the greatest size that bits are given for, and that size."""
+        if not self.frequent:
+            return np.ones(len(of_word), dtype=bool), 1
+        size = max(self.frequent)
+        told, word = self.langs.hashes[of_lang], self.words.hashes[of_word]
+        for i in range(size):
+            told = longer_hash(told[: len(word) - i], word[i:])
+        bit = (told & U64((1 << BITS) - 1)).astype(np.int64)
+        good = np.zeros(len(of_word), dtype=bool)
+        good[: len(bit)] = (self.frequent[size][bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
+        return good & (left >= size), size
+
+    def runs(self) -> Iterator[pa.RecordBatch]:
+        """Whole containers as sorted runs; the trie is empty afterwards."""
+        words, langs = self.words.names(), self.langs.names()
+        for level, tables in sorted(self.held.items()):
+            keys = ["lang", *(f"w{i}" for i in range(level))]
+            table = added(tables, keys).combine_chunks()
+            columns = [np.asarray(table[c]) for c in keys]
+            told = self.langs.hashes[columns[0]]
+            for column in columns[1 : DEPTH + 1]:
+                told = longer_hash(told, self.words.hashes[column])
+            prefix = (told % U64(self.prefixes)).astype(np.int32)
+            order = np.lexsort((*reversed(columns[1:]), columns[0], prefix))
+            parts = [words.take(pa.array(c[order])) for c in columns[1:]]
+            text = pc.binary_join_element_wise(*parts, " ") if level > 1 else parts[0]
+            yield from _packed(prefix[order], columns[0][order], langs, text, np.asarray(table["f"])[order].astype("<i8"))
+        self.clear()
 
 
 def added(tables: list[pa.Table], keys: list[str]) -> pa.Table:
@@ -161,26 +221,19 @@ def added(tables: list[pa.Table], keys: list[str]) -> pa.Table:
     return one.group_by(keys, use_threads=False).aggregate([("f", "sum")]).rename_columns([*keys, "f"])
 
 
-def runs(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-    """The containers of a task as sorted runs."""
-    table = added(held, ["prefix", "lang", "phrase"])
-    table = table.sort_by([("prefix", "ascending"), ("lang", "ascending"), ("phrase", "ascending")]).combine_chunks()
-    prefix, lang = np.asarray(table["prefix"]), table["lang"].combine_chunks()
-    code = np.asarray(lang.dictionary_encode().indices)
-    change = np.flatnonzero((prefix[1:] != prefix[:-1]) | (code[1:] != code[:-1])) + 1
+def _packed(prefix: np.ndarray, lang: np.ndarray, langs: pa.Array, phrase: pa.Array, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted phrases as a compressed run for each prefix and language, ``BURST`` phrases at most."""
+    change = (np.flatnonzero((prefix[1:] != prefix[:-1]) | (lang[1:] != lang[:-1])) + 1).tolist()
     begins = np.concatenate([np.arange(a, b, BURST) for a, b in zip([0, *change], [*change, len(prefix)], strict=True)])
     ends = np.append(begins[1:], len(prefix))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(prefix)), pa.int32()), table["phrase"].cast(pa.string()).combine_chunks())
-    joined, f = pc.binary_join(lists, "\n"), np.asarray(table["f"]).astype("<i8")
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(begins, len(prefix)), pa.int32()), phrase), "\n")
     for some in range(0, len(begins), 4096):
-        of = range(some, min(some + 4096, len(begins)))
-        raw = [f[begins[i] : ends[i]].tobytes() + joined[i].as_buffer().to_pybytes() for i in of]
-        first = pa.array(begins[some : some + 4096])
+        begin, end = begins[some : some + 4096], ends[some : some + 4096]
+        raw = [f[a:b].tobytes() + joined[some + i].as_buffer().to_pybytes() for i, (a, b) in enumerate(zip(begin, end, strict=True))]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(prefix[begins[some : some + 4096]], pa.int32()), lang.take(first).cast(pa.string()),
-                pa.array(ends[some : some + 4096] - begins[some : some + 4096], pa.int64()), pa.array([len(x) for x in raw], pa.int64()),
-                pa.array([pa.compress(x, "zstd", asbytes=True) for x in raw], pa.binary()),
+                pa.array(prefix[begin], pa.int32()), langs.take(pa.array(lang[begin])), pa.array(end - begin, pa.int64()),
+                pa.array([len(x) for x in raw], pa.int64()), pa.array([pa.compress(x, "zstd", asbytes=True) for x in raw], pa.binary()),
             ],
             schema=_RUN,
         )
@@ -188,16 +241,12 @@ def runs(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
 
 def _count(low: int, high: int, frequent: dict, prefixes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        bits = {size: np.frombuffer(table.value, np.uint8) for size, table in frequent.items()}
+        trie = Trie(low, high, {size: np.frombuffer(table.value, np.uint8) for size, table in frequent.items()}, prefixes)
         for batch in hashing.slices(batches, "text", SLICE):
-            langs, texts = batch.column("lang").cast(pa.string()), batch.column("text")
-            held += counted_slice(langs, texts, low, high, bits, prefixes)
-            if sum(map(len, held)) > HELD:
-                yield from runs(held)
-                held = []
-        if held:
-            yield from runs(held)
+            trie.add(batch.column("lang").cast(pa.string()), batch.column("text"))
+            if trie.size > HELD:
+                yield from trie.runs()
+        yield from trie.runs()
 
     return run
 
@@ -212,7 +261,9 @@ def _merge(least: int, totals: bool):
             every = added([table.select(["lang", "f"])], ["lang"])
             kept.append(every.append_column("phrase", pa.nulls(len(every), pa.string())))
         for part in kept:
-            yield from part.select(["lang", "phrase", "f"]).cast(_COUNTED).to_batches()
+            told = [None if p is None else phrase_hash(x, p) for x, p in zip(part["lang"].to_pylist(), part["phrase"].to_pylist(), strict=True)]
+            part = part.append_column("h", pa.array(told, pa.int64()))
+            yield from part.select(["lang", "phrase", "f", "h"]).cast(_COUNTED).to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -247,7 +298,7 @@ def _counted(docs: DataFrame, low: int, high: int, frequent: dict, least: int) -
 
 def _bits(counted: DataFrame):
     """The bits of all phrases, at most ``2 ** BITS``, as a broadcast variable."""
-    bit = F.xxhash64("lang", "phrase").bitwiseAND((1 << BITS) - 1)
+    bit = F.col("h").bitwiseAND((1 << BITS) - 1)
     words = counted.where("phrase IS NOT NULL").select(
         F.shiftright(bit, 6).cast("int").alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int")).alias("bit")
     )
@@ -270,7 +321,7 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple
     every = found[0]
     for more in found[1:]:
         every = every.unionByName(more)
-    return every, totals
+    return every.drop("h"), totals
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:

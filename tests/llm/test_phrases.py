@@ -7,8 +7,6 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
-
 from garimpo.llm import phrases as P
 
 
@@ -81,10 +79,13 @@ def test_large_numbers_are_exact(spark):
     assert row.score == 1000 * a * n // (left * right)
 
 
-def test_hash_equals_spark(spark):
-    rows = [("en", "new york"), ("und", "é"), ("", ""), ("pt", "x" * 100)]
-    df = spark.createDataFrame(rows, "lang string, phrase string").select(F.xxhash64("lang", "phrase").alias("h"))
-    assert [r.h for r in df.collect()] == [np.uint64(P.hash_of(*r)).astype(np.int64) for r in rows]
+def test_hashes_of_phrases_and_places_agree():
+    trie = P.Trie(3, 5, {2: np.zeros(1 << (P.BITS - 3), np.uint8)}, 4)
+    lang, words = trie.langs.of(pa.array(["en"])), trie.words.of(pa.array(["new", "york", "é"]))
+    told = P.longer_hash(trie.langs.hashes[lang], trie.words.hashes[words[:1]])
+    told = P.longer_hash(told, trie.words.hashes[words[1:2]])
+    assert told.astype(np.int64)[0] == P.phrase_hash("en", "new york") != P.phrase_hash("en", "york new")
+    assert trie.words.of(pa.array(["york", "x", "new"])).tolist() == [1, 3, 0] and len(trie.words.hashes) == 4
 
 
 def test_pieces():
