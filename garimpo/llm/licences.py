@@ -6,9 +6,8 @@ copyright notices (a sign or a year after the word) to the end of their line and
 but letters and digits a single space. The digest of the canonical form is the join key, so a
 scan costs one digest a text and one hash join, whatever the number of licences.
 
-Texts scanned are the whole document and each of its lines, as licence notices
-are lines of their own. Lines longer than the longest known canonical form can
-equal none and are not joined.
+Texts scanned are the whole document and each of its lines, of any length, as
+licence notices are lines of their own.
 
 * null and blank texts have no licence; a line without letters or digits is none;
 * lines of a licence found several times are counted several times;
@@ -155,9 +154,6 @@ def digests() -> dict[str, str]:
     return known() | whole | {digest: licence for licence, digest in LONG_TEXTS.items()}
 
 
-LONGEST = max(len(canonical(t)) for t in [*TEXTS.values(), *(n.format(x) for n in NOTICES for v in NAMES.values() for x in v)])
-
-
 def canonical_lines(text: Column) -> Column:
     """The canonical form, with line ends kept."""
     text = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE, "")
@@ -175,9 +171,8 @@ def scanned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licence
     """
     spark = docs.sparkSession
     table = licences if licences is not None else spark.createDataFrame(sorted(digests().items()), "digest string, licence string")
-    longest = LONGEST if licences is None else 2**31 - 1
     lines = F.transform(F.split("canon", "\n"), lambda line: F.trim(line))
-    fitting = F.filter(lines, lambda line: (F.length(line) > 0) & (F.length(line) <= longest))
+    fitting = F.filter(lines, lambda line: F.length(line) > 0)
     whole = F.trim(F.regexp_replace(F.regexp_replace("canon", RESERVED_LINE, ""), r"\s+", " "))
     units = F.concat(
         F.array(F.struct(F.lit(True).alias("entire"), F.sha2(whole, 256).alias("digest"))),

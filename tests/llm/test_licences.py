@@ -54,3 +54,10 @@ def test_whole_texts_in_any_wrapping(documents):
     found = {r["doc_id"]: r["whole_licence"] for r in L.scanned(documents(list(enumerate(t for _, t in texts)))).collect()}
     assert [found[i] for i in range(len(texts))] == [name for name, _ in texts]
     assert {"BSD-3-Clause", "Apache-2.0", "GPL-3.0"} <= set(L.digests().values()) and set(L.known()) <= set(L.digests())
+
+
+def test_long_licence_on_one_line(spark, documents):
+    text = " ".join(L.TEXTS["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED BY", L._BSD_3).split())
+    rows = documents([(1, "code\n" + text + "\nmore code"), (2, "x " * 100_000)])
+    found = {r.doc_id: (r.n_lines, r.licences) for r in L.scanned(rows).collect()}
+    assert found == {1: (1, "BSD-3-Clause"), 2: (0, "")}
