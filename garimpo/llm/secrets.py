@@ -15,8 +15,8 @@ neighbouring words; a random forest over labelled findings removes the false
 positives.
 
 * ``findings`` are labelled rows ``(value, left, right, path, label)``. Without any
-  of your own, ``seeded_findings`` makes them from a bounded number of documents:
-  digests, random keys, short passwords and passphrases given to credential names or
+  of your own, ``seeded_findings`` makes them from a bounded sample, the first ``HEAD``
+  characters of ``SEEDS`` documents: digests, random keys, short passwords and passphrases given to credential names or
   in URLs, against digests of commits and checksums, identifiers, numbers, paths,
   words, variables and placeholders.
 * The dictionary holds the ``WORDS`` most frequent words of all texts.
@@ -42,6 +42,7 @@ LEAST = 12
 AROUND = 40
 WORDS = 300
 SEEDS = 1500
+HEAD = 400
 TREES = 30
 DEPTH = 7
 CUT = 0.5
@@ -148,7 +149,7 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     the forms keys, identifiers and file names have.
     """
     base = docs.where(F.col(doc_id).isNotNull() & (F.length(F.trim(F.col(text))) > 0))
-    base = base.select(F.col(doc_id).cast("string").alias("id"), F.substring(F.col(text), 1, 400).alias("head"))
+    base = base.select(F.col(doc_id).cast("string").alias("id"), F.substring(F.col(text), 1, HEAD).alias("head"))
     # Rows of small hashes only, some more than needed, so that the sort sees a bounded number of them.
     total = base.select("id").count()
     base = base.where(small_hash(F.col("id"), rows, total))
@@ -158,7 +159,7 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def digest(salt: str) -> Column:
         return F.sha2(F.concat(F.lit(salt), "id"), 256)
 
-    def pick(options: tuple[str, ...], salt: str) -> Column:
+    def pick(options: tuple, salt: str) -> Column:
         place = F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(options))) + 1
         return F.element_at(F.array(*[F.lit(o) for o in options]), place.cast("int"))
 
@@ -184,12 +185,13 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         )
 
     hexes = F.substring(digest("h"), 1, 40)
+    uuid = F.regexp_replace(F.substring(digest("u"), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     sign = pick(("!", "@", "$", "&", ".", "#", "%", "*"), "y1")
     short = F.concat(base64("w", 4), sign, base64("v", 3), pick(("", "!", "7", "&3"), "y2"))
     third = F.coalesce(F.get(F.regexp_extract_all("head", F.lit(r"[A-Za-z]{3,}+"), 0), F.lit(8)), F.lit("third"))
     joint = pick(("-", "_", "."), "y3")
     phrase = F.lower(F.concat(other, joint, third, joint, other, joint, word))
-    easy = F.concat(F.lower(other), F.substring(digits, 5, 2))
+    easy = F.concat(F.lower(other), F.substring(digits, 5, pick((1, 2), "z9")))
     close = F.when(F.right(assign, F.lit(1)).isin("\"", "'"), F.right(assign, F.lit(1))).otherwise(F.lit(""))
     loose = F.concat(before, F.lit(" "), pick(SECRET_NAMES, "y4"), pick((" ", " is ", ": ", " "), "y5"))
     url = F.concat(before, F.lit(" "), pick(("https", "postgres", "amqp", "ftp"), "y6"), F.lit("://"))
@@ -205,7 +207,8 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         row(F.concat(pick(("AKIA", "ASIA"), "k"), F.translate(F.upper(F.substring(digest("k"), 1, 16)), "01", "ZY")), F.concat(before, F.lit(" ")), spaced, "src", 1),
         row(hexes, named, spaced, "src", 0),
         row(digest("c"), named, spaced, "docs/changes", 0),
-        row(F.regexp_replace(F.substring(digest("u"), 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), named, spaced, "src", 0),
+        row(uuid, named, spaced, "src", 0),
+        row(uuid, F.when(loud, F.lit("")).otherwise(F.concat(before, F.lit(" "))), pick((" is its uuid", " is the id", ": ", " was", " "), "z8"), "src", 0),
         row(F.substring(digits, 1, 16), F.concat(before, F.lit(" ")), spaced, "src", 0),
         row(F.substring(digits, 3, 14), named, spaced, "src", 0),
         row(F.concat(F.lower(other), F.lit("_"), F.lower(other), F.lit("_"), F.substring(digits, 1, 4)), F.concat(before, F.lit(" ")), spaced, "src", 0),
@@ -235,11 +238,15 @@ def seeded_findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def train(findings: DataFrame, words: list[str], trees: int = TREES, depth: int = DEPTH, seed: int = 11) -> RandomForestClassificationModel:
-    """A forest over the features of labelled findings (a bounded table, dealt alike on every run)."""
+    """A forest over the features of labelled findings, a bounded table.
+
+    The forest draws rows by partition and place, so all are sorted into one partition:
+    equal findings give the same forest in any session.
+    """
     rows = described(findings.where("label IN (0, 1) AND value IS NOT NULL"), words)
-    ready = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(rows)
-    ready = ready.select("features", F.col("label").cast("double").alias("label"), F.xxhash64("value", "left").alias("place"))
-    table = stored(ready.repartitionByRange(4, "place").sortWithinPartitions("place"), "findings")
+    rows = rows.select(*FEATURES, F.col("label").cast("double").alias("label"), F.xxhash64("value", "left").alias("place"))
+    rows = stored(rows, "findings").repartition(1).sortWithinPartitions("place", "label", *FEATURES)
+    table = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(rows).select("features", "label")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label")
     return forest.fit(table)
 

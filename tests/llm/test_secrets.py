@@ -89,3 +89,21 @@ def test_secrets_after_names_and_in_urls(documents, docs):
     ]
     out = S.masked(documents([(i, text) for i, (text, _) in enumerate(rows)]), findings=S.seeded_findings(docs)).collect()
     assert {r["doc_id"]: r["text"] for r in out} == {i: masked or text for i, (text, masked) in enumerate(rows)}
+
+
+def test_training_is_the_same_for_any_partitioning(spark, docs):
+    words = S.dictionary(docs)
+    findings = S.seeded_findings(docs)
+    one, other = S.train(findings, words), S.train(findings.repartition(7), words)
+    assert one.toDebugString.split("\n", 1)[1] == other.toDebugString.split("\n", 1)[1]
+    assert S.dictionary(docs.repartition(5)) == words
+
+
+def test_short_passwords_and_identifiers(documents, docs):
+    rows = [
+        ("password=hunter2", "password=[SECRET]"), ("its id is 7c9e6679-7425-40de-944b-e07fc1f90ae7 now", None),
+        ("123e4567-e89b-12d3-a456-426614174000 is its uuid", None), ("build 20240131123456 of page 12345678901234", None),
+    ]
+    texts = documents([(i, t) for i, (t, _) in enumerate(rows)])
+    got = {r.doc_id: r.text for r in S.masked(texts, findings=S.seeded_findings(docs)).collect()}
+    assert got == {i: masked or text for i, (text, masked) in enumerate(rows)}
