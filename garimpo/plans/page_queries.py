@@ -566,19 +566,23 @@ VERSION_ORDER = ["seq", "preco"]
 def st_capture_ingest(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "ingest")
     arrived = derive(spark, sf, "captures")
-    arrived.repartition(4, "entry_id").write.parquet(f"{base}/in")
-    stream = jobs.file_stream(spark, f"{base}/in", arrived.schema, files_per_batch=2)
+    stream = stored_stream(arrived, f"{base}/in")
     jobs.ingest_captures(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/out").select("entry_id", "list_id", "ad_url", "preco", "titulo")
 
 
+def stored_stream(arrived: DataFrame, path: str, batches: int = 2) -> DataFrame:
+    """The rows added to a folder, and the folder as a stream of about so many batches of new files."""
+    spark = arrived.sparkSession
+    arrived.write.mode("append").parquet(path)
+    files = len(spark.read.schema(arrived.schema).parquet(path).inputFiles())
+    return jobs.file_stream(spark, path, arrived.schema, files_per_batch=-(-files // batches))
+
+
 def half_streams(arrived: DataFrame, base: str, half: str) -> list[DataFrame]:
     """The rows as two file streams of several batches, one for each of two runs of a job."""
-    streams = []
-    for part, rows in (("first", arrived.filter(half)), ("second", arrived.filter(f"NOT ({half})"))):
-        rows.repartition(4).write.parquet(f"{base}/{part}")
-        streams.append(jobs.file_stream(arrived.sparkSession, f"{base}/{part}", arrived.schema, files_per_batch=2))
-    return streams
+    parts = (("first", arrived.filter(half)), ("second", arrived.filter(f"NOT ({half})")))
+    return [stored_stream(rows, f"{base}/{part}") for part, rows in parts]
 
 
 @register("st_link_first_seen", ["link_events"], "SELECT DISTINCT id, url, domain FROM link_events")

@@ -18,21 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from garimpo.operators import captures as cap
 from garimpo.operators import dedup, queue
-
-
-SEEN_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.StringType()),
-        T.StructField("url", T.StringType()),
-        T.StructField("domain", T.StringType()),
-        T.StructField("run_id", T.StringType()),
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("shard", T.StringType()),
-    ]
-)
-BATCH_SCHEMA = [T.StructField("run_id", T.StringType()), T.StructField("batch_id", T.LongType())]
-SHARD_CHARS = 1  # leading hex digits of the id that the seen links are partitioned by
-
+from garimpo.streaming import membership
+from garimpo.streaming.membership import BATCH_SCHEMA, FILTER_SCHEMA, SEEN_SCHEMA
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
@@ -61,12 +48,18 @@ def _run_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def _batch_name(batch: DataFrame, batch_id: int) -> str:
+    return f"run_id={_run_id(batch)}/batch_id={batch_id}"
+
+
 def _batch_folder(path: str, batch: DataFrame, batch_id: int) -> str:
-    return f"{path}/run_id={_run_id(batch)}/batch_id={batch_id}"
+    return f"{path}/{_batch_name(batch, batch_id)}"
 
 
 def _opened(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Make sure the folder can be read, whether or not an earlier run wrote to it."""
+    if membership.there(spark, path):
+        return
     spark.createDataFrame([], schema).write.mode("append").partitionBy("run_id", "batch_id").parquet(path)
 
 
@@ -87,21 +80,25 @@ def first_seen_links(stream: DataFrame, out: str, checkpoint: str) -> StreamingQ
 
     The seen links are a table, not operator state: a batch is first reduced to
     one row per link where it is read, then anti-joined, so neither a hot link
-    nor years of history has to fit in one task's state store. The table is
-    partitioned by the first digits of the id, and a batch reads only the
-    partitions its links fall into.
+    nor years of history has to fit in one task's state store. Of the table only
+    the files are read that a filter says may hold one of the links
+    (``membership``); the filters lie beside it, in ``<out>-filter``.
     """
-    _opened(stream.sparkSession, out, SEEN_SCHEMA)
+    spark, filters = stream.sparkSession, f"{out}-filter"
+    _opened(spark, out, SEEN_SCHEMA)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        shard = F.substring("id", 1, SHARD_CHARS)
-        found = batch.groupBy("id").agg(F.min("url").alias("url"), F.min("domain").alias("domain")).withColumn("shard", shard)
-        shards = [r["shard"] for r in found.select("shard").distinct().toLocalIterator()]
-        log = batch.sparkSession.read.schema(SEEN_SCHEMA).parquet(out)
         own = (F.col("run_id") == _run_id(batch)) & (F.col("batch_id") == batch_id)
-        seen = log.filter(F.col("shard").isin(shards) & ~own)
-        new = queue.insert_ignore(seen, found)
-        new.write.mode("overwrite").partitionBy("shard").parquet(_batch_folder(out, batch, batch_id))
+        found = batch.groupBy("id").agg(F.min("url").alias("url"), F.min("domain").alias("domain")).persist()
+        paths = []
+        if membership.there(spark, filters):
+            earlier = batch.sparkSession.read.schema(FILTER_SCHEMA).parquet(filters).where(~own)
+            paths = membership.folders(earlier, found, out)
+        seen = membership.history(batch.sparkSession, out, paths)
+        new = queue.insert_ignore(seen, found).persist()
+        membership.add(new, new.count(), out, filters, _batch_name(batch, batch_id))
+        new.unpersist()
+        found.unpersist()
 
     return run_available(stream, "first_seen_links", write, checkpoint)
 
