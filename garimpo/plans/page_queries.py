@@ -25,6 +25,7 @@ from garimpo.plans.registry import (
 )
 from garimpo.session import scratch_path
 from garimpo.sources import readers
+from garimpo.sources.listing_table import ListingTable
 from garimpo.streaming import jobs
 
 # ------------------------------------------------------------ scalar functions
@@ -604,13 +605,11 @@ def st_link_first_seen(spark: SparkSession, sf: str) -> DataFrame:
 def st_listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "upsert")
     arrived = derive(spark, sf, "revisions").select("id", "titulo", "preco", "seq")
+    table = ListingTable(spark, f"{base}/table", VERSION_ORDER)
     for i, stream in enumerate(half_streams(arrived, base, "seq % 2 = 0")):
-        jobs.upsert_listings(
-            stream, f"{base}/log", f"{base}/checkpoint-{i}", VERSION_ORDER, f"{base}/rejects"
-        ).awaitTermination()
-    newest = jobs.latest_listings(jobs.stored_batches(spark, f"{base}/log", arrived.schema), VERSION_ORDER)
+        jobs.upsert_table(stream, table, f"{base}/checkpoint-{i}", f"{base}/rejects").awaitTermination()
     rejects = jobs.stored_batches(spark, f"{base}/rejects", arrived.schema)
-    both = newest.withColumn("verdict", F.lit("accepted")).unionByName(rejects.withColumn("verdict", F.lit("rejected")))
+    both = table.rows().withColumn("verdict", F.lit("accepted")).unionByName(rejects.withColumn("verdict", F.lit("rejected")), allowMissingColumns=True)
     return both.select("verdict", "id", "titulo", "preco")
 
 

@@ -23,6 +23,7 @@ from garimpo.plans.registry import (
 )
 from garimpo.session import scratch_path
 from garimpo.sources import readers, writers
+from garimpo.sources.listing_table import ListingTable
 
 EXPORT = col_list(C.EXPORT_COLUMNS)
 READ_BACK = col_list(
@@ -164,18 +165,16 @@ VERSION_ORDER = ["seq", "preco"]
         SELECT id, link, titulo, preco, NULL, fonte, 'rejected' FROM revisions WHERE titulo IS NULL""",
 )
 def snk_listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored table and a delta appended to the log; rows the table does not take, on the side."""
+    """The stored table, versions added to it, and both compacted; rows the table does not take, on the side."""
     stored, incoming = listing_versions(spark, sf)
-    log, side = scratch_path(spark, "listing-log"), scratch_path(spark, "listing-rejects")
+    path, side = scratch_path(spark, "listing-table"), scratch_path(spark, "listing-rejects")
     incoming = incoming.withColumn("cidade", F.lit(None).cast("string")).select(*stored.columns)
-    writers.listing_log(stored, f"{log}/parte=base")
-    writers.listing_log(dedup.accepted(incoming), f"{log}/parte=delta")
+    table = ListingTable(spark, path, VERSION_ORDER).create(stored, single=True)
+    table.add(dedup.accepted(incoming))
     writers.rejects(dedup.rejected(incoming), side)
-    schema = stored.drop("fonte").schema.add("fonte", "string")
-    base, delta = (spark.read.schema(schema).parquet(f"{log}/parte={p}") for p in ("base", "delta"))
+    table.compact()
     columns = ["id", "link", "titulo", "preco", "cidade", "fonte"]
-    # The base has one row an id, so only ids of the delta are ranked.
-    newest = dedup.merged(base, delta, VERSION_ORDER).select(*columns, F.lit("accepted").alias("verdict"))
+    newest = table.rows().select(*columns, F.lit("accepted").alias("verdict"))
     rejects = spark.read.schema(stored.schema).parquet(side).select(*columns, F.lit("rejected").alias("verdict"))
     return newest.unionByName(rejects)
 

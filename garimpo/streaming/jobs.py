@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from garimpo.operators import captures as cap
 from garimpo.operators import dedup, queue
+from garimpo.session import exists
+from garimpo.sources.listing_table import ListingTable
 from garimpo.streaming import membership
 from garimpo.streaming.membership import BATCH_SCHEMA, FILTER_SCHEMA, SEEN_SCHEMA
 
@@ -58,7 +60,7 @@ def _batch_folder(path: str, batch: DataFrame, batch_id: int) -> str:
 
 def _opened(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Make sure the folder can be read, whether or not an earlier run wrote to it."""
-    if membership.there(spark, path):
+    if exists(spark, path):
         return
     spark.createDataFrame([], schema).write.mode("append").partitionBy("run_id", "batch_id").parquet(path)
 
@@ -91,7 +93,7 @@ def first_seen_links(stream: DataFrame, out: str, checkpoint: str) -> StreamingQ
         own = (F.col("run_id") == _run_id(batch)) & (F.col("batch_id") == batch_id)
         found = batch.groupBy("id").agg(F.min("url").alias("url"), F.min("domain").alias("domain")).persist()
         paths = []
-        if membership.there(spark, filters):
+        if exists(spark, filters):
             earlier = batch.sparkSession.read.schema(FILTER_SCHEMA).parquet(filters).where(~own)
             paths = membership.folders(earlier, found, out)
         seen = membership.history(batch.sparkSession, out, paths)
@@ -129,6 +131,32 @@ def upsert_listings(
     return run_available(stream, "upsert_listings", write, checkpoint)
 
 
+def upsert_table(
+    stream: DataFrame, table: ListingTable, checkpoint: str, rejects: str, compact_after: int = 16
+) -> StreamingQuery:
+    """Add each batch's newest versions to a listing table as a delta.
+
+    The table is made with the first batch, and compacted whenever ``compact_after``
+    deltas have gathered, so a read merges a bounded number of them. A batch run again
+    replaces its delta; once that is in the base, adding it again changes nothing.
+    Rows the table does not take, for want of a title or a key, go to ``rejects``.
+    """
+    _opened(stream.sparkSession, rejects, T.StructType([*stream.schema.fields, *BATCH_SCHEMA]))
+    taken = F.col(table.key).isNotNull() & F.col("titulo").isNotNull()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.where(~taken).write.mode("overwrite").parquet(_batch_folder(rejects, batch, batch_id))
+        live = table.manifest()
+        if live is None:
+            table.create(batch.where(taken))
+            return
+        table.add(batch.where(taken), f"{_run_id(batch)}-{batch_id}")
+        if len(live["deltas"]) + 1 >= compact_after:
+            table.compact()
+
+    return run_available(stream, "upsert_table", write, checkpoint)
+
+
 def stored_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """What all runs of a job have stored, with ``run_id`` and ``batch_id``."""
     return spark.read.schema(T.StructType([*schema.fields, *BATCH_SCHEMA])).parquet(path)

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from garimpo.session import exists
+
 PER_FILE = 1 << 15
 COUNTS = [4**i for i in range(9)]  # of shards that a batch may have
 WORDS = 1 << 14  # of a filter: 32 bits a link
@@ -87,15 +89,9 @@ def folders(filters: DataFrame, links: DataFrame, root: str) -> list[str]:
     return [f"{root}/run_id={r['run_id']}/batch_id={r['batch_id']}/shard={r['shard']}" for r in found]
 
 
-def there(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or folder of that name, in whatever store it lies."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def history(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
     """The links of these folders; what a failed batch never wrote is left out."""
-    written = [p for p in paths if there(spark, p)]
+    written = [p for p in paths if exists(spark, p)]
     if not written:
         return spark.createDataFrame([], SEEN_SCHEMA)
     return spark.read.schema(SEEN_SCHEMA).option("basePath", root).parquet(*written)
