@@ -619,8 +619,10 @@ def st_listing_upsert(spark: SparkSession, sf: str) -> DataFrame:
        GROUP BY status""",
 )
 def st_queue_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """One job that is stopped and started again when more events have come."""
     base = scratch_path(spark, "progress")
     events = derive(spark, sf, "link_events").select("id", "ts", "event_id", "status")
-    for i, stream in enumerate(half_streams(events, base, "event_id % 3 = 0")):
-        jobs.status_log(stream, f"{base}/log", f"{base}/checkpoint-{i}").awaitTermination()
-    return jobs.status_progress(jobs.stored_batches(spark, f"{base}/log", jobs.PROGRESS_SCHEMA))
+    for half in ("event_id % 3 = 0", "event_id % 3 <> 0"):
+        stream = stored_stream(events.filter(half), f"{base}/in")
+        jobs.status_counts(stream, f"{base}/changes", f"{base}/checkpoint").awaitTermination()
+    return jobs.status_totals(spark, f"{base}/changes")

@@ -9,12 +9,14 @@ what earlier runs stored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from garimpo.operators import captures as cap
 from garimpo.operators import dedup, queue
@@ -189,6 +191,70 @@ PROGRESS_SCHEMA = T.StructType(
 )
 
 
+CHANGE_SCHEMA = T.StructType([T.StructField("status", T.StringType()), T.StructField("n", T.LongType())])
+_STATE_SCHEMA = T.StructType(
+    [T.StructField("at", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("status", T.StringType())]
+)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _latest_status(ttl_ms: int | None) -> Callable:
+    """Keeps each link's latest event, and tells by -1 and +1 when its status changes."""
+
+    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        before = now = state.get if state.exists else None
+        for part in parts:
+            # Order is by time, then event; within a batch as between batches.
+            for at, event_id, status in zip(part["at"], part["event_id"], part["status"], strict=True):
+                if now is None or (at, event_id) > (now[0], now[1]):
+                    now = (int(at), int(event_id), status)
+        if now is not before:
+            state.update(now)
+            if before is None or before[2] != now[2]:
+                gone = [] if before is None else [(before[2], -1)]
+                yield pd.DataFrame([*gone, (now[2], 1)], columns=["status", "n"])
+        if ttl_ms:
+            state.setTimeoutTimestamp(max(now[0] // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
+
+    return run
+
+
+def status_counts(stream: DataFrame, out: str, checkpoint: str, ttl_ms: int | None = None) -> StreamingQuery:
+    """Links per latest status, kept up to date by the changes of each batch.
+
+    The latest event of each link is keyed state in RocksDB, in the checkpoint; a
+    batch adds a row per status to ``out``, the sum of its changes, and nothing that
+    was stored is read again. ``status_totals`` has the answer.
+
+    ``ttl_ms`` forgets a link when events that much later than its last one have
+    come, and leaves it counted under its last status; events older than that are
+    late and no longer read. None keeps all. Events without an id are of no link.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    _opened(spark, out, T.StructType([*CHANGE_SCHEMA.fields, *BATCH_SCHEMA]))
+    events = stream.where("id IS NOT NULL").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = events.withWatermark("ts", f"{ttl_ms} milliseconds") if ttl_ms else events
+    timeout = GroupStateTimeout.EventTimeTimeout if ttl_ms else GroupStateTimeout.NoTimeout
+    rows = events.select("id", "ts", F.unix_micros("ts").alias("at"), "event_id", "status").groupBy("id")
+    changes = rows.applyInPandasWithState(_latest_status(ttl_ms), CHANGE_SCHEMA, _STATE_SCHEMA, "update", timeout)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sums = batch.groupBy("status").agg(F.sum("n").alias("n")).coalesce(1)
+        sums.write.mode("overwrite").parquet(_batch_folder(out, batch, batch_id))
+
+    return run_available(changes, "status_counts", write, checkpoint, mode="update")
+
+
+def status_totals(spark: SparkSession, out: str) -> DataFrame:
+    """Links per latest status: the changes of all batches added up, a few rows a batch."""
+    changes = stored_batches(spark, out, CHANGE_SCHEMA)
+    return changes.groupBy("status").agg(F.sum("n").alias("n")).where("n <> 0")
+
+
 def status_progress(log: DataFrame) -> DataFrame:
     """Links per latest status, over all batches stored so far."""
     latest = log.groupBy("id").agg(F.max_by("status", F.struct("ts", "event_id")).alias("status"))

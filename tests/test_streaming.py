@@ -79,3 +79,33 @@ def test_first_seen_within_a_horizon(spark, fresh_dir):
     )
     query.awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(f"{fresh_dir}/out").collect()) == ["a", "b"]
+
+
+def test_status_counts_equal_the_batch_answer_after_every_run(spark, fresh_dir):
+    """Events out of order, repeated, and spread over restarts of one checkpoint."""
+    import random
+
+    rng = random.Random(5)
+    rows = [(f"l{rng.randrange(20)}", rng.randrange(40), i, rng.choice(["pending", "done", "error", None])) for i in range(120)]
+    rows += rows[:10] + [(None, 1, 999, "done")]
+    schema = "id string, s long, event_id long, status string"
+    for run in range(3):
+        part = spark.createDataFrame(rows[run::3], schema).select("id", F.timestamp_seconds("s").alias("ts"), "event_id", "status")
+        part.repartition(2).write.mode("append").parquet(f"{fresh_dir}/in")
+        stream = jobs.file_stream(spark, f"{fresh_dir}/in", part.schema, files_per_batch=1)
+        jobs.status_counts(stream, f"{fresh_dir}/out", f"{fresh_dir}/cp").awaitTermination()
+        events = spark.read.parquet(f"{fresh_dir}/in").where("id IS NOT NULL")
+        want = {tuple(r) for r in jobs.status_progress(events).collect()}
+        assert {tuple(r) for r in jobs.status_totals(spark, f"{fresh_dir}/out").collect()} == want
+    assert jobs.stored_batches(spark, f"{fresh_dir}/out", jobs.CHANGE_SCHEMA).select("run_id").distinct().count() == 1
+
+
+def test_status_counts_with_a_time_to_live(spark, fresh_dir):
+    """A link without events for an hour is forgotten: its next event counts it once more."""
+    schema = "id string, s long, event_id long, status string"
+    for run, rows in enumerate([[("a", 1, 1, "pending"), ("a", 2, 2, "done")], [("b", 20_000, 3, "pending")], [("a", 20_001, 4, "error"), ("b", 20_002, 5, "done")]]):
+        df = spark.createDataFrame(rows, schema).select("id", F.timestamp_seconds("s").alias("ts"), "event_id", "status")
+        df.coalesce(1).write.parquet(f"{fresh_dir}/in/{run}")
+        stream = jobs.file_stream(spark, f"{fresh_dir}/in/*", df.schema)
+        jobs.status_counts(stream, f"{fresh_dir}/out", f"{fresh_dir}/cp", ttl_ms=3_600_000).awaitTermination(60)
+    assert {tuple(r) for r in jobs.status_totals(spark, f"{fresh_dir}/out").collect()} == {("done", 2), ("error", 1)}
