@@ -129,9 +129,7 @@ JSONLD_START = r"""(?ius)<script[^>]*\btype\s*=\s*["']?application/ld\+json(?:["
 EMBEDDED_CITY = r'(?U)"addressLocality"\s*:\s*"([^"]{2,100})"'
 EMBEDDED_REGION = r'(?U)"addressRegion"\s*:\s*"([A-Z]{2})"'
 EMBEDDED_POSTAL = r'(?U)"postalCode"\s*:\s*"(\d{5}-\d{3})"'
-STATE_BLOCK = (
-    r"(?s)window\.__(?:PRELOADED_STATE|INITIAL_STATE|SSR_STATE)__\s*=\s*(\{.*?\});"
-)
+STATE_BEGIN = r"window\.__(?:PRELOADED_STATE|INITIAL_STATE|SSR_STATE)__\s*=\s*(?=\{)"
 # A string, with the colon behind it if it is a key.
 JSON_STRING = r'"(?:[^"\\]|\\.)*+"(?:\s*:)?'
 STATE_URL = r"^https?://.*olx\."

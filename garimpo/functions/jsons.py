@@ -37,6 +37,11 @@ def _wrapped(json_text: Column) -> Column:
     return elements(F.concat(F.lit("["), json_text, F.lit("]")))
 
 
+def first_value(json_text: Column) -> Column:
+    """The JSON value a text begins with, as JSON, whatever follows; null when it is cut off or none."""
+    return F.get_json_object(json_text, "$")
+
+
 def is_valid(json_text: Column) -> Column:
     """One JSON value and nothing after it."""
     return F.size(_wrapped(json_text)) == 1

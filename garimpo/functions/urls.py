@@ -30,22 +30,40 @@ def strip_query(url: Column) -> Column:
     return F.split_part(url, F.lit("?"), F.lit(1))
 
 
+def without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments: a stack of segments, folded from left to right."""
+    segments = F.split(path, "/")
+    dots = F.element_at(segments, -1).isin(".", "..")
+
+    def fold(stack: Column, segment: Column) -> Column:
+        # The first segment, empty before the leading slash, is never taken off.
+        up = F.when(F.size(stack) > 1, F.slice(stack, F.lit(1), F.size(stack) - 1)).otherwise(stack)
+        return F.when(segment == "..", up).when(segment == ".", stack).otherwise(F.concat(stack, F.array(segment)))
+
+    kept = F.aggregate(segments, F.array().cast("array<string>"), fold)
+    joined = F.array_join(F.concat(kept, F.when(dots, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))), "/")
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), joined).otherwise(path)
+
+
 def resolve(href: Column, base: Column) -> Column:
-    """Absolute URL of an href found on the page ``base``."""
+    """Absolute URL of an href found on the page ``base`` (RFC 3986, 5.2).
+
+    An href with a scheme is returned as it is written.
+    """
     scheme = find(base, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
     origin = find(base, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*")
-    folder = F.coalesce(
-        find(F.regexp_replace(base, r"[?#].*$", ""), r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/]*/(?:.*/)?)", 1),
-        F.concat(origin, F.lit("/")),
-    )
+    folder = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(/(?:[^?#]*/)?)", 1)
+    path, tail = F.regexp_extract(href, r"^[^?#]*", 0), F.regexp_extract(href, r"(?s)[?#].*$", 0)
+    host = F.regexp_extract(path, "^//[^/]*", 0)
+    behind = F.substr(path, F.length(host) + 1, F.length(path))
     return (
         F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), host, without_dots(behind), tail))
+        .when(href.startswith("/"), F.concat(origin, without_dots(path), tail))
         .when(href == "", base)
         .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"#.*$", ""), href))
         .when(href.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*$", ""), href))
-        .otherwise(F.concat(folder, href))
+        .otherwise(F.concat(origin, without_dots(F.concat(F.when(folder == "", "/").otherwise(folder), path)), tail))
     )
 
 

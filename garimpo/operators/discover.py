@@ -8,37 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
-from garimpo.functions import jsons, text, urls
-from garimpo.functions.entities import decode
+from garimpo.functions import jsons, tags, text, urls
 from garimpo.functions.steps import computed
 from garimpo.operators.dedup import top_n
 
-HREF = r"""(?iu)^[^>]*?(?<![\w-])href\s*=\s*("[^">]+"|'[^'>]+'|[^\s"'>]+)"""
-ANCHOR_HREF = r"""(?iu)<a\b[^>]*?(?<![\w-])href\s*=\s*("[^"]+"|'[^']+'|[^\s"'>]+)"""
-ANCHOR_BODY = r"(?ius)^[^>]*>(.*?)(?:</a|\z)"
-NOT_MARKUP = r"(?ius)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"
 
 
-def _visible_markup(html: Column) -> Column:
-    """The page without comments and scripts, whose tags are no elements."""
-    return F.regexp_replace(html, NOT_MARKUP, " ")
-
+def _hrefs(html: Column) -> Column:
+    return tags.attributes(tags.markup(html), "a", "href")
 
-def _value(raw: Column) -> Column:
-    """An attribute value as the page means it: without its quotes, references decoded."""
-    return decode(F.regexp_replace(raw, "^[\"']|[\"']$", ""))
 
-
-def _hrefs(html: Column) -> Column:
-    found = F.regexp_extract_all(_visible_markup(html), F.lit(ANCHOR_HREF), F.lit(1))
-    return F.transform(found, _value)
+def page_base(markup: Column, url: Column) -> Column:
+    """What relative links of a page are relative to: its first ``<base href>``, or its URL."""
+    tag = F.when(markup.rlike("(?i)<base"), F.regexp_extract(markup, tags.pattern("base"), 0))
+    # Bound to a lambda's variable, the address is made once.
+    given = F.transform(F.array(text.strip(tags.attribute(tag, "href"))), lambda href: urls.resolve(href, url))
+    return F.coalesce(F.get(given, F.lit(0)), url)
 
 
 def hrefs(pages: DataFrame) -> DataFrame:
-    """One row per anchor href, decoded, in page order."""
-    return pages.select("page_id", "url", F.posexplode(_hrefs(F.col("html"))).alias("pos", "href"))
+    """One row per anchor href, decoded, in page order, with the page's ``base``."""
+    read = computed(pages, ["page_id", "url"], {"markup": tags.markup(F.col("html"))})
+    base = page_base(F.col("markup"), F.col("url")).alias("base")
+    return read.select("page_id", "url", base, F.posexplode(tags.attributes(F.col("markup"), "a", "href")).alias("pos", "href"))
 
 
+ANCHOR_BODY = r"(?ius)^(.*?)(?:</a(?=[\s/>])|\z)"
 SALTS = 64
 
 
@@ -106,16 +101,16 @@ def ad_links(pages: DataFrame, site: str = "olx.com.br") -> DataFrame:
     """
     # The page is cut at its anchor tags, so an anchor that is never closed ends
     # at the next one and no text is searched twice.
-    cut = F.split(_visible_markup(F.col("html")), r"(?iu)<a\b")
-    anchors = pages.select("page_id", "url", F.posexplode(cut).alias("n", "anchor"))
-    listed = anchors.filter("n > 0").select(
-        "page_id", "url",
-        _value(F.regexp_extract("anchor", HREF, 1)).alias("raw"),
-        F.regexp_extract("anchor", ANCHOR_BODY, 1).rlike(r"(?iu)<img\b").alias("has_image"),
+    read = computed(pages, ["page_id", "url"], {"markup": tags.markup(F.col("html"))})
+    anchors = read.select(
+        "page_id", page_base(F.col("markup"), F.col("url")).alias("base"), F.inline(tags.followed(F.col("markup"), "a"))
     )
-    raw = F.col("raw")
-    href = F.when(raw.startswith("/"), urls.resolve(raw, F.col("url"))).otherwise(raw)
-    resolved = computed(listed, ["page_id", "has_image"], {"href": href})
+    body = F.regexp_extract("after", ANCHOR_BODY, 1)
+    listed = computed(
+        anchors, ["page_id", "base"],
+        {"raw": text.strip(tags.attribute(F.col("tag"), "href")), "has_image": body.rlike(r"(?iu)<img(?=[\s/>])")},
+    )
+    resolved = computed(listed, ["page_id", "has_image"], {"href": urls.resolve(F.col("raw"), F.col("base"))})
     length = F.length("href")
     wanted = (
         F.col("href").rlike(C.AD_PATH) | (F.col("has_image") & (length > 40)) | (length > 60)
@@ -130,11 +125,12 @@ def ad_links(pages: DataFrame, site: str = "olx.com.br") -> DataFrame:
 def state_links(pages: DataFrame) -> DataFrame:
     """Portal URLs among the values of embedded state objects, distinct per page.
 
-    Strings are unescaped by the JSON parser; keys are no links.
+    The JSON parser reads one object from where each begins, so it ends at its own
+    last brace, whatever its strings hold and whatever follows. Strings are unescaped
+    by the parser; keys are no links.
     """
-    blocks = F.filter(
-        F.regexp_extract_all("html", F.lit(C.STATE_BLOCK), F.lit(1)), lambda b: jsons.is_valid(b)
-    )
+    begun = F.split("html", C.STATE_BEGIN)
+    blocks = F.array_compact(F.transform(F.slice(begun, F.lit(2), F.size(begun)), jsons.first_value))
     strings = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(C.JSON_STRING), F.lit(0))))
     likely = F.filter(strings, lambda s: s.startswith('"http') & s.endswith('"') & s.contains("olx"))
     links = F.filter(jsons.elements(F.concat(F.lit("["), F.array_join(likely, ","), F.lit("]"))), lambda u: u.rlike(C.STATE_URL))

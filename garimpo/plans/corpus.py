@@ -347,25 +347,35 @@ FROM ads GROUP BY {entry}"""
 
 
 def listing_pages(d: Dialect) -> str:
-    """Result pages of twenty anchors in five styles, with an embedded state object."""
+    """Result pages of twenty anchors in eight styles, with embedded state objects.
+
+    Markup a browser reads and a plain pattern does not: ``>`` and names of attributes in
+    other values, dot segments, a base address on every third page, a second state object
+    without a semicolon, braces and semicolons in strings.
+    """
     entry = div("list_id", 20)
     number = txt("list_id")
-    anchor = f"""CASE list_id % 5
+    anchor = f"""CASE list_id % 8
       WHEN 0 THEN '<li><a href="/vi/' || {number} || '?lis=1">ver</a></li>'
-      WHEN 1 THEN '<li><a class="c" data-href="#" href="https&#58;//www.olx.com.br/imoveis/anuncio-' || {number} || '?x=1&amp;y=2">ver</a></li>'
+      WHEN 1 THEN '<li><a class="c" data-href="#" href="https&#58;//www.olx.com.br/imoveis/anuncio-' || {number} || '?x=1&amp;y=2&copy=3">ver</a></li>'
       WHEN 2 THEN '<li><a href=https://pr.olx.com.br/regiao-metropolitana/vi/' || {number} || '><img src="i.jpg"></a></li>'
       WHEN 3 THEN '<li><a href="https://www.example.com/venda/' || {number} || '">ver</a></li>'
-      ELSE '<li><a href="/ajuda/' || {number} || '">ver</a></li>' END"""
+      WHEN 4 THEN '<li><a href="/ajuda/' || {number} || '">ver</a></li>'
+      WHEN 5 THEN '<li><a title="a>b href=/venda/nao" href="../venda/' || {number} || '">ver</a></li>'
+      WHEN 6 THEN '<li><a rel="x" data-nota="1 > 0" href=./aluguel/' || {number} || '>ver</a></li>'
+      ELSE '<li><a href="/a/b/../../imoveis/./c/' || {number} || '#fotos">ver</a></li>' END"""
     comma = "CASE WHEN list_id % 20 = 0 THEN '' ELSE ',' END"
     slash = "CASE list_id % 3 WHEN 0 THEN '/' WHEN 1 THEN chr(92) || '/' ELSE chr(92) || 'u002F' END"
     state = (
         f"""'{{"url":"' || replace('https://www.olx.com.br/d/' || {txt('list_id % 7 + list_id - list_id % 20')} || '?x=1', '/', {slash}) || '"}}'"""
     )
+    base = f"""CASE WHEN {entry} % 3 = 0 THEN '<head><base href="https://pr.olx.com.br/x/y/"></head>' ELSE '' END"""
     return f"""
 SELECT {entry} AS page_id, 'https://www.olx.com.br/imoveis/estado-pr?o=' || {txt(entry)} AS url,
-  '<html><body><ul><!-- <a href="https://www.olx.com.br/imoveis/antigo">x</a> -->' || {d.join_rows(anchor, 'list_id')}
-  || '</ul><script>window.__PRELOADED_STATE__ = {{"ads":[' || {d.join_rows(comma + ' || ' + state, 'list_id')}
-  || '],"cdn":"https://cdn.example.com/i","https://www.olx.com.br/chave":1}};</script></body></html>' AS html
+  '<html>' || {base} || '<body><ul><!-- <a href="https://www.olx.com.br/imoveis/antigo">x</a> -->' || {d.join_rows(anchor, 'list_id')}
+  || '</ul><script>window.__PRELOADED_STATE__ = {{"nota":"fim }}; nao","ads":[' || {d.join_rows(comma + ' || ' + state, 'list_id')}
+  || '],"cdn":"https://cdn.example.com/i","https://www.olx.com.br/chave":1}}; window.__SSR_STATE__={{"u":"https://www.olx.com.br/s/'
+  || {txt(entry)} || '"}}</script></body></html>' AS html
 FROM ads GROUP BY {entry}"""
 
 

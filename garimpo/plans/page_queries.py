@@ -182,7 +182,7 @@ def fn_strip_query(spark: SparkSession, sf: str) -> DataFrame:
 )
 def fn_url_absolute(spark: SparkSession, sf: str) -> DataFrame:
     hrefs = discover.hrefs(readers.pages(spark, sf))
-    return hrefs.select("page_id", *big("pos"), urls.resolve(F.col("href"), F.col("url")).alias("link"))
+    return hrefs.select("page_id", *big("pos"), urls.resolve(F.col("href"), F.col("base")).alias("link"))
 
 
 @register(
@@ -483,9 +483,14 @@ def ex_anchors(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "ex_listing_links", ["ads"],
-    """SELECT list_id // 20 AS page_id, CASE list_id % 5 WHEN 1 THEN 'https://www.olx.com.br/imoveis/anuncio-' || list_id
-         ELSE 'https://pr.olx.com.br/regiao-metropolitana/vi/' || list_id END AS link
-       FROM ads WHERE list_id % 5 IN (1, 2)""",
+    """SELECT page_id, CASE kind WHEN 1 THEN 'https://www.olx.com.br/imoveis/anuncio-' || list_id
+         WHEN 2 THEN 'https://pr.olx.com.br/regiao-metropolitana/vi/' || list_id
+         WHEN 5 THEN host || CASE WHEN page_id % 3 = 0 THEN '/x' ELSE '' END || '/venda/' || list_id
+         WHEN 6 THEN host || CASE WHEN page_id % 3 = 0 THEN '/x/y' ELSE '/imoveis' END || '/aluguel/' || list_id
+         ELSE host || '/imoveis/c/' || list_id || '#fotos' END AS link
+       FROM (SELECT list_id, list_id % 8 AS kind, list_id // 20 AS page_id,
+           CASE WHEN list_id // 20 % 3 = 0 THEN 'https://pr.olx.com.br' ELSE 'https://www.olx.com.br' END AS host FROM ads)
+       WHERE kind IN (1, 2, 5, 6, 7)""",
 )
 def ex_listing_links(spark: SparkSession, sf: str) -> DataFrame:
     return discover.ad_links(derive(spark, sf, "listing_pages"))
@@ -494,7 +499,8 @@ def ex_listing_links(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "ex_state_links", ["ads"],
     """SELECT DISTINCT list_id // 20 AS page_id,
-       'https://www.olx.com.br/d/' || (list_id % 7 + list_id - list_id % 20) AS link FROM ads""",
+       'https://www.olx.com.br/d/' || (list_id % 7 + list_id - list_id % 20) AS link FROM ads
+       UNION ALL SELECT DISTINCT list_id // 20, 'https://www.olx.com.br/s/' || (list_id // 20) FROM ads""",
 )
 def ex_state_links(spark: SparkSession, sf: str) -> DataFrame:
     return discover.state_links(derive(spark, sf, "listing_pages"))
