@@ -64,7 +64,7 @@ def src_latest_file(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "exports")
     exports = derive(spark, sf, "ads").withColumn("lote", F.expr("seq div 3650000000000000"))
     writers.export_csv_by(exports, "lote", path)
-    newest = readers.latest_file(spark, path, "*.csv")
+    newest = readers.latest_batch(spark, path, "*.csv")
     return readers.export_csv(spark, newest).select("id", "titulo", "link")
 
 

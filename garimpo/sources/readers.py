@@ -105,6 +105,12 @@ def latest_file(spark: SparkSession, path: str, pattern: str = "*") -> str | Non
     return file_names(spark, path, pattern).agg(F.max("arquivo").alias("a")).first()["a"]
 
 
+def latest_batch(spark: SparkSession, path: str, pattern: str = "*") -> str | None:
+    """The folder with the greatest name that holds files, found by listing: a batch of any number of files."""
+    folder = F.regexp_replace("arquivo", "/[^/]*$", "")
+    return file_names(spark, path, pattern).agg(F.max(folder).alias("a")).first()["a"]
+
+
 def keyword_lines(spark: SparkSession, path: str) -> DataFrame:
     """Keywords, one per line, trimmed, blank lines dropped."""
     lines = spark.read.text(path).select(text.strip(F.col("value")).alias("keyword"))

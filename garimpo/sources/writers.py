@@ -47,10 +47,10 @@ def export_csv(df: DataFrame, path: str) -> str:
 
 
 def export_csv_by(df: DataFrame, column: str, path: str) -> str:
-    """The export as one folder of files for each value of a column."""
+    """The export as one folder of files for each value of a column; a value of many rows is split over tasks."""
     wanted = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in C.EXPORT_COLUMNS]
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
-    rows = df.select(*wanted, column).repartition(column)
+    rows = df.select(*wanted, column).hint("rebalance", column)
     rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).options(**options).option("emptyValue", "").partitionBy(column).csv(path)
     return path
 

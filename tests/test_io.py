@@ -63,6 +63,16 @@ def test_latest_file_and_glob(spark, listings, fresh_dir):
     assert [r.arquivo.rsplit("/", 1)[1] for r in empty] == ["imoveis_20250401.csv"]
 
 
+def test_latest_batch_has_all_its_files(spark, fresh_dir, monkeypatch):
+    """127 rows in files of 50: the newest batch is read whole."""
+    monkeypatch.setattr(writers, "ROWS_PER_FILE", 50)
+    rows = spark.range(200).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") < 73, "1").otherwise("2").alias("lote"))
+    writers.export_csv_by(rows, "lote", f"{fresh_dir}/out")
+    newest = readers.latest_batch(spark, f"{fresh_dir}/out", "*.csv")
+    assert newest.endswith("lote=2") and readers.export_csv(spark, newest).count() == 127
+    assert readers.latest_batch(spark, f"{fresh_dir}/out", "*.json") is None
+
+
 def test_page_files(spark, fresh_dir):
     for name in ("a", "b"):
         (Path(fresh_dir) / f"{name}.html").write_text(f"<title>{name}</title>\n<p>x")
