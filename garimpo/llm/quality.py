@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from garimpo.llm import hashing
-from garimpo.llm.frames import set_aside, small_hash
+from garimpo.llm.frames import set_aside
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -149,22 +149,34 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, **options)
     usable = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out())
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("quality").alias("other")).where("label = other")
     known = docs.select("doc_id").dropna().distinct()
-    # Labels are as many as their table; the sample is bounded by ``rows``, and so is this broadcast.
-    total = labels.count()
-    usable = usable.where(small_hash(F.col("doc_id"), rows, total))
+    # Labels of other documents go first, so that the sample is of labelled documents; it is bounded
+    # by ``rows``, and so are this broadcast and the task that learns.
     sample = usable.join(known, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "label")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     texts = texts.select(F.xxhash64("doc_id", "text").alias("place"), "label", "text")
     counted = texts.mapInArrow(_counted, "place bigint, label int, buckets binary, counts binary")
-    found = sorted(
-        ((r["place"], np.frombuffer(r["buckets"], dtype=np.int32), np.frombuffer(r["counts"], dtype=np.float32), int(r["label"]))
-         for r in counted.toLocalIterator()),
-        key=lambda r: r[0],
-    )
-    model = train([r[1:] for r in found], **options)
-    found.clear()
-    hashing.tidy()  # the driver's share of the features
-    return model
+    order = ["place", "label", "buckets"]
+    model = counted.repartition(1).sortWithinPartitions(*order).mapInArrow(_learned(options), "weights binary, bias double").first()
+    if model is None:  # a table without rows, whose one partition is left out
+        return train([])
+    return np.frombuffer(model["weights"], dtype=np.float32), model["bias"]
+
+
+def _learned(options: dict):
+    """Trains on the rows of the only task, so that the driver holds nothing but the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [
+            (np.frombuffer(b.as_py(), dtype=np.int32), np.frombuffer(c.as_py(), dtype=np.float32), label.as_py())
+            for batch in batches
+            for b, c, label in zip(batch.column("buckets"), batch.column("counts"), batch.column("label"), strict=True)
+        ]
+        weights, bias = train(found, **options)
+        found.clear()
+        hashing.tidy()
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], names=["weights", "bias"])
+
+    return run
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:

@@ -59,3 +59,12 @@ def test_training_is_deterministic(size):
     rows = [(np.array([i, i + 1]), np.array([1.0, 2.0]), i % 2) for i in range(10)][: 10 * size]
     one, other = Q.train(rows), Q.train(rows)
     assert (one[0] == other[0]).all() and one[1] == other[1]
+
+
+def test_sample_is_of_labelled_documents(spark, documents):
+    """Labels of documents that are not there do not crowd out the others."""
+    docs = documents([(i, "good plain words" if i % 2 else "qqq zzz 111") for i in range(200)])
+    own = [(i, i % 2) for i in range(200)]
+    labels = spark.createDataFrame(own + [(i, i % 2) for i in range(1000, 60_000)], "doc_id long, quality int")
+    found = Q.scored(docs, labels, rows=100).select("doc_id", "predicted").collect()
+    assert all(r.predicted == r.doc_id % 2 for r in found)
