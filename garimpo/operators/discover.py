@@ -11,7 +11,7 @@ from garimpo import constants as C
 from garimpo.functions import jsons, tags, text, urls
 from garimpo.functions.steps import computed
 from garimpo.operators.dedup import top_n
-
+from garimpo.operators.places import first_places, known_places
 
 
 def _hrefs(html: Column) -> Column:
@@ -178,16 +178,21 @@ def _first_in_text(folded: str, words: list[str], default: str) -> Column:
     return F.coalesce(F.get(F.filter(listed, lambda w: F.contains(folded, w)), F.lit(0)), F.lit(default))
 
 
-def keyword_places(keywords: DataFrame) -> DataFrame:
-    """City, state and property type named in a keyword, first in dictionary order."""
+def keyword_places(keywords: DataFrame, places: DataFrame | None = None) -> DataFrame:
+    """City, state and property type named in a keyword, first in dictionary order.
+
+    ``places`` is a gazetteer ``ordem, nome, uf`` of any size; without it, the fixed cities are looked for.
+    """
     default_city, default_uf = C.DEFAULT_CITY_UF
-    folded = computed(keywords, keywords.columns, {"folded": text.fold(F.col("keyword"))})
-    city = _first_in_text("folded", [name for name, _ in C.CITY_UF], default_city)
-    kind = _first_in_text("folded", C.PROPERTY_TYPES, C.DEFAULT_TYPE)
-    placed = computed(folded, keywords.columns, {"cidade": city, "tipo": kind})
-    states = F.create_map(*[F.lit(x) for pair in C.CITY_UF for x in pair])
-    state = F.coalesce(F.try_element_at(states, F.col("cidade")), F.lit(default_uf))
-    return placed.select(*keywords.columns, "cidade", state.alias("estado"), "tipo")
+    found = first_places(keywords, "keyword", known_places(keywords.sparkSession) if places is None else places)
+    folded = computed(found, [*keywords.columns, "place"], {"_folded": text.fold(F.col("keyword"))})
+    named = F.col("place").isNotNull()
+    return folded.select(
+        *keywords.columns,
+        F.when(named, F.col("place.nome")).otherwise(default_city).alias("cidade"),
+        F.when(named, F.col("place.uf")).otherwise(default_uf).alias("estado"),
+        _first_in_text("_folded", C.PROPERTY_TYPES, C.DEFAULT_TYPE).alias("tipo"),
+    )
 
 
 def _filled(template: str, **values: Column | str) -> Column:
