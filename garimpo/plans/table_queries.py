@@ -47,8 +47,10 @@ def src_capture_json(spark: SparkSession, sf: str) -> DataFrame:
     end = F.when(F.col("arquivo") % 5 != 4, "\n]").otherwise(",{")
     files = files.select("arquivo", F.concat(F.lit("[\n"), "body", end).alias("value"))
     files.repartition("arquivo").write.partitionBy("arquivo").text(path)
-    read = readers.capture_json(spark, f"{path}/*").select("entry_id", "url", *big("status"), F.md5("text").alias("text_md5"))
-    broken = readers.capture_rejects(spark, f"{path}/*").agg(F.count("*").alias("status"))
+    read = readers.json_array(spark, f"{path}/*", readers.CAPTURE_SCHEMA, indent=0, whole_files=True).select(
+        "entry_id", "url", *big("status"), F.md5("text").alias("text_md5")
+    )
+    broken = readers.cut_files(spark, f"{path}/*", indent=0).agg(F.count("*").alias("status"))
     none = F.lit(None)
     return read.unionByName(
         broken.select(none.cast("long").alias("entry_id"), F.lit("unreadable").alias("url"), "status", none.cast("string").alias("text_md5"))
@@ -123,7 +125,8 @@ def src_schema_describe(spark: SparkSession, sf: str) -> DataFrame:
 @register("snk_json", ["ads"], f"SELECT {EXPORT} FROM ads")
 def snk_json(spark: SparkSession, sf: str) -> DataFrame:
     rows = readers.listing_scan(derive(spark, sf, "ads"))
-    return readers.export_json(spark, writers.export_json(rows, scratch_path(spark, "json")))
+    path = writers.export_array(rows, scratch_path(spark, "json"))
+    return readers.json_array(spark, path, readers.EXPORT_SCHEMA) if path else rows.limit(0)
 
 
 @register("snk_csv", ["ads"], f"SELECT {READ_BACK} FROM ads")

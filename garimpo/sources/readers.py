@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from garimpo import constants as C
-from garimpo.functions import text
+from garimpo.functions import jsons, text
+from garimpo.functions.steps import computed
 
 EXPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in C.EXPORT_COLUMNS])
 CAPTURE_SCHEMA = T.StructType(
@@ -68,6 +69,58 @@ def capture_rejects(spark: SparkSession, path: str, multi_line: bool = True) ->
     return broken.select("arquivo", F.col(CORRUPT).alias("texto"))
 
 
+def _array_pieces(spark: SparkSession, path: str | list[str], indent: int) -> DataFrame:
+    """``arquivo, texto, aberto, fechado, registros`` of files of one indented JSON array each.
+
+    Files are cut where a record begins on a line of its own, at ``indent``: neither a string nor
+    an inner object can hold that, so the text reader splits a file of any size over tasks. What is
+    between two cuts is made an array again; ``registros`` are its elements as JSON, null where
+    it is none, as the piece that a cut-off file ends with.
+    """
+    lines = spark.read.option("lineSep", ",\n" + " " * indent + "{").text(path)
+    named = lines.select(F.col("_metadata.file_path").alias("arquivo"), F.trim("value", F.lit(" \t\r\n\ufeff")).alias("texto"))
+    opened, closed = F.col("texto").startswith("["), F.col("texto").endswith("]")
+    begun = F.concat(F.when(opened, F.lit("")).otherwise(F.lit("[{")), "texto")
+    # A file may be cut off behind the comma of a whole record.
+    array = F.concat(F.regexp_replace(begun, ",$", ""), F.when(closed, F.lit("")).otherwise(F.lit("]")))
+    # Within one more array the parser does not pass over what follows the piece's own.
+    parsed = F.from_json(F.concat(F.lit("["), array, F.lit("]")), "array<array<string>>", jsons.STRICT)
+    read = computed(named, ["arquivo", "texto", opened.alias("aberto"), closed.alias("fechado")], {"lidos": parsed})
+    return read.select("arquivo", "texto", "aberto", "fechado", F.when(F.size("lidos") == 1, F.col("lidos")[0]).alias("registros"))
+
+
+def json_array(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, indent: int = 2, whole_files: bool = False
+) -> DataFrame:
+    """Records of files that hold one indented JSON array each; a file of any size is read by many tasks.
+
+    Records that cannot be read are left out, and ``json_array_rejects`` has them; with ``whole_files``,
+    files that are no whole array are left out, which takes a second scan. A file in another layout, as one line,
+    gives the same rows but is read by one task. Empty files and arrays have no records.
+    """
+    pieces = _array_pieces(spark, path, indent)
+    if whole_files:
+        pieces = pieces.join(cut_files(spark, path, indent), "arquivo", "left_anti")
+    records = pieces.select(F.explode("registros").alias("registro")).filter(F.col("registro").startswith("{"))
+    return records.select(F.from_json("registro", schema, jsons.STRICT).alias("r")).select("r.*")
+
+
+def json_array_rejects(spark: SparkSession, path: str | list[str], indent: int = 2) -> DataFrame:
+    """``(arquivo, texto)`` of what is no record in such files: pieces that are no JSON, elements that are no objects."""
+    pieces = _array_pieces(spark, path, indent).filter(F.length("texto") > 0)
+    listed = pieces.select("arquivo", F.explode(F.coalesce("registros", F.array("texto"))).alias("texto"), F.col("registros").isNull().alias("solto"))
+    return listed.filter(F.col("solto") | F.coalesce(~F.col("texto").startswith("{"), F.lit(True))).select("arquivo", "texto")
+
+
+def cut_files(spark: SparkSession, path: str | list[str], indent: int = 2) -> DataFrame:
+    """``arquivo`` of files that are no whole array: not opened, not closed, or with a piece that is no JSON."""
+    sound = F.col("registros").isNotNull() & ~F.col("texto").endswith(",")
+    shape = _array_pieces(spark, path, indent).groupBy("arquivo").agg(
+        (F.bool_or("aberto") & F.bool_or("fechado") & F.every(sound)).alias("inteiro")
+    )
+    return shape.filter("NOT inteiro").select("arquivo")
+
+
 def export_csv(spark: SparkSession, path: str | list[str], skip_corrupt_files: bool = False) -> DataFrame:
     """Listing exports by folder or glob, with file metadata at hand.
 

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import sys
+from collections.abc import Iterator
+from datetime import datetime
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.operators.dedup import last_by
 from garimpo.sources.readers import CSV_OPTIONS
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROWS_PER_FILE = 500_000  # quoted line breaks keep a CSV file from being split when it is read again
 
@@ -41,6 +49,57 @@ def export_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def _bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's records as the lines of one array: all but the last with a comma. No records, no lines."""
+
+    def lines(values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([values], names=["value"])
+
+    last = None
+    for batch in batches:
+        texts = batch.column(0).cast(pa.string())
+        if not len(texts):
+            continue
+        yield lines(pa.array(["["] if last is None else [last + ","]))
+        yield lines(pc.binary_join_element_wise(texts[:-1], ",", ""))
+        last = texts[-1].as_py()
+    if last is not None:
+        yield lines(pa.array([last, "]"]))
+
+
+def export_array(df: DataFrame, folder: str, prefix: str = "imoveis", indent: int = 2) -> str | None:
+    """Listings as indented JSON arrays, one a task, in a new folder named by prefix and time.
+
+    Nulls are written. Without rows nothing is left behind and None is returned; the rows
+    are counted in the job that writes them. Files come and go by the committer of Spark's writer, so a job that
+    fails leaves none, and a task that runs twice writes one.
+    """
+    path = f"{folder.rstrip('/')}/{prefix}_{datetime.now():%Y%m%d_%H%M%S_%f}"
+    pad = " " * indent
+    record = F.to_json(F.struct(*(df[c] for c in df.columns)), {"pretty": "true", "ignoreNullFields": "false"})
+    # Line breaks within strings are escaped, so each that is left begins a line of the record.
+    indented = F.concat(F.lit(pad), F.replace(record, F.lit("\n"), F.lit("\n" + pad)))
+    seen = Observation()
+    counted = df.select(indented.alias("value")).observe(seen, F.count("*").alias("n"))
+    # A limit on rows would cut an array in two.
+    counted.mapInArrow(_bracketed, "value string").write.option("maxRecordsPerFile", 0).text(path)
+    written = seen.get["n"] > 0
+    _remove_empty(df, path, whole=not written)
+    return path if written else None
+
+
+def _remove_empty(df: DataFrame, path: str, whole: bool) -> None:
+    """The file without bytes that Spark's first task leaves if it has no rows, or the ``whole`` folder if none has."""
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    if whole:
+        store.delete(at, True)
+        return
+    for file in store.listStatus(at):
+        if file.getLen() == 0 and file.getPath().getName().startswith("part-00000"):
+            store.delete(file.getPath(), False)
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """Fifteen export columns with a header; null is written empty."""
     return _csv(_with_export_columns(df), path)
