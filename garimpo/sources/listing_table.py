@@ -16,7 +16,7 @@ import hashlib
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,10 +50,14 @@ class ListingTable:
 
     # ---- writing
 
-    def _write_base(self, rows: DataFrame, buckets: int) -> str:
-        """A new base: one file a bucket, sorted by the key."""
+    def _write_base(self, rows: DataFrame, buckets: int, counts: Observation | None = None) -> str:
+        """A new base: one file a bucket, sorted by the key. ``counts`` takes the rows, and those with ``_old`` set."""
         base = f"base-{uuid.uuid4().hex}"
         spread = rows.repartition(buckets, self.key).sortWithinPartitions(self.key)
+        if counts is not None:
+            # Behind the last shuffle: there a task that is run again is counted once.
+            old = F.count_if("_old").alias("antes")
+            spread = spread.observe(counts, old, F.count("*").alias("depois")).drop("_old")
         writer = spread.write.format("parquet").bucketBy(buckets, self.key).sortBy(self.key)
         writer.option("path", f"{self.root}/{base}").saveAsTable(self._name(base))
         return base
@@ -65,22 +69,35 @@ class ListingTable:
         self._publish(0, base, buckets, rows.schema, [])
         return self
 
-    def add(self, rows: DataFrame, name: str | None = None) -> None:
-        """Versions that are newer, or not; added again under the same ``name`` they replace themselves."""
+    def add(self, rows: DataFrame, name: str | None = None, required: str | None = None) -> dict[str, int]:
+        """Versions that are newer, or not; added again under the same ``name`` they replace themselves.
+
+        Rows without the ``required`` column are not taken. The job that writes the others counts
+        both: the result is the rows ``recebidos`` and ``rejeitados``.
+        """
         live = self.manifest()
         schema = _schema(live)
         name = f"delta-{name or uuid.uuid4().hex}"
-        rows.select(*schema.names).write.mode("overwrite").parquet(f"{self.root}/{name}")
+        counts, refused = Observation(), F.lit(False) if required is None else F.col(required).isNull()
+        seen = rows.observe(counts, F.count("*").alias("recebidos"), F.count_if(refused).alias("rejeitados"))
+        seen.filter(~refused).select(*schema.names).write.mode("overwrite").parquet(f"{self.root}/{name}")
         if name not in live["deltas"]:
             self._publish(live["version"] + 1, live["base"], live["buckets"], schema, [*live["deltas"], name])
+        return counts.get
+
+    def compact(self, buckets: int | None = None) -> dict[str, int] | None:
+        """Base and deltas as a new base; None if there are no deltas.
 
-    def compact(self, buckets: int | None = None) -> None:
-        """Base and deltas as a new base."""
+        The result, counted in the job that writes the base: its rows ``antes`` and ``depois``,
+        and those ``adicionados``.
+        """
         live = self.manifest()
-        if live["deltas"]:
-            many = buckets or live["buckets"]
-            base = self._write_base(self.rows(), many)
-            self._publish(live["version"] + 1, base, many, _schema(live), [])
+        if not live["deltas"]:
+            return None
+        many, counts = buckets or live["buckets"], Observation()
+        base = self._write_base(self._merged(live, self.base()), many, counts)
+        self._publish(live["version"] + 1, base, many, _schema(live), [])
+        return counts.get | {"adicionados": counts.get["depois"] - counts.get["antes"]}
 
     # ---- reading
 
@@ -101,8 +118,10 @@ class ListingTable:
     def rows(self) -> DataFrame:
         """The newest version of each key. The base is read once and not shuffled."""
         live, base = self.manifest(), self.base()
-        if not live["deltas"]:
-            return base
+        return self._merged(live, base).drop("_old") if live["deltas"] else base
+
+    def _merged(self, live: dict, base: DataFrame) -> DataFrame:
+        """Base and deltas, with ``_old`` for the keys that the base has."""
         later = self.spark.read.schema(base.schema).parquet(*(f"{self.root}/{d}" for d in live["deltas"]))
         # Deltas are small and read whole; the file name tells which of equal versions came later.
         place = F.array_position(F.array(*(F.lit(d) for d in live["deltas"])), F.regexp_extract(F.col("_metadata.file_path"), r"(delta-[^/]+)/[^/]*$", 1))
@@ -112,7 +131,7 @@ class ListingTable:
         joined = base.alias("_b").join(later.alias("_d"), b == d, "full_outer")
         newer = b.isNull() | (F.struct(*(F.col(f"_d.{c}") for c in self.order)) >= F.struct(*(F.col(f"_b.{c}") for c in self.order)))
         taken = d.isNotNull() & newer
-        return joined.select(*(F.when(taken, F.col(f"_d.{c}")).otherwise(F.col(f"_b.{c}")).alias(c) for c in base.columns))
+        return joined.select(*(F.when(taken, F.col(f"_d.{c}")).otherwise(F.col(f"_b.{c}")).alias(c) for c in base.columns), b.isNotNull().alias("_old"))
 
 
 def _schema(live: dict) -> T.StructType:

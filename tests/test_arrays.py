@@ -126,7 +126,7 @@ def test_written_arrays_are_whole_and_come_back(spark, fresh_dir):
 
 def test_nothing_is_written_for_no_rows_nor_by_a_failed_job(spark, fresh_dir):
     none = spark.createDataFrame([], readers.EXPORT_SCHEMA)
-    assert writers.export_array(none, fresh_dir) is None and not list(Path(fresh_dir).iterdir())
+    assert all(writers.export_array(df, fresh_dir) is None for df in (none, none.limit(0), spark.range(9).filter("false"))) and not list(Path(fresh_dir).iterdir())
     # The first task has no rows: its file without bytes is no array.
     late = spark.range(100, numPartitions=4).filter("id >= 60").select(F.col("id").cast("string").alias("id"))
     files = [f.read_text() for f in Path(writers.export_array(late, fresh_dir)).glob("part-*")]

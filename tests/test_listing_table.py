@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from garimpo.operators import dedup
+from garimpo.operators import dedup, report
 from garimpo.sources.listing_table import ListingTable
 from garimpo.streaming import jobs
 
@@ -96,3 +96,27 @@ def test_stream_into_a_table(spark, fresh_dir):
     jobs.upsert_table(stream, table, f"{fresh_dir}/cp2", f"{fresh_dir}/rejects2").awaitTermination()
     assert content(table.rows()) == content(dedup.last_by(taken, ["id"], ["seq"]))
     assert table.rows().where(F.col("id").isNull()).count() == 0
+
+
+def test_a_load_is_counted_by_the_jobs_that_write_it(spark, fresh_dir):
+    """Before, added and rejected equal counts of the tables, and nothing is scanned for them."""
+    stored = rows(spark, range(100), 1)
+    incoming = rows(spark, [*range(90, 130), 95, 129], 2).withColumn("titulo", F.when(F.expr("id NOT IN ('k91', 'k120', 'k129')"), F.col("titulo")))
+    table = ListingTable(spark, f"{fresh_dir}/t", ["seq"]).create(stored, buckets=4)
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    assert table.add(incoming, required="titulo") == {"recebidos": 42, "rejeitados": 4}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - jobs_before <= 4  # the write, and the manifest's
+    counts = table.compact()
+    want = report.load_delta(stored, dedup.accepted(incoming)).first().asDict()
+    assert counts == want == {"antes": 100, "depois": 128, "adicionados": 28}
+    assert table.rows().columns == stored.columns and table.rows().count() == 128
+    assert table.compact() is None
+
+
+def test_loads_without_rows_are_counted_too(spark, fresh_dir):
+    table = ListingTable(spark, f"{fresh_dir}/t", ["seq"]).create(rows(spark, range(5), 1), buckets=2)
+    none = rows(spark, range(3), 2)
+    assert table.add(none.limit(0), required="titulo") == {"recebidos": 0, "rejeitados": 0}
+    assert table.add(none.filter("false")) == {"recebidos": 0, "rejeitados": 0}
+    assert table.add(none.withColumn("titulo", F.lit(None).cast("string")), required="titulo") == {"recebidos": 3, "rejeitados": 3}
+    assert table.compact() == {"antes": 5, "depois": 5, "adicionados": 0}
