@@ -12,6 +12,7 @@ from garimpo.functions import jsons, tags, text, urls
 from garimpo.functions.steps import computed
 from garimpo.operators.dedup import top_n
 from garimpo.operators.places import first_places, known_places
+from garimpo.session import scratch_path
 
 
 def _hrefs(html: Column) -> Column:
@@ -60,9 +61,9 @@ def result_links(pages: DataFrame, domains: list[str] | None = None) -> DataFram
 def anchor_counts(pages: DataFrame, samples: int = 8) -> DataFrame:
     """Anchors per target domain, a few sample links, and all anchors under a null domain.
 
-    Pages are searched once. A page is first reduced to its number of anchors
-    per domain and its first links, so the few domains are small aggregates of
-    pages and a page's samples beyond ``samples`` never leave it.
+    Pages are read and searched once: each is reduced to its number of anchors
+    per domain and its first links, and both results come from that narrow table, which is
+    written to the shared folder. A page's samples beyond ``samples`` never leave it.
     """
     domains = F.array(*[F.lit(d) for d in C.PORTALS])
     read = computed(pages, ["page_id"], {"hrefs": _hrefs(F.col("html"))})
@@ -73,7 +74,10 @@ def anchor_counts(pages: DataFrame, samples: int = 8) -> DataFrame:
         return F.struct(domain.alias("domain"), F.size(own).alias("n"), F.slice(own, 1, samples).alias("first"))
 
     every = F.struct(F.lit(None).cast("string").alias("domain"), F.size(placed).alias("n"), F.slice(placed, 1, 0).alias("first"))
-    counted = read.select("page_id", F.inline(F.concat(F.transform(domains, tally), F.array(every)))).filter("n > 0")
+    per_page = read.select("page_id", F.inline(F.concat(F.transform(domains, tally), F.array(every)))).filter("n > 0")
+    path = scratch_path(pages.sparkSession, "anchor-counts")
+    per_page.write.parquet(path)
+    counted = pages.sparkSession.read.schema(per_page.schema).parquet(path)
     totals = counted.groupBy("domain").agg(F.sum("n").alias("anchors"))
     listed = counted.select("domain", "page_id", F.inline("first"))
     # A first cut by a salted key keeps any one domain's candidates spread over tasks.

@@ -80,6 +80,27 @@ def with_status(links: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
+def known_links(found: DataFrame, events: DataFrame) -> DataFrame:
+    """``id, url, domain, status, tentativas`` of every link found or named by an event, each once.
+
+    As ``with_status`` over the distinct links of both, in one aggregate: each input is scanned once, and a link with
+    many rows is combined before the one shuffle. ``events`` has ``url, ts, event_id, status``, ``found`` has ``url``;
+    rows without a URL are left out.
+    """
+    schema = events.schema
+    none = [F.lit(None).cast(schema[c].dataType).alias(c) for c in ("ts", "event_id", "status")]
+    listed = found.select("url", *none, F.lit(False).alias("told"))
+    told = events.select("url", "ts", "event_id", "status", F.lit(True).alias("told"))
+    rows = listed.unionByName(told).filter("url is not null")
+    last = F.max_by("status", F.when(F.col("told"), F.struct("ts", "event_id")))
+    failed = F.count_if(F.col("status").isin(C.STATUS_RETRY, C.STATUS_ERROR)).cast("bigint")
+    folded = rows.groupBy("url").agg(last.alias("status"), failed.alias("tentativas"))
+    return folded.select(
+        keys.link_key(F.col("url")).alias("id"), "url", urls.queue_domain(F.col("url")).alias("domain"),
+        F.coalesce("status", F.lit(C.STATUS_PENDING)).alias("status"), "tentativas",
+    )
+
+
 def pending(links: DataFrame, domain: str | None = None, limit: int | None = None) -> DataFrame:
     """Links to process next: waiting or to be retried, with attempts left."""
     ready = links.filter(

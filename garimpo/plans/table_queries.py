@@ -337,9 +337,8 @@ def flt_all_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 def current_queue(spark: SparkSession, sf: str) -> DataFrame:
     """Every known link with its folded status."""
-    queued, found = queued_and_found(spark, sf)
-    links = queued.unionByName(queue.insert_ignore(queued, found))
-    return queue.with_status(links, derive(spark, sf, "link_events"))
+    found = derive(spark, sf, "ads").select(F.col("link").alias("url"))
+    return queue.known_links(found, derive(spark, sf, "link_events"))
 
 
 QUEUE_INPUTS = ["ads", "link_events"]

@@ -152,3 +152,27 @@ def test_consolidate(spark):
     whole = report.consolidate(old, new, order=["n", "id"])
     assert [r.id for r in whole.collect()] == ["1", "2", "4"]
     assert report.consolidate(old, new, order=["n", "id"], merge_null_links=True).count() == 2
+
+
+def test_known_links_equal_the_queue_joined_with_its_events(spark):
+    rng = random.Random(4)
+    found = spark.createDataFrame([(rng.choice([None, *(f"https://www.olx.com.br/vi/{i}" for i in range(40))]),) for _ in range(200)], "url string")
+    rows = [(f"https://www.zapimoveis.com.br/{i}" if rng.random() < 0.3 else f"https://www.olx.com.br/vi/{i}" if i else None, rng.randint(1, 4), n,
+             rng.choice(["pending", "retry", "done", "error", None])) for n, i in enumerate(rng.choices(range(60), k=400))]
+    events = spark.createDataFrame(rows, "url string, ts int, event_id long, status string").withColumn("id", F.md5("url"))
+    queued, more = queue.as_links(events.select("url")), queue.as_links(found)
+    links = queued.unionByName(queue.insert_ignore(queued, more))
+    columns = ["id", "url", "domain", "status", "tentativas"]
+    known = queue.known_links(found, events)
+    assert known.columns == columns and as_set(known) == as_set(queue.with_status(links, events).select(*columns))
+    assert known.count() == known.select("id").distinct().count() > 50
+    assert queue.known_links(found.limit(0), events.limit(0)).count() == 0
+
+
+def test_the_queue_is_read_in_three_scans_without_a_join_of_links(spark):
+    """Events, and the two tables that the ads come from."""
+    from __spark_entry__ import queries
+
+    for key, scans in {"flt_pending_links": 3, "jn_status_update": 3, "ag_queue_stats": 5, "ag_anchor_counts": 2}.items():
+        plan = queries()[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("FileScan") <= scans, key
