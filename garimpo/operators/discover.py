@@ -188,13 +188,13 @@ def keyword_places(keywords: DataFrame, places: DataFrame | None = None) -> Data
     ``places`` is a gazetteer ``ordem, nome, uf`` of any size; without it, the fixed cities are looked for.
     """
     default_city, default_uf = C.DEFAULT_CITY_UF
-    found = first_places(keywords, "keyword", known_places(keywords.sparkSession) if places is None else places)
-    folded = computed(found, [*keywords.columns, "place"], {"_folded": text.fold(F.col("keyword"))})
-    named = F.col("place").isNotNull()
+    found = first_places(keywords, "keyword", known_places(keywords.sparkSession) if places is None else places, "_place")
+    folded = computed(found, [*keywords.columns, "_place"], {"_folded": text.fold(F.col("keyword"))})
+    named = F.col("_place").isNotNull()
     return folded.select(
         *keywords.columns,
-        F.when(named, F.col("place.nome")).otherwise(default_city).alias("cidade"),
-        F.when(named, F.col("place.uf")).otherwise(default_uf).alias("estado"),
+        F.when(named, F.col("_place.nome")).otherwise(default_city).alias("cidade"),
+        F.when(named, F.col("_place.uf")).otherwise(default_uf).alias("estado"),
         _first_in_text("_folded", C.PROPERTY_TYPES, C.DEFAULT_TYPE).alias("tipo"),
     )
 

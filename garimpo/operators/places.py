@@ -49,8 +49,8 @@ def filed(places: DataFrame) -> DataFrame:
     return rarest.select(F.col("rarest.piece").alias("piece"), *keep)
 
 
-def first_places(texts: DataFrame, column: str, places: DataFrame) -> DataFrame:
-    """``texts`` with ``place``, the struct ``ordem, nome, uf`` of the first place named in ``column``.
+def first_places(texts: DataFrame, column: str, places: DataFrame, into: str = "place") -> DataFrame:
+    """``texts`` with a new column ``into``, the struct ``ordem, nome, uf`` of the first place named in ``column``.
 
     First is the place of the smallest ``ordem``, then name and state; null where the
     text is null or names none. Equal texts are looked up once, so a text that a third of all rows
@@ -64,5 +64,5 @@ def first_places(texts: DataFrame, column: str, places: DataFrame) -> DataFrame:
     met = asked.join(index, "piece").select("key", "name", F.struct("ordem", "nome", "uf").alias("place"))
     # Texts of one hash meet each other's places; the check is on the text itself.
     sure = keyed.select("key", "folded").join(met, "key").filter(F.contains("folded", "name"))
-    best = sure.groupBy(F.col("folded").alias("_folded")).agg(F.min("place").alias("place"))
+    best = sure.groupBy(F.col("folded").alias("_folded")).agg(F.min("place").alias(into))
     return texts.join(best, text.fold(F.col(column)) == F.col("_folded"), "left").drop("_folded")

@@ -60,10 +60,10 @@ def test_short_names_order_ties_and_repeats(spark):
 
 def test_empty_gazetteer_and_texts_and_a_hot_text(spark):
     none = spark.createDataFrame([], PLACE)
-    words = spark.createDataFrame([("casa em recife", 1, "p")] * 500 + [(None, 2, "p")], "keyword string, n int, place_ string")
-    assert places.first_places(words, "keyword", none).filter("place is null").count() == 501
+    words = spark.createDataFrame([("casa em recife", 1, "p")] * 500 + [(None, 2, "p")], "keyword string, n int, place string")
+    assert places.first_places(words, "keyword", none, "found").filter("found is null").count() == 501
     placed = discover.keyword_places(words)
-    assert placed.columns == ["keyword", "n", "place_", "cidade", "estado", "tipo"]
+    assert placed.columns == ["keyword", "n", "place", "cidade", "estado", "tipo"]
     assert {tuple(r) for r in placed.collect()} == {
         ("casa em recife", 1, "p", "recife", "PE", "casa"),
         (None, 2, "p", "curitiba", "PR", "apartamento"),
