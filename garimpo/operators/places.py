@@ -5,12 +5,14 @@ also inside a word. Each place is filed under one piece of its name: the one of
 ``PIECE`` characters that the fewest places share, or the whole name where that is
 shorter. A text is looked up by all its pieces, so the few places it meets are checked
 against it and no text is compared with the whole gazetteer. Texts and places meet in
-joins of their keys, which Spark broadcasts or shuffles by their size.
+joins of their keys. The gazetteer is broadcast or shuffled by its size; rows of texts are
+never broadcast: Spark's guess of their size comes from compressed files and does not see
+that a text becomes its pieces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from garimpo import constants as C
@@ -26,11 +28,9 @@ def known_places(spark: SparkSession) -> DataFrame:
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
-def _pieces(chars: str, size: int) -> Column:
-    """All runs of ``size`` of the characters, once each; none of a shorter text."""
-    starts = F.sequence(F.lit(0), F.size(chars) - size)
-    runs = F.transform(starts, lambda i: F.concat(*(F.get(F.col(chars), i + j) for j in range(size))))
-    return F.when(F.size(chars) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+def _pieces(folded: str, size: int) -> Column:
+    """All runs of ``size`` characters of a text, once each; none of a shorter text."""
+    return F.array_distinct(F.regexp_extract_all(folded, F.lit(rf"(?s)(?=(.{{{size}}}))"), F.lit(1)))
 
 
 def filed(places: DataFrame) -> DataFrame:
@@ -41,11 +41,11 @@ def filed(places: DataFrame) -> DataFrame:
     named = places.select("ordem", "nome", "uf").filter(F.length("nome") > 0)
     keep = ["ordem", "nome", "uf", "folded"]
     folded = computed(named, keep[:3], {"folded": text.fold(F.col("nome"))})
-    split = computed(folded, keep, {"chars": F.split("folded", "")})
-    pieces = F.when(F.size("chars") < PIECE, F.array("folded")).otherwise(_pieces("chars", PIECE))
-    listed = split.select(*keep, F.explode(pieces).alias("piece"))
-    shared = listed.groupBy("piece").agg(F.count("*").alias("n"))
-    rarest = listed.join(shared, "piece").groupBy(*keep).agg(F.min(F.struct("n", "piece")).alias("rarest"))
+    pieces = F.when(F.length("folded") < PIECE, F.array("folded")).otherwise(_pieces("folded", PIECE))
+    listed = folded.select(*keep, F.explode(pieces).alias("piece"))
+    # Counted in a window: a join would hide from Spark how small the index is.
+    shared = listed.withColumn("n", F.count("*").over(Window.partitionBy("piece")))
+    rarest = shared.groupBy(*keep).agg(F.min(F.struct("n", "piece")).alias("rarest"))
     return rarest.select(F.col("rarest.piece").alias("piece"), *keep)
 
 
@@ -57,12 +57,15 @@ def first_places(texts: DataFrame, column: str, places: DataFrame, into: str = "
     hold is one row until the last join. Only hashes of texts travel with their pieces.
     """
     distinct = texts.select(text.fold(F.col(column)).alias("folded")).filter("folded is not null").distinct()
-    keyed = computed(distinct, ["folded"], {"key": F.xxhash64("folded"), "chars": F.split("folded", "")})
-    pieces = F.array_distinct(F.flatten(F.array(*(_pieces("chars", size) for size in range(1, PIECE + 1)))))
+    keyed = distinct.select(F.xxhash64("folded").alias("key"), "folded")
+    pieces = F.concat(*(_pieces("folded", size) for size in range(1, PIECE + 1)))
     asked = keyed.select("key", F.explode(pieces).alias("piece"))
     index = filed(places).withColumnRenamed("folded", "name")
-    met = asked.join(index, "piece").select("key", "name", F.struct("ordem", "nome", "uf").alias("place"))
+    # Of a left join only the right side can be broadcast. It stays one, as neither this filter nor the check below
+    # rules out a missing place by the place alone; no piece is null.
+    met = asked.join(index, "piece", "left").filter("name is not null or piece is null")
+    met = met.select("key", "name", F.struct("ordem", "nome", "uf").alias("place"))
     # Texts of one hash meet each other's places; the check is on the text itself.
-    sure = keyed.select("key", "folded").join(met, "key").filter(F.contains("folded", "name"))
+    sure = keyed.join(met.hint("merge"), "key").filter(F.coalesce(F.contains("folded", "name"), F.lit(False)))
     best = sure.groupBy(F.col("folded").alias("_folded")).agg(F.min("place").alias(into))
-    return texts.join(best, text.fold(F.col(column)) == F.col("_folded"), "left").drop("_folded")
+    return texts.join(best.hint("merge"), text.fold(F.col(column)) == F.col("_folded"), "left").drop("_folded")

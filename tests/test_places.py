@@ -69,3 +69,16 @@ def test_empty_gazetteer_and_texts_and_a_hot_text(spark):
         (None, 2, "p", "curitiba", "PR", "apartamento"),
     }
     assert placed.count() == 501 and discover.keyword_places(words.limit(0)).count() == 0
+
+
+def test_texts_are_never_broadcast(spark, fresh_dir):
+    """Texts of a small file become many pieces; only the gazetteer may be sent to the driver."""
+    rows = [(f"Casa em {('Recife', 'São Paulo', 'centro')[i % 3]} {i}",) for i in range(300)] + [(None,)]
+    spark.createDataFrame(rows, "keyword string").write.parquet(f"{fresh_dir}/words")
+    placed = discover.keyword_places(spark.read.parquet(f"{fresh_dir}/words"))
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert broadcast and all("[piece" in line and "BuildRight" in line for line in broadcast)
+    assert "LeftOuter" in broadcast[0] and plan.count("SortMergeJoin") == 2
+    cities = [r.cidade for r in placed.collect()]
+    assert {c: cities.count(c) for c in set(cities)} == {"recife": 100, "sao paulo": 100, "curitiba": 101}
