@@ -56,8 +56,12 @@ def resolve(href: Column, base: Column) -> Column:
     path, tail = F.regexp_extract(href, r"^[^?#]*", 0), F.regexp_extract(href, r"(?s)[?#].*$", 0)
     host = F.regexp_extract(path, "^//[^/]*", 0)
     behind = F.substr(path, F.length(host) + 1, F.length(path))
+    # Most hrefs are a whole path without query, fragment or dot segments, which takes no splitting.
+    simple = ~(href.contains("?") | href.contains("#") | href.contains("/."))
     return (
-        F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href)
+        F.when(simple & href.startswith("//"), F.concat(scheme, F.lit(":"), href))
+        .when(simple & href.startswith("/"), F.concat(origin, href))
+        .when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), host, without_dots(behind), tail))
         .when(href.startswith("/"), F.concat(origin, without_dots(path), tail))
         .when(href == "", base)

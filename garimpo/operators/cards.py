@@ -9,33 +9,39 @@ from pyspark.sql import functions as F
 
 from garimpo import constants as C
 from garimpo.functions import keys, text, urls
-from garimpo.functions.markup import cards_of
+from garimpo.functions.markup import CARD_TEXTS, cards_of
 from garimpo.functions.steps import computed
 
 
 class CardSite(NamedTuple):
-    """Where the cards of a site are and what is read from them; ``limit`` caps the cards of a page."""
+    """Where the cards of a site are and what is read from them; ``limit`` caps the cards of a page.
+
+    ``texts`` names the texts of a whole card that are read: ``text``, ``lines``; others are null.
+    """
 
     selectors: list
     fields: dict
     source: str | None = None
     limit: int | None = None
+    texts: tuple = CARD_TEXTS
 
 
 PORTAL = CardSite(
-    C.CARDS_PORTAL, {"title": C.PORTAL_TITLE, "place": C.PORTAL_PLACE}, "imovelweb"
+    C.CARDS_PORTAL, {"title": C.PORTAL_TITLE, "place": C.PORTAL_PLACE}, "imovelweb", texts=("text",)
 )
-BROWSER_A = CardSite(C.CARDS_BROWSER_A, {}, "ImóvelWeb")
-BROWSER_B = CardSite(C.CARDS_BROWSER_B, {}, "VivaReal")
+BROWSER_A = CardSite(C.CARDS_BROWSER_A, {}, "ImóvelWeb", texts=("lines",))
+BROWSER_B = CardSite(C.CARDS_BROWSER_B, {}, "VivaReal", texts=("lines",))
 ARTICLE = CardSite(
     C.CARDS_ARTICLE,
     {"title": C.ARTICLE_TITLE, "price": C.ARTICLE_PRICE},
     "ImóvelVirtual",
+    texts=("text",),
 )
 ANCHOR = CardSite(
     C.CARDS_ANCHOR,
     {"title": C.ANCHOR_TITLE, "price": C.ANCHOR_PRICE},
     "VivaReal",
+    texts=("text",),
 )
 BANK = CardSite(
     C.CARDS_BANK,
@@ -46,12 +52,13 @@ BANK = CardSite(
         "price": C.BANK_PRICE,
     },
     C.BANK_SOURCE,
+    texts=(),
 )
 
 
 def raw_cards(pages: DataFrame, site: CardSite) -> DataFrame:
     """One row per card with its position; the page text ends here."""
-    found = cards_of(F.col("html"), site.selectors, site.fields, site.limit)
+    found = cards_of(F.col("html"), site.selectors, site.fields, site.limit, site.texts)
     return (
         pages.select("page_id", "url", F.posexplode(found).alias("pos", "card"))
         .select("page_id", "url", "pos", "card.*")

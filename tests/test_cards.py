@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from garimpo.functions.markup import PageReader, read_cards, read_place
@@ -19,9 +22,55 @@ def test_reader_closes_open_elements_and_skips_scripts():
     assert page.text(page.elements[-1]) == "c & d"
 
 
-def test_many_open_elements_are_read_in_linear_time():
-    import time
+class StandardReader(PageReader):
+    """All of a page by the standard reader."""
+
+    def _read_plain(self, html):
+        return 0
+
+
+def seen(page):
+    return page.pieces, [(e.tag, e.attrs, e.index, e.last_index, e.first_piece, e.last_piece) for e in page.elements]
+
+
+def test_plain_markup_is_read_as_by_the_standard_reader():
+    rng = random.Random(3)
+    tags = [
+        "<div>", "</div>", '<a class="x y" href="/i/1">', "</a>", "<br>", "<p>", "</p>", "<SPAN Class=\"A\"\n id=\"\">", "</Span>", "<h2\t>",
+        "<a href='q&amp;r' b=1>", '<a href="x?a=1&copy=2&amp;b">', "<img src=x />", "<br/>", "<p hidden>", '<p a="1"b="2">', "</ p>", "</p >", '<é x="1">',
+        "<x-y z>", "<!-- c -->", "<!-- <b> -- c -->", "<!DOCTYPE html>", "<!doctype x>", "<?php ?>", "<![CDATA[x]]>", "<", "< b", "</", "</>", "<!", "<div", '<a href="', ">",
+        "<script>", "</script>", '<script type="a">if (a < b) "<b>" </script>', "<script>1 </b> 2</script>", "<style>p > a {}</style>", "<script/>", "<STYLE>x</Style>", "<script>a</style>", "\x00", "<p\x00>", "<p\xa0a=\"1\">",
+    ]
+    texts = ["t ", "&amp;", "&copy", "a & b", " ", "\n", "bairro", "é", "&#36;", "x;"]
+    for k in range(6000):
+        some = tags[:10] if k % 3 == 0 else tags
+        html = "".join(rng.choice(some if rng.random() < 0.6 else texts) for _ in range(rng.randint(0, 14)))
+        assert seen(PageReader(html)) == seen(StandardReader(html)), html
 
+
+def test_plain_markup_is_read_in_less_time():
+    html = "<!DOCTYPE html><body>" + '<div class="card"><h3>Casa boa</h3><p>R$ 5</p><a href="/vi/1">ver</a></div>' * 4000
+
+    def seconds(reader):
+        took = []
+        for _ in range(3):
+            started = time.process_time()
+            reader(html)
+            took.append(time.process_time() - started)
+        return min(took)
+
+    assert seconds(PageReader) < 0.75 * seconds(StandardReader)
+
+
+def test_only_wanted_texts_are_made():
+    html = "<div class='card'><p>a</p>b</div>"
+    both = read_cards(html, cards.PORTAL.selectors, {}, None)[0]
+    assert (both["text"], both["lines"]) == ("a b", "a\nb")
+    none = read_cards(html, cards.PORTAL.selectors, {}, None, ())[0]
+    assert (none["text"], none["lines"]) == (None, None)
+
+
+def test_many_open_elements_are_read_in_linear_time():
     started = time.time()
     html = "<p title='bairro'><span>x" * 30000 + "</i></b>" * 1000
     assert read_place(html) == {"label": None, "crumb": None}
