@@ -97,35 +97,44 @@ PRICE = r"(?U)R\$\s*[\d.,]+"
 PRICE_ANY_CASE = r"(?iuU)R\$\s*[\d.,]+"
 AREA = r"(?iuU)(\d{2,4})\s*m[²2]"
 AREA_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*m[²2]"
-AREA_WHOLE = r"(?iuU)(?<!\d)(\d{2,6})\s*m[²2]"
+AREA_WHOLE = r"(?iuU)(?=\d)(?<!\d)(\d{2,6})\s*m[²2]"
 # A look-behind before a digit or address run, and possessive runs, only stop
 # retries that cannot match: the leftmost match is that of the plain pattern and
-# the search stays linear in the page. Word borders are spelled out, because
+# the search stays linear in the page. A look-ahead for a digit before the look-behind,
+# and a first character outside of the letter-case group, let most positions fail at
+# their first test. Word borders are spelled out, because
 # engines differ on whether a superscript digit is part of a word.
-ROOMS = r"(?iuU)(?<!\d)(\d++)\s*(?:quartos|quarto|qt|q)(?![\p{L}\p{N}_])"
+ROOMS = r"(?iuU)(?=\d)(?<!\d)(\d++)\s*(?:quartos|quarto|qt|q)(?![\p{L}\p{N}_])"
 ROOMS_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*(?:quarto|q)"
-BATHS = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiros?(?![\p{L}\p{N}_])|b\.)"
+BATHS = r"(?iuU)(?=\d)(?<!\d)(\d++)\s*(?:banheiros?(?![\p{L}\p{N}_])|b\.)"
 BATHS_LOOSE = r"(?iuU)(?<!\d)(\d++)\s*(?:banheiro|b\.)"
-POSTAL_CODE = r"(?U)(?<![\p{L}\p{N}_])\d{5}-\d{3}(?![\p{L}\p{N}_])"
+POSTAL_CODE = r"(?U)(?=\d)(?<![\p{L}\p{N}_])\d{5}-\d{3}(?![\p{L}\p{N}_])"
 POSTAL_CODE_UNBOUNDED = r"\d{5}-\d{3}"
 PHONE = r"(?U)\(?\d{2,3}\)?\s*\d{4,5}-\d{4}"
 PHONE_SHORT = r"(?U)\(?\d{2}\)?\s*\d{4,5}-\d{4}"
 PHONE_PARENS = r"(?U)\(\d{2}\)\s*\d{4,5}-\d{4}"
 PHONE_INTERNATIONAL = r"\+\d{1,3} \(\d{3}\) \d{3}-\d{4}"
-TEL_LINK = r"(?iuU)href=['\"]tel:(\+?[0-9\-\(\)\s]+)['\"]"
-DATA_PHONE = r"(?iu)data-phone=['\"]([^'\"]+)['\"]"
+TEL_LINK = r"[hH](?iuU:ref=['\"]tel:(\+?[0-9\-\(\)\s]+)['\"])"
+DATA_PHONE = r"[dD](?iu:ata-phone=['\"]([^'\"]+)['\"])"
 ADDRESS_LINE = r"(?U)(?<![A-Za-z0-9\s.,\-])([A-Za-z0-9\s.,\-]+(?<=[A-Za-z0-9])),([A-Za-z\s]++)-\s*([A-Z]{2})"
 ADDRESS_END = r"(?U),[A-Za-z\s]++-\s*[A-Z]{2}"
-HTML_TITLE = r"(?iud)<title>(.*?)</title>"
-TITLE_ELEMENT = r"(?ius)<title\b[^>]*>(.*?)</title\s*>"
-META_TAG = r"""(?iu)<meta\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+HTML_TITLE = r"<(?iud:title>(.*?)</title>)"
+TITLE_ELEMENT = r"<(?ius:title\b[^>]*>(.*?)</title\s*>)"
+META_TAG = r"""<(?iu:meta\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>)"""
 NAMED_DESCRIPTION = r"""(?iu)(?<![\w-])name\s*=\s*["']?description["'\s/>]"""
-HTML_H1 = r"(?ius)<h1[^>]*>(.*?)</h1>"
+HTML_H1 = r"<(?ius:h1[^>]*>(.*?)</h1>)"
+# What a script, a style or a comment holds is taken in whole runs up to its end, or the page's.
+NOT_TEXT = (
+    r"<(?:(?iu:script\b)(?:[^<]++|<(?!(?iu:/script\s*>)))*+(?:<(?iu:/script\s*>)|\z)"
+    r"|(?iu:style\b)(?:[^<]++|<(?!(?iu:/style\s*>)))*+(?:<(?iu:/style\s*>)|\z)"
+    r"|!--(?:[^-]++|-(?!->))*+(?:-->|\z))"
+)
 HTML_H1_PLAIN = r"<h1[^>]*>([^<]+)</h1>"
-META_DESCRIPTION = r"(?iuU)<meta\s+name=[\"']description[\"']\s+content=[\"']([^\"']+)[\"']"
-OG_DESCRIPTION = r"(?iuU)<meta\s+property=[\"']og:description[\"']\s+content=[\"']([^\"']+)[\"']"
-SCRIPT_END = r"(?iu)</script>"
-JSONLD_START = r"""(?ius)<script[^>]*\btype\s*=\s*["']?application/ld\+json(?:["'\s][^>]*)?>(.*)\z"""
+META_DESCRIPTION = r"<(?iuU:meta\s+name=[\"']description[\"']\s+content=[\"']([^\"']+)[\"'])"
+OG_DESCRIPTION = r"<(?iuU:meta\s+property=[\"']og:description[\"']\s+content=[\"']([^\"']+)[\"'])"
+SCRIPT_END = r"<(?iu:/script>)"
+JSONLD_MARKS = ["ld+", "LD+", "Ld+", "lD+"]
+JSONLD_START = r"""<(?ius:script[^>]*\btype\s*=\s*["']?application/ld\+json(?:["'\s][^>]*)?>(.*)\z)"""
 EMBEDDED_CITY = r'(?U)"addressLocality"\s*:\s*"([^"]{2,100})"'
 EMBEDDED_REGION = r'(?U)"addressRegion"\s*:\s*"([A-Z]{2})"'
 EMBEDDED_POSTAL = r'(?U)"postalCode"\s*:\s*"(\d{5}-\d{3})"'

@@ -78,8 +78,11 @@ def decode(c: Column, attribute: bool = False) -> Column:
         one, p = x["one"], x["p"]
         return F.when(one.isNotNull(), F.concat(one["char"], F.substr(p, one["used"] + 1, F.length(p)))).otherwise(F.concat(F.lit("&"), p))
 
-    # Bound to a lambda's variable, what is found of a piece is made once.
-    pieces = F.split(c, "&")
-    read = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: _struct(p=p, ref=F.regexp_extract(p, REFERENCE, 0)))
-    decoded = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.transform(read, found), written), ""))
-    return F.when(c.contains("&"), decoded).otherwise(c)
+    def decoded(x: Column) -> Column:
+        pieces = F.split(x, "&")
+        read = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: _struct(p=p, ref=F.regexp_extract(p, REFERENCE, 0)))
+        joined = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.transform(read, found), written), ""))
+        return F.when(x.contains("&"), joined).otherwise(x)
+
+    # Bound to a lambda's variable, the text and what is found of a piece are made once.
+    return F.get(F.transform(F.array(c), decoded), F.lit(0))

@@ -51,8 +51,12 @@ def jsonld_blocks(html: Column) -> Column:
     """The JSON values of all JSON-LD scripts as texts, in page order, invalid ones left out.
 
     The page is cut at script ends and each closed piece searched once, so
-    scripts that are never closed do not make the search start over.
+    scripts that are never closed do not make the search start over. A page
+    without the end of the type's name has none.
     """
+    named = F.lit(False)
+    for mark in C.JSONLD_MARKS:
+        named = named | html.contains(mark)
     pieces = F.transform(
         F.array(F.split(html, C.SCRIPT_END)), lambda p: F.slice(p, 1, F.size(p) - 1)
     )
@@ -61,7 +65,8 @@ def jsonld_blocks(html: Column) -> Column:
     )
     found = F.filter(bodies, lambda b: b != "")
     values = F.filter(F.transform(found, _wrapped), lambda v: F.size(v) == 1)
-    return F.transform(values, lambda v: F.get(v, F.lit(0)))
+    none = F.array().cast("array<string>")
+    return F.when(~named, none).otherwise(F.transform(values, lambda v: F.get(v, F.lit(0))))
 
 
 def jsonld_objects(html: Column) -> Column:
@@ -131,17 +136,38 @@ def jsonld_listings(objects: Column) -> Column:
             F.try_parse_json(p["offer"]).alias("variant"),
         ),
     )
-    priced = F.transform(
+    valued = F.transform(
         opened,
         lambda p: F.struct(
             p["top"].alias("top"),
             p["address"].alias("address"),
             p["contact_phone"].alias("contact_phone"),
-            _price(none_if_empty(p["offer"]["price"]), _kind(p["variant"], "$.price")).alias("price"),
-            _price(
-                none_if_empty(field(_object(p["offer"]["priceSpecification"]), "price")),
-                _kind(p["variant"], "$.priceSpecification.price"),
-            ).alias("spec_price"),
+            none_if_empty(p["offer"]["price"]).alias("price"),
+            none_if_empty(field(_object(p["offer"]["priceSpecification"]), "price")).alias("spec_price"),
+            p["variant"].alias("variant"),
+        ),
+    )
+    # A label looks at its value and kind several times.
+    kinds = F.transform(
+        valued,
+        lambda p: F.struct(
+            p["top"].alias("top"),
+            p["address"].alias("address"),
+            p["contact_phone"].alias("contact_phone"),
+            p["price"].alias("price"),
+            F.when(p["price"].isNotNull(), _kind(p["variant"], "$.price")).alias("kind"),
+            p["spec_price"].alias("spec_price"),
+            F.when(p["spec_price"].isNotNull(), _kind(p["variant"], "$.priceSpecification.price")).alias("spec_kind"),
+        ),
+    )
+    priced = F.transform(
+        kinds,
+        lambda p: F.struct(
+            p["top"].alias("top"),
+            p["address"].alias("address"),
+            p["contact_phone"].alias("contact_phone"),
+            _price(p["price"], p["kind"]).alias("price"),
+            _price(p["spec_price"], p["spec_kind"]).alias("spec_price"),
         ),
     )
 

@@ -17,4 +17,5 @@ def computed(df: DataFrame, keep: list[str], fields: dict[str, Column]) -> DataF
     columns use, and leave the rest to a projection that can be pruned.
     """
     row = F.struct(*[value.alias(name) for name, value in fields.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    # Under a lambda the step gets its own code: with all around it, the method would pass 8,000 bytes, which the JVM never compiles.
+    return df.select(*keep, F.inline(F.transform(F.array(row), lambda r: r)))

@@ -30,8 +30,8 @@ def strip(c: Column) -> Column:
 
 
 def collapse_ws(c: Column) -> Column:
-    """Every run of white space becomes one space."""
-    return F.regexp_replace(c, r"(?U)\s+", " ")
+    """Every run of white space becomes one space; one that is a space already is passed over."""
+    return F.regexp_replace(c, r"(?U)\s(?:(?<! )\s*|\s+)", " ")
 
 
 def find(c: Column, pattern: str, group: int = 0) -> Column:
@@ -86,7 +86,8 @@ def address_match(c: Column) -> Column:
 
     Only texts with the ``, city - UF`` part are searched for the whole line.
     """
-    return F.when(c.rlike(C.ADDRESS_END), find(c, C.ADDRESS_LINE))
+    ended = F.filter(F.array(c), lambda x: x.rlike(C.ADDRESS_END))
+    return F.get(F.transform(ended, lambda x: find(x, C.ADDRESS_LINE)), F.lit(0))
 
 
 def address_line(match: Column) -> Column:
@@ -121,7 +122,8 @@ def document_description(c: Column) -> Column:
     """Content of the description meta tag, whatever the order and quoting of its attributes."""
     tags = F.regexp_extract_all(c, F.lit(C.META_TAG), F.lit(0))
     named = F.filter(tags, lambda t: t.rlike(C.NAMED_DESCRIPTION))
-    return none_if_empty(strip(attribute(F.get(named, F.lit(0)), "content")))
+    contents = F.transform(F.slice(named, 1, 1), lambda t: attribute(t, "content"))
+    return none_if_empty(strip(F.get(contents, F.lit(0))))
 
 
 def html_title(c: Column) -> Column:
@@ -145,11 +147,7 @@ def visible_text(c: Column) -> Column:
 
     A script, style or comment that is never closed ends with the page.
     """
-    no_code = F.regexp_replace(
-        c,
-        r"(?ius)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)",
-        " ",
-    )
+    no_code = F.regexp_replace(c, C.NOT_TEXT, " ")
     return strip(collapse_ws(decode(F.regexp_replace(no_code, r"(?s)<[^>]+>", " "))))
 
 

@@ -297,7 +297,8 @@ def merged_ads(pages: DataFrame) -> DataFrame:
     Price and address come from offer-like types only, title and description
     from any object; each field takes its first non-empty value in page order.
     The address label and the breadcrumb need the element tree, so only pages
-    that still lack them and mention either word are sent to Python.
+    that still lack them and can hold either are sent to Python: the class and the
+    relation of a breadcrumb are written in small letters, or by references.
     """
     html = F.col("html")
     rest = _rest(pages)
@@ -325,11 +326,16 @@ def merged_ads(pages: DataFrame) -> DataFrame:
     body = text.visible_text(html)
     incomplete = (
         F.col("ld_endereco").isNull() | F.col("ld_cidade").isNull() | F.col("estado").isNull()
-    ) & html.rlike("(?iu)bairro|breadcrumb")
+    ) & (
+        html.contains("breadcrumb")
+        | html.rlike("[bB](?iu:airro)")
+        | (html.contains("&") & html.rlike("[bB](?iu:readcrumb)"))
+    )
     # Text without its markup is made once, for pages that lack a price or postal code or show a phone number.
     wanted = F.col("ld_preco").isNull() | F.col("ld_cep").isNull() | html.rlike(r"(?U)\d{4,5}-\d{4}")
-    read = computed(step, step.columns, {"body": F.when(wanted, body)})
-    placed = read.withColumn("place", page_places(F.when(incomplete, html)))
+    kept = [c for c in step.columns if c != "html"]
+    read = computed(step, kept, {"body": F.when(wanted, body), "sent": F.when(incomplete, html)})
+    placed = read.withColumn("place", page_places(F.col("sent")))
     return placed.select(
         *rest,
         "titulo",

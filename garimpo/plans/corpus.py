@@ -505,7 +505,9 @@ def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
     rows = spark.sql(_named(INPUTS[name](SPARK), scans), **scans)
     if "html" not in rows.columns:
         return rows
-    return computed(rows, [c for c in rows.columns if c != "html"], {"html": F.col("html")})
+    # Rendering under a lambda gets its own code, as the fields of ``computed`` do.
+    rendered = F.get(F.transform(F.array("html"), lambda h: h), F.lit(0))
+    return computed(rows.withColumn("html", rendered), [c for c in rows.columns if c != "html"], {"html": F.col("html")})
 
 
 def _named(sql: str, scans: dict[str, DataFrame]) -> str:
