@@ -497,9 +497,11 @@ def derive(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """
     scans = {given: table(spark, folder, given) for given in GIVEN.get(name, AD_TABLES)}
     if name == "ad_pages":
-        # Narrow order rows are dealt over the tasks that render the pages.
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        scans["orders"] = scans["orders"].repartition(partitions, "o_orderkey")
+        # Narrow order rows are dealt over the tasks that render the pages: by the key they are joined on, so that a
+        # join of two large sides shuffles them once and is not merged into few long tasks, in whole rounds of the cores.
+        cores = spark.sparkContext.defaultParallelism
+        rounds = max(4, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // cores))
+        scans["orders"] = scans["orders"].repartition(rounds * cores, "o_custkey")
     if name not in FROM_TABLES:
         scans = {"ads": spark.sql(_named(ads(SPARK), scans), **scans)}
     rows = spark.sql(_named(INPUTS[name](SPARK), scans), **scans)

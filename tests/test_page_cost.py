@@ -77,3 +77,17 @@ def test_only_pages_that_can_hold_a_place_go_to_python(spark, monkeypatch):
     df = spark.createDataFrame([(i, "u", h) for i, h in enumerate(given)], "page_id long, url string, html string")
     rows = {r.page_id: r.endereco for r in extract.merged_ads(df).collect()}
     assert [rows[i] is not None for i in range(len(given))] == list(given.values())
+
+
+def test_pages_are_dealt_once_and_in_whole_rounds(spark, fresh_dir, capsys):
+    tables(spark, fresh_dir)
+    joined = spark.newSession()
+    joined.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined.conf.set("spark.sql.adaptive.enabled", "false")
+    rows = ex_listing(joined, fresh_dir)
+    capsys.readouterr()
+    rows.explain()
+    # One exchange a side, and the pages are rendered in it.
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 2
+    cores = spark.sparkContext.defaultParallelism
+    assert rows.rdd.getNumPartitions() >= 4 * cores and rows.rdd.getNumPartitions() % cores == 0
